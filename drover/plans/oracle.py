@@ -362,7 +362,7 @@ FROM spells WHERE status = 'idle' AND duration_s > {P.idle_threshold_s}e0"""
 
 
 def oracle_sql() -> dict[str, str]:
-    from drover.streaming.registry import STREAM_ORACLES
+    from drover.streaming.registry import stream_oracles
     out = {k: BASE + v for k, v in _Q.items()}
-    out.update({k: BASE + v for k, v in STREAM_ORACLES.items()})
+    out.update({k: BASE + v for k, v in stream_oracles().items()})
     return out

@@ -13,10 +13,11 @@ WIRE_SCHEMA = T.StructType([
 ])
 
 
-def to_wire(events: DataFrame) -> DataFrame:
-    """Encode typed event rows as broker messages (vehicle id key, JSON value)."""
+def to_wire(events: DataFrame, keep=()) -> DataFrame:
+    """Encode typed event rows as broker messages (vehicle id key, JSON value); ``keep``
+    carries extra columns along (e.g. an ordering column for staging)."""
     cols = [F.col(f.name) for f in EVENT_SCHEMA.fields]
-    return events.select(F.col("vehicle_id").alias("key"), F.to_json(F.struct(*cols)).alias("value"))
+    return events.select(*keep, F.col("vehicle_id").alias("key"), F.to_json(F.struct(*cols)).alias("value"))
 
 
 def decode_wire(wire: DataFrame) -> DataFrame:

@@ -1,3 +1,144 @@
-"""Stream queries registered alongside the batch ones (filled in below)."""
+"""Stream queries in the registry.
+
+Each replays the fixture telemetry through a file stream: broker messages are staged in
+event order as several files in a fresh folder under the shared checkpoint directory,
+the query runs with ``availableNow`` (several micro-batches), and the resolved sink is
+returned -- so the batch SQL oracle applies.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from drover.plans.inputs import Inputs
+from drover.plans.registry import query
+from drover.session import scratch_path
+from drover.sources.telemetry import to_wire
+from drover.streaming import changelog as CL
+from drover.streaming import jobs as J
+from drover.streaming.staging import stage_in_order
+
+N_FILES = 6
+FILES_PER_TRIGGER = 2
+AVAILABLE_NOW = {"availableNow": True}
+
+
+class Replay:
+    """Staged input and fresh sink/checkpoint folders for one run."""
+
+    def __init__(self, x: Inputs, name: str, redeliver_every: int | None = None):
+        self.root = scratch_path(x.spark, name)
+        rows = x.raw
+        if redeliver_every:
+            # at-least-once delivery: some messages arrive twice
+            rows = rows.unionByName(rows.where(F.col("event_id") % redeliver_every == 0))
+        stage_in_order(to_wire(rows, keep=("event_id",)), f"{self.root}/landing", "event_id", N_FILES)
+        J.use_rocksdb(x.spark)
+        self.events = J.file_event_stream(x.spark, f"{self.root}/landing", x.params, FILES_PER_TRIGGER)
+        self.sink = f"{self.root}/sink"
+        self.checkpoint = f"{self.root}/checkpoint"
+        self.run_id = CL.new_run_id()
+
+
+EVENT_COLUMNS = ["event_id", "vehicle_id", "driver_id", "trip_id", "status", "lat", "lon", "speed",
+                 "fare", "event_ts", "zone", "sim_day"]
+ZONE_COLUMNS = ["zone", "window_start", "window_end", "active_vehicles", "idle_count", "enroute_count",
+                "on_trip_count", "trip_count", "total_earnings", "avg_speed", "sim_day"]
+
+
+def _raw_log_run(x: Inputs, heartbeat: bool):
+    r = Replay(x, "raw-log")
+    hb = f"{r.root}/heartbeat" if heartbeat else None
+    J.run_to_end(J.start_raw_log(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW, heartbeat_path=hb))
+    return r, hb
+
+
+@query("raw_log_stream")
+def _raw_log_stream(x: Inputs):
+    """Cleaned events appended to the day-partitioned raw log by a stream."""
+    r, _ = _raw_log_run(x, heartbeat=False)
+    log = CL.read_log(x.spark, r.sink)
+    return log.select(*[F.col(c).cast("int").alias(c) if c == "sim_day" else F.col(c) for c in EVENT_COLUMNS])
+
+
+@query("component_health")
+def _component_health(x: Inputs):
+    """Latest heartbeat per component of the streams this process ran."""
+    r, hb = _raw_log_run(x, heartbeat=True)
+    beats = CL.read_log(x.spark, hb)
+    return beats.groupBy("component").agg(
+        F.max_by("status", F.struct("run", "batch_id")).alias("status"),
+        F.max("last_event_at").alias("last_event_at"))
+
+
+@query("zone_metrics_stream")
+def _zone_metrics_stream(x: Inputs):
+    """1-minute zone metrics in update mode (exact sets), changelog resolved per window."""
+    r = Replay(x, "zones")
+    J.run_to_end(J.start_zone_metrics(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+    return CL.resolve(x.spark, r.sink, ["zone", "window_start"]).select(*ZONE_COLUMNS)
+
+
+@query("zone_metrics_two_level")
+def _zone_metrics_two_level(x: Inputs):
+    """1-minute zone metrics in append mode via two-level aggregation: every window the
+    watermark has passed, written once."""
+    r = Replay(x, "zones2")
+    J.run_to_end(J.start_zone_metrics(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW,
+                                      two_level=True))
+    return CL.read_log(x.spark, r.sink).select(*ZONE_COLUMNS)
+
+
+@query("daily_earnings_stream")
+def _daily_earnings_stream(x: Inputs):
+    r = Replay(x, "earnings")
+    J.run_to_end(J.start_daily_earnings(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+    return CL.resolve(x.spark, r.sink, ["vehicle_id", "sim_day"]).select(
+        "vehicle_id", "sim_day", "total_fare", "trip_count")
+
+
+@query("vehicle_status_stream")
+def _vehicle_status_stream(x: Inputs):
+    """Latest status and start of the current run, kept in keyed state."""
+    r = Replay(x, "status")
+    J.run_to_end(J.start_vehicle_status(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+    s = CL.resolve(x.spark, r.sink, ["vehicle_id"])
+    return s.select("vehicle_id", "driver_id", "lat", "lon", "speed", "status", "zone", "last_fare", "sim_day",
+                    F.timestamp_micros("status_since_us").alias("status_since"),
+                    F.timestamp_micros("updated_at_us").alias("updated_at"))
+
+
+@query("dedup_events_stream")
+def _dedup_events_stream(x: Inputs):
+    """Re-delivered messages removed within the watermark."""
+    r = Replay(x, "dedup", redeliver_every=50)
+    J.run_to_end(J.start_dedup(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+    log = CL.read_log(x.spark, r.sink)
+    return log.select("event_id", "vehicle_id", "status", "event_ts", F.col("sim_day").cast("int").alias("sim_day"),
+                      "zone")
+
+
+def _r(e, n):
+    return f"round({e}, 6) AS {n}"
+
+
+_EV_COLS = ("event_id, vehicle_id, driver_id, trip_id, status, " + ", ".join(_r(c, c) for c in ("lat", "lon", "speed", "fare"))
+            + ", epoch_us(event_ts) AS event_ts, zone, sim_day")
+
+
+def stream_oracles() -> dict[str, str]:
+    from drover.plans import oracle as O
+    wm_us = 2 * 60 * 1_000_000
+    return {
+        "raw_log_stream": f"SELECT {_EV_COLS} FROM ev",
+        "component_health": ("SELECT 'stream-processor' AS component, 'healthy' AS status, "
+                             "max(epoch_us(event_ts)) AS last_event_at FROM ev"),
+        "zone_metrics_stream": O._Q["zone_metrics_1min"],
+        # append mode emits a window once the watermark (newest event - 2 min) passes its end
+        "zone_metrics_two_level": (f"SELECT * FROM ({O._Q['zone_metrics_1min']}) "
+                                   f"WHERE window_end <= (SELECT max(epoch_us(event_ts)) FROM ev) - {wm_us}"),
+        "daily_earnings_stream": O._Q["daily_earnings"],
+        "vehicle_status_stream": O._Q["vehicle_status_latest"],
+        "dedup_events_stream": "SELECT event_id, vehicle_id, status, epoch_us(event_ts) AS event_ts, sim_day, zone FROM ev",
+    }
 
-STREAM_ORACLES: dict[str, str] = {}
