@@ -21,8 +21,15 @@ def to_wire(events: DataFrame, keep=()) -> DataFrame:
 
 
 def decode_wire(wire: DataFrame) -> DataFrame:
-    """JSON value to the fixed event columns; a bad field becomes null, a bad record all null."""
-    return wire.select(F.from_json(F.col("value").cast("string"), EVENT_SCHEMA).alias("data")).select("data.*")
+    """JSON value to the fixed event columns; a bad field becomes null, a bad record all null.
+
+    The parsed struct goes through a one-element ``inline``: filters on its fields cannot
+    be pushed below a generator, so each message is parsed once. Selecting ``data.*`` from
+    a plain projection would let every filter condition inline its own ``from_json`` and
+    parse the message again per rule.
+    """
+    parsed = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA)
+    return wire.select(F.inline(F.array(parsed)))
 
 
 def kafka_telemetry(spark: SparkSession, brokers: str, topic: str,
