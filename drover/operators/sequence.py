@@ -35,11 +35,13 @@ def with_prev(df: DataFrame, keys: list[str], ts: str, tie: str, cols: list[str]
 
 
 def with_run_id(df: DataFrame, keys: list[str], ts: str, tie: str, value: str,
-                bucket_seconds: int, out: str = "run_id") -> DataFrame:
+                bucket_seconds: int, out: str = "run_id", start_flag: str | None = None) -> DataFrame:
     """Number the runs of equal ``value`` per key in (ts, tie) order (gaps and islands):
-    ``out`` starts at 1 and grows by one whenever the value changes."""
+    ``out`` starts at 1 and grows by one whenever the value changes. ``start_flag`` names
+    an optional boolean column marking the first row of every run."""
     d = df.withColumn(_B, time_bucket(ts, bucket_seconds))
     w = Window.partitionBy(*keys, _B).orderBy(ts, tie)
+    d = d.withColumn("__first", F.row_number().over(w) == 1)
     prev = F.lag(value).over(w)
     d = d.withColumn("__chg", F.when(prev.isNotNull() & (prev != F.col(value)), 1).otherwise(0))
     d = d.withColumn("__local", F.sum("__chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -56,4 +58,6 @@ def with_run_id(df: DataFrame, keys: list[str], ts: str, tie: str, value: str,
             wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     d = d.join(summary.select(*keys, _B, "__fc", "__off"), [*keys, _B], "left")
     d = d.withColumn(out, (F.col("__off") + F.col("__fc") + F.col("__local")).cast("long"))
-    return d.drop(_B, "__chg", "__local", "__fc", "__off")
+    if start_flag:
+        d = d.withColumn(start_flag, (F.col("__chg") == 1) | (F.col("__first") & (F.col("__fc") == 1)))
+    return d.drop(_B, "__first", "__chg", "__local", "__fc", "__off")

@@ -19,22 +19,29 @@ def status_spells(events: DataFrame, params) -> DataFrame:
     """Runs of equal status per vehicle in event-time order.
 
     ``spell_end`` is the start of the next run, or ``as_of`` for the current one
-    (``is_current``); ``duration_s`` = end - start.
+    (``is_current``); ``duration_s`` = end - start. One aggregation builds each run: the
+    first event of run r+1 also contributes its time to run r as that run's end, so no
+    join of runs with their successors is needed.
     """
     ev = as_of_filter(events, params).select("vehicle_id", "status", "event_ts", "event_id")
-    runs = with_run_id(ev, ["vehicle_id"], "event_ts", "event_id", "status", params.bucket_seconds, "run_id")
-    spells = runs.groupBy("vehicle_id", "run_id").agg(
+    runs = with_run_id(ev, ["vehicle_id"], "event_ts", "event_id", "status", params.bucket_seconds,
+                       "run_id", start_flag="__start")
+    own = F.struct(F.col("run_id").alias("run_id"), F.col("status").alias("status"),
+                   F.col("event_ts").alias("ts"), F.lit(None).cast("timestamp").alias("next_start"))
+    ends = F.struct((F.col("run_id") - 1).alias("run_id"), F.lit(None).cast("string").alias("status"),
+                    F.lit(None).cast("timestamp").alias("ts"), F.col("event_ts").alias("next_start"))
+    rows = runs.select("vehicle_id", F.inline(F.filter(
+        F.array(own, F.when(F.col("__start") & (F.col("run_id") > 1), ends)), lambda s: s.isNotNull())))
+    spells = rows.groupBy("vehicle_id", "run_id").agg(
         F.min("status").alias("status"),
-        F.min("event_ts").alias("spell_start"),
-        F.max("event_ts").alias("last_event_ts"),
-        F.count(F.lit(1)).alias("n_events"))
-    nxt = spells.select("vehicle_id", (F.col("run_id") - 1).alias("run_id"),
-                        F.col("spell_start").alias("__next_start"))
-    s = spells.join(nxt, ["vehicle_id", "run_id"], "left")
+        F.min("ts").alias("spell_start"),
+        F.max("ts").alias("last_event_ts"),
+        F.count("ts").alias("n_events"),
+        F.min("next_start").alias("__next_start"))
     end = F.col("__next_start")
     if params.as_of is not None:
         end = F.coalesce(end, lit_ts(params.as_of))
-    return s.select(
+    return spells.select(
         "vehicle_id", "run_id", "status", "spell_start", end.alias("spell_end"),
         "last_event_ts", "n_events",
         F.col("__next_start").isNull().alias("is_current"),
