@@ -102,14 +102,30 @@ def apply_conditions(alerts: DataFrame, firing: DataFrame, params) -> DataFrame:
     return history.unionByName(updated)
 
 
-def staleness_gaps(events: DataFrame, threshold_s: int) -> DataFrame:
+def staleness_gaps(events: DataFrame, threshold_s: int, fan_in: int = 1024) -> DataFrame:
     """Every interval between consecutive events longer than the threshold (the history of
-    the staleness rule). With buckets no wider than the threshold, such a gap always
-    crosses a bucket border, so per-bucket min/max suffice: no global sort of events."""
+    the staleness rule).
+
+    With time buckets no wider than the threshold, such a gap always crosses a bucket
+    border, so per-bucket (first, last) suffice: no sort of events. The next non-empty
+    bucket is found in two levels: within groups of ``fan_in`` buckets, then across
+    groups from one summary row per group, so no task sees more than ``fan_in`` buckets
+    or the number of groups.
+    """
     b = events.select(time_bucket("event_ts", threshold_s).alias("b"), "event_ts").groupBy("b").agg(
         F.min("event_ts").alias("first_ts"), F.max("event_ts").alias("last_ts"))
-    nxt = F.lead("first_ts").over(Window.orderBy("b"))
-    g = b.select(F.col("last_ts").alias("gap_start"), nxt.alias("gap_end"))
+    b = b.withColumn("g", F.floor(F.col("b") / F.lit(fan_in)))
+    nxt_in_group = F.lead("first_ts").over(Window.partitionBy("g").orderBy("b"))
+    groups = b.groupBy("g").agg(F.min("first_ts").alias("g_first"))
+    # first event of the next non-empty group; groups are few (span / (threshold x fan_in))
+    carry = groups.select("g", F.lead("g_first").over(Window.partitionBy(F.floor(F.col("g") / F.lit(fan_in)))
+                                                       .orderBy("g")).alias("g_next"))
+    top = groups.groupBy(F.floor(F.col("g") / F.lit(fan_in)).alias("h")).agg(F.min("g_first").alias("h_first"))
+    top_next = top.select("h", F.lead("h_first").over(Window.orderBy("h")).alias("h_next"))
+    carry = (carry.withColumn("h", F.floor(F.col("g") / F.lit(fan_in))).join(top_next, "h", "left")
+             .select("g", F.coalesce("g_next", "h_next").alias("g_next")))
+    g = b.select("g", F.col("last_ts").alias("gap_start"), nxt_in_group.alias("in_group")).join(carry, "g", "left")
+    g = g.select("gap_start", F.coalesce("in_group", "g_next").alias("gap_end"))
     gap = seconds_between(F.col("gap_end"), F.col("gap_start"))
     return g.where(F.col("gap_end").isNotNull() & (gap > F.lit(float(threshold_s)))).select(
         "gap_start", "gap_end", gap.alias("gap_seconds"))

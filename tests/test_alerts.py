@@ -1,5 +1,6 @@
 """Alert rules and lifecycle."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from drover.config import Params
@@ -48,7 +49,8 @@ def test_staleness_rule_strict_and_empty(spark):
     assert A.staleness_condition(empty, P).collect()[0].message == "No telemetry events ingested yet"
 
 
-def test_gaps_equal_sorted_scan(spark):
+@pytest.mark.parametrize("fan_in", [1024, 2, 3])
+def test_gaps_equal_sorted_scan(spark, fan_in):
     import random
     rnd = random.Random(3)
     ts, t = [], 0.0
@@ -57,7 +59,7 @@ def test_gaps_equal_sorted_scan(spark):
         ts.append(t)
     rnd.shuffle(ts)
     ev = spark.createDataFrame([(x,) for x in ts], "t double").select(F.timestamp_seconds("t").alias("event_ts"))
-    got = sorted((r.gap_seconds) for r in A.staleness_gaps(ev, 60).collect())
+    got = sorted((r.gap_seconds) for r in A.staleness_gaps(ev, 60, fan_in=fan_in).collect())
     s = sorted(ts)
     want = sorted(b - a for a, b in zip(s, s[1:]) if b - a > 60)
     assert got == want
