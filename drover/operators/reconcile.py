@@ -51,16 +51,20 @@ def upsert_days(df: DataFrame, path: str, sort_within: str | None = "vehicle_id"
 
 
 def reconcile(spark: SparkSession, expenses_path: str, earnings: DataFrame, report_path: str,
-              days=None) -> None:
+              days=None, heartbeat_path: str | None = None) -> None:
     """Reconcile the given days (all when None) and replace their report partitions.
 
     Days without expense rows produce no rows and so keep their previous report
-    (the original job returns without writing in that case).
+    (the original job returns without writing in that case). With ``heartbeat_path`` a
+    heartbeat row of component ``reconciliation`` is appended after the write.
     """
     expenses = scan_days(spark, expenses_path, days)
     e = earnings if days is None else earnings.where(
         F.col("sim_day").isin([int(d) for d in ([days] if isinstance(days, int) else days)]))
     upsert_days(profitability(expenses, e), report_path)
+    if heartbeat_path:
+        from drover.streaming.changelog import record_heartbeat
+        record_heartbeat(spark, heartbeat_path, "reconciliation")
 
 
 def target_day(params) -> int | None:

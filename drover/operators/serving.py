@@ -181,6 +181,18 @@ def pipeline_health(events: DataFrame, params) -> DataFrame:
         F.lit(int(params.staleness_threshold_s)).alias("staleness_threshold_seconds"))
 
 
+def gauges(events: DataFrame, alerts: DataFrame, params) -> DataFrame:
+    """Monitoring gauges in one row: telemetry lag at ``as_of`` and unresolved alerts.
+    Both inputs feed one aggregation (no join)."""
+    e = events.where(epoch_us("event_ts") <= F.lit(params.as_of_us)).select(
+        F.col("event_ts").alias("t"), F.lit(None).cast("boolean").alias("open"))
+    a = alerts.select(F.lit(None).cast("timestamp").alias("t"), (~F.col("resolved")).alias("open"))
+    g = e.unionByName(a).agg(F.max("t").alias("last_event_at"),
+                             F.count(F.when(F.col("open"), True)).alias("unresolved_alerts"))
+    return g.select(seconds_between(lit_ts(params.as_of), F.col("last_event_at")).alias("telemetry_lag_seconds"),
+                    "unresolved_alerts")
+
+
 def alerts_recent(alerts: DataFrame, include_resolved: bool = False, limit: int = 200) -> DataFrame:
     """Newest alerts first (open only unless ``include_resolved``), at most ``limit``."""
     a = alerts if include_resolved else alerts.where(~F.col("resolved"))

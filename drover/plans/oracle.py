@@ -351,6 +351,10 @@ FROM (SELECT max(epoch_us(event_ts)) AS t FROM ev WHERE epoch_us(event_ts) <= {A
 _Q["alerts_recent"] = """
 SELECT * FROM alerts ORDER BY created_at DESC, alert_type, entity_id LIMIT 200"""
 _Q["alert_conditions"] = "SELECT * FROM cond"
+_Q["metrics_gauges"] = f"""
+SELECT {_r(f'({AS_OF_US} - (SELECT max(epoch_us(event_ts)) FROM ev WHERE epoch_us(event_ts) <= {AS_OF_US})) / 1000000e0',
+           'telemetry_lag_seconds')},
+       (SELECT count(*) FROM alerts WHERE NOT resolved) AS unresolved_alerts"""
 _Q["alert_lifecycle"] = "SELECT * FROM alerts"
 _Q["staleness_gaps"] = f"""
 SELECT gap_start, gap_end, {_r('(gap_end - gap_start) / 1000000e0', 'gap_seconds')} FROM (

@@ -226,6 +226,12 @@ def _alerts_recent(x: Inputs):
     return SV.alerts_recent(x.alert_state(), include_resolved=True)
 
 
+@query("metrics_gauges")
+def _metrics_gauges(x: Inputs):
+    """Telemetry lag and unresolved alert count (the monitoring gauges)."""
+    return SV.gauges(x.events, x.alert_state(), x.params)
+
+
 # ---------------------------------------------------------------- alerts
 @query("alert_conditions")
 def _alert_conditions(x: Inputs):

@@ -47,3 +47,21 @@ def resolve(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 def compact(spark: SparkSession, path: str, keys: list[str], out_path: str) -> None:
     """Write the resolved state as a snapshot at a new location (published by the caller)."""
     resolve(spark, path, keys).write.mode("overwrite").parquet(out_path)
+
+
+def record_heartbeat(spark: SparkSession, path: str, component: str, last_event_at=None,
+                     status: str = "healthy") -> None:
+    """Append one heartbeat row for a batch component (reconciliation, alert evaluation)."""
+    run = new_run_id()
+    row = spark.createDataFrame(
+        [(component, last_event_at, 0, status)],
+        "component string, last_event_at timestamp, rows long, status string")
+    write_batch(row, path, run, 0, partition_by=("component",))
+
+
+def component_health(spark: SparkSession, path: str) -> DataFrame:
+    """Per component: status of its latest heartbeat and the newest event it reported."""
+    beats = read_log(spark, path)
+    return beats.groupBy("component").agg(
+        F.max_by("status", F.struct("run", "batch_id")).alias("status"),
+        F.max("last_event_at").alias("last_event_at"))

@@ -126,3 +126,11 @@ def run_to_end(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+
+
+def rebuild_earnings(spark: SparkSession, raw_log_path: str, days) -> DataFrame:
+    """Daily earnings of ``days`` recomputed from the raw log (batch form). After a stream
+    restarts without its checkpoint, its running totals start from zero; publish these
+    instead for the days the new run touched."""
+    from drover.sources.tables import scan_days
+    return M.daily_earnings(scan_days(spark, raw_log_path, days))

@@ -65,10 +65,7 @@ def _raw_log_stream(x: Inputs):
 def _component_health(x: Inputs):
     """Latest heartbeat per component of the streams this process ran."""
     r, hb = _raw_log_run(x, heartbeat=True)
-    beats = CL.read_log(x.spark, hb)
-    return beats.groupBy("component").agg(
-        F.max_by("status", F.struct("run", "batch_id")).alias("status"),
-        F.max("last_event_at").alias("last_event_at"))
+    return CL.component_health(x.spark, hb)
 
 
 @query("zone_metrics_stream")

@@ -88,3 +88,30 @@ def test_bounded_earnings_state_equals_unbounded(spark, tmp_path):
     ru = sorted(tuple(r) for r in CL.resolve(spark, u, ["vehicle_id", "sim_day"]).collect())
     rb = sorted(tuple(r) for r in CL.resolve(spark, b, ["vehicle_id", "sim_day"]).collect())
     assert ru == rb and len(ru) > 2
+
+
+def test_rebuild_earnings_and_compaction(spark, fixture_inputs, tmp_path):
+    from drover.streaming.jobs import rebuild_earnings
+    raw = str(tmp_path / "raw")
+    CL.write_batch(fixture_inputs.events.where("sim_day < 15"), raw, 1, 0, partition_by=("sim_day",))
+    CL.write_batch(fixture_inputs.events.where("sim_day >= 15"), raw, 1, 1, partition_by=("sim_day",))
+    got = sorted(tuple(r) for r in rebuild_earnings(spark, raw, [3, 20]).collect())
+    want = sorted(tuple(r) for r in fixture_inputs.earnings.where("sim_day IN (3, 20)").collect())
+    assert [g[:2] + (g[3],) for g in got] == [w[:2] + (w[3],) for w in want]
+    # compaction keeps exactly the resolved state
+    log = str(tmp_path / "log")
+    e = fixture_inputs.earnings
+    CL.write_batch(e, log, 1, 0)
+    CL.write_batch(e.withColumn("total_fare", F.col("total_fare") * 2), log, 1, 1)
+    CL.compact(spark, log, ["vehicle_id", "sim_day"], str(tmp_path / "snap"))
+    snap = spark.read.parquet(str(tmp_path / "snap"))
+    assert snap.count() == e.count()
+    assert snap.subtract(CL.resolve(spark, log, ["vehicle_id", "sim_day"])).count() == 0
+
+
+def test_heartbeats(spark, tmp_path):
+    hb = str(tmp_path / "hb")
+    CL.record_heartbeat(spark, hb, "reconciliation")
+    CL.record_heartbeat(spark, hb, "watchdog", status="healthy")
+    got = {r.component: r.status for r in CL.component_health(spark, hb).collect()}
+    assert got == {"reconciliation": "healthy", "watchdog": "healthy"}
