@@ -55,4 +55,7 @@ def write_landing(expenses: DataFrame, path: str) -> None:
         F.when(F.col("service_flag"), F.lit("True")).otherwise(F.lit("False")).alias("service_flag"),
         "sim_day",
     )
-    out.write.mode("overwrite").partitionBy("sim_day").option("header", "true").csv(path)
+    # range on (day, vehicle): each writer task holds a contiguous slice, so a day becomes a
+    # few files instead of one file per task
+    (out.repartitionByRange("sim_day", "vehicle_id").sortWithinPartitions("sim_day", "vehicle_id")
+     .write.mode("overwrite").partitionBy("sim_day").option("header", "true").csv(path))

@@ -42,30 +42,35 @@ INPUT_COLUMNS = ["vehicle_id", "driver_id", "lat", "lon", "speed", "status", "zo
 
 
 def _update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    pdf = pd.concat(list(batches), ignore_index=True)
+    parts = list(batches)
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    ts = pdf["ts_us"].to_numpy()
+    ids = pdf["event_id"].to_numpy()
     if state.exists:
         st_status, st_since, st_last, st_id = state.get
-        newer = (pdf["ts_us"] > st_last) | ((pdf["ts_us"] == st_last) & (pdf["event_id"] > st_id))
-        pdf = pdf[newer]
+        keep = (ts > st_last) | ((ts == st_last) & (ids > st_id))
+        if not keep.all():
+            pdf, ts, ids = pdf[keep], ts[keep], ids[keep]
     else:
         st_status, st_since = None, None
-    if pdf.empty:
+    if len(ts) == 0:
         return
-    pdf = pdf.sort_values(["ts_us", "event_id"], kind="mergesort")
-    status = pdf["status"].to_numpy(dtype=object)
+    order = np.lexsort((ids, ts))
+    status = pdf["status"].to_numpy(dtype=object)[order]
+    ts = ts[order]
     prev = np.empty_like(status)
     prev[0] = st_status
     prev[1:] = status[:-1]
-    changed = np.nonzero(status != prev)[0]
-    ts = pdf["ts_us"].to_numpy()
+    changed = np.flatnonzero(status != prev)
     since = int(ts[changed[-1]]) if len(changed) else int(st_since)
-    last = pdf.iloc[-1]
-    state.update((str(last["status"]), since, int(last["ts_us"]), int(last["event_id"])))
-    yield pd.DataFrame([{
-        "vehicle_id": key[0], "driver_id": last["driver_id"], "lat": last["lat"], "lon": last["lon"],
-        "speed": last["speed"], "status": last["status"], "zone": last["zone"], "last_fare": last["fare"],
-        "sim_day": int(last["sim_day"]), "status_since_us": since, "updated_at_us": int(last["ts_us"]),
-    }])
+    last = pdf.iloc[int(order[-1])]
+    state.update((str(last["status"]), since, int(ts[-1]), int(ids[order[-1]])))
+    yield pd.DataFrame({
+        "vehicle_id": [key[0]], "driver_id": [last["driver_id"]], "lat": [last["lat"]], "lon": [last["lon"]],
+        "speed": [last["speed"]], "status": [last["status"]], "zone": [last["zone"]],
+        "last_fare": [last["fare"]], "sim_day": [int(last["sim_day"])], "status_since_us": [since],
+        "updated_at_us": [int(ts[-1])],
+    })
 
 
 def latest_status_stream(events: DataFrame) -> DataFrame:
