@@ -16,6 +16,14 @@ def parse_flag(c) -> F.Column:
     return F.coalesce(F.lower(F.trim(c)) == F.lit("true"), F.lit(False))
 
 
+def _typed(raw: DataFrame) -> DataFrame:
+    day = F.regexp_extract(F.col("_metadata.file_path"), _DAY_IN_PATH, 1).cast("int")
+    return raw.select(
+        "vehicle_id", day.alias("sim_day"), "fuel_cost", "maintenance_cost", "distance_covered",
+        parse_flag("service_flag").alias("service_flag"),
+    )
+
+
 def read_expense_feed(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     """Typed expense rows with ``sim_day`` taken from each file's path.
 
@@ -26,11 +34,18 @@ def read_expense_feed(spark: SparkSession, path: str, mode: str = "FAILFAST") ->
            .option("header", "true").option("mode", mode)
            .option("recursiveFileLookup", "true")
            .csv(path))
-    day = F.regexp_extract(F.col("_metadata.file_path"), _DAY_IN_PATH, 1).cast("int")
-    return raw.select(
-        "vehicle_id", day.alias("sim_day"), "fuel_cost", "maintenance_cost", "distance_covered",
-        parse_flag("service_flag").alias("service_flag"),
-    )
+    return _typed(raw)
+
+
+def stream_expense_feed(spark: SparkSession, path: str, mode: str = "FAILFAST",
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming form of :func:`read_expense_feed`: each newly landed file is read once
+    (replaces polling for "is day N's file there?")."""
+    r = (spark.readStream.schema(EXPENSE_CSV_SCHEMA).option("header", "true").option("mode", mode)
+         .option("recursiveFileLookup", "true"))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return _typed(r.csv(path))
 
 
 def landed_days(spark: SparkSession, path: str) -> DataFrame:
@@ -48,8 +63,11 @@ def duplicate_keys(expenses: DataFrame) -> DataFrame:
             .where(F.col("count") > 1).withColumnRenamed("count", "copies"))
 
 
-def write_landing(expenses: DataFrame, path: str) -> None:
-    """Land typed expenses as per-day CSV folders (``sim_day=N``), flags as ``True``/``False``."""
+def write_landing(expenses: DataFrame, path: str, one_file_per_day: bool = False) -> None:
+    """Land typed expenses as per-day CSV folders (``sim_day=N``), flags as ``True``/``False``.
+
+    ``one_file_per_day`` mimics the source system's contract (a day arrives as one complete
+    file); otherwise a day may be split over several files."""
     out = expenses.select(
         "vehicle_id", "fuel_cost", "maintenance_cost", "distance_covered",
         F.when(F.col("service_flag"), F.lit("True")).otherwise(F.lit("False")).alias("service_flag"),
@@ -57,5 +75,6 @@ def write_landing(expenses: DataFrame, path: str) -> None:
     )
     # range on (day, vehicle): each writer task holds a contiguous slice, so a day becomes a
     # few files instead of one file per task
-    (out.repartitionByRange("sim_day", "vehicle_id").sortWithinPartitions("sim_day", "vehicle_id")
+    out = out.repartition("sim_day") if one_file_per_day else out.repartitionByRange("sim_day", "vehicle_id")
+    (out.sortWithinPartitions("sim_day", "vehicle_id")
      .write.mode("overwrite").partitionBy("sim_day").option("header", "true").csv(path))

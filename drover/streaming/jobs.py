@@ -121,6 +121,35 @@ def start_dedup(events: DataFrame, params, sink_path: str, checkpoint: str, run_
                   "append", trigger or {"processingTime": "5 seconds"}, "dedup_events")
 
 
+def start_expense_loader(spark: SparkSession, landing_path: str, table_path: str, checkpoint: str,
+                         trigger: dict | None = None, max_files_per_trigger: int | None = None,
+                         on_duplicate: str = "raise"):
+    """Load newly landed expense files into the day-partitioned expenses table.
+
+    A landed file is a complete day (or a complete correction of one): every micro-batch
+    replaces the days it contains (dynamic partition overwrite), so a corrected file
+    replaces that day and a replayed batch rewrites the same partitions. A vehicle listed
+    twice for one day fails the batch (``on_duplicate="raise"``) or keeps one row
+    (``"keep_one"``).
+    """
+    from drover.operators.reconcile import upsert_days
+    from drover.sources.expenses import duplicate_keys, stream_expense_feed
+
+    def sink(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df = batch_df.persist()
+        if on_duplicate == "raise":
+            if not duplicate_keys(batch_df).isEmpty():
+                batch_df.unpersist()
+                raise ValueError(f"duplicate (vehicle_id, sim_day) rows in expense batch {batch_id}")
+            upsert_days(batch_df, table_path)
+        else:
+            upsert_days(batch_df.dropDuplicates(["vehicle_id", "sim_day"]), table_path)
+        batch_df.unpersist()
+
+    src = stream_expense_feed(spark, landing_path, max_files_per_trigger=max_files_per_trigger)
+    return _start(src, sink, checkpoint, "append", trigger or {"processingTime": "60 seconds"}, "expense_loader")
+
+
 def run_to_end(query) -> None:
     """Wait for an ``availableNow`` query and surface its failure."""
     query.awaitTermination()

@@ -115,6 +115,20 @@ def _dedup_events_stream(x: Inputs):
                       "zone")
 
 
+@query("expense_landing_stream")
+def _expense_landing_stream(x: Inputs):
+    """Expense files picked up incrementally as they land (a day per file) and loaded
+    into the day-partitioned expenses table, over several micro-batches."""
+    from drover.sources.expenses import write_landing
+    root = scratch_path(x.spark, "expense-loader")
+    write_landing(x.expenses, f"{root}/landing", one_file_per_day=True)
+    J.run_to_end(J.start_expense_loader(x.spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint",
+                                        AVAILABLE_NOW, max_files_per_trigger=10))
+    t = x.spark.read.parquet(f"{root}/table")
+    return t.select("vehicle_id", F.col("sim_day").cast("int").alias("sim_day"), "fuel_cost", "maintenance_cost",
+                    "distance_covered", "service_flag")
+
+
 def _r(e, n):
     return f"round({e}, 6) AS {n}"
 
@@ -137,5 +151,6 @@ def stream_oracles() -> dict[str, str]:
         "daily_earnings_stream": O._Q["daily_earnings"],
         "vehicle_status_stream": O._Q["vehicle_status_latest"],
         "dedup_events_stream": "SELECT event_id, vehicle_id, status, epoch_us(event_ts) AS event_ts, sim_day, zone FROM ev",
+        "expense_landing_stream": O._Q["expense_feed"],
     }
 

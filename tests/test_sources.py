@@ -45,3 +45,32 @@ def test_landing_round_trip_and_pruned_scan(spark, fixture_inputs, tmp_path):
     assert "PartitionFilters: [isnotnull(sim_day" in day3._jdf.queryExecution().executedPlan().toString() \
         or day3.where(F.col("sim_day") != 3).count() == 0
     assert day3.count() == fixture_inputs.expenses.where("sim_day = 3").count()
+
+
+def _csv(path, rows):
+    path.write_text("vehicle_id,fuel_cost,maintenance_cost,distance_covered,service_flag\n"
+                    + "".join(",".join(map(str, r)) + "\n" for r in rows))
+
+
+def test_loader_stream_correction_and_duplicates(spark, tmp_path):
+    import os
+    from drover.streaming import jobs as J
+    land, table = tmp_path / "land", str(tmp_path / "table")
+    land.mkdir()
+    _csv(land / "expenses_day1.csv", [("V1", 1.0, 1.0, 1.0, "True"), ("V2", 2.0, 2.0, 2.0, "False")])
+    _csv(land / "expenses_day2.csv", [("V1", 3.0, 3.0, 3.0, "False")])
+    os.utime(land / "expenses_day1.csv", (1_000_000, 1_000_000))
+    os.utime(land / "expenses_day2.csv", (1_000_010, 1_000_010))
+    ck = str(tmp_path / "ck")
+    J.run_to_end(J.start_expense_loader(spark, str(land), table, ck, {"availableNow": True}, max_files_per_trigger=1))
+    assert spark.read.parquet(table).count() == 3
+    # a corrected day-1 file lands later: V2 removed, V1 changed; day 2 untouched
+    (land / "fix").mkdir()
+    _csv(land / "fix" / "expenses_day1.csv", [("V1", 9.0, 1.0, 1.0, "True")])
+    J.run_to_end(J.start_expense_loader(spark, str(land), table, ck, {"availableNow": True}))
+    got = sorted((r.vehicle_id, r.sim_day, r.fuel_cost) for r in spark.read.parquet(table).collect())
+    assert got == [("V1", 1, 9.0), ("V1", 2, 3.0)]
+    # a file listing a vehicle twice fails its batch
+    _csv(land / "expenses_day3.csv", [("V1", 1.0, 1.0, 1.0, "True"), ("V1", 1.0, 1.0, 1.0, "True")])
+    with pytest.raises(Exception):
+        J.run_to_end(J.start_expense_loader(spark, str(land), table, ck, {"availableNow": True}))
