@@ -42,8 +42,8 @@ class Inputs:
 
     @cached_property
     def events(self) -> DataFrame:
-        """Clean, enriched events."""
-        return enrich(clean(self.raw), self.params)
+        """Clean, enriched events, decoded from broker messages like the production path."""
+        return enrich(clean(self.decoded), self.params)
 
     @cached_property
     def expenses(self) -> DataFrame:
