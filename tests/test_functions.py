@@ -58,3 +58,13 @@ def test_sim_day_floor_and_negative(spark):
 def test_service_flag(spark, text, expected):
     r = spark.createDataFrame([(text,)], "s string").select(parse_flag("s").alias("b")).collect()[0]
     assert r.b is expected
+
+
+def test_random_points_always_in_grid(spark):
+    import random
+    rnd = random.Random(11)
+    pts = [(rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for _ in range(1000)]
+    pts += [(rnd.uniform(6.8, 7.0), rnd.uniform(79.8, 80.0)) for _ in range(1000)]
+    df = spark.createDataFrame(pts, "lat double, lon double").select("lat", "lon", zone_of("lat", "lon").alias("z"))
+    for r in df.collect():
+        assert r.z == _zone_py(r.lat, r.lon)
