@@ -46,6 +46,24 @@ DAYS_PER_MONTH = 30
 TREND_DAYS_MIN, TREND_DAYS_MAX, TREND_DAYS_DEFAULT = 1, 500, 200
 
 
+@dataclasses.dataclass(frozen=True)
+class Grid:
+    """A rectangular box cut into 3x3 named cells, north row first, west to east."""
+
+    min_lat: float = CITY_MIN_LAT
+    max_lat: float = CITY_MAX_LAT
+    min_lon: float = CITY_MIN_LON
+    max_lon: float = CITY_MAX_LON
+    names: tuple = ZONE_NAMES
+
+    def __post_init__(self):
+        if len(self.names) != 9 or not (self.min_lat < self.max_lat and self.min_lon < self.max_lon):
+            raise ValueError("a grid needs 9 names and a non-empty box")
+
+
+CITY_GRID = Grid()
+
+
 def _epoch(iso: str) -> float:
     return datetime.fromisoformat(iso).replace(tzinfo=timezone.utc).timestamp()
 

@@ -20,12 +20,13 @@ def _grid_index(value: Column, lo: float, hi: float) -> Column:
     return F.floor(frac * F.lit(3)).cast("int")
 
 
-def zone_of(lat, lon) -> Column:
-    """Name of the 3x3 grid cell of a point; north row first. Null in, null out."""
+def zone_of(lat, lon, grid: C.Grid = C.CITY_GRID) -> Column:
+    """Name of the 3x3 grid cell of a point; north row first. Null in, null out.
+    Points outside the box fall into the nearest edge cell."""
     lat, lon = _c(lat), _c(lon)
-    row = F.lit(2) - _grid_index(lat, C.CITY_MIN_LAT, C.CITY_MAX_LAT)
-    col = _grid_index(lon, C.CITY_MIN_LON, C.CITY_MAX_LON)
-    names = F.array(*[F.lit(n) for n in C.ZONE_NAMES])
+    row = F.lit(2) - _grid_index(lat, grid.min_lat, grid.max_lat)
+    col = _grid_index(lon, grid.min_lon, grid.max_lon)
+    names = F.array(*[F.lit(n) for n in grid.names])
     zone = F.element_at(names, row * F.lit(3) + col + F.lit(1))
     return F.when(lat.isNotNull() & lon.isNotNull(), zone)
 

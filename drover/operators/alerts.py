@@ -52,7 +52,7 @@ def batch_conditions(report: DataFrame, params) -> DataFrame:
     c = report.where(F.col("sim_day") == F.lit(day)).agg(
         F.count(F.lit(1)).alias("total"), F.count(F.when(~F.col("profitable"), True)).alias("bad"))
     missing = F.col("total") == 0
-    unprofitable = (F.col("total") > 0) & ((F.col("bad") / F.col("total")) > F.lit(0.5))
+    unprofitable = (F.col("total") > 0) & (F.try_divide(F.col("bad"), F.col("total")) > F.lit(0.5))
     d = str(day)
     return c.where(missing | unprofitable).select(
         F.when(missing, C.ALERT_REPORT_MISSING).otherwise(C.ALERT_PROFITABILITY).alias("alert_type"),

@@ -59,9 +59,9 @@ def quarantine_counts(decoded: DataFrame) -> DataFrame:
             .groupBy("rule").agg(F.count(F.lit(1)).alias("rejected")))
 
 
-def enrich(events: DataFrame, params) -> DataFrame:
+def enrich(events: DataFrame, params, grid: C.Grid = C.CITY_GRID) -> DataFrame:
     """Add the grid zone and the simulated day of each event."""
-    return (events.withColumn("zone", zone_of("lat", "lon"))
+    return (events.withColumn("zone", zone_of("lat", "lon", grid))
             .withColumn("sim_day", sim_day_of("event_ts", params)))
 
 

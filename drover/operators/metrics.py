@@ -51,7 +51,7 @@ def zone_metrics(events: DataFrame, params, window: str | None = None) -> DataFr
         F.count(F.when(F.col("on_trip"), True)).alias("on_trip_count"),
         F.count(F.when(~is_vehicle, True)).alias("trip_count"),
         F.sum("fare").alias("total_earnings"),
-        (F.sum("speed_sum") / F.sum("speed_n")).alias("avg_speed"))
+        F.try_divide(F.sum("speed_sum"), F.sum("speed_n")).alias("avg_speed"))
     return _flatten_window(per_zone, params)
 
 

@@ -103,7 +103,7 @@ def batch_health(report: DataFrame, days: DataFrame) -> DataFrame:
     bad = F.coalesce("unprofitable_count", F.lit(0)).cast("long")
     d = F.col("sim_day").cast("string")
     missing = total == 0
-    share_bad = F.when(total > 0, bad / total)
+    share_bad = F.try_divide(bad, total)  # null when there is no row
     unprofitable = share_bad > F.lit(0.5)
     return j.select(
         "sim_day", total.alias("vehicle_count"), bad.alias("unprofitable_count"),

@@ -51,7 +51,7 @@ def realtime_summary(latest: DataFrame, events: DataFrame, params) -> DataFrame:
     n = F.col("active_vehicles")
     return agg.select(
         F.lit(params.current_day).alias("sim_day"), "active_vehicles",
-        F.round(F.when(n > 0, F.col("idle_n") / n).otherwise(F.lit(0.0)), 3).alias("idle_ratio"),
+        F.round(F.coalesce(F.try_divide(F.col("idle_n"), n), F.lit(0.0)), 3).alias("idle_ratio"),
         "trips_recent")
 
 
@@ -107,7 +107,7 @@ def profitability_summary(report: DataFrame) -> DataFrame:
     return last.select(
         F.col("s.sim_day").alias("sim_day"), n.alias("vehicle_count"), p.alias("profitable_count"),
         F.coalesce("s.unprofitable_count", F.lit(0)).alias("unprofitable_count"),
-        F.when(n > 0, F.round(F.lit(100.0) * p / n)).cast("int").alias("profitable_pct"))
+        F.round(F.try_divide(F.lit(100.0) * p, n)).cast("int").alias("profitable_pct"))
 
 
 def vehicles(latest: DataFrame) -> DataFrame:

@@ -50,3 +50,21 @@ ALERT_SCHEMA = T.StructType([
     T.StructField("created_at", T.TimestampType()),
     T.StructField("resolved", T.BooleanType()),
 ])
+
+# Cleaned, enriched events as stored in the raw log (partition columns last).
+RAW_LOG_SCHEMA = T.StructType([
+    T.StructField("trip_id", T.StringType()),
+    T.StructField("driver_id", T.StringType()),
+    T.StructField("vehicle_id", T.StringType()),
+    T.StructField("lat", T.DoubleType()),
+    T.StructField("lon", T.DoubleType()),
+    T.StructField("speed", T.DoubleType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("fare", T.DoubleType()),
+    T.StructField("event_ts", T.TimestampType()),
+    T.StructField("event_id", T.LongType()),
+    T.StructField("zone", T.StringType()),
+    T.StructField("sim_day", T.IntegerType()),
+    T.StructField("run", T.LongType()),
+    T.StructField("batch_id", T.LongType()),
+])

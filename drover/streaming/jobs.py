@@ -40,6 +40,19 @@ def file_event_stream(spark: SparkSession, path: str, params, max_files_per_trig
     return event_stream(file_telemetry(spark, path, max_files_per_trigger), params)
 
 
+def raw_log_events(spark: SparkSession, raw_log_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream the cleaned events back out of the raw log (typed Parquet).
+
+    With this, one query decodes and cleans the broker messages (``start_raw_log``) and
+    the other queries read typed columns instead of parsing every message again.
+    """
+    from drover.schemas import RAW_LOG_SCHEMA
+    r = spark.readStream.schema(RAW_LOG_SCHEMA)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return r.parquet(raw_log_path).drop("run", "batch_id")
+
+
 def _start(df: DataFrame, sink, checkpoint: str, mode: str, trigger: dict, name: str):
     w = df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
     return w.trigger(**trigger).queryName(name).start()

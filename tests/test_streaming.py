@@ -115,3 +115,27 @@ def test_heartbeats(spark, tmp_path):
     CL.record_heartbeat(spark, hb, "watchdog", status="healthy")
     got = {r.component: r.status for r in CL.component_health(spark, hb).collect()}
     assert got == {"reconciliation": "healthy", "watchdog": "healthy"}
+
+
+def test_downstream_query_reads_raw_log_stream(spark, tmp_path):
+    files = [[_msg(i, "A" if i % 2 else "B", i * 30, trip=f"T{i % 4}") for i in range(k, k + 6)] for k in (0, 6, 12)]
+    land = str(tmp_path / "land")
+    _stage(land, files)
+    ev = J.file_event_stream(spark, land, P, max_files_per_trigger=1)
+    raw = str(tmp_path / "raw")
+    J.run_to_end(J.start_raw_log(ev, raw, str(tmp_path / "rc"), 1, {"availableNow": True}))
+    down = J.raw_log_events(spark, raw, max_files_per_trigger=1)
+    e = str(tmp_path / "e")
+    J.run_to_end(J.start_daily_earnings(down, e, str(tmp_path / "ec"), 1, {"availableNow": True}))
+    got = sorted(tuple(r) for r in CL.resolve(spark, e, ["vehicle_id", "sim_day"]).collect())
+    want = sorted(tuple(r) for r in M.daily_earnings(spark.read.parquet(raw)).collect())
+    assert got == want and len(got) == 2
+
+
+def test_custom_grid(spark):
+    from drover.config import Grid
+    from drover.functions import zone_of
+    g = Grid(0.0, 3.0, 0.0, 3.0, tuple("abcdefghi"))
+    r = spark.createDataFrame([(2.5, 0.5), (0.5, 2.5), (1.5, 1.5), (-5.0, 9.0)], "lat double, lon double") \
+        .select(zone_of("lat", "lon", g).alias("z")).collect()
+    assert [x.z for x in r] == ["a", "i", "e", "i"]
