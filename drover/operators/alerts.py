@@ -102,6 +102,40 @@ def apply_conditions(alerts: DataFrame, firing: DataFrame, params) -> DataFrame:
     return history.unionByName(updated)
 
 
+def latest_version(spark: SparkSession, store_path: str) -> int | None:
+    """Highest committed version of an alert store (None when empty), from a listing of
+    its ``version=N`` folders (no data is read)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(store_path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path) or not fs.exists(jvm.org.apache.hadoop.fs.Path(store_path + "/_SUCCESS")):
+        return None
+    found = [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
+    versions = [int(n.split("=", 1)[1]) for n in found if n.startswith("version=")]
+    return max(versions) if versions else None
+
+
+def read_alerts(spark: SparkSession, store_path: str) -> DataFrame:
+    """The current alerts table (latest version), or an empty one."""
+    v = latest_version(spark, store_path)
+    if v is None:
+        return empty_alerts(spark)
+    return spark.read.parquet(store_path).where(F.col("version") == v).drop("version")
+
+
+def evaluate_alerts(spark: SparkSession, store_path: str, firing: DataFrame, params) -> DataFrame:
+    """One evaluation round against a persisted alert store: read the current version,
+    apply the conditions firing at ``as_of``, write the result as the next version and
+    return it read back (the written table is the lineage cut between rounds). A failed
+    round leaves the previous version current; versions are never rewritten."""
+    v = latest_version(spark, store_path)
+    nxt = 0 if v is None else v + 1
+    out = apply_conditions(read_alerts(spark, store_path), firing, params)
+    (out.withColumn("version", F.lit(nxt)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(store_path))
+    return spark.read.parquet(store_path).where(F.col("version") == nxt).drop("version")
+
+
 def staleness_gaps(events: DataFrame, threshold_s: int, fan_in: int = 1024) -> DataFrame:
     """Every interval between consecutive events longer than the threshold (the history of
     the staleness rule).

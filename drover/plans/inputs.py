@@ -70,13 +70,14 @@ class Inputs:
         return M.zone_metrics(self.events, self.params, "1 minute")
 
     def alert_state(self) -> DataFrame:
-        """Alerts after two evaluations: the conditions firing a day before ``as_of`` are
-        raised, then the conditions at ``as_of`` are applied."""
+        """Alerts after two evaluation rounds against a fresh alert store: the conditions
+        firing a day before ``as_of`` are raised, then the conditions at ``as_of`` applied."""
+        from drover.session import scratch_path
+        store = scratch_path(self.spark, "alerts")
         p0 = self.params.replace(as_of=self.params.as_of - 86400)
-        first = A.apply_conditions(A.empty_alerts(self.spark),
-                                   A.alert_conditions(self.events, self.report, p0), p0)
+        A.evaluate_alerts(self.spark, store, A.alert_conditions(self.events, self.report, p0), p0)
         now = A.alert_conditions(self.events, self.report, self.params, latest=self.latest)
-        return A.apply_conditions(first, now, self.params)
+        return A.evaluate_alerts(self.spark, store, now, self.params)
 
 
 def export(df: DataFrame, digits: int = 6) -> DataFrame:

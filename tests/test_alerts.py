@@ -63,3 +63,17 @@ def test_gaps_equal_sorted_scan(spark, fan_in):
     s = sorted(ts)
     want = sorted(b - a for a, b in zip(s, s[1:]) if b - a > 60)
     assert got == want
+
+
+def test_alert_store_rounds(spark, tmp_path):
+    store = str(tmp_path / "alerts")
+    assert A.latest_version(spark, store) is None and A.read_alerts(spark, store).count() == 0
+    f1 = _firing(spark, [("vehicle_idle", "warning", "V1", "m1")])
+    A.evaluate_alerts(spark, store, f1, P)
+    A.evaluate_alerts(spark, store, f1, P.replace(as_of=P.as_of + 30))
+    assert A.latest_version(spark, store) == 1
+    assert _state(A.read_alerts(spark, store)) == [("vehicle_idle", "V1", "m1", False)]
+    out = A.evaluate_alerts(spark, store, f1.where("false"), P.replace(as_of=P.as_of + 60))
+    assert _state(out) == [("vehicle_idle", "V1", "m1", True)]
+    # earlier versions stay readable
+    assert spark.read.parquet(store).where("version = 0").count() == 1
