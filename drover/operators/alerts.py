@@ -104,11 +104,12 @@ def apply_conditions(alerts: DataFrame, firing: DataFrame, params) -> DataFrame:
 
 def latest_version(spark: SparkSession, store_path: str) -> int | None:
     """Highest committed version of an alert store (None when empty), from a listing of
-    its ``version=N`` folders (no data is read)."""
+    its ``version=N`` folders (no data is read). A dynamic-overwrite job moves a partition
+    folder into place only when it commits, so a listed folder is complete."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(store_path)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path) or not fs.exists(jvm.org.apache.hadoop.fs.Path(store_path + "/_SUCCESS")):
+    if not fs.exists(path):
         return None
     found = [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
     versions = [int(n.split("=", 1)[1]) for n in found if n.startswith("version=")]
