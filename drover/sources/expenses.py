@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from drover.schemas import EXPENSE_CSV_SCHEMA
 
@@ -37,6 +37,24 @@ def read_expense_feed(spark: SparkSession, path: str, mode: str = "FAILFAST") ->
     return _typed(raw)
 
 
+def expense_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Landing lines that do not parse (wrong number of fields, text in a number), with
+    their file and day, read in PERMISSIVE mode through Spark's corrupt-record column:
+    the quarantine side of :func:`read_expense_feed`."""
+    schema = T.StructType(EXPENSE_CSV_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
+    raw = (spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", "true")
+           .csv(path))
+    day = F.regexp_extract(F.col("_metadata.file_path"), _DAY_IN_PATH, 1).cast("int")
+    # Every field is selected: the CSV reader parses only the columns a query uses, so a
+    # bad value in an unused column would not be detected (and Spark refuses a scan of
+    # the corrupt-record column alone).
+    fields = [f.name for f in EXPENSE_CSV_SCHEMA.fields]
+    return raw.where(F.col("_corrupt_record").isNotNull()).select(
+        F.col("_metadata.file_path").alias("file_path"), day.alias("sim_day"), *fields,
+        F.col("_corrupt_record").alias("line"))
+
+
 def stream_expense_feed(spark: SparkSession, path: str, mode: str = "FAILFAST",
                         max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming form of :func:`read_expense_feed`: each newly landed file is read once

@@ -31,6 +31,9 @@ def test_unparsable_number_fails_the_load(spark, tmp_path):
     with pytest.raises(Exception):
         read_expense_feed(spark, str(d)).collect()
     assert read_expense_feed(spark, str(d), mode="PERMISSIVE").collect()[0].fuel_cost is None
+    from drover.sources.expenses import expense_rejects
+    rej = expense_rejects(spark, str(d)).collect()
+    assert len(rej) == 1 and rej[0].sim_day == 1 and rej[0].line == "V001,abc,1.0,1.0,False"
 
 
 def test_landing_round_trip_and_pruned_scan(spark, fixture_inputs, tmp_path):
