@@ -287,7 +287,7 @@ FROM earnings e FULL OUTER JOIN (
   GROUP BY vehicle_id, sim_day) d
 ON d.vehicle_id = e.vehicle_id AND d.sim_day = e.sim_day"""
 _Q["vehicle_idle_seconds"] = f"""
-SELECT vehicle_id, sim_day,
+SELECT vehicle_id, CAST(sim_day AS INTEGER) AS sim_day,
        {_r(f"sum(least(end_us, {START_US} + (CAST(sim_day AS BIGINT) + 1) * {DAY_US}) - greatest(start_us, {START_US} + CAST(sim_day AS BIGINT) * {DAY_US})) / 1000000e0", 'idle_seconds')}
 FROM (SELECT vehicle_id, start_us, end_us,
              unnest(generate_series({_day('start_us')}, {_day('(end_us - 1)')})) AS sim_day

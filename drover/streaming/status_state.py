@@ -73,8 +73,18 @@ def _update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator
     })
 
 
+def _ship_by_value() -> None:
+    # The state function runs in Python workers; pickle this module by value so that the
+    # workers need numpy/pandas/pyspark only, not this package on their path.
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def latest_status_stream(events: DataFrame) -> DataFrame:
     """Streaming latest status per vehicle (output mode update)."""
+    _ship_by_value()
     inp = events.select(*INPUT_COLUMNS, F.unix_micros("event_ts").alias("ts_us"))
     return inp.groupBy("vehicle_id").applyInPandasWithState(
         _update, OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
