@@ -23,6 +23,27 @@ FILES_PER_TRIGGER = 2
 AVAILABLE_NOW = {"availableNow": True}
 
 
+class _replay_partitions:
+    """While a replay query starts, size its state partitions to the cluster's parallelism
+    (the replayed input is one table, not a firehose); the session value is restored.
+    A stateful query keeps the partition count it started with in its checkpoint."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __enter__(self):
+        key = "spark.sql.shuffle.partitions"
+        self.old = self.spark.conf.get(key)
+        par = max(1, int(self.spark.sparkContext.defaultParallelism))
+        if int(self.old) > par:
+            self.spark.conf.set(key, str(par))
+        return self
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        return False
+
+
 class Replay:
     """Staged input and fresh sink/checkpoint folders for one run."""
 
@@ -49,7 +70,8 @@ ZONE_COLUMNS = ["zone", "window_start", "window_end", "active_vehicles", "idle_c
 def _raw_log_run(x: Inputs, heartbeat: bool):
     r = Replay(x, "raw-log")
     hb = f"{r.root}/heartbeat" if heartbeat else None
-    J.run_to_end(J.start_raw_log(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW, heartbeat_path=hb))
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_raw_log(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW, heartbeat_path=hb))
     return r, hb
 
 
@@ -72,7 +94,8 @@ def _component_health(x: Inputs):
 def _zone_metrics_stream(x: Inputs):
     """1-minute zone metrics in update mode (exact sets), changelog resolved per window."""
     r = Replay(x, "zones")
-    J.run_to_end(J.start_zone_metrics(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_zone_metrics(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
     return CL.resolve(x.spark, r.sink, ["zone", "window_start"]).select(*ZONE_COLUMNS)
 
 
@@ -81,15 +104,17 @@ def _zone_metrics_two_level(x: Inputs):
     """1-minute zone metrics in append mode via two-level aggregation: every window the
     watermark has passed, written once."""
     r = Replay(x, "zones2")
-    J.run_to_end(J.start_zone_metrics(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW,
-                                      two_level=True))
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_zone_metrics(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW,
+                                          two_level=True))
     return CL.read_log(x.spark, r.sink).select(*ZONE_COLUMNS)
 
 
 @query("daily_earnings_stream")
 def _daily_earnings_stream(x: Inputs):
     r = Replay(x, "earnings")
-    J.run_to_end(J.start_daily_earnings(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_daily_earnings(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
     return CL.resolve(x.spark, r.sink, ["vehicle_id", "sim_day"]).select(
         "vehicle_id", "sim_day", "total_fare", "trip_count")
 
@@ -98,7 +123,8 @@ def _daily_earnings_stream(x: Inputs):
 def _vehicle_status_stream(x: Inputs):
     """Latest status and start of the current run, kept in keyed state."""
     r = Replay(x, "status")
-    J.run_to_end(J.start_vehicle_status(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_vehicle_status(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
     s = CL.resolve(x.spark, r.sink, ["vehicle_id"])
     return s.select("vehicle_id", "driver_id", "lat", "lon", "speed", "status", "zone", "last_fare", "sim_day",
                     F.timestamp_micros("status_since_us").alias("status_since"),
@@ -109,7 +135,8 @@ def _vehicle_status_stream(x: Inputs):
 def _dedup_events_stream(x: Inputs):
     """Re-delivered messages removed within the watermark."""
     r = Replay(x, "dedup", redeliver_every=50)
-    J.run_to_end(J.start_dedup(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_dedup(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
     log = CL.read_log(x.spark, r.sink)
     return log.select("event_id", "vehicle_id", "status", "event_ts", F.col("sim_day").cast("int").alias("sim_day"),
                       "zone")
@@ -122,8 +149,9 @@ def _expense_landing_stream(x: Inputs):
     from drover.sources.expenses import write_landing
     root = scratch_path(x.spark, "expense-loader")
     write_landing(x.expenses, f"{root}/landing", one_file_per_day=True)
-    J.run_to_end(J.start_expense_loader(x.spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint",
-                                        AVAILABLE_NOW, max_files_per_trigger=10))
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_expense_loader(x.spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint",
+                                            AVAILABLE_NOW, max_files_per_trigger=10))
     t = x.spark.read.parquet(f"{root}/table")
     return t.select("vehicle_id", F.col("sim_day").cast("int").alias("sim_day"), "fuel_cost", "maintenance_cost",
                     "distance_covered", "service_flag")
