@@ -176,3 +176,18 @@ def rebuild_earnings(spark: SparkSession, raw_log_path: str, days) -> DataFrame:
     instead for the days the new run touched."""
     from drover.sources.tables import scan_days
     return M.daily_earnings(scan_days(spark, raw_log_path, days))
+
+
+def watermark_losses(stream_result: DataFrame, batch_result: DataFrame, keys: list[str],
+                     measures: list[str]) -> DataFrame:
+    """Where a streamed aggregate differs from the batch aggregate over the same events:
+    keys missing from the stream or with different measures, i.e. what late events behind
+    the watermark changed. One full outer join on the keys."""
+    s = stream_result.select(*keys, *[F.col(m).alias(f"stream_{m}") for m in measures])
+    b = batch_result.select(*keys, *[F.col(m).alias(f"batch_{m}") for m in measures])
+    j = s.join(b, keys, "full")
+    differs = None
+    for m in measures:
+        d = ~F.col(f"stream_{m}").eqNullSafe(F.col(f"batch_{m}"))
+        differs = d if differs is None else differs | d
+    return j.where(differs)

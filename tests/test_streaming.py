@@ -51,6 +51,11 @@ def test_late_event_dropped_from_windows_kept_in_earnings(spark, tmp_path):
     assert 300 not in starts and {0, 600} <= starts
     earn = CL.resolve(spark, e, ["vehicle_id", "sim_day"]).collect()
     assert sum(r.total_fare for r in earn) == 9.0 and sum(r.trip_count for r in earn) == 2
+    # the batch form over the same events shows what the watermark dropped
+    batch_events = J.event_stream(spark.read.parquet(land), P)
+    lost = J.watermark_losses(zones, M.zone_metrics(batch_events, P), ["zone", "window_start"],
+                              ["active_vehicles", "total_earnings"]).collect()
+    assert len(lost) == 1 and lost[0].stream_active_vehicles is None and lost[0].batch_total_earnings == 5.0
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
