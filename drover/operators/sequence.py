@@ -36,9 +36,13 @@ def with_prev(df: DataFrame, keys: list[str], ts: str, tie: str, cols: list[str]
 
 def with_run_id(df: DataFrame, keys: list[str], ts: str, tie: str, value: str,
                 bucket_seconds: int, out: str = "run_id", start_flag: str | None = None) -> DataFrame:
-    """Number the runs of equal ``value`` per key in (ts, tie) order (gaps and islands):
-    ``out`` starts at 1 and grows by one whenever the value changes. ``start_flag`` names
-    an optional boolean column marking the first row of every run."""
+    """Number the runs of equal ``value`` (non-null) per key in (ts, tie) order (gaps and
+    islands): ``out`` starts at 1 and grows by one whenever the value changes.
+    ``start_flag`` names an optional boolean column marking the first row of every run.
+
+    Per bucket: local change count; per bucket summary: its first and last value and its
+    inner changes; across buckets: whether a bucket opens with a change (its first value
+    differs from the previous bucket's last) and the running count of earlier changes."""
     d = df.withColumn(_B, time_bucket(ts, bucket_seconds))
     w = Window.partitionBy(*keys, _B).orderBy(ts, tie)
     d = d.withColumn("__first", F.row_number().over(w) == 1)
@@ -47,12 +51,12 @@ def with_run_id(df: DataFrame, keys: list[str], ts: str, tie: str, value: str,
     d = d.withColumn("__local", F.sum("__chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     order = F.struct(ts, tie)
     summary = d.groupBy(*keys, _B).agg(
-        F.min_by(value, order).alias("__first"), F.max_by(value, order).alias("__last"),
+        F.min_by(value, order).alias("__head"), F.max_by(value, order).alias("__tail"),
         F.sum("__chg").alias("__inner"))
     wb = Window.partitionBy(*keys).orderBy(_B)
-    prev_last = F.lag("__last").over(wb)
+    prev_tail = F.lag("__tail").over(wb)
     summary = summary.withColumn(
-        "__fc", F.when(prev_last.isNull() | (prev_last != F.col("__first")), 1).otherwise(0))
+        "__fc", F.when(prev_tail.isNull() | (prev_tail != F.col("__head")), 1).otherwise(0))
     summary = summary.withColumn(
         "__off", F.coalesce(F.sum(F.col("__inner") + F.col("__fc")).over(
             wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
