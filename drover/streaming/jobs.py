@@ -81,19 +81,20 @@ def start_raw_log(events: DataFrame, sink_path: str, checkpoint: str, run_id: in
 
 
 def start_zone_metrics(events: DataFrame, params, sink_path: str, checkpoint: str, run_id: int,
-                       trigger: dict | None = None, two_level: bool = False):
+                       trigger: dict | None = None, two_level: bool = False, approx_rsd: float | None = None):
     """Window x zone metrics behind a watermark.
 
     ``two_level=False``: update mode with one exact set per distinct count (original
     semantics; a window's sets live in state until the watermark passes it).
     ``two_level=True``: the batch plan (distinct members first, then counts) in append
     mode; state holds one row per member, and each window is written once, when final.
+    ``approx_rsd``: update mode with HyperLogLog++ sketches instead of exact sets.
     """
     wm = events.withWatermark("event_ts", params.watermark)
     if two_level:
         agg, mode = M.zone_metrics(wm, params), "append"
     else:
-        agg, mode = M.zone_metrics_sets(wm, params), "update"
+        agg, mode = M.zone_metrics_sets(wm, params, approx_rsd=approx_rsd), "update"
     return _start(agg, CL.changelog_sink(sink_path, run_id), checkpoint, mode,
                   trigger or {"processingTime": "15 seconds"}, "zone_metrics")
 
@@ -163,6 +164,35 @@ def start_expense_loader(spark: SparkSession, landing_path: str, table_path: str
     return _start(src, sink, checkpoint, "append", trigger or {"processingTime": "60 seconds"}, "expense_loader")
 
 
+def start_speed_layer(spark: SparkSession, wire: DataFrame, params, root: str, run_id: int | None = None,
+                      triggers: dict | None = None, with_status: bool = True) -> dict:
+    """Start the speed layer from one broker stream: raw log (+ heartbeats), zone metrics,
+    daily earnings and, optionally, latest status -- independent queries, each with its
+    own checkpoint and changelog under ``root``. Returns the started queries by name.
+
+    ``triggers`` maps a query name to its trigger (defaults: 5 s events and status, 15 s
+    zones and earnings).
+    """
+    use_rocksdb(spark)
+    run_id = run_id or CL.new_run_id()
+    t = {"raw_log": {"processingTime": "5 seconds"}, "zone_metrics": {"processingTime": "15 seconds"},
+         "daily_earnings": {"processingTime": "15 seconds"}, "vehicle_status": {"processingTime": "5 seconds"}}
+    t.update(triggers or {})
+    events = event_stream(wire, params)
+    qs = {
+        "raw_log": start_raw_log(events, f"{root}/raw_log", f"{root}/checkpoints/raw_log", run_id,
+                                 t["raw_log"], heartbeat_path=f"{root}/heartbeats"),
+        "zone_metrics": start_zone_metrics(events, params, f"{root}/zone_metrics", f"{root}/checkpoints/zone_metrics",
+                                           run_id, t["zone_metrics"]),
+        "daily_earnings": start_daily_earnings(events, f"{root}/daily_earnings",
+                                               f"{root}/checkpoints/daily_earnings", run_id, t["daily_earnings"]),
+    }
+    if with_status:
+        qs["vehicle_status"] = start_vehicle_status(events, f"{root}/vehicle_status",
+                                                    f"{root}/checkpoints/vehicle_status", run_id, t["vehicle_status"])
+    return qs
+
+
 def run_to_end(query) -> None:
     """Wait for an ``availableNow`` query and surface its failure."""
     query.awaitTermination()

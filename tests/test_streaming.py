@@ -144,3 +144,39 @@ def test_custom_grid(spark):
     r = spark.createDataFrame([(2.5, 0.5), (0.5, 2.5), (1.5, 1.5), (-5.0, 9.0)], "lat double, lon double") \
         .select(zone_of("lat", "lon", g).alias("z")).collect()
     assert [x.z for x in r] == ["a", "i", "e", "i"]
+
+
+def test_speed_layer_all_queries_and_restart(spark, tmp_path):
+    files = [[_msg(i, "A" if i % 3 else "B", i * 20, status="idle" if i % 4 else "on_trip", trip=f"T{i % 5}")
+              for i in range(k, k + 8)] for k in (0, 8, 16)]
+    land = str(tmp_path / "land")
+    _stage(land, files[:2])
+    from drover.sources.telemetry import file_telemetry
+    root = str(tmp_path / "layer")
+    once = {n: {"availableNow": True} for n in ("raw_log", "zone_metrics", "daily_earnings", "vehicle_status")}
+    for q in J.start_speed_layer(spark, file_telemetry(spark, land, 1), P, root, run_id=1, triggers=once).values():
+        J.run_to_end(q)
+    # more files land; the same checkpoints continue where they stopped
+    _stage(land, files)
+    for q in J.start_speed_layer(spark, file_telemetry(spark, land, 1), P, root, run_id=1, triggers=once).values():
+        J.run_to_end(q)
+    raw = spark.read.parquet(f"{root}/raw_log")
+    assert raw.count() == 24
+    earn = CL.resolve(spark, f"{root}/daily_earnings", ["vehicle_id", "sim_day"])
+    want = M.daily_earnings(raw)
+    assert sorted(tuple(r) for r in earn.collect()) == sorted(tuple(r) for r in want.collect())
+    from drover.operators.status import latest_status
+    st = {r.vehicle_id: (r.status, r.status_since_us) for r in
+          CL.resolve(spark, f"{root}/vehicle_status", ["vehicle_id"]).collect()}
+    want = {r.vehicle_id: (r.status, r.s) for r in
+            latest_status(raw, P).select("vehicle_id", "status", F.unix_micros("status_since").alias("s")).collect()}
+    assert st == want and len(st) == 2
+    assert CL.component_health(spark, f"{root}/heartbeats").collect()[0].status == "healthy"
+
+
+def test_approx_distinct_zone_metrics(fixture_inputs):
+    ev, p = fixture_inputs.events, fixture_inputs.params
+    cols = ["zone", "window_start", "active_vehicles", "trip_count"]
+    exact = sorted(tuple(r) for r in M.zone_metrics_sets(ev, p, "1 hour").select(*cols).collect())
+    approx = sorted(tuple(r) for r in M.zone_metrics_sets(ev, p, "1 hour", approx_rsd=0.01).select(*cols).collect())
+    assert exact == approx  # sketches are exact at these small cardinalities
