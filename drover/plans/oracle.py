@@ -268,6 +268,7 @@ _Q["quarantine_counts"] = "\nUNION ALL\n".join(
 _Q["zone_enrichment"] = "SELECT event_id, vehicle_id, status, epoch_us(event_ts) AS event_ts, zone, sim_day FROM ev"
 _Q["zone_metrics_1min"] = f"SELECT {ZONE_COLS} FROM ({_zone_metrics(60_000_000)})"
 _Q["zone_metrics_hourly"] = f"SELECT {ZONE_COLS} FROM ({_zone_metrics(3_600_000_000)})"
+_Q["zone_metrics_daily"] = f"SELECT {ZONE_COLS} FROM ({_zone_metrics(86_400_000_000)})"
 _Q["daily_earnings"] = f"SELECT vehicle_id, sim_day, {_r('total_fare', 'total_fare')}, trip_count FROM earnings"
 _Q["vehicle_status_latest"] = f"""
 SELECT vehicle_id, driver_id, {_r('lat', 'lat')}, {_r('lon', 'lon')}, {_r('speed', 'speed')}, status, zone,

@@ -129,6 +129,11 @@ def _zone_metrics_hourly(x: Inputs):
     return M.zone_metrics(x.events, x.params, "1 hour")
 
 
+@query("zone_metrics_daily")
+def _zone_metrics_daily(x: Inputs):
+    return M.zone_metrics(x.events, x.params, "1 day")
+
+
 @query("daily_earnings")
 def _daily_earnings(x: Inputs):
     return x.earnings

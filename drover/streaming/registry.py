@@ -119,6 +119,18 @@ def _daily_earnings_stream(x: Inputs):
         "vehicle_id", "sim_day", "total_fare", "trip_count")
 
 
+@query("daily_earnings_bounded_stream")
+def _daily_earnings_bounded_stream(x: Inputs):
+    """Running earnings with bounded state: day windows behind a two-day watermark, so
+    finished days leave the state store; equal to the unbounded form for on-time data."""
+    r = Replay(x, "earnings-bounded")
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_daily_earnings(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW,
+                                            params=x.params, bounded=True))
+    return CL.resolve(x.spark, r.sink, ["vehicle_id", "sim_day"]).select(
+        "vehicle_id", "sim_day", "total_fare", "trip_count")
+
+
 @query("vehicle_status_stream")
 def _vehicle_status_stream(x: Inputs):
     """Latest status and start of the current run, kept in keyed state."""
@@ -177,6 +189,7 @@ def stream_oracles() -> dict[str, str]:
         "zone_metrics_two_level": (f"SELECT * FROM ({O._Q['zone_metrics_1min']}) "
                                    f"WHERE window_end <= (SELECT max(epoch_us(event_ts)) FROM ev) - {wm_us}"),
         "daily_earnings_stream": O._Q["daily_earnings"],
+        "daily_earnings_bounded_stream": O._Q["daily_earnings"],
         "vehicle_status_stream": O._Q["vehicle_status_latest"],
         "dedup_events_stream": "SELECT event_id, vehicle_id, status, epoch_us(event_ts) AS event_ts, sim_day, zone FROM ev",
         "expense_landing_stream": O._Q["expense_feed"],
