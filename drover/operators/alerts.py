@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from drover import config as C
-from drover.functions import epoch_us, lit_ts, seconds_between, time_bucket
+from drover.functions import known_at, lit_ts, seconds_between, time_bucket
 from drover.operators.reconcile import target_day
 from drover.operators.status import latest_status
 from drover.schemas import ALERT_SCHEMA
@@ -20,7 +20,7 @@ def _whole_seconds(x) -> F.Column:
 
 def staleness_condition(events: DataFrame, params) -> DataFrame:
     """Critical when no event is known at ``as_of`` or the newest is older than the threshold."""
-    last = events.where(epoch_us("event_ts") <= F.lit(params.as_of_us)).agg(F.max("event_ts").alias("t"))
+    last = known_at(events, params.as_of, params).agg(F.max("event_ts").alias("t"))
     age = seconds_between(lit_ts(params.as_of), F.col("t"))
     thr = int(params.staleness_threshold_s)
     msg = (F.when(F.col("t").isNull(), F.lit("No telemetry events ingested yet"))

@@ -6,13 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from drover import config as C
-from drover.functions import epoch_us, lit_ts, seconds_between
+from drover.functions import known_at, lit_ts, newer_than, seconds_between
 from drover.operators.metrics import valid_trip
 from drover.operators.reconcile import report_counts
 
 
-def _after(ts_col: str, params, recency_s: int) -> F.Column:
-    return epoch_us(ts_col) > F.lit(params.as_of_us - int(recency_s) * 1_000_000)
+def _recent(df: DataFrame, ts_col: str, params, recency_s: int) -> DataFrame:
+    return newer_than(df, params.as_of - int(recency_s), params, ts_col)
 
 
 def clamp_days(days: int | None) -> int:
@@ -28,7 +28,7 @@ def default_report_day(params) -> int:
 
 
 def recent_vehicles(latest: DataFrame, params) -> DataFrame:
-    return latest.where(_after("updated_at", params, params.status_recency_s))
+    return _recent(latest, "updated_at", params, params.status_recency_s)
 
 
 def realtime_status(latest: DataFrame, params) -> DataFrame:
@@ -41,7 +41,7 @@ def realtime_summary(latest: DataFrame, events: DataFrame, params) -> DataFrame:
     distinct recent trips. Both inputs go through one aggregation (no join)."""
     v = recent_vehicles(latest, params).select(
         F.lit(0).alias("kind"), (F.col("status") == "idle").alias("idle"), F.lit(None).cast("string").alias("trip"))
-    t = events.where(_after("event_ts", params, params.trip_recency_s)).select(
+    t = _recent(events, "event_ts", params, params.trip_recency_s).select(
         F.lit(1).alias("kind"), F.lit(None).cast("boolean").alias("idle"), valid_trip().alias("trip"))
     u = v.unionByName(t)
     agg = u.agg(
@@ -58,7 +58,7 @@ def realtime_summary(latest: DataFrame, events: DataFrame, params) -> DataFrame:
 def realtime_zones(zone_metrics: DataFrame, params) -> DataFrame:
     """Per zone, its latest window among those ending recently, with the dashboard's
     "earning" flag (earnings > 0). ``max_by`` keeps it an aggregate (no per-zone sort)."""
-    recent = zone_metrics.where(_after("window_end", params, params.zone_recency_s))
+    recent = _recent(zone_metrics, "window_end", params, params.zone_recency_s)
     cols = [c for c in zone_metrics.columns if c != "zone"]
     latest = recent.groupBy("zone").agg(F.max_by(F.struct(*cols), F.col("window_start")).alias("w"))
     return latest.select("zone", *[F.col(f"w.{c}").alias(c) for c in cols]).withColumn(
@@ -171,7 +171,7 @@ def income_total(trend: DataFrame) -> DataFrame:
 def pipeline_health(events: DataFrame, params) -> DataFrame:
     """Last event time, telemetry lag at ``as_of``, overall status (degraded when there is
     no event or the lag exceeds the staleness threshold)."""
-    last = events.where(epoch_us("event_ts") <= F.lit(params.as_of_us)).agg(
+    last = known_at(events, params.as_of, params).agg(
         F.max("event_ts").alias("last_event_at"))
     lag = seconds_between(lit_ts(params.as_of), F.col("last_event_at"))
     degraded = F.col("last_event_at").isNull() | (lag > F.lit(float(params.staleness_threshold_s)))
@@ -184,7 +184,7 @@ def pipeline_health(events: DataFrame, params) -> DataFrame:
 def gauges(events: DataFrame, alerts: DataFrame, params) -> DataFrame:
     """Monitoring gauges in one row: telemetry lag at ``as_of`` and unresolved alerts.
     Both inputs feed one aggregation (no join)."""
-    e = events.where(epoch_us("event_ts") <= F.lit(params.as_of_us)).select(
+    e = known_at(events, params.as_of, params).select(
         F.col("event_ts").alias("t"), F.lit(None).cast("boolean").alias("open"))
     a = alerts.select(F.lit(None).cast("timestamp").alias("t"), (~F.col("resolved")).alias("open"))
     g = e.unionByName(a).agg(F.max("t").alias("last_event_at"),

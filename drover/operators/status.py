@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from drover.functions import day_start_us, epoch_us, lit_ts, seconds_between, sim_day_of
+from drover.functions import day_start_us, epoch_us, known_at, lit_ts, seconds_between, sim_day_of
 from drover.operators.sequence import with_run_id
 
 
@@ -12,7 +12,7 @@ def as_of_filter(events: DataFrame, params) -> DataFrame:
     """Events known at ``params.as_of`` (all events when it is unset)."""
     if params.as_of is None:
         return events
-    return events.where(epoch_us("event_ts") <= F.lit(params.as_of_us))
+    return known_at(events, params.as_of, params)
 
 
 def status_spells(events: DataFrame, params) -> DataFrame:
