@@ -17,7 +17,7 @@ Every method returns DataFrames (nothing is collected); times are explicit ``as_
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drover.config import Params
 from drover.operators import alerts as A
@@ -49,23 +49,46 @@ class FleetStore:
         return CL.resolve(self.spark, self.path("zone_metrics"), ["zone", "window_start"])
 
     def latest_status(self, as_of: float | None = None) -> DataFrame:
-        """Exact latest status from the raw log (the streamed changelog is the live view)."""
+        """Exact latest status as of a time, recomputed from the raw log (history queries)."""
         return S.latest_status(self.events(), self._at(as_of))
 
+    def live_status(self) -> DataFrame:
+        """Latest status per vehicle as maintained by the status stream (one row per vehicle;
+        reads the small changelog, not the raw log)."""
+        s = CL.resolve(self.spark, self.path("vehicle_status"), ["vehicle_id"])
+        return s.select("vehicle_id", "driver_id", "lat", "lon", "speed", "status", "zone", "last_fare", "sim_day",
+                        F.timestamp_micros("status_since_us").alias("status_since"),
+                        F.timestamp_micros("updated_at_us").alias("updated_at"))
+
+    def last_events(self) -> DataFrame:
+        """Newest event time per stream micro-batch, from the heartbeats (a few rows per
+        minute): what the staleness rule and the health check need, without a scan of the
+        raw log."""
+        hb = CL.read_log(self.spark, self.path("heartbeats"))
+        return hb.where(F.col("component") == "stream-processor").select(F.col("last_event_at").alias("event_ts"))
+
+    def recent_zone_metrics(self, since: float) -> DataFrame:
+        """Zone windows ending after ``since``, resolved from the changelog; the time
+        predicate is applied before resolving and reaches the Parquet reader."""
+        return CL.resolve(self.spark, self.path("zone_metrics"), ["zone", "window_start"],
+                          where=F.col("window_end") > F.timestamp_micros(F.lit(int(since * 1_000_000))))
+
     def report(self) -> DataFrame:
         return self.spark.read.parquet(self.path("report"))
 
     # ---------------------------------------------------------------- endpoints
     def health(self, as_of: float | None = None) -> dict[str, DataFrame]:
-        return {"pipeline": SV.pipeline_health(self.events(), self._at(as_of)),
+        return {"pipeline": SV.pipeline_health(self.last_events(), self._at(as_of)),
                 "components": CL.component_health(self.spark, self.path("heartbeats"))}
 
     def realtime(self, as_of: float | None = None) -> dict[str, DataFrame]:
+        """Live state: status from the status stream, trips from the last
+        ``trip_recency_s`` of the raw log (day partitions pruned), latest zone windows."""
         p = self._at(as_of)
-        latest = self.latest_status(as_of)
+        latest = self.live_status()
         return {"summary": SV.realtime_summary(latest, self.events(), p),
                 "status": SV.realtime_status(latest, p),
-                "zones": SV.realtime_zones(self.zone_metrics(), p)}
+                "zones": SV.realtime_zones(self.recent_zone_metrics(p.as_of - p.zone_recency_s), p)}
 
     def daily_report(self, day: int, show_profitable: bool = True, show_unprofitable: bool = True) -> DataFrame:
         return SV.daily_report(self.report(), day, show_profitable, show_unprofitable)
@@ -77,7 +100,7 @@ class FleetStore:
         return SV.profitability_summary(self.report())
 
     def vehicles(self) -> DataFrame:
-        return SV.vehicles(self.latest_status())
+        return SV.vehicles(self.live_status())
 
     def income_trend(self, vehicle_id: str | None = None, days: int | None = None,
                      by_month: bool = False) -> DataFrame:
@@ -92,7 +115,6 @@ class FleetStore:
     # ---------------------------------------------------------------- batch jobs
     def load_expenses(self, landing_path: str, days=None) -> None:
         """Load landed expense files (all, or the given days) into the expenses table."""
-        from pyspark.sql import functions as F
         feed = read_expense_feed(self.spark, landing_path)
         if days is not None:
             feed = feed.where(F.col("sim_day").isin([int(d) for d in ([days] if isinstance(days, int) else days)]))
@@ -102,10 +124,18 @@ class FleetStore:
         R.reconcile(self.spark, self.path("expenses"), self.earnings(), self.path("report"), days,
                     heartbeat_path=self.path("heartbeats"))
 
-    def evaluate_alerts(self, as_of: float | None = None) -> DataFrame:
-        """One watchdog + batch-health round at ``as_of`` against the alert store."""
+    def evaluate_alerts(self, as_of: float | None = None, live: bool = True) -> DataFrame:
+        """One watchdog + batch-health round at ``as_of`` against the alert store.
+
+        ``live=True`` (a running pipeline): staleness from the heartbeats, idle vehicles from
+        the status stream. ``live=False`` (replaying history): both recomputed from the raw
+        log as of ``as_of``.
+        """
         p = self._at(as_of)
-        firing = A.alert_conditions(self.events(), self.report(), p)
+        if live:
+            firing = A.alert_conditions(self.last_events(), self.report(), p, latest=self.live_status())
+        else:
+            firing = A.alert_conditions(self.events(), self.report(), p)
         out = A.evaluate_alerts(self.spark, self.path("alerts"), firing, p)
         CL.record_heartbeat(self.spark, self.path("heartbeats"), "watchdog")
         return out

@@ -35,10 +35,14 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def resolve(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+def resolve(spark: SparkSession, path: str, keys: list[str], where=None) -> DataFrame:
     """Newest version of every key: greatest (run, batch_id). An aggregate, so it combines
-    map-side and a busy key costs one row per task."""
+    map-side and a busy key costs one row per task. ``where`` (a Column on the logged
+    columns) is applied before resolving, so it reaches the Parquet reader; it must only
+    depend on the key (e.g. a window start), or older versions could win."""
     log = read_log(spark, path)
+    if where is not None:
+        log = log.where(where)
     vals = [c for c in log.columns if c not in keys and c not in ("run", "batch_id")]
     latest = log.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.struct("run", "batch_id")).alias("v"))
     return latest.select(*keys, *[F.col(f"v.{c}").alias(c) for c in vals])
