@@ -187,10 +187,12 @@ cond{suffix} AS (
 
 
 PREV_US = AS_OF_US - 86400 * 1_000_000
+# last microsecond before the final watermark of a replay (newest event in ms - 2 minutes)
+WM_LAST_US = "(((SELECT max(epoch_us(event_ts)) FROM ev) // 1000 - 120000) * 1000 - 1)"
 
 BASE = ("WITH " + ",".join([RAW, CLEAN, EV, EXPENSES, EARNINGS, _report("report", "expenses"),
                             _report("report_fixed", "expenses_fixed"),
-                            _spells("", AS_OF_US), _spells("0", PREV_US),
+                            _spells("", AS_OF_US), _spells("0", PREV_US), _spells("w", WM_LAST_US),
                             _conditions("", AS_OF_US), _conditions("0", PREV_US)]) + """,
 alerts AS (
   SELECT o.alert_type, o.severity, o.entity_id, o.message, """ + str(PREV_US) + """ AS created_at,

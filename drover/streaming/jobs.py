@@ -121,8 +121,10 @@ def start_daily_earnings(events: DataFrame, sink_path: str, checkpoint: str, run
 
 
 def start_vehicle_status(events: DataFrame, sink_path: str, checkpoint: str, run_id: int,
-                         trigger: dict | None = None):
-    return _start(latest_status_stream(events), CL.changelog_sink(sink_path, run_id), checkpoint,
+                         trigger: dict | None = None, ordered_within: str | None = None):
+    """Latest status per vehicle in keyed state; ``ordered_within`` (a watermark delay)
+    trades latency for exact event-time order (see ``latest_status_stream``)."""
+    return _start(latest_status_stream(events, ordered_within), CL.changelog_sink(sink_path, run_id), checkpoint,
                   "update", trigger or {"processingTime": "5 seconds"}, "vehicle_status")
 
 

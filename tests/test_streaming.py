@@ -180,3 +180,27 @@ def test_approx_distinct_zone_metrics(fixture_inputs):
     exact = sorted(tuple(r) for r in M.zone_metrics_sets(ev, p, "1 hour").select(*cols).collect())
     approx = sorted(tuple(r) for r in M.zone_metrics_sets(ev, p, "1 hour", approx_rsd=0.01).select(*cols).collect())
     assert exact == approx  # sketches are exact at these small cardinalities
+
+
+def test_ordered_status_places_out_of_order_events(spark, tmp_path):
+    files = [
+        [_msg(1, "A", 0, status="idle"), _msg(2, "A", 100, status="idle")],
+        [_msg(3, "A", 50, status="on_trip")],               # 50 s out of order, inside 2 min
+        [_msg(4, "A", 400, status="idle")],                  # watermark -> 280: applies 0, 50, 100
+        [_msg(5, "A", 1000, status="enroute")],              # watermark -> 880: applies 400
+    ]
+    land = str(tmp_path / "land")
+    _stage(land, files)
+
+    def run(name, ordered):
+        ev = J.file_event_stream(spark, land, P, max_files_per_trigger=1)
+        out = str(tmp_path / name)
+        J.run_to_end(J.start_vehicle_status(ev, out, str(tmp_path / (name + "c")), 1, {"availableNow": True},
+                                            ordered_within=ordered))
+        r = CL.resolve(spark, out, ["vehicle_id"]).collect()[0]
+        return r.status, (r.status_since_us // 1_000_000) - T0, (r.updated_at_us // 1_000_000) - T0
+
+    # exact: runs idle@0, on_trip@50, idle@100..400; the event at 1000 is still behind the watermark
+    assert run("ordered", "2 minutes") == ("idle", 100, 400)
+    # immediate mode ignores the older event: idle since 0, and shows the newest event
+    assert run("immediate", None) == ("enroute", 1000, 1000)
