@@ -15,14 +15,29 @@ from pyspark.sql import DataFrame, functions as F
 from drover.session import local_path
 
 
-def stage_in_order(df: DataFrame, path: str, order_col: str, n_files: int) -> int:
+def stage_in_order(df: DataFrame, path: str, order_col: str, n_files: int,
+                   sequential: bool | None = None) -> int:
     """Write ``df`` as ``n_files`` Parquet files holding consecutive ranges of ``order_col``.
-    Returns the number of data files."""
-    (df.repartitionByRange(int(n_files), F.col(order_col)).sortWithinPartitions(order_col)
-     .write.mode("overwrite").parquet(path))
+    Returns the number of data files (-1 when unknown).
+
+    On a local filesystem the files are written by one job and then given increasing
+    modification times. Elsewhere (HDFS, object stores) the ranges are written one after
+    another into the same folder, so each file is newer than the previous range's
+    (``sequential`` forces either route)."""
     lp = local_path(path)
-    if lp is None:
+    if sequential or (sequential is None and lp is None):
+        bounds = df.approxQuantile(order_col, [i / n_files for i in range(1, n_files)], 0.001)
+        edges = [None] + sorted(set(bounds)) + [None]
+        for lo, hi in zip(edges, edges[1:]):
+            part = df
+            if lo is not None:
+                part = part.where(F.col(order_col) > F.lit(lo))
+            if hi is not None:
+                part = part.where(F.col(order_col) <= F.lit(hi))
+            part.coalesce(1).sortWithinPartitions(order_col).write.mode("append").parquet(path)
         return -1
+    (df.repartitionByRange(int(n_files), F.col(order_col)).sortWithinPartitions(order_col)
+     .write.mode("overwrite").parquet(path))
     files = sorted(glob.glob(os.path.join(lp, "part-*.parquet")))
     base = os.path.getmtime(files[0]) - 10 * len(files) if files else 0
     for i, f in enumerate(files):

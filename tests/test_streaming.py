@@ -204,3 +204,15 @@ def test_ordered_status_places_out_of_order_events(spark, tmp_path):
     assert run("ordered", "2 minutes") == ("idle", 100, 400)
     # immediate mode ignores the older event: idle since 0, and shows the newest event
     assert run("immediate", None) == ("enroute", 1000, 1000)
+
+
+def test_sequential_staging_for_non_local_paths(spark, fixture_inputs, tmp_path):
+    from drover.sources.telemetry import to_wire
+    from drover.streaming.staging import stage_in_order
+    path = str(tmp_path / "staged")
+    stage_in_order(to_wire(fixture_inputs.raw, keep=("event_id",)), path, "event_id", 4, sequential=True)
+    import glob
+    files = sorted(glob.glob(str(tmp_path / "staged" / "*.parquet")), key=os.path.getmtime)
+    ranges = [spark.read.parquet(f).agg(F.min("event_id"), F.max("event_id")).first() for f in files]
+    assert len(files) == 4 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert spark.read.parquet(path).count() == fixture_inputs.raw.count()
