@@ -94,3 +94,34 @@ def test_fixture_report_totals(fixture_inputs):
         F.round(F.sum("maintenance_cost"), 2).alias("maint")).collect()[0]
     assert (agg.n, agg.p, agg.nullkm) == (430, 123, 56)
     assert (agg.net, agg.fuel, agg.maint) == (3551.28, 4693.40, 1272.61)
+
+
+def test_closed_days_and_target(spark):
+    from drover.config import Params
+    p = Params(start_epoch=0.0, day_seconds=100, as_of=350.0)  # current day 3
+    assert R.target_day(p) == 2 and R.target_day(p.replace(as_of=50.0)) is None
+    earn = spark.createDataFrame([("A", d, 1.0, 1) for d in (-1, 0, 1, 2, 3)], EARNINGS_SCHEMA)
+    exp = spark.createDataFrame([("A", d, 0.0, 0.0, 1.0, False) for d in (0, 2)], EXPENSES_SCHEMA)
+    report = R.profitability(exp.where("sim_day = 0"), earn)
+    got = {r.sim_day: (r.has_expenses, r.reconciled, r.is_target) for r in R.closed_days(earn, exp, report, p).collect()}
+    # day -1 is before the start, day 3 is still open
+    assert got == {0: (True, True, False), 1: (False, False, False), 2: (True, False, True)}
+
+
+def test_distance_only_for_moving_steps_within_a_day(spark):
+    from pyspark.sql import functions as F
+    from drover.config import Params
+    from drover.operators.activity import day_distance, vehicle_day_activity
+    p = Params(start_epoch=0.0, day_seconds=100, bucket_seconds=7)
+    rows = [("A", 0, 1, "idle", 0.0, 0.0), ("A", 10, 2, "on_trip", 0.0, 0.01),   # 0.01 deg moving
+            ("A", 20, 3, "idle", 0.0, 0.02),                                      # idle step: not counted
+            ("A", 30, 4, "enroute", 0.03, 0.02),                                   # 0.03 deg moving
+            ("A", 120, 5, "on_trip", 1.0, 1.0)]                                    # first of day 1: no previous
+    ev = spark.createDataFrame(rows, "vehicle_id string, t long, event_id long, status string, lat double, lon double") \
+        .withColumn("event_ts", F.timestamp_seconds("t")).withColumn("sim_day", (F.col("t") / 100).cast("int"))
+    d = {(r.vehicle_id, r.sim_day): r.distance_km for r in day_distance(ev, p).collect()}
+    assert list(d) == [("A", 0)] and abs(d[("A", 0)] - 0.04 * 111.0) < 1e-9
+    earn = spark.createDataFrame([("A", 1, 2.0, 1), ("B", 0, 0.0, 0)], EARNINGS_SCHEMA)
+    act = {(r.vehicle_id, r.sim_day): (r.trip_count, round(r.distance_km, 6))
+           for r in vehicle_day_activity(earn, day_distance(ev, p)).collect()}
+    assert act == {("A", 0): (0, 4.44), ("A", 1): (1, 0.0), ("B", 0): (0, 0.0)}
