@@ -124,6 +124,11 @@ class FleetStore:
         R.reconcile(self.spark, self.path("expenses"), self.earnings(), self.path("report"), days,
                     heartbeat_path=self.path("heartbeats"))
 
+    def catch_up(self, as_of: float | None = None) -> None:
+        """Reconcile every closed day with expenses and no report yet, together."""
+        R.reconcile_pending(self.spark, self.path("expenses"), self.earnings(), self.path("report"),
+                            self._at(as_of), heartbeat_path=self.path("heartbeats"))
+
     def evaluate_alerts(self, as_of: float | None = None, live: bool = True) -> DataFrame:
         """One watchdog + batch-health round at ``as_of`` against the alert store.
 

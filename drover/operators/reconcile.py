@@ -88,6 +88,25 @@ def closed_days(earnings: DataFrame, expenses: DataFrame, report: DataFrame, par
         (F.col("sim_day") == F.lit(cur - 1)).alias("is_target"))
 
 
+def reconcile_pending(spark: SparkSession, expenses_path: str, earnings: DataFrame, report_path: str,
+                      params, heartbeat_path: str | None = None) -> None:
+    """Reconcile, in one job, every closed day that has expenses but no report yet (days
+    the daily schedule missed). The pending days stay a DataFrame: expenses are restricted
+    to them by a semi-join and dynamic overwrite replaces exactly those partitions."""
+    expenses = spark.read.parquet(expenses_path)
+    try:
+        report = spark.read.parquet(report_path)
+    except Exception:  # noqa: BLE001  (no report yet)
+        report = spark.createDataFrame([], "sim_day int")
+    pending = (closed_days(earnings, expenses, report, params)
+               .where(F.col("has_expenses") & ~F.col("reconciled")).select("sim_day"))
+    todo = expenses.join(pending, "sim_day", "left_semi")
+    upsert_days(profitability(todo, earnings.join(pending, "sim_day", "left_semi")), report_path)
+    if heartbeat_path:
+        from drover.streaming.changelog import record_heartbeat
+        record_heartbeat(spark, heartbeat_path, "reconciliation")
+
+
 def report_counts(report: DataFrame) -> DataFrame:
     """Vehicles and unprofitable vehicles per reported day."""
     return report.groupBy("sim_day").agg(

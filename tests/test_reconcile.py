@@ -125,3 +125,19 @@ def test_distance_only_for_moving_steps_within_a_day(spark):
     act = {(r.vehicle_id, r.sim_day): (r.trip_count, round(r.distance_km, 6))
            for r in vehicle_day_activity(earn, day_distance(ev, p)).collect()}
     assert act == {("A", 0): (0, 4.44), ("A", 1): (1, 0.0), ("B", 0): (0, 0.0)}
+
+
+def test_reconcile_pending_days_together(spark, tmp_path):
+    from drover.config import Params
+    p = Params(start_epoch=0.0, day_seconds=100, as_of=350.0)  # days 0..2 closed, 3 open
+    exp_path, rep_path = str(tmp_path / "exp"), str(tmp_path / "rep")
+    exp = spark.createDataFrame([("A", d, 1.0, 1.0, 1.0, False) for d in (0, 1, 2, 3)], EXPENSES_SCHEMA)
+    earn = spark.createDataFrame([("A", d, 5.0, 1) for d in (0, 1, 2, 3)], EARNINGS_SCHEMA)
+    R.upsert_days(exp, exp_path)
+    R.reconcile(spark, exp_path, earn, rep_path, days=[0])
+    before = {r.sim_day: r.net_profit for r in spark.read.parquet(rep_path).collect()}
+    R.reconcile_pending(spark, exp_path, earn, rep_path, p)
+    after = {r.sim_day: r.net_profit for r in spark.read.parquet(rep_path).collect()}
+    assert before == {0: 3.0} and after == {0: 3.0, 1: 3.0, 2: 3.0}   # day 3 is not closed yet
+    R.reconcile_pending(spark, exp_path, earn, rep_path, p)              # nothing left: no change
+    assert spark.read.parquet(rep_path).count() == 3
