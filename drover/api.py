@@ -39,14 +39,28 @@ class FleetStore:
         return self.params if as_of is None else self.params.replace(as_of=as_of)
 
     # ---------------------------------------------------------------- stored state
+    CHANGELOGS = {"daily_earnings": ["vehicle_id", "sim_day"], "zone_metrics": ["zone", "window_start"],
+                  "vehicle_status": ["vehicle_id"]}
+
+    def _resolve(self, name: str, where=None) -> DataFrame:
+        """Newest row per key of a changelog: the newest snapshot (if compacted) plus the
+        log batches after it."""
+        return CL.resolve_compacted(self.spark, self.path(name), self.CHANGELOGS[name],
+                                    self.path(f"snapshots/{name}"), where)
+
+    def compact(self) -> None:
+        """Fold every changelog into a new snapshot (older log batches can then be archived)."""
+        for name, keys in self.CHANGELOGS.items():
+            CL.compact(self.spark, self.path(name), keys, self.path(f"snapshots/{name}"))
+
     def events(self) -> DataFrame:
         return CL.read_log(self.spark, self.path("raw_log")).drop("run", "batch_id")
 
     def earnings(self) -> DataFrame:
-        return CL.resolve(self.spark, self.path("daily_earnings"), ["vehicle_id", "sim_day"])
+        return self._resolve("daily_earnings")
 
     def zone_metrics(self) -> DataFrame:
-        return CL.resolve(self.spark, self.path("zone_metrics"), ["zone", "window_start"])
+        return self._resolve("zone_metrics")
 
     def latest_status(self, as_of: float | None = None) -> DataFrame:
         """Exact latest status as of a time, recomputed from the raw log (history queries)."""
@@ -55,7 +69,7 @@ class FleetStore:
     def live_status(self) -> DataFrame:
         """Latest status per vehicle as maintained by the status stream (one row per vehicle;
         reads the small changelog, not the raw log)."""
-        s = CL.resolve(self.spark, self.path("vehicle_status"), ["vehicle_id"])
+        s = self._resolve("vehicle_status")
         return s.select("vehicle_id", "driver_id", "lat", "lon", "speed", "status", "zone", "last_fare", "sim_day",
                         F.timestamp_micros("status_since_us").alias("status_since"),
                         F.timestamp_micros("updated_at_us").alias("updated_at"))
@@ -70,8 +84,8 @@ class FleetStore:
     def recent_zone_metrics(self, since: float) -> DataFrame:
         """Zone windows ending after ``since``, resolved from the changelog; the time
         predicate is applied before resolving and reaches the Parquet reader."""
-        return CL.resolve(self.spark, self.path("zone_metrics"), ["zone", "window_start"],
-                          where=F.col("window_end") > F.timestamp_micros(F.lit(int(since * 1_000_000))))
+        return self._resolve("zone_metrics",
+                             where=F.col("window_end") > F.timestamp_micros(F.lit(int(since * 1_000_000))))
 
     def report(self) -> DataFrame:
         return self.spark.read.parquet(self.path("report"))

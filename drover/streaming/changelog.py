@@ -48,9 +48,70 @@ def resolve(spark: SparkSession, path: str, keys: list[str], where=None) -> Data
     return latest.select(*keys, *[F.col(f"v.{c}").alias(c) for c in vals])
 
 
-def compact(spark: SparkSession, path: str, keys: list[str], out_path: str) -> None:
-    """Write the resolved state as a snapshot at a new location (published by the caller)."""
-    resolve(spark, path, keys).write.mode("overwrite").parquet(out_path)
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def latest_snapshot(spark: SparkSession, snapshot_root: str) -> tuple[str, int, int] | None:
+    """(path, run, batch_id) of the newest complete snapshot (one with ``_SUCCESS``)."""
+    jvm, root, fs = _fs(spark, snapshot_root)
+    if not fs.exists(root):
+        return None
+    best = None
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith("upto-")):
+            continue
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            continue  # still being written, or failed
+        run, batch = (int(v) for v in name[len("upto-"):].split("-"))
+        if best is None or (run, batch) > best[1:]:
+            best = (f"{snapshot_root.rstrip('/')}/{name}", run, batch)
+    return best
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], snapshot_root: str) -> str | None:
+    """Fold the changelog into a snapshot of the newest row per key, published under
+    ``snapshot_root/upto-<run>-<batch_id>`` (the log's high-water mark). Readers use the
+    newest complete snapshot plus later log batches (:func:`resolve_compacted`), so the
+    batches folded in can be archived. Returns the snapshot path (None for an empty log)."""
+    log = read_log(spark, path)
+    hw = log.agg(F.max(F.struct("run", "batch_id")).alias("hw")).first().hw  # one row
+    if hw is None:
+        return None
+    bounded = log.where(F.struct("run", "batch_id") <= F.struct(F.lit(hw.run), F.lit(hw.batch_id)))
+    out = f"{snapshot_root.rstrip('/')}/upto-{hw.run}-{hw.batch_id}"
+    prev = latest_snapshot(spark, snapshot_root)
+    if prev is not None:
+        bounded = spark.read.parquet(prev[0]).unionByName(
+            bounded.where(F.struct("run", "batch_id") > F.struct(F.lit(prev[1]), F.lit(prev[2]))))
+    _newest(bounded, keys, keep_version=True).write.mode("overwrite").parquet(out)
+    return out
+
+
+def _newest(log: DataFrame, keys: list[str], keep_version: bool = False) -> DataFrame:
+    vals = [c for c in log.columns if c not in keys and c not in ("run", "batch_id")]
+    order = F.struct("run", "batch_id")
+    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*vals, "run", "batch_id"), order).alias("v"))
+    cols = vals + (["run", "batch_id"] if keep_version else [])
+    return latest.select(*keys, *[F.col(f"v.{c}").alias(c) for c in cols])
+
+
+def resolve_compacted(spark: SparkSession, path: str, keys: list[str], snapshot_root: str,
+                      where=None) -> DataFrame:
+    """Same result as :func:`resolve`, reading the newest snapshot and only the log batches
+    after its high-water mark (pruned on the ``run`` / ``batch_id`` partition columns).
+    ``where`` as in :func:`resolve`."""
+    snap = latest_snapshot(spark, snapshot_root)
+    if snap is None:
+        return resolve(spark, path, keys, where)
+    _, run, batch = snap
+    newer = read_log(spark, path).where(
+        (F.col("run") > F.lit(run)) | ((F.col("run") == F.lit(run)) & (F.col("batch_id") > F.lit(batch))))
+    both = spark.read.parquet(snap[0]).unionByName(newer)
+    return _newest(both if where is None else both.where(where), keys)
 
 
 def record_heartbeat(spark: SparkSession, path: str, component: str, last_event_at=None,

@@ -27,6 +27,9 @@ def test_api_end_to_end(spark, tmp_path):
                                  triggers=once).values():
         J.run_to_end(q)
     store = FleetStore(spark, root, x.params)
+    before = _rows(store.earnings())
+    store.compact()  # reads now go through the snapshots
+    assert _rows(store.earnings()) == before
     exp_land = str(tmp_path / "expenses_landing")
     write_landing(x.expenses, exp_land)
     store.load_expenses(exp_land)

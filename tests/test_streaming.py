@@ -108,10 +108,17 @@ def test_rebuild_earnings_and_compaction(spark, fixture_inputs, tmp_path):
     e = fixture_inputs.earnings
     CL.write_batch(e, log, 1, 0)
     CL.write_batch(e.withColumn("total_fare", F.col("total_fare") * 2), log, 1, 1)
-    CL.compact(spark, log, ["vehicle_id", "sim_day"], str(tmp_path / "snap"))
-    snap = spark.read.parquet(str(tmp_path / "snap"))
-    assert snap.count() == e.count()
-    assert snap.subtract(CL.resolve(spark, log, ["vehicle_id", "sim_day"])).count() == 0
+    keys = ["vehicle_id", "sim_day"]
+    snap_root = str(tmp_path / "snap")
+    out = CL.compact(spark, log, keys, snap_root)
+    assert out.endswith("upto-1-1") and spark.read.parquet(out).count() == e.count()
+    # more batches after the snapshot, then a second compaction on top of the first
+    CL.write_batch(e.where("sim_day = 3").withColumn("total_fare", F.lit(-1.0)), log, 2, 0)
+    full = sorted(tuple(r) for r in CL.resolve(spark, log, keys).collect())
+    assert sorted(tuple(r) for r in CL.resolve_compacted(spark, log, keys, snap_root).collect()) == full
+    CL.compact(spark, log, keys, snap_root)
+    assert CL.latest_snapshot(spark, snap_root)[1:] == (2, 0)
+    assert sorted(tuple(r) for r in CL.resolve_compacted(spark, log, keys, snap_root).collect()) == full
 
 
 def test_heartbeats(spark, tmp_path):
