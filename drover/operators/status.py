@@ -15,29 +15,39 @@ def as_of_filter(events: DataFrame, params) -> DataFrame:
     return known_at(events, params.as_of, params)
 
 
-def status_spells(events: DataFrame, params) -> DataFrame:
+def status_spells(events: DataFrame, params, carry: list[str] | None = None) -> DataFrame:
     """Runs of equal status per vehicle in event-time order.
 
     ``spell_end`` is the start of the next run, or ``as_of`` for the current one
     (``is_current``); ``duration_s`` = end - start. One aggregation builds each run: the
     first event of run r+1 also contributes its time to run r as that run's end, so no
-    join of runs with their successors is needed.
+    join of runs with their successors is needed. ``carry`` names event columns whose
+    values at the run's last event are kept (struct column ``last``).
     """
-    ev = as_of_filter(events, params).select("vehicle_id", "status", "event_ts", "event_id")
+    carry = carry or []
+    ev = as_of_filter(events, params).select(
+        "vehicle_id", "status", "event_ts", "event_id", *[c for c in carry if c not in ("status", "event_ts")])
     runs = with_run_id(ev, ["vehicle_id"], "event_ts", "event_id", "status", params.bucket_seconds,
                        "run_id", start_flag="__start")
+    payload = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("string")
+    payload_type = runs.select(payload.alias("p")).schema["p"].dataType  # analysis only
     own = F.struct(F.col("run_id").alias("run_id"), F.col("status").alias("status"),
-                   F.col("event_ts").alias("ts"), F.lit(None).cast("timestamp").alias("next_start"))
+                   F.col("event_ts").alias("ts"), F.col("event_id").alias("event_id"),
+                   F.lit(None).cast("timestamp").alias("next_start"), payload.alias("payload"))
     ends = F.struct((F.col("run_id") - 1).alias("run_id"), F.lit(None).cast("string").alias("status"),
-                    F.lit(None).cast("timestamp").alias("ts"), F.col("event_ts").alias("next_start"))
+                    F.lit(None).cast("timestamp").alias("ts"), F.lit(None).cast("long").alias("event_id"),
+                    F.col("event_ts").alias("next_start"), F.lit(None).cast(payload_type).alias("payload"))
     rows = runs.select("vehicle_id", F.inline(F.filter(
         F.array(own, F.when(F.col("__start") & (F.col("run_id") > 1), ends)), lambda s: s.isNotNull())))
-    spells = rows.groupBy("vehicle_id", "run_id").agg(
-        F.min("status").alias("status"),
-        F.min("ts").alias("spell_start"),
-        F.max("ts").alias("last_event_ts"),
-        F.count("ts").alias("n_events"),
-        F.min("next_start").alias("__next_start"))
+    aggs = [F.min("status").alias("status"),
+            F.min("ts").alias("spell_start"),
+            F.max("ts").alias("last_event_ts"),
+            F.count("ts").alias("n_events"),
+            F.min("next_start").alias("__next_start")]
+    if carry:
+        order = F.when(F.col("ts").isNotNull(), F.struct("ts", "event_id"))
+        aggs.append(F.max_by("payload", order).alias("last"))
+    spells = rows.groupBy("vehicle_id", "run_id").agg(*aggs)
     end = F.col("__next_start")
     if params.as_of is not None:
         end = F.coalesce(end, lit_ts(params.as_of))
@@ -45,25 +55,23 @@ def status_spells(events: DataFrame, params) -> DataFrame:
         "vehicle_id", "run_id", "status", "spell_start", end.alias("spell_end"),
         "last_event_ts", "n_events",
         F.col("__next_start").isNull().alias("is_current"),
-        seconds_between(end, F.col("spell_start")).alias("duration_s"))
+        seconds_between(end, F.col("spell_start")).alias("duration_s"),
+        *(["last"] if carry else []))
 
 
 def latest_status(events: DataFrame, params) -> DataFrame:
     """One row per vehicle: its latest event (greatest (event_ts, event_id)), and
-    ``status_since`` = start of its current run of equal status.
+    ``status_since`` = start of its current run of equal status. Both come from the
+    current run of :func:`status_spells` (one pass over the events).
 
     Late events never regress the status: order is event time, not arrival.
     """
-    ev = as_of_filter(events, params)
-    fields = ["driver_id", "lat", "lon", "speed", "status", "zone", "fare", "sim_day", "event_ts"]
-    latest = ev.groupBy("vehicle_id").agg(
-        F.max_by(F.struct(*fields), F.struct("event_ts", "event_id")).alias("l"))
-    since = (status_spells(events, params).where("is_current")
-             .select("vehicle_id", F.col("spell_start").alias("status_since")))
-    return latest.join(since, "vehicle_id", "left").select(
-        "vehicle_id", "l.driver_id", "l.lat", "l.lon", "l.speed", "l.status", "l.zone",
-        F.col("l.fare").alias("last_fare"), "l.sim_day", "status_since",
-        F.col("l.event_ts").alias("updated_at"))
+    fields = ["driver_id", "lat", "lon", "speed", "zone", "fare", "sim_day", "event_ts"]
+    cur = status_spells(events, params, carry=fields).where("is_current")
+    return cur.select(
+        "vehicle_id", "last.driver_id", "last.lat", "last.lon", "last.speed", "status", "last.zone",
+        F.col("last.fare").alias("last_fare"), "last.sim_day", F.col("spell_start").alias("status_since"),
+        F.col("last.event_ts").alias("updated_at"))
 
 
 def idle_spells(spells: DataFrame, threshold_s: float) -> DataFrame:
