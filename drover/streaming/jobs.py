@@ -128,11 +128,26 @@ def start_vehicle_status(events: DataFrame, sink_path: str, checkpoint: str, run
                   "update", trigger or {"processingTime": "5 seconds"}, "vehicle_status")
 
 
+def dedup_stream(events: DataFrame, params, spread: int | None = None) -> DataFrame:
+    """Drop re-delivered events: same (vehicle_id, event_ts) within the watermark delay.
+
+    Streaming deduplication has no map-side stage, so all copies of a key meet in one
+    task. ``spread`` adds a first stage keyed by (key, seeded random salt): copies of a hot
+    key are first thinned out over ``spread`` tasks, and the second stage sees at most
+    ``spread`` survivors per key. The result is the same set of events.
+    """
+    keys = ["vehicle_id", "event_ts"]
+    d = events.withWatermark("event_ts", params.watermark)
+    if spread and spread > 1:
+        d = (d.withColumn("__salt", (F.rand(17) * F.lit(int(spread))).cast("int"))
+             .dropDuplicatesWithinWatermark([*keys, "__salt"]).drop("__salt"))
+    return d.dropDuplicatesWithinWatermark(keys)
+
+
 def start_dedup(events: DataFrame, params, sink_path: str, checkpoint: str, run_id: int,
-                trigger: dict | None = None):
-    """Drop re-delivered events: same (vehicle_id, event_ts) within the watermark delay."""
-    d = events.withWatermark("event_ts", params.watermark).dropDuplicatesWithinWatermark(
-        ["vehicle_id", "event_ts"])
+                trigger: dict | None = None, spread: int | None = None):
+    """Deduplicated events appended to a day-partitioned log (see :func:`dedup_stream`)."""
+    d = dedup_stream(events, params, spread)
     return _start(d, CL.changelog_sink(sink_path, run_id, partition_by=("sim_day",)), checkpoint,
                   "append", trigger or {"processingTime": "5 seconds"}, "dedup_events")
 

@@ -159,10 +159,11 @@ def _vehicle_status_ordered_stream(x: Inputs):
 
 @query("dedup_events_stream")
 def _dedup_events_stream(x: Inputs):
-    """Re-delivered messages removed within the watermark."""
+    """Re-delivered messages removed within the watermark (two-stage, copies spread over
+    4 tasks first)."""
     r = Replay(x, "dedup", redeliver_every=50)
     with _replay_partitions(x.spark):
-        J.run_to_end(J.start_dedup(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+        J.run_to_end(J.start_dedup(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW, spread=4))
     log = CL.read_log(x.spark, r.sink)
     return log.select("event_id", "vehicle_id", "status", "event_ts", F.col("sim_day").cast("int").alias("sim_day"),
                       "zone")

@@ -223,3 +223,17 @@ def test_sequential_staging_for_non_local_paths(spark, fixture_inputs, tmp_path)
     ranges = [spark.read.parquet(f).agg(F.min("event_id"), F.max("event_id")).first() for f in files]
     assert len(files) == 4 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
     assert spark.read.parquet(path).count() == fixture_inputs.raw.count()
+
+
+def test_two_stage_dedup_with_hot_copies(spark, tmp_path):
+    # one message delivered 40 times, others once or twice
+    files = [[_msg(1, "A", 0)] * 20 + [_msg(2, "B", 5), _msg(3, "B", 6)],
+             [_msg(1, "A", 0)] * 20 + [_msg(3, "B", 6), _msg(4, "A", 30)]]
+    land = str(tmp_path / "land")
+    _stage(land, files)
+    for spread in (None, 8):
+        ev = J.file_event_stream(spark, land, P, max_files_per_trigger=1)
+        out = str(tmp_path / f"d{spread}")
+        J.run_to_end(J.start_dedup(ev, P, out, str(tmp_path / f"c{spread}"), 1, {"availableNow": True},
+                                   spread=spread))
+        assert sorted(r.event_id for r in CL.read_log(spark, out).collect()) == [1, 2, 3, 4]
