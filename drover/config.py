@@ -35,12 +35,20 @@ LAT_RANGE = (-90.0, 90.0)
 LON_RANGE = (-180.0, 180.0)
 SPEED_RANGE = (0.0, 200.0)
 FARE_RANGE = (0.0, 1000.0)
-# Alert vocabulary.
+# Alert vocabulary: types, severities, the staleness entity and the message formats
+# ({name} marks a value filled in per alert).
 ALERT_STALENESS = "pipeline_staleness"
 ALERT_IDLE = "vehicle_idle"
 ALERT_REPORT_MISSING = "reconciliation_missing"
 ALERT_PROFITABILITY = "fleet_profitability"
+SEVERITY_CRITICAL = "critical"
+SEVERITY_WARNING = "warning"
 STALENESS_ENTITY = "telemetry"
+MSG_NO_EVENTS = "No telemetry events ingested yet"
+MSG_STALE = "No telemetry ingested in {age}s (threshold {threshold}s)"
+MSG_IDLE = "{vehicle} has been idle for {seconds}s (threshold {threshold}s)"
+MSG_REPORT_MISSING = "No profitability report rows produced for sim_day={day}"
+MSG_UNPROFITABLE = "{bad}/{total} vehicles unprofitable on sim_day={day}"
 # Days per dashboard "month" bucket and the clamp of the trend length.
 DAYS_PER_MONTH = 30
 TREND_DAYS_MIN, TREND_DAYS_MAX, TREND_DAYS_DEFAULT = 1, 500, 200

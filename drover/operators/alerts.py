@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from drover import config as C
-from drover.functions import known_at, lit_ts, seconds_between, time_bucket
+from drover.functions import known_at, lit_ts, render, seconds_between, time_bucket
 from drover.operators.reconcile import target_day
 from drover.operators.status import latest_status
 from drover.schemas import ALERT_SCHEMA
@@ -14,8 +14,8 @@ CONDITION_COLUMNS = ["alert_type", "severity", "entity_id", "message"]
 
 
 def _whole_seconds(x) -> F.Column:
-    # Python's "{:.0f}" rounds half to even.
-    return F.bround(x, 0).cast("long").cast("string")
+    # whole seconds, half to even (as Python's "{:.0f}" formats them)
+    return F.bround(x, 0).cast("long")
 
 
 def staleness_condition(events: DataFrame, params) -> DataFrame:
@@ -23,11 +23,10 @@ def staleness_condition(events: DataFrame, params) -> DataFrame:
     last = known_at(events, params.as_of, params).agg(F.max("event_ts").alias("t"))
     age = seconds_between(lit_ts(params.as_of), F.col("t"))
     thr = int(params.staleness_threshold_s)
-    msg = (F.when(F.col("t").isNull(), F.lit("No telemetry events ingested yet"))
-           .otherwise(F.concat(F.lit("No telemetry ingested in "), _whole_seconds(age),
-                               F.lit(f"s (threshold {thr}s)"))))
+    msg = (F.when(F.col("t").isNull(), F.lit(C.MSG_NO_EVENTS))
+           .otherwise(render(C.MSG_STALE, age=_whole_seconds(age), threshold=thr)))
     return last.where(F.col("t").isNull() | (age > F.lit(float(thr)))).select(
-        F.lit(C.ALERT_STALENESS).alias("alert_type"), F.lit("critical").alias("severity"),
+        F.lit(C.ALERT_STALENESS).alias("alert_type"), F.lit(C.SEVERITY_CRITICAL).alias("severity"),
         F.lit(C.STALENESS_ENTITY).alias("entity_id"), msg.alias("message"))
 
 
@@ -37,10 +36,10 @@ def idle_condition(latest: DataFrame, params) -> DataFrame:
     secs = seconds_between(lit_ts(params.as_of), F.col("status_since"))
     thr = int(params.idle_threshold_s)
     return latest.where((F.col("status") == "idle") & (secs > F.lit(float(thr)))).select(
-        F.lit(C.ALERT_IDLE).alias("alert_type"), F.lit("warning").alias("severity"),
+        F.lit(C.ALERT_IDLE).alias("alert_type"), F.lit(C.SEVERITY_WARNING).alias("severity"),
         F.col("vehicle_id").alias("entity_id"),
-        F.concat(F.col("vehicle_id"), F.lit(" has been idle for "), _whole_seconds(secs),
-                 F.lit(f"s (threshold {thr}s)")).alias("message"))
+        render(C.MSG_IDLE, vehicle=F.col("vehicle_id"), seconds=_whole_seconds(secs), threshold=thr)
+        .alias("message"))
 
 
 def batch_conditions(report: DataFrame, params) -> DataFrame:
@@ -53,14 +52,12 @@ def batch_conditions(report: DataFrame, params) -> DataFrame:
         F.count(F.lit(1)).alias("total"), F.count(F.when(~F.col("profitable"), True)).alias("bad"))
     missing = F.col("total") == 0
     unprofitable = (F.col("total") > 0) & (F.try_divide(F.col("bad"), F.col("total")) > F.lit(0.5))
-    d = str(day)
     return c.where(missing | unprofitable).select(
         F.when(missing, C.ALERT_REPORT_MISSING).otherwise(C.ALERT_PROFITABILITY).alias("alert_type"),
-        F.when(missing, "critical").otherwise("warning").alias("severity"),
-        F.lit(d).alias("entity_id"),
-        F.when(missing, F.lit(f"No profitability report rows produced for sim_day={d}"))
-        .otherwise(F.concat(F.col("bad").cast("string"), F.lit("/"), F.col("total").cast("string"),
-                            F.lit(f" vehicles unprofitable on sim_day={d}"))).alias("message"))
+        F.when(missing, C.SEVERITY_CRITICAL).otherwise(C.SEVERITY_WARNING).alias("severity"),
+        F.lit(str(day)).alias("entity_id"),
+        F.when(missing, render(C.MSG_REPORT_MISSING, day=day))
+        .otherwise(render(C.MSG_UNPROFITABLE, bad=F.col("bad"), total=F.col("total"), day=day)).alias("message"))
 
 
 def alert_conditions(events: DataFrame, report: DataFrame, params, latest: DataFrame | None = None) -> DataFrame:

@@ -124,10 +124,10 @@ def batch_health(report: DataFrame, days: DataFrame) -> DataFrame:
     missing = total == 0
     share_bad = F.try_divide(bad, total)  # null when there is no row
     unprofitable = share_bad > F.lit(0.5)
+    from drover.functions import render
     return j.select(
         "sim_day", total.alias("vehicle_count"), bad.alias("unprofitable_count"),
         F.when(missing, C.ALERT_REPORT_MISSING).when(unprofitable, C.ALERT_PROFITABILITY).alias("alert_type"),
-        F.when(missing, "critical").when(unprofitable, "warning").alias("severity"),
-        F.when(missing, F.concat(F.lit("No profitability report rows produced for sim_day="), d))
-        .when(unprofitable, F.concat(bad.cast("string"), F.lit("/"), total.cast("string"),
-                                     F.lit(" vehicles unprofitable on sim_day="), d)).alias("message"))
+        F.when(missing, C.SEVERITY_CRITICAL).when(unprofitable, C.SEVERITY_WARNING).alias("severity"),
+        F.when(missing, render(C.MSG_REPORT_MISSING, day=d))
+        .when(unprofitable, render(C.MSG_UNPROFITABLE, bad=bad, total=total, day=d)).alias("message"))

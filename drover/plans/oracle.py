@@ -22,6 +22,20 @@ def _r(expr: str, name: str) -> str:
     return f"round({expr}, 6) AS {name}"
 
 
+def _msg(template: str, **exprs) -> str:
+    """A message template (``drover.config``) as a SQL string concatenation."""
+    import re
+    out, pos = [], 0
+    for m in re.finditer(r"\{(\w+)\}", template):
+        if m.start() > pos:
+            out.append("'" + template[pos:m.start()].replace("'", "''") + "'")
+        out.append(f"CAST({exprs[m.group(1)]} AS VARCHAR)")
+        pos = m.end()
+    if pos < len(template):
+        out.append("'" + template[pos:].replace("'", "''") + "'")
+    return "(" + " || ".join(out) + ")"
+
+
 def _zone(lat: str, lon: str) -> str:
     names = ", ".join(f"'{n}'" for n in C.ZONE_NAMES)
 
@@ -162,26 +176,26 @@ latest{suffix} AS (
 def _conditions(suffix: str, as_of_us: int) -> str:
     day = P.day_at(as_of_us / 1e6) - 1
     thr, idle = P.staleness_threshold_s, P.idle_threshold_s
+    crit, warn = C.SEVERITY_CRITICAL, C.SEVERITY_WARNING
     batch = f"""
   UNION ALL
   SELECT CASE WHEN total = 0 THEN '{C.ALERT_REPORT_MISSING}' ELSE '{C.ALERT_PROFITABILITY}' END,
-         CASE WHEN total = 0 THEN 'critical' ELSE 'warning' END, '{day}',
-         CASE WHEN total = 0 THEN 'No profitability report rows produced for sim_day={day}'
-              ELSE CAST(bad AS VARCHAR) || '/' || CAST(total AS VARCHAR) || ' vehicles unprofitable on sim_day={day}' END
+         CASE WHEN total = 0 THEN '{crit}' ELSE '{warn}' END, '{day}',
+         CASE WHEN total = 0 THEN {_msg(C.MSG_REPORT_MISSING, day=day)}
+              ELSE {_msg(C.MSG_UNPROFITABLE, bad='bad', total='total', day=day)} END
   FROM (SELECT count(*) AS total, count(*) FILTER (WHERE NOT profitable) AS bad FROM report WHERE sim_day = {day}) c
   WHERE total = 0 OR bad / total > 0.5e0""" if day >= 0 else ""
+    age = f"CAST(round_even(({as_of_us} - t) / 1000000e0, 0) AS BIGINT)"
+    idle_s = f"CAST(round_even(({as_of_us} - status_since) / 1000000e0, 0) AS BIGINT)"
     return f"""
 cond{suffix} AS (
-  SELECT '{C.ALERT_STALENESS}' AS alert_type, 'critical' AS severity, '{C.STALENESS_ENTITY}' AS entity_id,
-         CASE WHEN t IS NULL THEN 'No telemetry events ingested yet'
-              ELSE 'No telemetry ingested in ' || CAST(CAST(round_even(({as_of_us} - t) / 1000000e0, 0) AS BIGINT) AS VARCHAR)
-                   || 's (threshold {thr}s)' END AS message
+  SELECT '{C.ALERT_STALENESS}' AS alert_type, '{crit}' AS severity, '{C.STALENESS_ENTITY}' AS entity_id,
+         CASE WHEN t IS NULL THEN '{C.MSG_NO_EVENTS}'
+              ELSE {_msg(C.MSG_STALE, age=age, threshold=thr)} END AS message
   FROM (SELECT max(epoch_us(event_ts)) AS t FROM ev WHERE epoch_us(event_ts) <= {as_of_us}) s
   WHERE t IS NULL OR ({as_of_us} - t) / 1000000e0 > {thr}e0
   UNION ALL
-  SELECT '{C.ALERT_IDLE}', 'warning', vehicle_id,
-         vehicle_id || ' has been idle for ' ||
-         CAST(CAST(round_even(({as_of_us} - status_since) / 1000000e0, 0) AS BIGINT) AS VARCHAR) || 's (threshold {idle}s)'
+  SELECT '{C.ALERT_IDLE}', '{warn}', vehicle_id, {_msg(C.MSG_IDLE, vehicle='vehicle_id', seconds=idle_s, threshold=idle)}
   FROM latest{suffix} WHERE status = 'idle' AND ({as_of_us} - status_since) / 1000000e0 > {idle}e0{batch}
 )"""
 
@@ -253,10 +267,11 @@ _Q["batch_health"] = f"""
 SELECT d.sim_day, coalesce(c.n, 0) AS vehicle_count, coalesce(c.bad, 0) AS unprofitable_count,
        CASE WHEN coalesce(c.n, 0) = 0 THEN '{C.ALERT_REPORT_MISSING}'
             WHEN c.bad / c.n > 0.5e0 THEN '{C.ALERT_PROFITABILITY}' END AS alert_type,
-       CASE WHEN coalesce(c.n, 0) = 0 THEN 'critical' WHEN c.bad / c.n > 0.5e0 THEN 'warning' END AS severity,
-       CASE WHEN coalesce(c.n, 0) = 0 THEN 'No profitability report rows produced for sim_day=' || CAST(d.sim_day AS VARCHAR)
-            WHEN c.bad / c.n > 0.5e0 THEN CAST(c.bad AS VARCHAR) || '/' || CAST(c.n AS VARCHAR)
-                 || ' vehicles unprofitable on sim_day=' || CAST(d.sim_day AS VARCHAR) END AS message
+       CASE WHEN coalesce(c.n, 0) = 0 THEN '{C.SEVERITY_CRITICAL}'
+            WHEN c.bad / c.n > 0.5e0 THEN '{C.SEVERITY_WARNING}' END AS severity,
+       CASE WHEN coalesce(c.n, 0) = 0 THEN {_msg(C.MSG_REPORT_MISSING, day='d.sim_day')}
+            WHEN c.bad / c.n > 0.5e0 THEN {_msg(C.MSG_UNPROFITABLE, bad='c.bad', total='c.n', day='d.sim_day')}
+       END AS message
 FROM (SELECT DISTINCT sim_day FROM earnings WHERE sim_day >= 0 AND sim_day < {CUR_DAY}) d
 LEFT JOIN (SELECT sim_day, count(*) AS n, count(*) FILTER (WHERE NOT profitable) AS bad FROM report GROUP BY sim_day) c
   ON c.sim_day = d.sim_day"""
