@@ -81,14 +81,17 @@ class Inputs:
 
 
 def export(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Portable result form: timestamps as epoch microseconds (bigint), doubles rounded to
-    ``digits`` decimals (addition order differs between engines). Names are kept."""
+    """Portable result form: timestamps as epoch microseconds (bigint), doubles rounded half
+    up to ``digits`` decimals as ``floor(x * 10^d + 0.5) / 10^d`` (addition order differs
+    between engines; this formula is the same IEEE operations in the SQL oracle, unlike
+    each engine's own ``round``, which disagree on values just below a tie). Names are kept."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.unix_micros(c.cast("timestamp"))
         elif isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, digits)
+            scale = float(10 ** digits)
+            c = F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
         cols.append(c.alias(f.name))
     return df.select(*cols)

@@ -3,8 +3,8 @@
 The same fixture formulas as ``drover.sources.fixtures`` are written as common table
 expressions over the shared tables; every query body then states its semantics
 directly (plain windows over whole partitions -- the oracle does not need to scale).
-Output conventions match ``export``: timestamps as epoch microseconds, doubles rounded to
-6 decimals.
+Output conventions match ``export``: timestamps as epoch microseconds, doubles rounded half
+up to 6 decimals by ``floor(x * 1e6 + 0.5) / 1e6``.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ CUR_DAY = P.current_day
 
 
 def _r(expr: str, name: str) -> str:
-    return f"round({expr}, 6) AS {name}"
+    # half up to 6 decimals with the same floating-point operations as ``export``
+    return f"floor(({expr}) * 1000000e0 + 0.5e0) / 1000000e0 AS {name}"
 
 
 def _msg(template: str, **exprs) -> str:

@@ -185,7 +185,8 @@ def _expense_landing_stream(x: Inputs):
 
 
 def _r(e, n):
-    return f"round({e}, 6) AS {n}"
+    from drover.plans.oracle import _r as r6
+    return r6(e, n)
 
 
 _EV_COLS = ("event_id, vehicle_id, driver_id, trip_id, status, " + ", ".join(_r(c, c) for c in ("lat", "lon", "speed", "fare"))
