@@ -144,6 +144,15 @@ def dedup_stream(events: DataFrame, params, spread: int | None = None) -> DataFr
     return d.dropDuplicatesWithinWatermark(keys)
 
 
+def start_vehicle_status_merge(events: DataFrame, sink_path: str, checkpoint: str, run_id: int,
+                               trigger: dict | None = None, snapshots: str | None = None):
+    """Latest status per vehicle kept by DataFrame aggregations merged into the status
+    changelog in ``foreachBatch`` (no Python workers); see ``streaming.status_merge``."""
+    from drover.streaming.status_merge import status_merge_sink
+    sink = status_merge_sink(events.sparkSession, sink_path, run_id, snapshots)
+    return _start(events, sink, checkpoint, "append", trigger or {"processingTime": "5 seconds"}, "vehicle_status")
+
+
 def start_dedup(events: DataFrame, params, sink_path: str, checkpoint: str, run_id: int,
                 trigger: dict | None = None, spread: int | None = None):
     """Deduplicated events appended to a day-partitioned log (see :func:`dedup_stream`)."""

@@ -143,6 +143,19 @@ def _vehicle_status_stream(x: Inputs):
                     F.timestamp_micros("updated_at_us").alias("updated_at"))
 
 
+@query("vehicle_status_merge_stream")
+def _vehicle_status_merge_stream(x: Inputs):
+    """Latest status maintained without Python: per-batch aggregations merged into the
+    status changelog."""
+    r = Replay(x, "status-merge")
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_vehicle_status_merge(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+    s = CL.resolve(x.spark, r.sink, ["vehicle_id"])
+    return s.select("vehicle_id", "driver_id", "lat", "lon", "speed", "status", "zone", "last_fare", "sim_day",
+                    F.timestamp_micros("status_since_us").alias("status_since"),
+                    F.timestamp_micros("updated_at_us").alias("updated_at"))
+
+
 @query("vehicle_status_ordered_stream")
 def _vehicle_status_ordered_stream(x: Inputs):
     """Latest status with events applied in event-time order once the watermark (newest
@@ -207,6 +220,7 @@ def stream_oracles() -> dict[str, str]:
         "daily_earnings_stream": O._Q["daily_earnings"],
         "daily_earnings_bounded_stream": O._Q["daily_earnings"],
         "vehicle_status_stream": O._Q["vehicle_status_latest"],
+        "vehicle_status_merge_stream": O._Q["vehicle_status_latest"],
         # events strictly older (in ms) than the final watermark, newest event - 2 min
         "vehicle_status_ordered_stream": O._Q["vehicle_status_latest"].replace("FROM latest", "FROM latestw"),
         "dedup_events_stream": "SELECT event_id, vehicle_id, status, epoch_us(event_ts) AS event_ts, sim_day, zone FROM ev",

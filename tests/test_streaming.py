@@ -237,3 +237,30 @@ def test_two_stage_dedup_with_hot_copies(spark, tmp_path):
         J.run_to_end(J.start_dedup(ev, P, out, str(tmp_path / f"c{spread}"), 1, {"availableNow": True},
                                    spread=spread))
         assert sorted(r.event_id for r in CL.read_log(spark, out).collect()) == [1, 2, 3, 4]
+
+
+def test_merge_status_equals_keyed_state_and_replays(spark, tmp_path):
+    from drover.streaming.status_merge import status_merge_sink
+    files = [
+        [_msg(1, "A", 0, status="idle"), _msg(2, "A", 100, status="idle"), _msg(6, "B", 10, status="on_trip")],
+        [_msg(3, "A", 50, status="on_trip"), _msg(7, "B", 20, status="on_trip")],   # A's is older: ignored
+        [_msg(4, "A", 400, status="enroute"), _msg(5, "A", 410, status="enroute"), _msg(8, "B", 30, status="idle")],
+    ]
+    land = str(tmp_path / "land")
+    _stage(land, files)
+    got = {}
+    for mode in ("keyed", "merge"):
+        ev = J.file_event_stream(spark, land, P, max_files_per_trigger=1)
+        out = str(tmp_path / mode)
+        start = J.start_vehicle_status if mode == "keyed" else J.start_vehicle_status_merge
+        J.run_to_end(start(ev, out, str(tmp_path / (mode + "c")), 1, {"availableNow": True}))
+        got[mode] = sorted((r.vehicle_id, r.status, (r.status_since_us // 1_000_000) - T0,
+                            (r.updated_at_us // 1_000_000) - T0) for r in CL.resolve(spark, out, ["vehicle_id"]).collect())
+    assert got["merge"] == got["keyed"] == [("A", "enroute", 400, 410), ("B", "idle", 30, 30)]
+    # replaying the last batch gives the same state
+    out = str(tmp_path / "merge")
+    last = J.event_stream(spark.read.parquet(land), P).where(F.col("event_id").isin(4, 5, 8))
+    status_merge_sink(spark, out, 1, None)(last, 2)
+    again = sorted((r.vehicle_id, r.status, (r.status_since_us // 1_000_000) - T0) for r in
+                   CL.resolve(spark, out, ["vehicle_id"]).collect())
+    assert again == [("A", "enroute", 400), ("B", "idle", 30)]
