@@ -191,13 +191,14 @@ def start_expense_loader(spark: SparkSession, landing_path: str, table_path: str
 
 
 def start_speed_layer(spark: SparkSession, wire: DataFrame, params, root: str, run_id: int | None = None,
-                      triggers: dict | None = None, with_status: bool = True) -> dict:
+                      triggers: dict | None = None, with_status: bool = True, status_mode: str = "keyed") -> dict:
     """Start the speed layer from one broker stream: raw log (+ heartbeats), zone metrics,
     daily earnings and, optionally, latest status -- independent queries, each with its
     own checkpoint and changelog under ``root``. Returns the started queries by name.
 
     ``triggers`` maps a query name to its trigger (defaults: 5 s events and status, 15 s
-    zones and earnings).
+    zones and earnings). ``status_mode``: "keyed" (immediate keyed state), "ordered"
+    (event-time order behind the watermark) or "merge" (no Python workers).
     """
     use_rocksdb(spark)
     run_id = run_id or CL.new_run_id()
@@ -214,8 +215,14 @@ def start_speed_layer(spark: SparkSession, wire: DataFrame, params, root: str, r
                                                f"{root}/checkpoints/daily_earnings", run_id, t["daily_earnings"]),
     }
     if with_status:
-        qs["vehicle_status"] = start_vehicle_status(events, f"{root}/vehicle_status",
-                                                    f"{root}/checkpoints/vehicle_status", run_id, t["vehicle_status"])
+        sp, ck = f"{root}/vehicle_status", f"{root}/checkpoints/vehicle_status"
+        if status_mode == "merge":
+            qs["vehicle_status"] = start_vehicle_status_merge(events, sp, ck, run_id, t["vehicle_status"],
+                                                              snapshots=f"{root}/snapshots/vehicle_status")
+        else:
+            qs["vehicle_status"] = start_vehicle_status(
+                events, sp, ck, run_id, t["vehicle_status"],
+                ordered_within=params.watermark if status_mode == "ordered" else None)
     return qs
 
 

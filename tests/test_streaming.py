@@ -161,11 +161,13 @@ def test_speed_layer_all_queries_and_restart(spark, tmp_path):
     from drover.sources.telemetry import file_telemetry
     root = str(tmp_path / "layer")
     once = {n: {"availableNow": True} for n in ("raw_log", "zone_metrics", "daily_earnings", "vehicle_status")}
-    for q in J.start_speed_layer(spark, file_telemetry(spark, land, 1), P, root, run_id=1, triggers=once).values():
+    for q in J.start_speed_layer(spark, file_telemetry(spark, land, 1), P, root, run_id=1, triggers=once,
+                                 status_mode="merge").values():
         J.run_to_end(q)
     # more files land; the same checkpoints continue where they stopped
     _stage(land, files)
-    for q in J.start_speed_layer(spark, file_telemetry(spark, land, 1), P, root, run_id=1, triggers=once).values():
+    for q in J.start_speed_layer(spark, file_telemetry(spark, land, 1), P, root, run_id=1, triggers=once,
+                                 status_mode="merge").values():
         J.run_to_end(q)
     raw = spark.read.parquet(f"{root}/raw_log")
     assert raw.count() == 24
