@@ -116,11 +116,16 @@ class FleetStore:
     def vehicles(self) -> DataFrame:
         return SV.vehicles(self.live_status())
 
-    def income_trend(self, vehicle_id: str | None = None, days: int | None = None,
-                     by_month: bool = False) -> DataFrame:
+    def income_trend(self, vehicle_id: str | None = None, days: int | None = None, by_month: bool = False,
+                     show_profitable: bool = True, show_unprofitable: bool = True) -> DataFrame:
+        """Income per day (fleet, or one vehicle) for the latest ``days`` days, optionally
+        filtered like the dashboard (unreconciled days always kept) and bucketed into
+        30-day months after the filter."""
         if vehicle_id is not None:
-            return SV.income_trend_vehicle(self.earnings(), self.report(), vehicle_id, days)
-        t = SV.income_trend_fleet(self.earnings(), self.report(), days)
+            t = SV.income_trend_vehicle(self.earnings(), self.report(), vehicle_id, days)
+        else:
+            t = SV.income_trend_fleet(self.earnings(), self.report(), days)
+        t = SV.income_filter(t, show_profitable, show_unprofitable)
         return SV.income_by_month(t) if by_month else t
 
     def alerts(self, include_resolved: bool = False) -> DataFrame:

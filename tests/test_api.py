@@ -44,6 +44,8 @@ def test_api_end_to_end(spark, tmp_path):
     assert store.vehicles().count() == 15
     assert store.income_trend().count() == 30
     assert store.income_trend(vehicle_id="V000001").count() > 0
+    months = store.income_trend(by_month=True, show_unprofitable=False).collect()
+    assert len(months) == 1 and months[0].profitable is not False
     assert store.daily_report(29).count() == x.report.where("sim_day = 29").count()
     # live status (from the stream) equals the exact batch form for in-order input
     cols = ["vehicle_id", "status", "status_since", "updated_at"]
