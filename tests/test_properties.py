@@ -34,3 +34,32 @@ def test_bucketed_sequences_equal_scan(spark, rows, bucket):
     both = with_prev(runs, ["vehicle_id"], "event_ts", "event_id", ["status"], bucket)
     got = {r.event_id: (r.prev_status, r.run_id) for r in both.collect()}
     assert got == _scan(rows)
+
+
+keys = st.sets(st.tuples(st.sampled_from(["vehicle_idle", "pipeline_staleness", "fleet_profitability"]),
+                         st.sampled_from(["V1", "V2", "V3", "telemetry", "7"])), max_size=8)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(before=keys, firing=keys)
+def test_alert_rounds_invariants(spark, before, firing):
+    from drover.config import Params
+    from drover.operators import alerts as A
+
+    p = Params(start_epoch=0.0, day_seconds=100, as_of=1000.0)
+
+    def frame(ks, tag):
+        rows = [(t, "warning", e, f"{tag}:{t}:{e}") for t, e in sorted(ks)]
+        return spark.createDataFrame(rows, "alert_type string, severity string, entity_id string, message string")
+
+    s1 = A.apply_conditions(A.empty_alerts(spark), frame(before, "old"), p.replace(as_of=900.0))
+    s2 = A.apply_conditions(s1, frame(firing, "new"), p)
+    rows = [(r.alert_type, r.entity_id, r.message, r.resolved) for r in s2.collect()]
+    open_keys = [(t, e) for t, e, _, resolved in rows if not resolved]
+    assert sorted(open_keys) == sorted(firing)                     # one open alert per firing key
+    for t, e, msg, resolved in rows:                              # kept open alerts keep their message
+        if not resolved and (t, e) in before:
+            assert msg.startswith("old:")
+    assert sorted((t, e) for t, e, _, r in rows if r) == sorted(before - firing)
+    again = A.apply_conditions(s2, frame(firing, "newer"), p.replace(as_of=1100.0))
+    assert sorted((r.alert_type, r.entity_id, r.message, r.resolved) for r in again.collect()) == sorted(rows)
