@@ -63,3 +63,26 @@ def test_alert_rounds_invariants(spark, before, firing):
     assert sorted((t, e) for t, e, _, r in rows if r) == sorted(before - firing)
     again = A.apply_conditions(s2, frame(firing, "newer"), p.replace(as_of=1100.0))
     assert sorted((r.alert_type, r.entity_id, r.message, r.resolved) for r in again.collect()) == sorted(rows)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=sequences, day=st.integers(7, 300))
+def test_idle_seconds_conserve_idle_time(spark, rows, day):
+    from drover.config import Params
+    from drover.operators import status as S
+
+    p = Params(start_epoch=0.0, day_seconds=day, as_of=1000.0, bucket_seconds=37)
+    status = {"a": "idle", "b": "on_trip", "c": "enroute"}
+    df = spark.createDataFrame([(v, t, eid, status[s]) for eid, (v, t, s) in enumerate(rows)],
+                               "vehicle_id string, t long, event_id long, status string") \
+        .withColumn("event_ts", F.timestamp_seconds("t"))
+    spells = S.status_spells(df, p)
+    per_vehicle = {}
+    for r in spells.where("status = 'idle'").collect():
+        per_vehicle[r.vehicle_id] = per_vehicle.get(r.vehicle_id, 0.0) + r.duration_s
+    by_day = S.idle_seconds_by_day(spells, p).collect()
+    summed = {}
+    for r in by_day:
+        assert 0 < r.idle_seconds <= day
+        summed[r.vehicle_id] = summed.get(r.vehicle_id, 0.0) + r.idle_seconds
+    assert {k: round(v, 6) for k, v in summed.items()} == {k: round(v, 6) for k, v in per_vehicle.items() if v > 0}
