@@ -86,3 +86,30 @@ def test_idle_seconds_conserve_idle_time(spark, rows, day):
         assert 0 < r.idle_seconds <= day
         summed[r.vehicle_id] = summed.get(r.vehicle_id, 0.0) + r.idle_seconds
     assert {k: round(v, 6) for k, v in summed.items()} == {k: round(v, 6) for k, v in per_vehicle.items() if v > 0}
+
+
+zone_event = st.tuples(st.sampled_from(["V1", "V2", "V3", "V4"]), st.integers(0, 600),
+                       st.sampled_from(["idle", "enroute", "on_trip"]), st.sampled_from(["-", "T1", "T2", "T3"]),
+                       st.sampled_from([6.84, 6.9, 6.95]), st.floats(0, 50))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(zone_event, min_size=1, max_size=50))
+def test_two_level_zone_metrics_equal_sets(spark, rows):
+    from drover.config import Params
+    from drover.functions import zone_of
+    from drover.operators import metrics as M
+
+    p = Params(start_epoch=0.0, day_seconds=300)
+    df = spark.createDataFrame([(v, t, s, tr, lat, fare) for v, t, s, tr, lat, fare in rows],
+                               "vehicle_id string, t long, status string, trip_id string, lat double, fare double") \
+        .withColumn("event_ts", F.timestamp_seconds("t")).withColumn("speed", F.col("fare")) \
+        .withColumn("zone", zone_of("lat", F.lit(79.88)))
+    cols = ["zone", "window_start", "active_vehicles", "idle_count", "enroute_count", "on_trip_count", "trip_count",
+            "sim_day"]
+    a = M.zone_metrics(df, p, "1 minute")
+    b = M.zone_metrics_sets(df, p, "1 minute")
+    assert sorted(tuple(r) for r in a.select(*cols).collect()) == sorted(tuple(r) for r in b.select(*cols).collect())
+    ra = {(r.zone, r.window_start): (round(r.total_earnings, 6), round(r.avg_speed, 6)) for r in a.collect()}
+    rb = {(r.zone, r.window_start): (round(r.total_earnings, 6), round(r.avg_speed, 6)) for r in b.collect()}
+    assert ra == rb
