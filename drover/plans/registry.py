@@ -13,7 +13,7 @@ from drover.operators import metrics as M
 from drover.operators import reconcile as R
 from drover.operators import serving as SV
 from drover.operators import status as S
-from drover.operators.clean import clean, enrich, quarantine_counts
+from drover.operators.clean import clean, quarantine_counts
 from drover.plans.inputs import Inputs, export
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
