@@ -1,13 +1,21 @@
 """The speed layer as Structured Streaming queries.
 
 One decoded, cleaned, enriched event stream feeds independent queries, each with its own
-checkpoint and a changelog sink written from ``foreachBatch`` on the executors:
-
-* raw log         -- append, partitioned by ``sim_day`` (replay-safe by batch id)
-* zone metrics    -- window x zone, update mode with exact sets, or two-level append mode
-* daily earnings  -- running (vehicle, day) totals, update mode
-* latest status   -- keyed state per vehicle
-* deduplicated    -- ``dropDuplicatesWithinWatermark`` on (vehicle_id, event_ts)
+checkpoint and a changelog sink written from ``foreachBatch`` on the executors
+(``start_speed_layer`` starts them together):
+
+* raw log         -- append, partitioned by ``sim_day`` (replay-safe by batch id), heartbeats;
+                     downstream queries may read it back typed (``raw_log_events``)
+* zone metrics    -- window x zone: update mode with exact sets or HyperLogLog sketches, or
+                     the two-level plan in append mode
+* daily earnings  -- running (vehicle, day) totals, update mode, unbounded or day-bounded state
+* latest status   -- keyed state per vehicle (immediate or event-time ordered), or a
+                     Python-free per-batch merge into the status changelog
+* deduplicated    -- ``dropDuplicatesWithinWatermark``, optionally two-stage for hot copies
+* expense loader  -- landing files picked up incrementally into the expenses table
+
+plus ``rebuild_earnings`` (batch recompute from the raw log after a checkpoint loss) and
+``watermark_losses`` (what late events changed, stream vs batch).
 """
 
 from __future__ import annotations
