@@ -15,8 +15,8 @@ import unicodedata
 
 import numpy as np
 
-#: Chunks kept per process (about 200 bytes each).
-CACHE = 500_000
+#: Chunks kept per process (about 200 bytes each); beyond that the cache starts anew.
+CACHE = 800_000
 #: Beyond Latin letters, normal forms and lower-casing need the tokenizer's own rules;
 #: the separators 0x1C-0x1F are white space to Python alone.
 _OTHER = re.compile("[^\x00-\x1b\x20-įı-ɏ]")
@@ -52,22 +52,27 @@ class Tokens:
             vocab = spec["model"]["vocab"]
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-            self.cache: dict[str, bytes] = {}
-            self.pieces: dict[str, bytes] = {}
+            self.cache: dict[str, bytes] = {}    # chunks, and the pieces that chunks are cut into
 
     def _learn(self, chunks: set[str]) -> None:
-        cut = {c: _PIECES.findall(c) for c in chunks}
-        new = list({p for ps in cut.values() for p in ps}.difference(self.pieces))
+        """Put chunks into the cache; a chunk of letters is a piece, others are cut."""
+        cut = {c: _PIECES.findall(c) for c in chunks if not c.isalpha()}
+        new = chunks.difference(cut)
+        for ps in cut.values():
+            new.update(ps)
+        new = new.difference(self.cache)
         if new:
-            ids = np.array(self.words.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
+            pieces = list(new)
+            lots = [" ".join(pieces[i:i + 100]) for i in range(0, len(pieces), 100)]
+            ids = np.concatenate([e.ids for e in self.words.encode_batch_fast(lots, add_special_tokens=False)]).astype("<u4")
             last = np.flatnonzero(self.ends[ids])
-            if len(last) != len(new):
+            if len(last) != len(pieces):
                 raise ValueError("the tokenizer's words do not end in its end-of-word tokens")
             raw, at = ids.tobytes(), [0, *((last + 1) * 4).tolist()]
-            for p, a, b in zip(new, at, at[1:], strict=False):
-                self.pieces[p] = raw[a:b]
+            self.cache.update((p, raw[a:b]) for p, a, b in zip(pieces, at, at[1:], strict=False))
         for c, ps in cut.items():
-            self.cache[c] = b"".join([self.pieces[p] for p in ps])
+            if len(ps) != 1 or ps[0] != c:
+                self.cache[c] = b"".join([self.cache[p] for p in ps])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (null: none) as little-endian unsigned 32-bit numbers."""
@@ -84,10 +89,9 @@ class Tokens:
             missing: set[str] = set()
             for c in chunks:
                 missing.update(c)
-            missing.difference_update(self.cache)
+            missing = missing.difference(self.cache)
             if len(self.cache) + len(missing) > CACHE:
                 self.cache.clear()
-                self.pieces.clear()
                 missing = {w for c in chunks for w in c}
             if missing:
                 self._learn(missing)
