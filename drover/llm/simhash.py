@@ -171,10 +171,29 @@ def links_in_cells(cell: np.ndarray, fp: np.ndarray, bits: int = MAX_BITS) -> tu
     return pairs[:, 0], pairs[:, 1]
 
 
+def _spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the links (a, b) a spanning forest needs."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+    keep = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = top(x), top(y)
+        if x != y:
+            up[y] = x
+            keep.append(i)
+    return np.array(keep, np.int64)
+
+
 def _join(bits: int):
     def run(t: pa.Table) -> pa.Table:
         cat = lambda n: np.concatenate([X.unplanes(r, np.uint64) for r in t.column(n).to_pylist()])
         a, b = links_in_cells(cat("cells"), cat("fps"), bits)
+        need = _spanning(a, b)     # one forest over all cells of the bucket
+        a, b = a[need], b[need]
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
     return run
 
