@@ -56,9 +56,11 @@ def text_features(docs: DataFrame, text_col: str = "text", prefix: str = "") ->
         F.filter(s, lambda e, i: e["g"].eqNullSafe(at(i + 1)) | e["g"].eqNullSafe(at(i - 1))), lambda e: e["i"]))))
     p = F.col(c("at"))
     # each such window covers its words up to the next one's first word
-    d = d.withColumn(c("n_repeat_words"), F.when(p.isNull(), F.lit(0)).otherwise(F.aggregate(
-        F.transform(p, lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get(p, i + 1) - x, F.lit(WINDOW)))),
-        F.lit(0), lambda a, b: a + b)).cast("long"))
+    total = F.aggregate(F.transform(p, lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get(p, i + 1) - x, F.lit(WINDOW)))),
+                        F.lit(0), lambda a, b: a + b)
+    # The row number keeps filters on the results above this projection: pushed below it,
+    # they would inline the arrays into every step of the lambdas.
+    d = d.withColumn(c("n_repeat_words"), F.when(F.monotonically_increasing_id() >= 0, F.when(p.isNull(), F.lit(0)).otherwise(total)).cast("long"))
     return d.drop(*(c(x) for x in ("lines", "grams", "sorted", "at")))
 
 
