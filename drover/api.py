@@ -19,6 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from drover.schemas import EARNINGS_SCHEMA, EXPENSES_SCHEMA, RAW_LOG_SCHEMA
+from drover.session import path_exists
 from drover.config import Params
 from drover.operators import alerts as A
 from drover.operators import reconcile as R
@@ -54,9 +56,13 @@ class FleetStore:
             CL.compact(self.spark, self.path(name), keys, self.path(f"snapshots/{name}"))
 
     def events(self) -> DataFrame:
+        if not path_exists(self.spark, self.path("raw_log")):
+            return self.spark.createDataFrame([], RAW_LOG_SCHEMA)
         return CL.read_log(self.spark, self.path("raw_log")).drop("run", "batch_id")
 
     def earnings(self) -> DataFrame:
+        if not path_exists(self.spark, self.path("daily_earnings")):
+            return self.spark.createDataFrame([], EARNINGS_SCHEMA)
         return self._resolve("daily_earnings")
 
     def zone_metrics(self) -> DataFrame:
@@ -78,6 +84,8 @@ class FleetStore:
         """Newest event time per stream micro-batch, from the heartbeats (a few rows per
         minute): what the staleness rule and the health check need, without a scan of the
         raw log."""
+        if not path_exists(self.spark, self.path("heartbeats")):
+            return self.spark.createDataFrame([], "event_ts timestamp")
         hb = CL.read_log(self.spark, self.path("heartbeats"))
         return hb.where(F.col("component") == "stream-processor").select(F.col("last_event_at").alias("event_ts"))
 
@@ -88,6 +96,9 @@ class FleetStore:
                              where=F.col("window_end") > F.timestamp_micros(F.lit(int(since * 1_000_000))))
 
     def report(self) -> DataFrame:
+        if not path_exists(self.spark, self.path("report")):
+            none = self.spark.createDataFrame
+            return R.profitability(none([], EXPENSES_SCHEMA), none([], EARNINGS_SCHEMA))
         return self.spark.read.parquet(self.path("report"))
 
     # ---------------------------------------------------------------- endpoints
@@ -137,7 +148,7 @@ class FleetStore:
         feed = read_expense_feed(self.spark, landing_path)
         if days is not None:
             feed = feed.where(F.col("sim_day").isin([int(d) for d in ([days] if isinstance(days, int) else days)]))
-        R.upsert_days(feed, self.path("expenses"))
+        R.merge_expenses(feed, self.path("expenses"))
 
     def reconcile(self, days=None) -> None:
         R.reconcile(self.spark, self.path("expenses"), self.earnings(), self.path("report"), days,

@@ -5,6 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from drover.session import path_exists, scratch_path
+from drover.sources.expenses import duplicate_keys
+
 from drover import config as C
 from drover.sources.tables import scan_days
 
@@ -36,6 +39,26 @@ def unmatched_earnings(earnings: DataFrame, expenses: DataFrame) -> DataFrame:
     return earnings.join(expenses.select("vehicle_id", "sim_day"), ["vehicle_id", "sim_day"], "left_anti")
 
 
+def merge_expenses(df: DataFrame, path: str) -> None:
+    """Upsert expenses by (vehicle_id, sim_day): rows of ``df`` win, vehicles of its days
+    that it does not list stay. The result does not depend on how the rows of a day are
+    spread over files or batches. A key listed twice in ``df`` raises.
+
+    The days' merged rows are written to the scratch folder first (a table cannot be read
+    and overwritten in one job), then replace those days.
+    """
+    spark = df.sparkSession
+    if not duplicate_keys(df).isEmpty():
+        raise ValueError("duplicate (vehicle_id, sim_day) rows in an expense load")
+    if path_exists(spark, path):
+        old = spark.read.parquet(path).join(df.select("sim_day").distinct(), "sim_day", "left_semi")
+        old = old.join(df.select("vehicle_id", "sim_day"), ["vehicle_id", "sim_day"], "left_anti")
+        merged = scratch_path(spark, "expense-merge")
+        df.unionByName(old.select(df.columns)).write.parquet(merged)
+        df = spark.read.schema(df.schema).parquet(merged)
+    upsert_days(df, path)
+
+
 def upsert_days(df: DataFrame, path: str, sort_within: str | None = "vehicle_id") -> None:
     """Replace exactly the ``sim_day`` partitions present in ``df`` (dynamic overwrite);
     days not in ``df`` are untouched, and an empty ``df`` changes nothing.
@@ -94,10 +117,8 @@ def reconcile_pending(spark: SparkSession, expenses_path: str, earnings: DataFra
     the daily schedule missed). The pending days stay a DataFrame: expenses are restricted
     to them by a semi-join and dynamic overwrite replaces exactly those partitions."""
     expenses = spark.read.parquet(expenses_path)
-    try:
-        report = spark.read.parquet(report_path)
-    except Exception:  # noqa: BLE001  (no report yet)
-        report = spark.createDataFrame([], "sim_day int")
+    report = (spark.read.parquet(report_path) if path_exists(spark, report_path)
+              else spark.createDataFrame([], "sim_day int"))
     pending = (closed_days(earnings, expenses, report, params)
                .where(F.col("has_expenses") & ~F.col("reconciled")).select("sim_day"))
     todo = expenses.join(pending, "sim_day", "left_semi")

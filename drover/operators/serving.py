@@ -51,7 +51,7 @@ def realtime_summary(latest: DataFrame, events: DataFrame, params) -> DataFrame:
     n = F.col("active_vehicles")
     return agg.select(
         F.lit(params.current_day).alias("sim_day"), "active_vehicles",
-        F.round(F.coalesce(F.try_divide(F.col("idle_n"), n), F.lit(0.0)), 3).alias("idle_ratio"),
+        F.bround(F.coalesce(F.try_divide(F.col("idle_n"), n), F.lit(0.0)), 3).alias("idle_ratio"),
         "trips_recent")
 
 
@@ -133,13 +133,14 @@ def income_trend_fleet(earnings: DataFrame, report: DataFrame, days: int | None
 
 def income_trend_vehicle(earnings: DataFrame, report: DataFrame, vehicle_id: str | None = None,
                          days: int | None = None) -> DataFrame:
-    """Per-vehicle income for each vehicle's latest ``days`` days (one vehicle when given)."""
+    """Chronological per-vehicle income for each vehicle's latest ``days`` days (one vehicle when given)."""
     n = clamp_days(days)
     e = earnings if vehicle_id is None else earnings.where(F.col("vehicle_id") == vehicle_id)
     j = _trend_join(e, report)
     w = Window.partitionBy("vehicle_id").orderBy(F.col("sim_day").desc())
     return (j.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
-            .select("vehicle_id", "sim_day", "total_fare", "trip_count", "net_profit", "profitable"))
+            .select("vehicle_id", "sim_day", "total_fare", "trip_count", "net_profit", "profitable")
+            .orderBy("vehicle_id", "sim_day"))
 
 
 def income_filter(trend: DataFrame, show_profitable: bool = True, show_unprofitable: bool = True) -> DataFrame:

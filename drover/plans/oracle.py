@@ -115,10 +115,10 @@ expenses AS (
   FROM exp_g
 ),
 expenses_fixed AS (
-  SELECT * FROM expenses WHERE sim_day <> 3
-  UNION ALL
-  SELECT vehicle_id, sim_day, fuel_cost, maintenance_cost * 2e0 AS maintenance_cost, distance_covered, service_flag
-  FROM expenses WHERE sim_day = 3 AND CAST(substr(vehicle_id, 2, 6) AS BIGINT) % 10 <> 0
+  SELECT vehicle_id, sim_day, fuel_cost,
+         CASE WHEN sim_day = 3 AND CAST(substr(vehicle_id, 2, 6) AS BIGINT) % 10 <> 0
+              THEN maintenance_cost * 2e0 ELSE maintenance_cost END AS maintenance_cost, distance_covered, service_flag
+  FROM expenses
 )"""
 
 EARNINGS = """
@@ -315,7 +315,7 @@ GROUP BY vehicle_id, sim_day"""
 
 _Q["realtime_summary"] = f"""
 SELECT CAST({CUR_DAY} AS INTEGER) AS sim_day, v.n AS active_vehicles,
-       {_r(f"CASE WHEN v.n > 0 THEN round(v.idle / v.n, 3) ELSE 0e0 END", 'idle_ratio')}, t.n AS trips_recent
+       {_r(f"CASE WHEN v.n > 0 THEN round_even(v.idle / v.n, 3) ELSE 0e0 END", 'idle_ratio')}, t.n AS trips_recent
 FROM (SELECT count(*) AS n, count(*) FILTER (WHERE status = 'idle') AS idle FROM latest
       WHERE updated_at > {AS_OF_US - P.status_recency_s * 1_000_000}) v,
      (SELECT count(DISTINCT CASE WHEN trip_id <> '-' THEN trip_id END) AS n FROM ev

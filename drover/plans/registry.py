@@ -49,19 +49,19 @@ def _expense_feed(x: Inputs):
 
 
 def _corrected_expenses(x: Inputs):
-    """Write all expenses as a day-partitioned table, then replace day 3 with a corrected
-    feed by dynamic partition overwrite; returns the table path."""
+    """Write all expenses as a day-partitioned table, then upsert a corrected
+    feed of day 3 by (vehicle_id, sim_day); returns the table path."""
     from drover.session import scratch_path
     from drover.sources.fixtures import expense_correction_rows
     path = scratch_path(x.spark, "expenses")
-    R.upsert_days(x.expenses, path)
-    R.upsert_days(expense_correction_rows(x.spark, x.sf_dir, 3), path)
+    R.merge_expenses(x.expenses, path)
+    R.merge_expenses(expense_correction_rows(x.spark, x.sf_dir, 3), path)
     return path
 
 
 @query("expense_correction")
 def _expense_correction(x: Inputs):
-    """The expenses table after a corrected file for one day replaced that day."""
+    """The expenses table after a corrected file for one day: its vehicles are updated, the others stay."""
     return x.spark.read.parquet(_corrected_expenses(x)).select(
         "vehicle_id", F.col("sim_day").cast("int").alias("sim_day"),
         "fuel_cost", "maintenance_cost", "distance_covered", "service_flag")
@@ -70,14 +70,14 @@ def _expense_correction(x: Inputs):
 @query("report_rerun")
 def _report_rerun(x: Inputs):
     """Reconcile every day, then rerun day 3 after its expenses were corrected; only that
-    day's report partition is replaced (a vehicle removed by the correction disappears)."""
+    day's report partition is replaced."""
     from drover.session import scratch_path
     from drover.sources.fixtures import expense_correction_rows
     exp_path = scratch_path(x.spark, "expenses")
     rep_path = scratch_path(x.spark, "report")
-    R.upsert_days(x.expenses, exp_path)
+    R.merge_expenses(x.expenses, exp_path)
     R.reconcile(x.spark, exp_path, x.earnings, rep_path)
-    R.upsert_days(expense_correction_rows(x.spark, x.sf_dir, 3), exp_path)
+    R.merge_expenses(expense_correction_rows(x.spark, x.sf_dir, 3), exp_path)
     R.reconcile(x.spark, exp_path, x.earnings, rep_path, days=[3])
     rep = x.spark.read.parquet(rep_path)
     return rep.select(*[F.col(c).cast("int").alias(c) if c == "sim_day" else F.col(c) for c in R.REPORT_COLUMNS])

@@ -89,7 +89,7 @@ def expense_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expense_correction_rows(spark: SparkSession, sf_dir: str, day: int = 3) -> DataFrame:
-    """A corrected feed for one day: maintenance doubled, every tenth vehicle removed."""
+    """A corrected feed for one day: maintenance doubled, every tenth vehicle not listed (it stays)."""
     e = expense_rows(spark, sf_dir).where(F.col("sim_day") == day)
     u = F.substring("vehicle_id", 2, 6).cast("long")
     return (e.where(u % 10 != 0)

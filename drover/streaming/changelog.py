@@ -18,6 +18,20 @@ def new_run_id() -> int:
     return int(time.time() * 1000)
 
 
+def stored_run_id(spark: SparkSession, root: str) -> int:
+    """The run number kept beside the checkpoints under ``root``; the first start makes it.
+    Batch numbers go on from the checkpoint after a restart, so the run must too: a batch
+    that was written but not committed then overwrites itself instead of appearing twice."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/checkpoints/run")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(folder):
+        return min(int(s.getPath().getName()) for s in fs.listStatus(folder))
+    run = new_run_id()
+    fs.create(jvm.org.apache.hadoop.fs.Path(folder, str(run)), False).close()
+    return run
+
+
 def write_batch(df: DataFrame, path: str, run_id: int, batch_id: int, partition_by=()) -> None:
     (df.withColumn("run", F.lit(int(run_id))).withColumn("batch_id", F.lit(int(batch_id)))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

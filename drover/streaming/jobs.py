@@ -174,13 +174,13 @@ def start_expense_loader(spark: SparkSession, landing_path: str, table_path: str
                          on_duplicate: str = "raise"):
     """Load newly landed expense files into the day-partitioned expenses table.
 
-    A landed file is a complete day (or a complete correction of one): every micro-batch
-    replaces the days it contains (dynamic partition overwrite), so a corrected file
-    replaces that day and a replayed batch rewrites the same partitions. A vehicle listed
-    twice for one day fails the batch (``on_duplicate="raise"``) or keeps one row
+    Rows are upserted by (vehicle_id, sim_day), so the table does not depend on how a day is
+    spread over files or triggers, a correction replaces the vehicles it lists, and a
+    replayed batch writes the same rows again. A vehicle listed twice for one day in a batch
+    fails it (``on_duplicate="raise"``) or keeps one row
     (``"keep_one"``).
     """
-    from drover.operators.reconcile import upsert_days
+    from drover.operators.reconcile import merge_expenses
     from drover.sources.expenses import duplicate_keys, stream_expense_feed
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
@@ -189,9 +189,9 @@ def start_expense_loader(spark: SparkSession, landing_path: str, table_path: str
             if not duplicate_keys(batch_df).isEmpty():
                 batch_df.unpersist()
                 raise ValueError(f"duplicate (vehicle_id, sim_day) rows in expense batch {batch_id}")
-            upsert_days(batch_df, table_path)
+            merge_expenses(batch_df, table_path)
         else:
-            upsert_days(batch_df.dropDuplicates(["vehicle_id", "sim_day"]), table_path)
+            merge_expenses(batch_df.dropDuplicates(["vehicle_id", "sim_day"]), table_path)
         batch_df.unpersist()
 
     src = stream_expense_feed(spark, landing_path, max_files_per_trigger=max_files_per_trigger)
@@ -209,7 +209,7 @@ def start_speed_layer(spark: SparkSession, wire: DataFrame, params, root: str, r
     (event-time order behind the watermark) or "merge" (no Python workers).
     """
     use_rocksdb(spark)
-    run_id = run_id or CL.new_run_id()
+    run_id = run_id or CL.stored_run_id(spark, root)
     t = {"raw_log": {"processingTime": "5 seconds"}, "zone_metrics": {"processingTime": "15 seconds"},
          "daily_earnings": {"processingTime": "15 seconds"}, "vehicle_status": {"processingTime": "5 seconds"}}
     t.update(triggers or {})

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from drover.session import path_exists
 from drover.streaming import changelog as CL
 
 FIELDS = ["driver_id", "lat", "lon", "speed", "zone", "fare", "sim_day"]
@@ -29,12 +30,11 @@ def _previous(spark: SparkSession, state_path: str, snapshots: str | None, run_i
     """Status before this batch: versions written by earlier batches only, so a replayed
     batch is recomputed from the same state as its first attempt."""
     earlier = F.struct("run", "batch_id") < F.struct(F.lit(int(run_id)), F.lit(int(batch_id)))
-    try:
-        if snapshots:
-            return CL.resolve_compacted(spark, state_path, ["vehicle_id"], snapshots, where=earlier)
-        return CL.resolve(spark, state_path, ["vehicle_id"], where=earlier)
-    except Exception:  # noqa: BLE001  (no state written yet)
+    if not path_exists(spark, state_path):
         return None
+    if snapshots:
+        return CL.resolve_compacted(spark, state_path, ["vehicle_id"], snapshots, where=earlier)
+    return CL.resolve(spark, state_path, ["vehicle_id"], where=earlier)
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, previous: DataFrame | None) -> DataFrame:
