@@ -129,9 +129,11 @@ class FleetStore:
 
     def income_trend(self, vehicle_id: str | None = None, days: int | None = None, by_month: bool = False,
                      show_profitable: bool = True, show_unprofitable: bool = True) -> DataFrame:
-        """Income per day (fleet, or one vehicle) for the latest ``days`` days, optionally
+        """Income per day (fleet, or one vehicle) for the latest ``days`` days (1 to 500,
+        default 200: the endpoint's own argument), optionally
         filtered like the dashboard (unreconciled days always kept) and bucketed into
         30-day months after the filter."""
+        days = SV.clamp_days(days)
         if vehicle_id is not None:
             t = SV.income_trend_vehicle(self.earnings(), self.report(), vehicle_id, days)
         else:

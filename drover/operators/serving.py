@@ -120,26 +120,29 @@ def _trend_join(earnings: DataFrame, report: DataFrame) -> DataFrame:
 
 
 def income_trend_fleet(earnings: DataFrame, report: DataFrame, days: int | None = None) -> DataFrame:
-    """Fleet income per day for the latest ``days`` days, chronological. ``net_profit`` and
-    ``profitable`` stay null for days with no reconciled vehicle."""
-    n = clamp_days(days)
+    """Fleet income per day for the latest ``days`` days (clamped; None: all days),
+    chronological. ``net_profit`` and ``profitable`` stay null for days with no reconciled
+    vehicle."""
     g = _trend_join(earnings, report).groupBy("sim_day").agg(
         F.sum("total_fare").alias("total_fare"),
         F.sum("trip_count").cast("long").alias("trip_count"),
         F.sum("net_profit").alias("net_profit"))
     g = g.withColumn("profitable", F.when(F.col("net_profit").isNotNull(), F.col("net_profit") > 0))
-    return g.orderBy(F.col("sim_day").desc()).limit(n).orderBy("sim_day")
+    if days is not None:
+        g = g.orderBy(F.col("sim_day").desc()).limit(clamp_days(days))
+    return g.orderBy("sim_day")
 
 
 def income_trend_vehicle(earnings: DataFrame, report: DataFrame, vehicle_id: str | None = None,
                          days: int | None = None) -> DataFrame:
-    """Chronological per-vehicle income for each vehicle's latest ``days`` days (one vehicle when given)."""
-    n = clamp_days(days)
+    """Chronological per-vehicle income for each vehicle's latest ``days`` days (clamped;
+    None: all days), of one vehicle when given."""
     e = earnings if vehicle_id is None else earnings.where(F.col("vehicle_id") == vehicle_id)
     j = _trend_join(e, report)
-    w = Window.partitionBy("vehicle_id").orderBy(F.col("sim_day").desc())
-    return (j.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
-            .select("vehicle_id", "sim_day", "total_fare", "trip_count", "net_profit", "profitable")
+    if days is not None:
+        w = Window.partitionBy("vehicle_id").orderBy(F.col("sim_day").desc())
+        j = j.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= clamp_days(days))
+    return (j.select("vehicle_id", "sim_day", "total_fare", "trip_count", "net_profit", "profitable")
             .orderBy("vehicle_id", "sim_day"))
 
 

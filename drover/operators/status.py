@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from drover.functions import day_start_us, epoch_us, known_at, lit_ts, seconds_between, sim_day_of
+from drover.functions import day_start_us, epoch_us, known_at, lit_ts, newer_than, seconds_between, sim_day_of
 from drover.operators.sequence import with_run_id
 
 
@@ -74,6 +74,15 @@ def latest_status(events: DataFrame, params) -> DataFrame:
         F.col("last.event_ts").alias("updated_at"))
 
 
+def recent_status(events: DataFrame, params, recency_s: float) -> DataFrame:
+    """(vehicle_id, status, updated_at) of vehicles with an event in the ``recency_s`` before
+    ``as_of``, from those events alone (time predicates reach the scan; no run detection)."""
+    recent = newer_than(as_of_filter(events, params), params.as_of - int(recency_s), params)
+    last = recent.groupBy("vehicle_id").agg(
+        F.max_by(F.struct("status", "event_ts"), F.struct("event_ts", "event_id")).alias("last"))
+    return last.select("vehicle_id", "last.status", F.col("last.event_ts").alias("updated_at"))
+
+
 def idle_spells(spells: DataFrame, threshold_s: float) -> DataFrame:
     """Idle runs longer than the threshold (strictly)."""
     return (spells.where((F.col("status") == "idle") & (F.col("duration_s") > F.lit(float(threshold_s))))

@@ -65,6 +65,10 @@ class Inputs:
     def latest(self) -> DataFrame:
         return S.latest_status(self.events, self.params)
 
+    @cached_property
+    def recent(self) -> DataFrame:
+        return S.recent_status(self.events, self.params, self.params.status_recency_s)
+
     @cached_property
     def zones_1min(self) -> DataFrame:
         return M.zone_metrics(self.events, self.params, "1 minute")

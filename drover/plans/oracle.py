@@ -247,7 +247,7 @@ SELECT * FROM (
          sum(r.net_profit) AS net_profit,
          CASE WHEN sum(r.net_profit) IS NULL THEN NULL ELSE sum(r.net_profit) > 0 END AS profitable
   FROM earnings e LEFT JOIN report r ON r.vehicle_id = e.vehicle_id AND r.sim_day = e.sim_day
-  GROUP BY e.sim_day ORDER BY e.sim_day DESC LIMIT {C.TREND_DAYS_DEFAULT})"""
+  GROUP BY e.sim_day)"""
 
 _Q: dict[str, str] = {}
 
@@ -350,10 +350,8 @@ SELECT sim_day, {_r('total_fare', 'total_fare')}, trip_count, {_r('net_profit',
 FROM ({TREND_FLEET})"""
 _Q["income_trend_vehicle"] = f"""
 SELECT vehicle_id, sim_day, {_r('total_fare', 'total_fare')}, trip_count, {_r('net_profit', 'net_profit')}, profitable
-FROM (SELECT e.vehicle_id, e.sim_day, e.total_fare, e.trip_count, r.net_profit, r.profitable,
-             row_number() OVER (PARTITION BY e.vehicle_id ORDER BY e.sim_day DESC) AS rn
-      FROM earnings e LEFT JOIN report r ON r.vehicle_id = e.vehicle_id AND r.sim_day = e.sim_day)
-WHERE rn <= {C.TREND_DAYS_DEFAULT}"""
+FROM (SELECT e.vehicle_id, e.sim_day, e.total_fare, e.trip_count, r.net_profit, r.profitable
+      FROM earnings e LEFT JOIN report r ON r.vehicle_id = e.vehicle_id AND r.sim_day = e.sim_day)"""
 _Q["income_trend_month"] = f"""
 SELECT CAST(floor(sim_day / {C.DAYS_PER_MONTH}) AS INTEGER) AS month, {_r('sum(total_fare)', 'total_fare')},
        CAST(sum(trip_count) AS BIGINT) AS trip_count, {_r('coalesce(sum(net_profit), 0e0)', 'net_profit')},

@@ -162,12 +162,12 @@ def _vehicle_idle_seconds(x: Inputs):
 # ---------------------------------------------------------------- serving
 @query("realtime_summary")
 def _realtime_summary(x: Inputs):
-    return SV.realtime_summary(x.latest, x.events, x.params)
+    return SV.realtime_summary(x.recent, x.events, x.params)
 
 
 @query("realtime_status")
 def _realtime_status(x: Inputs):
-    return SV.realtime_status(x.latest, x.params)
+    return SV.realtime_status(x.recent, x.params)
 
 
 @query("realtime_zones")
@@ -218,7 +218,7 @@ def _income_total(x: Inputs):
 
 @query("vehicles")
 def _vehicles(x: Inputs):
-    return SV.vehicles(x.latest)
+    return SV.vehicles(S.as_of_filter(x.events, x.params))
 
 
 @query("pipeline_health")
