@@ -10,6 +10,7 @@ The order changes the work, never the verdict.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -95,12 +96,16 @@ def ordered(rules: list[Rule], sample: DataFrame) -> list[Rule]:
     return [r for _, _, r in sorted(found, key=lambda x: x[:2])]
 
 
-def cascade(df: DataFrame, rules: list[Rule], name: str = "rejected_by", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``df`` with column ``name``: the first rule, in the cascade's order, that rejects
-    the row, else null. A rule whose condition is null doesn't reject."""
-    rows = df.count()
+def cascade(docs: DataFrame, rules: list[Rule], features: Callable[[DataFrame], DataFrame] = lambda d: d,
+            name: str = "rejected_by", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``features(docs)`` with column ``name``: the first rule, in the cascade's order, that
+    rejects the row, else null. A rule whose condition is null doesn't reject. The sample is
+    drawn from ``docs``, so features of the rest are worked out once."""
+    rows = docs.count()
     share = min(1.0, sample_rows / rows) if rows else 1.0
-    order = ordered(rules, written(df.sample(share, seed=17), "rule-sample"))
+    drawn = written(docs.sample(share, seed=17), "rule-rows")    # else a sample above the features computes all of them
+    order = ordered(rules, written(features(drawn), "rule-sample"))
+    df = features(docs)
     verdict = F.lit(None).cast("string")
     for r in reversed(order):        # CASE evaluates conditions in order and stops
         verdict = F.when(r.rejects, F.lit(r.name)).otherwise(verdict)
@@ -119,10 +124,9 @@ def quality(docs: DataFrame, text_col: str = "text", prefix: str = "q_", rules:
     clash = [c for c in docs.columns if c.startswith(prefix)] if prefix else []
     if clash:
         raise ValueError(f"columns {clash} begin with {prefix!r}")
-    features = text_features(docs, text_col, prefix)
     failed = base_failed(prefix)
     own = [Rule(r.name, ~failed & r.rejects) for r in (rules or default_rules(prefix))]
     # ~failed guards every rule, so what the base rejects skips them all
-    judged = cascade(features, own, prefix + "rejected_by")
+    judged = cascade(docs, own, lambda d: text_features(d, text_col, prefix), prefix + "rejected_by")
     return judged.withColumns({prefix + "base_failed": failed, prefix + "kept": ~failed & F.col(prefix + "rejected_by").isNull()}).drop(
         prefix + "words", prefix + "n_lines")
