@@ -21,6 +21,8 @@ from drover.llm.common import sized, written
 #: Columns of a packed row. ``ids``/``digests``/``counts``: documents and how many entries
 #: of each follow, in order; ``hashes``/``pos``/``extra``/``bytes``: the entries.
 SCHEMA = "bucket int, known boolean, ids binary, digests binary, counts binary, hashes binary, pos binary, extra binary, bytes binary"
+#: Tells a hot hash from a document (whose digests are not negative).
+HOT_DIGEST = -1
 ARROW = pa.schema([("bucket", pa.int32()), ("known", pa.bool_())] + [
     (n, pa.binary()) for n in ("ids", "digests", "counts", "hashes", "pos", "extra", "bytes")])
 
@@ -145,10 +147,10 @@ def _shared(ids: np.ndarray, o: np.ndarray, first: np.ndarray, size: np.ndarray,
     return size > 1 if within else ids[o[first]] != ids[o[first + size - 1]]
 
 
-def settle_shared(n: int, within: bool):
+def settle_shared(n: int, within: bool, counted: bool = False):
     """Within a task: hashes that several documents (``within``: several places) hold are
-    known to be shared and go straight back; one entry for each (position -1) tells the
-    bucket."""
+    known to be shared and go straight back; one entry for each (position -1, ``counted``:
+    minus their number) tells the bucket."""
     def settle(ids, digests, hashes, pos):
         o, first = groups_of(hashes, ids)
         size = np.diff(np.append(first, len(o)))
@@ -158,13 +160,15 @@ def settle_shared(n: int, within: bool):
         yield send_back(ids[known], digests[known], pos[known], None, n)
         keep = np.sort(np.concatenate((o[~many], tell)))
         marked = pos.copy()
-        marked[tell] = -1
+        marked[tell] = -size[shared] if counted else -1
         yield pack(ids[keep], digests[keep], hashes[keep], marked[keep], None, hash_bucket(hashes[keep], n), False)
     return settle
 
 
-def meet_shared(n: int, within: bool):
-    """In a bucket: the entries whose hash several documents (places) hold go back."""
+def meet_shared(n: int, within: bool, hot: int | None = None):
+    """In a bucket: the entries whose hash several documents (places) hold go back.
+    ``hot`` (entries settled as ``counted``): a hash with more places than this goes back
+    too, in the form of an entry of the document (hash as id, HOT_DIGEST)."""
     def run(t: pa.Table) -> pa.Table:
         e = Entries(t, False)
         out = known_rows(t)
@@ -175,6 +179,10 @@ def meet_shared(n: int, within: bool):
             back = o[np.repeat(shared, size)]
             back = back[e.pos[back] >= 0]
             out.append(send_back(e.ids[back], e.digests[back], e.pos[back], None, n))
+            if hot is not None:
+                places = np.add.reduceat(np.where(e.pos[o] < 0, -e.pos[o].astype(np.int64), 1), first)
+                many = e.hashes[o[first[places > hot]]].view(np.int64)
+                out.append(send_back(many, np.full(len(many), HOT_DIGEST, np.int32), np.zeros(len(many), np.int32), None, n))
         return pa.Table.from_batches(out, ARROW)
     return run
 

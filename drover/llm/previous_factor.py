@@ -12,6 +12,9 @@ with a smaller id, or earlier in the same document. Matches never cross document
    suffixes (prefix doubling); the previous and next smaller positions in suffix order,
    with the minima of the common-prefix lengths on the way, give each window's longest
    previous factor. Windows whose factor has 100 bytes or more are repeated.
+   An anchor hash with more than HOT places (a line that many documents share) would make
+   a suffix array that grows with the input. Its distinct contexts are taken apart into
+   windows, which meet by window hash in all buckets; each but the earliest is repeated.
 3. The union of the repeated windows is cut; the earliest copy stays.
 """
 
@@ -22,18 +25,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from drover.llm import exchange as X
-from drover.llm.common import buckets, doc_key, text_slices
+from drover.llm.common import buckets, doc_key, ship, text_slices
 from drover.llm.words import BYTES, in_spans, merge_spans, mix, prefix_hash, range_hash, runs
 
 LENGTH = 100
 GRAM = 32
 #: Anchors that a map task gathers before it sends them on, and contexts likewise.
 FLUSH, FLUSH_CONTEXTS = 2_000_000, 150_000
-#: Bytes of contexts in one suffix array.
+#: Bytes of contexts in one suffix array, at most.
 SUFFIX_BYTES = 1 << 20
+#: Places of an anchor hash whose contexts (168 bytes at most) fill half of that.
+HOT = SUFFIX_BYTES // 2 // (2 * LENGTH - GRAM)
+#: Contexts of hot anchors that a map task takes apart at once.
+HOT_CONTEXTS = 20_000
 _POSITION_BITS = 26
 
 
@@ -67,7 +74,7 @@ def anchors_of(data: np.ndarray, off: np.ndarray):
 
 def _anchors(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g = X.Gathered(X.settle_shared(n, True), FLUSH)
+        g = X.Gathered(X.settle_shared(n, True, counted=True), FLUSH)
         for b in batches:
             ids, dig = b.column("key_id").to_numpy(), b.column("key_digest").to_numpy()
             for row, data, off in text_slices(b.column("text")):
@@ -83,16 +90,61 @@ def _near(pos: np.ndarray, _extra) -> np.ndarray:
     return merge_spans(np.stack([np.maximum(pos - GRAM, 0), pos + GRAM], axis=1))
 
 
-def _contexts(n: int):
+def _windows_of(raw: bytes, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, offset in it, hash) of every window of the contexts that ``raw`` holds."""
+    count = size - LENGTH + 1
+    which = np.repeat(np.arange(len(size)), count)
+    offset = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+    at = (np.cumsum(size) - size)[which] + offset
+    return which, offset, range_hash(prefix_hash(BYTES[np.frombuffer(raw, np.uint8)]), at, at + LENGTH)
+
+
+def _settle_windows(ids, digests, hashes, pos, extra):
+    """(entries that begin their run of equal windows, entries that are repeated)."""
+    o = np.lexsort((pos, digests, ids, extra, hashes))
+    h, x = hashes[o], extra[o]
+    new = np.concatenate(([True], (h[1:] != h[:-1]) | (x[1:] != x[:-1])))
+    again, other = _again(np.cumsum(new), ids[o], digests[o], pos[o])
+    return o[~again], o[again & other]
+
+
+def _windows_back(ids, digests, pos, n: int) -> pa.RecordBatch:
+    """Repeated windows, for the documents' buckets: one entry per run of them."""
+    o = np.lexsort((pos, digests, ids))
+    i, g, p = ids[o], digests[o], pos[o]
+    new = np.concatenate(([True], (i[1:] != i[:-1]) | (g[1:] != g[:-1]) | (p[1:] > p[:-1] + 1)))[:len(p)]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(p))[:len(first)] - 1
+    return X.send_back(i[first], g[first], p[first], (p[last] - p[first] + LENGTH).astype(np.int32), n)
+
+
+def _contexts(n: int, hot):
     """Map side of step 2: one entry per anchor context; equal contexts of the task keep
-    the earliest, the later ones are known to be repeated whole."""
+    the earliest, the later ones are known to be repeated whole. Of ``hot`` anchor hashes
+    (a broadcast sorted array), one entry per window, settled likewise: the window's hash,
+    and instead of lengths a negative number from the anchor's."""
+    def take_apart(ids, digests, hashes, pos, parts, k):
+        size = np.array([len(x) for x in parts[k]])
+        which, offset, own = _windows_of(b"".join(parts[k]), size)
+        k, at = k[which], pos[k[which]] + offset.astype(np.int32)
+        tag = -1 - (hashes[k] >> np.uint64(33)).astype(np.int32)
+        keep, again = _settle_windows(ids[k], digests[k], own, at, tag)
+        yield _windows_back(ids[k[again]], digests[k[again]], at[again], n)
+        keep = np.sort(keep)
+        k = k[keep]
+        yield X.pack(ids[k], digests[k], own[keep], at[keep], tag[keep], X.hash_bucket(own[keep], n), False)
+
     def settle(ids, digests, hashes, own, pos, extra, parts):
         o = np.lexsort((pos, digests, ids, own))
         again, other = _again(own[o], ids[o], digests[o], pos[o])
         known, keep = o[again & other], np.sort(o[~again])
         yield X.send_back(ids[known], digests[known], pos[known], extra[known] >> 8, n)
+        many = _among(hashes[keep].view(np.int64), hot.value)
+        apart, keep = keep[many], keep[~many]
         yield X.pack(ids[keep], digests[keep], hashes[keep], pos[keep], extra[keep],
                      X.hash_bucket(hashes[keep], n), False, parts[keep])
+        for i in range(0, len(apart), HOT_CONTEXTS):
+            yield from take_apart(ids, digests, hashes, pos, parts, apart[i:i + HOT_CONTEXTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = X.Gathered(settle, FLUSH_CONTEXTS)
@@ -116,6 +168,12 @@ def _contexts(n: int):
     return run
 
 
+def _among(values: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    if not len(sorted_):
+        return np.zeros(len(values), bool)
+    return sorted_[np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)] == values
+
+
 def _again(own: np.ndarray, *place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For sorted contexts: which repeat the one that begins their run, and which of those
     lie elsewhere (a repeated row of the table has the same place)."""
@@ -172,6 +230,13 @@ def _meet_contexts(n: int):
     def run(t: pa.Table) -> pa.Table:
         e = X.Entries(t, False)
         out = X.known_rows(t)
+        w = np.flatnonzero(e.extra < 0)
+        if len(w):
+            _, again = _settle_windows(e.ids[w], e.digests[w], e.hashes[w], e.pos[w], e.extra[w])
+            k = w[again]
+            out.append(_windows_back(e.ids[k], e.digests[k], e.pos[k], n))
+            c = np.flatnonzero(e.extra >= 0)
+            e.ids, e.digests, e.hashes, e.pos, e.extra = e.ids[c], e.digests[c], e.hashes[c], e.pos[c], e.extra[c]
         if len(e):
             size = (e.extra >> 8).astype(np.int64)
             end = np.cumsum(size)
@@ -200,13 +265,14 @@ def _meet_contexts(n: int):
 
 
 def _portions(o: np.ndarray, hashes: np.ndarray, size: np.ndarray):
-    """Whole groups of one anchor hash, together about SUFFIX_BYTES."""
+    """Whole groups of one anchor hash, together SUFFIX_BYTES at most (a group, of HOT
+    contexts at most, has half of that)."""
     if not len(o):
         return
     h = hashes[o]
     group = np.cumsum(np.concatenate(([0], h[1:] != h[:-1])))
-    total = np.cumsum(size[o])
-    begin = total[np.searchsorted(group, group)] // SUFFIX_BYTES
+    before = np.cumsum(size[o]) - size[o]
+    begin = before[np.searchsorted(group, group)] // (SUFFIX_BYTES // 2)
     yield from np.split(o, np.flatnonzero(np.diff(begin)) + 1)
 
 
@@ -232,8 +298,11 @@ def _repeated(e: X.Entries, data, lo, end, o):
 def repeated_spans(keyed: DataFrame) -> DataFrame:
     """(key_id, key_digest, spans): merged byte spans to remove, for documents that have any."""
     n = buckets(keyed.sparkSession)
-    near = X.exchanged(keyed.mapInArrow(_anchors(n), X.SCHEMA), X.meet_shared(n, True), _near, "factor-anchors")
-    found = X.with_spans(keyed, near).mapInArrow(_contexts(n), X.SCHEMA)
+    near = X.exchanged(keyed.mapInArrow(_anchors(n), X.SCHEMA), X.meet_shared(n, True, HOT), _near, "factor-anchors")
+    # hot hashes: one in HOT anchors at most, 8 bytes each
+    hot = near.where(F.col("key_digest") == X.HOT_DIGEST).select("key_id").distinct().toArrow().column("key_id").to_numpy()
+    hot = ship(keyed.sparkSession).sparkContext.broadcast(np.sort(hot))
+    found = X.with_spans(keyed, near.where(F.col("key_digest") != X.HOT_DIGEST)).mapInArrow(_contexts(n, hot), X.SCHEMA)
     return X.exchanged(found, _meet_contexts(n), lambda pos, size: merge_spans(np.stack([pos, pos + size], axis=1)), "factor-spans")
 
 

@@ -117,6 +117,38 @@ def test_previous_factor(docs, empty):
     assert previous_factor.remove_repeats(empty).count() == 0
 
 
+def test_hot_anchor_is_taken_apart(spark, monkeypatch):
+    line = "the one line that very many documents share, word for word"
+    rows = [(k, f"{prose(30, 500 + k % 70)} {k % 7}\n{line}\n{prose(12, 600 + k % 11)} {prose(20, 700 + k)}") for k in range(240)]
+    rows += [(None, rows[0][1]), (7, rows[7][1]), (7, rows[8][1]), (300, line * 9)]
+    monkeypatch.setattr(previous_factor, "HOT", 20)
+    monkeypatch.setattr(previous_factor, "SUFFIX_BYTES", 1 << 13)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = previous_factor.remove_repeats(docs).collect()
+    assert sorted((r.key_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_bytes(rows)
+
+
+def test_no_suffix_array_exceeds_its_bound(spark, monkeypatch):
+    line = "the one line that very many documents share, word for word"
+    n, r = 4 * previous_factor.HOT, np.random.default_rng(5)
+    texts = ["".join(map(chr, r.integers(97, 123, 60))) + line + "".join(map(chr, r.integers(97, 123, 60))) for _ in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keyed = previous_factor.doc_key(docs)
+    near = previous_factor.X.exchanged(keyed.mapInArrow(previous_factor._anchors(4), previous_factor.X.SCHEMA),
+                                       previous_factor.X.meet_shared(4, True, previous_factor.HOT), previous_factor._near, "hot-test")
+    hot = near.where("key_digest = -1").collect()
+    assert len(hot) >= 1
+    shared = spark.sparkContext.broadcast(np.sort(np.array([x.key_id for x in hot], np.int64)))
+    found = previous_factor.X.with_spans(keyed, near.where("key_digest >= 0")).mapInArrow(
+        previous_factor._contexts(4, shared), previous_factor.X.SCHEMA).where("not known").toArrow()
+    e = previous_factor.X.Entries(found, False)
+    assert len(e) and max(np.unique(e.hashes[e.extra >= 0], return_counts=True)[1], default=0) <= previous_factor.HOT
+    assert max(np.unique(e.hashes[e.extra < 0], return_counts=True)[1]) <= n // 100
+    sizes = np.array([100] * 50)
+    whole = list(previous_factor._portions(np.arange(50), np.repeat(np.arange(25), 2).astype(np.uint64), sizes))
+    assert sum(map(len, whole)) == 50
+
+
 def test_previous_factors_equal_brute_force():
     r = np.random.default_rng(8)
     text = r.integers(97, 99, 600).astype(np.uint8)
