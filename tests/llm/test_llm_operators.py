@@ -422,6 +422,64 @@ def test_url_models_separate_held_out_urls(spark):
     assert np.mean((p >= 0.5) == np.array([y for _, y in rows[400:]])) > 0.95
 
 
+def brute_difference(url, labelled):
+    symbols = lambda u: [None] * url_model.ORDER + list(u.encode()) + [0]
+    log = []
+    for c in (0, 1):
+        n, follow = labelled[c]
+        p_all, s = [], symbols(url)
+        for i in range(url_model.ORDER, len(s)):
+            p = 1 / 257
+            for k in range(url_model.ORDER + 1):
+                ctx = tuple(s[i - k:i])
+                m, t = n[k, ctx], len(follow[k, ctx])
+                if m:
+                    p = (follow[k, ctx].get(s[i], 0) + t * p) / (m + t)
+            p_all.append(np.log(p))
+        log.append(np.mean(p_all))
+    return log[1] - log[0]
+
+
+def brute_counts(urls):
+    n, follow = defaultdict(int), defaultdict(lambda: defaultdict(int))
+    for u in urls:
+        s = [None] * url_model.ORDER + list(u.encode()) + [0]
+        for i in range(url_model.ORDER, len(s)):
+            for k in range(url_model.ORDER + 1):
+                n[k, tuple(s[i - k:i])] += 1
+                follow[k, tuple(s[i - k:i])][s[i]] += 1
+    return n, follow
+
+
+def test_url_counts_are_exact_whatever_their_number(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    word = lambda k: "".join(r.choice(list("abcdefghijklmnopqrstuvwxyz0123456789" if k % 2 else "0123456789.-_~"), 24))
+    rows = [(f"http://{word(k)}.{'net' if k % 2 else 'org'}/fr/{word(k)}", bool(k % 2)) for k in range(2600)]
+    train = spark.createDataFrame(rows, "url string, rejected boolean")
+    fold = {x.url: x.f for x in train.select("url", F.pmod(F.xxhash64("url"), F.lit(url_model.FOLD)).alias("f")).collect()}
+    labelled = [brute_counts([u for u, y in rows if y == bool(c) and fold[u]]) for c in (0, 1)]
+    assert sum(len(f) for n, follow in labelled for (k, _), f in follow.items() if k == 4) > 1 << 16
+    test = [u for u, _ in rows[:60]] + [f"http://{word(k)}/x" for k in range(20)] + ["", "é"]
+    want = [brute_difference(u, labelled) for u in test]
+    raw = [u.encode() for u in test]
+    model = url_model.train(train)
+    assert np.allclose(model.differences(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])), want)
+    # more counts than may be broadcast: the same by joins, with repeated rows and null urls
+    monkeypatch.setattr(url_model, "MODEL_BYTES", 0)
+    monkeypatch.setattr(url_model, "BLOCK", 30)
+    joined = url_model.train(train)
+    assert joined.shared is None and np.allclose([joined.weight, joined.bias], [model.weight, model.bias])
+    asked = spark.createDataFrame([(None if u == "" else u, k) for k, u in enumerate(test)] + [("é", 81)] * 3, "url string, i long")
+    got = sorted((x.i, x.difference) for x in joined.scored(asked).collect())
+    assert [i for i, _ in got] == [*range(81), *[81] * 4]
+    assert np.allclose([x for _, x in got], [*want, *want[-1:] * 3])
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows[:40])] + [(90, "http://plain.com/"), (None, None)], "page_id long, url string")
+    by_join = url_model.judge(pages).collect()
+    monkeypatch.undo()
+    row = lambda x: (str(x.page_id), x.host, x.path, x.rule, x.verdict, round(x.p_rejected, 9))
+    assert sorted(map(row, by_join)) == sorted(map(row, url_model.judge(pages).collect()))
+
+
 # ------------------------------------------------------------------ 8
 def test_language(spark, empty):
     d = spark.read.parquet(f"{SF001}/documents.parquet")
