@@ -5,7 +5,8 @@ totals (documents and tokens by source, language and tokenizer version) and the
 counts of documents. A batch holds inserts, deletes and revised counts; what it changes is
 its new count less the one before, so totals are never recomputed from documents.
 
-Folders: ``counts/batch=N`` (document, tokenizer -> count, or null after a delete),
+Folders: ``counts/batch=N`` (document, tokenizer -> count, or null after a delete; rows
+without an id: source, language, tokenizer and count -> how many documents),
 ``deltas/batch=N`` (signed totals) and ``commits/batch=N``, written last. Readers see
 committed batches only; a batch that is applied again does nothing, and one that stopped
 half-way is written anew.
@@ -17,14 +18,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from drover.llm.common import ship, text_slices
 from drover.llm.tokens import tokens
 
 KEY = ["doc_id", "tokenizer"]
 GROUP = ["source", "lang", "tokenizer"]
-COUNTS = "doc_id long, tokenizer string, source string, lang string, n_tokens long"
+COUNTS = "doc_id long, tokenizer string, source string, lang string, n_tokens long, docs long"
 DELTAS = "source string, lang string, tokenizer string, docs long, tokens long"
 
 
@@ -70,10 +71,35 @@ class TokenTotals:
         return reader.parquet(*paths) if paths else self.spark.createDataFrame([], f"{schema}, batch long")
 
     def counts(self) -> DataFrame:
-        """Current count of every document and tokenizer version."""
-        latest = self._read("counts", COUNTS).groupBy(*KEY).agg(
-            F.max_by(F.struct("source", "lang", "n_tokens"), "batch").alias("now"))
-        return latest.where("now.n_tokens is not null").select(*KEY, "now.*")
+        """Current count of every document and tokenizer version; documents without an id
+        as one row for equal ones, with their number."""
+        latest = self._read("counts", COUNTS).where("doc_id is not null").groupBy(*KEY).agg(
+            F.max_by(F.struct("source", "lang", "n_tokens", "docs"), "batch").alias("now"))
+        return latest.where("now.n_tokens is not null").select(*KEY, "now.*").unionByName(self._without_id())
+
+    def _without_id(self) -> DataFrame:
+        latest = self._read("counts", COUNTS).where("doc_id is null").groupBy("doc_id", *GROUP, "n_tokens").agg(F.max_by("docs", "batch").alias("docs"))
+        return latest.where("docs > 0")
+
+    def _apply_without_id(self, changes: DataFrame) -> DataFrame:
+        """(source, lang, tokenizer, n_tokens, before, docs): how many documents without an
+        id there were and are, where ``changes`` alter it (see :meth:`apply`)."""
+        op = F.coalesce(F.col("op"), F.lit(""))
+        number = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
+        n = F.col("n_tokens").cast("long")
+        new = changes.where("doc_id is null").groupBy(*GROUP, F.coalesce(n, F.lit(0)).alias("n_tokens")).agg(
+            number(op != "delete").alias("more"), number((op == "delete") & n.isNotNull()).alias("less"),
+            number((op == "revise") | ((op == "delete") & n.isNull())).alias("taken"))
+        zero = F.lit(0).cast("long")
+        old = self._without_id().select(*GROUP, "n_tokens", zero.alias("more"), zero.alias("less"), zero.alias("taken"), F.col("docs").alias("before"))
+        both = new.withColumn("before", zero).unionByName(old).groupBy(*GROUP, "n_tokens").agg(
+            *(F.sum(c).alias(c) for c in ("more", "less", "taken", "before")))
+        group = Window.partitionBy(*GROUP)
+        left = F.greatest(F.col("before") - F.col("less"), zero)
+        both = both.withColumn("left", left).withColumn("taken", F.sum("taken").over(group)).withColumn(
+            "lower", F.sum("left").over(group.orderBy("n_tokens").rowsBetween(Window.unboundedPreceding, 0)) - F.col("left"))
+        out = F.col("left") - F.greatest(F.least(F.col("left"), F.col("taken") - F.col("lower")), zero) + F.col("more")
+        return both.select(*GROUP, "n_tokens", "before", out.alias("docs")).where("docs <> before")
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, docs, tokens) over committed batches."""
@@ -87,9 +113,15 @@ class TokenTotals:
         An insert or revision sets the document's count, whatever it was (so an insert of
         a known document counts as its revision); a delete takes the count away, and does
         nothing if there is none. Several changes of one document in a batch: a delete
-        wins, else the largest count. Null ids, sources, languages and tokenizers are
-        groups of their own; a null count counts as zero. Batches are applied in
-        ascending order; a lower number than the last committed one raises.
+        wins, else the largest count. Null sources, languages and tokenizers are groups of
+        their own; a null count counts as zero. Batches are applied in ascending order; a
+        lower number than the last committed one raises.
+
+        Each row without an id is a document of its own, known by source, language,
+        tokenizer and count alone: an insert adds one; a delete takes away one of its
+        count (without a count: of the lowest there is), if there is one; a revision takes
+        the place of the one with the lowest count that the batch's deletes leave, or is
+        added if none is left.
         """
         done = self.committed()
         if batch in done:
@@ -97,19 +129,23 @@ class TokenTotals:
         if done and batch < done[-1]:
             raise ValueError(f"batch {batch} comes after batch {done[-1]}")
         gone = F.max(F.col("op") == "delete").alias("gone")
-        new = changes.groupBy(*KEY).agg(gone, F.max(F.when(F.col("op") != "delete", F.struct(
+        new = changes.where("doc_id is not null").groupBy(*KEY).agg(gone, F.max(F.when(F.col("op") != "delete", F.struct(
             F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)).alias("n_tokens"), "source", "lang"))).alias("new"))
         fresh = new.select(*KEY, "gone", F.when(~F.col("gone"), F.col("new")).alias("new"))
-        old = self.counts().select(F.col("doc_id").alias("o_id"), F.col("tokenizer").alias("o_tok"),
+        old = self.counts().where("doc_id is not null").select(F.col("doc_id").alias("o_id"), F.col("tokenizer").alias("o_tok"),
                                    F.struct("n_tokens", "source", "lang").alias("old"))
-        both = fresh.join(old, F.col("doc_id").eqNullSafe(F.col("o_id")) & F.col("tokenizer").eqNullSafe(F.col("o_tok")), "left")
+        both = fresh.join(old, (F.col("doc_id") == F.col("o_id")) & F.col("tokenizer").eqNullSafe(F.col("o_tok")), "left")
         changed = both.where(F.col("new").isNotNull() | F.col("old").isNotNull())
-        changed.select(*KEY, "new.source", "new.lang", "new.n_tokens").write.mode("overwrite").parquet(f"{self.path}/counts/batch={batch}")
+        own = self._apply_without_id(changes)
+        changed.select(F.col("doc_id").cast("long").alias("doc_id"), "tokenizer", "new.source", "new.lang", "new.n_tokens", F.lit(1).cast("long").alias("docs")).unionByName(
+            own.select(F.lit(None).cast("long").alias("doc_id"), *GROUP, "n_tokens", "docs")).write.mode("overwrite").parquet(f"{self.path}/counts/batch={batch}")
         signed = lambda c, sign: F.struct(F.col(f"{c}.source").alias("source"), F.col(f"{c}.lang").alias("lang"),
                                           F.lit(sign).cast("long").alias("docs"), (F.lit(sign) * F.col(f"{c}.n_tokens")).alias("tokens"))
         parts = changed.select("tokenizer", F.explode(F.filter(F.array(
             F.when(F.col("new").isNotNull(), signed("new", 1)), F.when(F.col("old").isNotNull(), signed("old", -1))),
             lambda x: x.isNotNull())).alias("d")).select("tokenizer", "d.*")
+        more = F.col("docs") - F.col("before")
+        parts = parts.unionByName(own.select(*GROUP, more.alias("docs"), (more * F.col("n_tokens")).alias("tokens")))
         parts.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where(
             "docs <> 0 or tokens <> 0").select("source", "lang", "tokenizer", "docs", "tokens").write.mode("overwrite").parquet(
             f"{self.path}/deltas/batch={batch}")

@@ -366,6 +366,21 @@ def test_token_totals(spark, docs, tokenizer):
         TokenTotals.apply(0, mk([]))
 
 
+def test_token_totals_count_every_row_without_an_id(spark):
+    t = token_counts.TokenTotals(spark, scratch_path(spark, "totals-null-test"))
+    mk = lambda rows: spark.createDataFrame(rows, "op string, doc_id long, tokenizer string, source string, lang string, n_tokens long")
+    read = lambda: sorted(tuple(r) for r in t.totals().fillna("-").collect())
+    t.apply(1, mk([("insert", None, "a", s, "en", n) for s, n in (("s", 5), ("s", 5), ("s", 9), ("t", 7), (None, 2))] + [("insert", 1, "a", "s", "en", 100)]))
+    assert read() == [("-", "en", "a", 1, 2), ("s", "en", "a", 4, 119), ("t", "en", "a", 1, 7)]
+    assert t.apply(2, mk([("revise", None, "a", s, "en", n) for s, n in (("s", 6), ("s", 0), ("s", 0), ("t", 8), (None, 3))] + [("revise", 1, "a", "s", "en", 90)]))
+    assert read() == [("-", "en", "a", 1, 3), ("s", "en", "a", 4, 96), ("t", "en", "a", 1, 8)]
+    assert t.apply(3, mk([("delete", None, "a", "s", "en", 0)] * 2 + [("delete", None, "a", "t", "en", 4), ("delete", None, "a", None, "en", None)]))
+    assert read() == [("s", "en", "a", 2, 96), ("t", "en", "a", 1, 8)]
+    assert t.apply(4, mk([("insert", None, "a", "s", "en", 6), ("revise", None, "a", "u", None, 1), ("delete", 1, "a", None, None, None)]))
+    assert read() == [("s", "en", "a", 2, 12), ("t", "en", "a", 1, 8), ("u", "-", "a", 1, 1)]
+    assert sorted((r.source, r.n_tokens, r.docs) for r in t.counts().collect()) == [("s", 6, 2), ("t", 8, 1), ("u", 1, 1)]
+
+
 # ------------------------------------------------------------------ 3
 def test_quality(docs, empty):
     got = quality.quality(docs).collect()
