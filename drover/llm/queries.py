@@ -7,8 +7,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from drover.llm import (best_fit, decontaminate, difference_cover, language, packed_output, previous_factor, quality,
-                        simhash, token_counts, url_model)
+from drover.llm import (best_fit, chunk_fingerprint, decontaminate, difference_cover, divergence, fill_in_middle, language,
+                        packed_output, previous_factor, quality, simhash, token_counts, url_model)
 from drover.llm.common import NULL_ID, table, written
 from drover.session import scratch_path
 
@@ -97,9 +97,32 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        decontaminate.items_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_chunk_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and its likeness to the edited
+    text and to the next document."""
+    return chunk_fingerprint.neighbour_likeness(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its lines cut into prefix, middle and suffix; the text is rebuilt
+    from the output."""
+    f = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return f.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"),
+                    sha(fill_in_middle.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every two sources of a language, and each source's over-used terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_best_fit_packing, op3_quality_rules, op4_url_filter, op5_packed_output, op6_simhash,
-    op7_previous_factor, op8_language_id, op9_difference_cover, op10_decontamination)}
+    op7_previous_factor, op8_language_id, op9_difference_cover, op10_decontamination, op11_chunk_fingerprint,
+    op12_fill_in_middle, op13_source_divergence)}
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _ALNUM = (r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -144,4 +167,44 @@ i as (select doc_id, list_sort(list(distinct item_id::varchar)) as items from h
 select d.doc_id, len(w)::bigint as n_words, coalesce(c.n, 0)::bigint as n_hit, coalesce(len(items), 0)::bigint as n_items,
   sha256(coalesce(array_to_string(items, ','), '')) as items_sha256, coalesce(c.n, 0) > 0 as contaminated
 from d left join c on d.doc_id = c.doc_id left join i on d.doc_id = i.doc_id""",
+    "op12_fill_in_middle": r"""
+with d as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as u,
+             sha256('7:' || coalesce(doc_id::varchar, '')) as h from documents),
+x as (select *, len(u) as n, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2,
+        ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from d),
+c as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+        case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 100 then 'plain'
+          when h4 % 100 < 50 then 'spm' else 'psm' end as form from x),
+p as (select *, array_to_string(u[1:a], '') as pre, array_to_string(u[a + 1:b], '') as mid, array_to_string(u[b + 1:], '') as suf from c)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(pre)::bigint end as prefix_chars,
+  case when form <> 'plain' then length(mid)::bigint end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+    else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+  sha256(pre || mid || suf) as restored_sha256
+from p""",
+    "op13_source_divergence": r"""
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as r,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+c as (select lang, source, r, term, count(*) as n from (select lang, source, r, unnest(w) as term from d) group by all),
+k as (select lang, term, sum(n)::hugeint as n from c group by all having count(*) >= 10),
+g as (select distinct lang, source from d),
+v as (select lang, count(*) as v, sum(n) as total from k group by all),
+s2 as (select c.lang, c.source, c.term, sum(c.n)::hugeint as n from c join k on c.lang = k.lang and c.term = k.term group by all),
+t2 as (select lang, source, sum(n) as total from s2 group by all),
+e as (select g.lang, g.source, k.term, coalesce(s2.n, 0) as n,
+        1 + (1000000000 * (coalesce(s2.n, 0) + 2)) // (coalesce(t2.total, 0) + 2 * v.v) as p,
+        1 + (1000000000 * (k.n + 2)) // (v.total + 2 * v.v) as q
+      from g join k on g.lang = k.lang join v on g.lang = v.lang
+      left join s2 on g.lang = s2.lang and g.source = s2.source and k.term = s2.term
+      left join t2 on g.lang = t2.lang and g.source = t2.source),
+pv as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+       from e a join e b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+rows as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+         from g a join g b on a.lang = b.lang and a.source <> b.source
+         left join pv on pv.lang = a.lang and pv.source = a.source and pv.item = b.source
+         union all
+         select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from e where n > 0 and p > q),
+x as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from rows)
+select lang, source, part, item, value, rank::int as rank from x where part = 'pair' or rank <= 10""",
 }
