@@ -6,7 +6,7 @@ the kept terms of its language, p = 1 + floor(10**9 * (count + 2) / (N + 2 V));
 price between frequencies p and q is floor((p - q)**2 / (p + q)).
 
 * Terms are counted where the texts lie, in one pass; only counts are shuffled.
-* Kept terms get numbers; a group's counts become arrays of (term number, count), sorted by
+* Kept terms get numbers where their counts meet; a group's counts become arrays of (term number, count), sorted by
   number and cut into blocks of about BLOCK kept terms, so an array never grows with the
   vocabulary.
 * One task per unordered pair of groups and block: the two arrays are co-grouped and merged
@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from drover.llm.common import sized, ship, written
+from drover.llm.common import ship, written
 
 MIN_DOCS = 10
 TOP = 10
@@ -93,12 +93,25 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents of each term per group, and
-    one row with a null term for every group. Null values are ''."""
+    one row with a null term for every group. Null values are ''. All rows of a language's
+    term lie in one partition."""
     ship(docs.sparkSession)
     text = lambda c, name: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name)
     rows = docs.select(text(lang_col, "lang"), text(source_col, "source"), text(text_col, "text")).mapInArrow(
         _counts, "lang string, source string, term string, n long, docs long")
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # the tasks have counted already; a second count before the shuffle would save little
+    return rows.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+
+
+def kept_counts(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """Rows of :func:`term_counts` of the kept terms, and the groups' rows: (lang, source,
+    term, n, lang_n, id, first). ``id`` numbers the terms of a language, ``lang_n`` is the
+    language's count, ``first`` marks one row per term. No further shuffle."""
+    term = Window.partitionBy("lang", "term")
+    return (counts.withColumn("row", F.monotonically_increasing_id())
+            .withColumns({"lang_docs": F.sum("docs").over(term), "lang_n": F.sum("n").over(term), "id": F.min("row").over(term)})
+            .where(F.col("term").isNull() | (F.col("lang_docs") >= min_docs))
+            .select("lang", "source", "term", "n", "lang_n", "id", (F.col("row") == F.col("id")).alias("first")))
 
 
 # ------------------------------------------------------------------ prices
@@ -167,9 +180,13 @@ def _pair_task(key, left: pa.Table, right: pa.Table) -> pa.Table:
                      "held": pa.array([held], pa.int64())})
 
 
-def _p(n, total) -> Column:
-    """The same frequency as a column."""
-    return F.expr(f"1 + cast((cast({n} + {SMOOTH} as decimal(20,0)) * {SCALE}) div cast({total} as decimal(20,0)) as bigint)")
+def _p(n: str, total: str) -> Column:
+    """The same frequency, by the same long division, of columns."""
+    rest, digits = f"({n} + {SMOOTH})", "0"
+    for _ in range(3):
+        digits = f"({digits} * 1000 + ({rest} * 1000) div {total})"
+        rest = f"(({rest} * 1000) % {total})"
+    return F.expr(f"1 + {digits}")
 
 
 # ------------------------------------------------------------------ the audit
@@ -184,15 +201,11 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, lang_col: s
     terms; a language's only source has no pair; repeated rows are documents like any
     other; an empty table gives an empty result; only the three named columns are read.
     """
-    counts = written(term_counts(docs, lang_col, source_col, text_col), "term-counts")
-    vocabulary = written(
-        counts.where("term is not null").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"))
-        .where(F.col("docs") >= min_docs).select("lang", "term", "lang_n", F.monotonically_increasing_id().alias("id")), "kept-terms")
-    kept = written(counts.where("term is not null").join(sized(vocabulary, "term"), ["lang", "term"]).select(
-        "lang", "source", "term", "id", "n", "lang_n"), "kept-counts")
-    per_lang = vocabulary.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_sum"))
+    rows = written(kept_counts(term_counts(docs, lang_col, source_col, text_col), min_docs), "kept-counts")
+    kept = rows.where("term is not null")
+    per_lang = kept.where("first").groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_sum"))
     groups = written(
-        counts.where("term is null").select("lang", "source")
+        rows.where("term is null").select("lang", "source")
         .join(kept.groupBy("lang", "source").agg(F.sum("n").alias("n")), ["lang", "source"], "left")
         .join(per_lang, "lang", "left")
         .select("lang", "source", F.coalesce("v", F.lit(0)).alias("v"),
@@ -220,7 +233,7 @@ def pair_part(groups: DataFrame, kept: DataFrame) -> DataFrame:
     # terms that neither side holds all have the price between the two frequencies of a count of 0
     absent = (F.col("v") - F.coalesce("held", F.lit(0))) * F.expr("((p0 - q0) * (p0 - q0)) div (p0 + q0)")
     priced = (pairs.join(sums, ["lang", "a", "b"], "left")
-              .withColumns({"p0": F.when(F.col("v") > 0, _p("0", "total_a")), "q0": F.when(F.col("v") > 0, _p("0", "total_b"))})
+              .withColumns({"p0": F.when(F.col("v") > 0, _p("0L", "total_a")), "q0": F.when(F.col("v") > 0, _p("0L", "total_b"))})
               .withColumn("value", F.when(F.col("v") > 0, F.coalesce("value", F.lit(0)) + absent).otherwise(F.lit(0)).cast("long")))
     both = priced.select("lang", F.explode(F.array(
         F.struct(F.col("a").alias("source"), F.col("b").alias("item")),
