@@ -2,8 +2,8 @@
 
 Each micro-batch writes its rows under ``run=R/batch_id=N`` with dynamic partition
 overwrite, so a replayed batch rewrites the same folder (idempotent) and the writes stay
-on the executors. ``run`` grows with every new checkpoint (batch ids restart there).
-Readers resolve the newest row per key; ``compact`` folds the log into a snapshot.
+on the executors. ``run`` is the query's commit epoch (``streaming.epochs``): it grows with
+every new checkpoint, because batch ids restart there. Readers resolve the newest row per key; ``compact`` folds the log into a snapshot.
 """
 
 from __future__ import annotations
@@ -12,26 +12,13 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from drover.streaming.epochs import claimed, fence
 
 def new_run_id() -> int:
     """A run number larger than any earlier one (milliseconds since the epoch)."""
     return int(time.time() * 1000)
 
 
-def stored_run_id(spark: SparkSession, root: str) -> int:
-    """The run number kept beside the checkpoints under ``root``; the first start makes it.
-    Batch numbers go on from the checkpoint after a restart, so the run must too: a batch
-    that was written but not committed then overwrites itself instead of appearing twice."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/checkpoints/run")
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(folder):
-        return min(int(s.getPath().getName()) for s in fs.listStatus(folder))
-    run = new_run_id()
-    fs.create(jvm.org.apache.hadoop.fs.Path(folder, str(run)), False).close()
-    return run
-
-
 def write_batch(df: DataFrame, path: str, run_id: int, batch_id: int, partition_by=()) -> None:
     (df.withColumn("run", F.lit(int(run_id))).withColumn("batch_id", F.lit(int(batch_id)))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -41,10 +28,16 @@ def write_batch(df: DataFrame, path: str, run_id: int, batch_id: int, partition_
 def changelog_sink(path: str, run_id: int, partition_by=()):
     """A ``foreachBatch`` function appending each batch to the changelog at ``path``."""
     def sink(batch_df: DataFrame, batch_id: int) -> None:
+        fence(batch_df.sparkSession, path, run_id)
         write_batch(batch_df, path, run_id, batch_id, partition_by)
     return sink
 
 
+def after(run: int, batch_id: int):
+    """Rows of later batches than (run, batch_id); prunes partitions."""
+    return (F.col("run") > F.lit(int(run))) | ((F.col("run") == F.lit(int(run))) & (F.col("batch_id") > F.lit(int(batch_id))))
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -68,8 +61,10 @@ def _fs(spark: SparkSession, path: str):
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def latest_snapshot(spark: SparkSession, snapshot_root: str) -> tuple[str, int, int] | None:
-    """(path, run, batch_id) of the newest complete snapshot (one with ``_SUCCESS``)."""
+def latest_snapshot(spark: SparkSession, snapshot_root: str,
+                    before: tuple[int, int] | None = None) -> tuple[str, int, int] | None:
+    """(path, run, batch_id) of the newest complete snapshot (one with ``_SUCCESS``);
+    ``before``: that holds only batches before this (run, batch_id)."""
     jvm, root, fs = _fs(spark, snapshot_root)
     if not fs.exists(root):
         return None
@@ -81,6 +76,8 @@ def latest_snapshot(spark: SparkSession, snapshot_root: str) -> tuple[str, int,
         if not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
             continue  # still being written, or failed
         run, batch = (int(v) for v in name[len("upto-"):].split("-"))
+        if before is not None and (run, batch) >= before:
+            continue
         if best is None or (run, batch) > best[1:]:
             best = (f"{snapshot_root.rstrip('/')}/{name}", run, batch)
     return best
@@ -114,18 +111,39 @@ def _newest(log: DataFrame, keys: list[str], keep_version: bool = False) -> Data
 
 
 def resolve_compacted(spark: SparkSession, path: str, keys: list[str], snapshot_root: str,
-                      where=None) -> DataFrame:
+                      where=None, before: tuple[int, int] | None = None) -> DataFrame:
     """Same result as :func:`resolve`, reading the newest snapshot and only the log batches
     after its high-water mark (pruned on the ``run`` / ``batch_id`` partition columns).
-    ``where`` as in :func:`resolve`."""
-    snap = latest_snapshot(spark, snapshot_root)
-    if snap is None:
-        return resolve(spark, path, keys, where)
-    _, run, batch = snap
-    newer = read_log(spark, path).where(
-        (F.col("run") > F.lit(run)) | ((F.col("run") == F.lit(run)) & (F.col("batch_id") > F.lit(batch))))
-    both = spark.read.parquet(snap[0]).unionByName(newer)
-    return _newest(both if where is None else both.where(where), keys)
+    ``where`` as in :func:`resolve`. ``before``: the state before that (run, batch_id), from
+    the newest snapshot that holds no later batch; a replayed batch needs it, because a
+    newer snapshot keeps only what the batch itself once wrote."""
+    snap = latest_snapshot(spark, snapshot_root, before)
+    log = read_log(spark, path)
+    if before is not None:
+        log = log.where(F.struct("run", "batch_id") < F.struct(*(F.lit(int(v)) for v in before)))
+    if snap is not None:
+        log = spark.read.parquet(snap[0]).unionByName(log.where(after(snap[1], snap[2])))
+    return _newest(log if where is None else log.where(where), keys)
+
+
+def read_raw_log(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of an append-only event log, each message once although epochs overlap.
+
+    After a lost checkpoint the new epoch reads messages again that an older epoch has
+    logged. In days that several epochs wrote, equal rows are one message, and the number
+    of copies that the newest epoch with that message logged counts. Days of one epoch are
+    read as they are.
+    """
+    log = read_log(spark, path)
+    if len(claimed(spark, path)) < 2:
+        return log.drop("run", "batch_id")
+    several = [r[0] for r in log.groupBy("sim_day").agg(F.count_distinct("run").alias("n")).where("n > 1").collect()]  # days
+    shared = F.col("sim_day").isin(several)
+    cols = [c for c in log.columns if c not in ("run", "batch_id")]
+    copies = log.where(shared).groupBy(*cols, "run").agg(F.count(F.lit(1)).alias("copies"))
+    newest = copies.groupBy(*cols).agg(F.max_by("copies", "run").alias("copies"))
+    again = newest.select(*cols, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+    return log.where(~shared).select(*cols).unionByName(again)
 
 
 def record_heartbeat(spark: SparkSession, path: str, component: str, last_event_at=None,
@@ -135,12 +153,14 @@ def record_heartbeat(spark: SparkSession, path: str, component: str, last_event_
     row = spark.createDataFrame(
         [(component, last_event_at, 0, status)],
         "component string, last_event_at timestamp, rows long, status string")
-    write_batch(row, path, run, 0, partition_by=("component",))
+    write_batch(row.withColumn("updated_at", F.current_timestamp()), path, run, 0, partition_by=("component",))
 
 
 def component_health(spark: SparkSession, path: str) -> DataFrame:
-    """Per component: status of its latest heartbeat and the newest event it reported."""
+    """Per component: status and time of its latest heartbeat, and the newest event it reported."""
     beats = read_log(spark, path)
+    if "updated_at" not in beats.columns:       # heartbeats from before their time was kept
+        beats = beats.withColumn("updated_at", F.lit(None).cast("timestamp"))
     return beats.groupBy("component").agg(
         F.max_by("status", F.struct("run", "batch_id")).alias("status"),
-        F.max("last_event_at").alias("last_event_at"))
+        F.max("last_event_at").alias("last_event_at"), F.max("updated_at").alias("updated_at"))

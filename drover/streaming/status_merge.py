@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drover.session import path_exists
 from drover.streaming import changelog as CL
+from drover.streaming.epochs import fence
 
 FIELDS = ["driver_id", "lat", "lon", "speed", "zone", "fare", "sim_day"]
 
@@ -29,11 +30,11 @@ def _previous(spark: SparkSession, state_path: str, snapshots: str | None, run_i
               batch_id: int) -> DataFrame | None:
     """Status before this batch: versions written by earlier batches only, so a replayed
     batch is recomputed from the same state as its first attempt."""
-    earlier = F.struct("run", "batch_id") < F.struct(F.lit(int(run_id)), F.lit(int(batch_id)))
     if not path_exists(spark, state_path):
         return None
     if snapshots:
-        return CL.resolve_compacted(spark, state_path, ["vehicle_id"], snapshots, where=earlier)
+        return CL.resolve_compacted(spark, state_path, ["vehicle_id"], snapshots, before=(int(run_id), int(batch_id)))
+    earlier = F.struct("run", "batch_id") < F.struct(F.lit(int(run_id)), F.lit(int(batch_id)))
     return CL.resolve(spark, state_path, ["vehicle_id"], where=earlier)
 
 
@@ -77,6 +78,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, previous: DataFrame | Non
 def status_merge_sink(spark: SparkSession, state_path: str, run_id: int, snapshots: str | None = None):
     """A ``foreachBatch`` function maintaining the status changelog at ``state_path``."""
     def sink(batch_df: DataFrame, batch_id: int) -> None:
+        fence(batch_df.sparkSession, state_path, run_id)
         batch_df = batch_df.persist()  # read by three aggregations
         rows = merge_batch(spark, batch_df, _previous(spark, state_path, snapshots, run_id, batch_id))
         CL.write_batch(rows, state_path, run_id, batch_id)
