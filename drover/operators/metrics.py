@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from drover import config as C
 from drover.functions import sim_day_of
+from drover.streaming.member_deltas import Totals
 
 _KIND_VEHICLE, _KIND_TRIP = 0, 1
 
@@ -55,34 +56,44 @@ def zone_metrics(events: DataFrame, params, window: str | None = None) -> DataFr
     return _flatten_window(per_zone, params)
 
 
-def zone_metrics_sets(events: DataFrame, params, window: str | None = None,
-                      approx_rsd: float | None = None) -> DataFrame:
-    """Same measures with one set per distinct count: the form a streaming aggregation
-    accepts in update mode (streaming ``count_distinct`` is refused).
-
-    ``approx_rsd`` switches the five distinct counts to HyperLogLog++ sketches with that
-    relative standard deviation: fixed-size state per window instead of sets that grow with
-    the number of vehicles and trips.
-    """
-    window = window or params.window
-    vid = F.col("vehicle_id")
-    if approx_rsd is None:
-        def distinct(c):
-            return F.size(F.collect_set(c)).cast("long")
-    else:
-        def distinct(c):
-            return F.approx_count_distinct(c, rsd=approx_rsd).cast("long")
-    agg = events.groupBy(F.window("event_ts", window).alias("window"), "zone").agg(
-        distinct(vid).alias("active_vehicles"),
-        distinct(F.when(F.col("status") == "idle", vid)).alias("idle_count"),
-        distinct(F.when(F.col("status") == "enroute", vid)).alias("enroute_count"),
-        distinct(F.when(F.col("status") == "on_trip", vid)).alias("on_trip_count"),
-        distinct(valid_trip()).alias("trip_count"),
-        F.sum("fare").alias("total_earnings"),
-        F.avg("speed").alias("avg_speed"))
+def zone_metrics_sketches(events: DataFrame, params, window: str | None = None, rsd: float = 0.01) -> DataFrame:
+    """The same measures with HyperLogLog++ sketches of relative standard deviation ``rsd``:
+    state of fixed size per window, in a form that streams in update mode."""
+    status = F.col("status")
+    of = {"active_vehicles": F.col("vehicle_id")}
+    of |= {f"{s}_count": F.when(status == s, F.col("vehicle_id")) for s in C.VALID_STATUSES}
+    of["trip_count"] = valid_trip()
+    sketches = [F.approx_count_distinct(c, rsd=rsd).cast("long").alias(n) for n, c in of.items()]
+    agg = events.groupBy(F.window("event_ts", window or params.window).alias("window"), "zone").agg(
+        *sketches, F.sum("fare").alias("total_earnings"), F.avg("speed").alias("avg_speed"))
     return _flatten_window(agg, params)
 
 
+def zone_keyed(events: DataFrame, params, window: str | None = None) -> DataFrame:
+    """Events with the keys of their zone window; ``sim_day`` is the day of its start."""
+    w = F.window("event_ts", window or params.window)
+    keyed = events.drop("sim_day").withColumn("window", w)
+    return keyed.select("*", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                        sim_day_of(F.col("window.start"), params).alias("sim_day")).drop("window")
+
+
+def zone_totals() -> Totals:
+    """Zone metrics as signed membership deltas (see ``streaming.member_deltas``)."""
+    vehicle = {"active_vehicles": F.col("vehicle_id")}
+    by_status = {f"{s}_count": F.when(F.col("status") == s, F.col("vehicle_id")) for s in C.VALID_STATUSES}
+    return Totals(("zone", "window_start", "window_end", "sim_day"), "sim_day",
+                  vehicle | by_status | {"trip_count": valid_trip()},
+                  {"total_earnings": F.sum("fare"), "speed_sum": F.sum("speed"), "speed_n": F.count("speed")},
+                  ends=F.col("window_end"))
+
+
+def zone_metrics_of(totals: DataFrame) -> DataFrame:
+    """Zone metrics from the sums of their deltas."""
+    return totals.select(
+        "zone", "window_start", "window_end", "active_vehicles", "idle_count", "enroute_count", "on_trip_count",
+        "trip_count", "total_earnings", F.try_divide("speed_sum", "speed_n").alias("avg_speed"), "sim_day")
+
+
 def _flatten_window(df: DataFrame, params) -> DataFrame:
     return df.select(
         "zone",
@@ -100,8 +111,6 @@ def daily_earnings(events: DataFrame) -> DataFrame:
         F.count_distinct(valid_trip()).alias("trip_count"))
 
 
-def daily_earnings_sets(events: DataFrame) -> DataFrame:
-    """Streaming form of :func:`daily_earnings` (set-based distinct)."""
-    return events.groupBy("vehicle_id", "sim_day").agg(
-        F.sum("fare").alias("total_fare"),
-        F.size(F.collect_set(valid_trip())).cast("long").alias("trip_count"))
+def earnings_totals() -> Totals:
+    """Running earnings as signed membership deltas (see ``streaming.member_deltas``)."""
+    return Totals(("vehicle_id", "sim_day"), "sim_day", {"trip_count": valid_trip()}, {"total_fare": F.sum("fare")})

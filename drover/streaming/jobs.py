@@ -6,9 +6,9 @@ checkpoint and a changelog sink written from ``foreachBatch`` on the executors
 
 * raw log         -- append, partitioned by ``sim_day`` (replay-safe by batch id), heartbeats;
                      downstream queries may read it back typed (``raw_log_events``)
-* zone metrics    -- window x zone: update mode with exact sets or HyperLogLog sketches, or
-                     the two-level plan in append mode
-* daily earnings  -- running (vehicle, day) totals, update mode, unbounded or day-bounded state
+* zone metrics    -- window x zone: membership deltas (exact, any lateness, no state), the
+                     two-level plan in append mode, or HyperLogLog sketches in update mode
+* daily earnings  -- running (vehicle, day) totals: membership deltas, or day-bounded state
 * latest status   -- keyed state per vehicle (immediate or event-time ordered), or a
                      Python-free per-batch merge into the status changelog
 * deduplicated    -- ``dropDuplicatesWithinWatermark``, optionally two-stage for hot copies
@@ -26,6 +26,8 @@ from drover.operators import metrics as M
 from drover.operators.clean import clean, enrich
 from drover.sources.telemetry import decode_wire, file_telemetry
 from drover.streaming import changelog as CL
+from drover.streaming import member_deltas as MD
+from drover.streaming.epochs import epoch_of, fence
 from drover.streaming.status_state import latest_status_stream
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -74,65 +76,115 @@ def heartbeat(batch_df: DataFrame, component: str) -> DataFrame:
                     F.lit("healthy").alias("status")))
 
 
-def start_raw_log(events: DataFrame, sink_path: str, checkpoint: str, run_id: int,
+def _run(events: DataFrame, checkpoint: str, sink_path: str, run_id: int | None) -> int:
+    """The run that a query's batches are written under: the commit epoch of its checkpoint,
+    unless the caller numbers runs itself."""
+    return epoch_of(events.sparkSession, checkpoint, sink_path) if run_id is None else run_id
+
+
+def start_raw_log(events: DataFrame, sink_path: str, checkpoint: str, run_id: int | None = None,
                   trigger: dict | None = None, heartbeat_path: str | None = None,
                   component: str = "stream-processor"):
-    """Append cleaned events to the raw log (partitioned by day), plus a heartbeat row."""
+    """Append cleaned events to the raw log (partitioned by day), plus a heartbeat row.
+    Read it back with ``changelog.read_raw_log``."""
+    run = _run(events, checkpoint, sink_path, run_id)
+
     def sink(batch_df: DataFrame, batch_id: int) -> None:
+        fence(batch_df.sparkSession, sink_path, run)
         batch_df = batch_df.persist()
-        CL.write_batch(batch_df, sink_path, run_id, batch_id, partition_by=("sim_day",))
+        CL.write_batch(batch_df, sink_path, run, batch_id, partition_by=("sim_day",))
         if heartbeat_path:
-            CL.write_batch(heartbeat(batch_df, component), heartbeat_path, run_id, batch_id,
+            CL.write_batch(heartbeat(batch_df, component), heartbeat_path, run, batch_id,
                            partition_by=("component",))
         batch_df.unpersist()
     return _start(events, sink, checkpoint, "append", trigger or {"processingTime": "5 seconds"}, "raw_log")
 
 
-def start_zone_metrics(events: DataFrame, params, sink_path: str, checkpoint: str, run_id: int,
+def _start_totals(keyed: DataFrame, totals: MD.Totals, sink_path: str, checkpoint: str, run_id: int | None,
+                  trigger: dict | None, name: str, delay: str | None = None):
+    run = _run(keyed, checkpoint, sink_path, run_id)
+
+    def sink(batch_df: DataFrame, batch_id: int) -> None:
+        MD.apply_batch(batch_df, totals, sink_path, run, batch_id, delay)
+    return _start(keyed, sink, checkpoint, "append", trigger or {"processingTime": "15 seconds"}, name)
+
+
+def start_zone_metrics(events: DataFrame, params, sink_path: str, checkpoint: str, run_id: int | None = None,
                        trigger: dict | None = None, two_level: bool = False, approx_rsd: float | None = None):
-    """Window x zone metrics behind a watermark.
+    """Window x zone metrics.
 
-    ``two_level=False``: update mode with one exact set per distinct count (original
-    semantics; a window's sets live in state until the watermark passes it).
+    Default: exact counts and sums as membership deltas, without streaming state; read them
+    with :func:`zone_metrics_at`, with or without what came behind the watermark.
     ``two_level=True``: the batch plan (distinct members first, then counts) in append
     mode; state holds one row per member, and each window is written once, when final.
-    ``approx_rsd``: update mode with HyperLogLog++ sketches instead of exact sets.
+    ``approx_rsd``: update mode with HyperLogLog++ sketches. These two write a changelog of
+    whole rows (``changelog.resolve``) and drop what comes behind the watermark.
     """
+    if not two_level and approx_rsd is None:
+        return _start_totals(M.zone_keyed(events, params), M.zone_totals(), sink_path, checkpoint, run_id, trigger,
+                             "zone_metrics", params.watermark)
+    run = _run(events, checkpoint, sink_path, run_id)
     wm = events.withWatermark("event_ts", params.watermark)
-    if two_level:
-        agg, mode = M.zone_metrics(wm, params), "append"
-    else:
-        agg, mode = M.zone_metrics_sets(wm, params, approx_rsd=approx_rsd), "update"
-    return _start(agg, CL.changelog_sink(sink_path, run_id), checkpoint, mode,
+    agg, mode = (M.zone_metrics(wm, params), "append") if two_level else (
+        M.zone_metrics_sketches(wm, params, rsd=approx_rsd), "update")
+    return _start(agg, CL.changelog_sink(sink_path, run), checkpoint, mode,
                   trigger or {"processingTime": "15 seconds"}, "zone_metrics")
 
 
-def start_daily_earnings(events: DataFrame, sink_path: str, checkpoint: str, run_id: int,
+def zone_metrics_at(spark: SparkSession, path: str, where=None, late: bool = True, snapshots: str | None = None) -> DataFrame:
+    """Zone metrics from the deltas at ``path``: of all events so far, or (``late=False``) of
+    those only that a watermarked aggregation counts. ``where`` (on zone and window)
+    reaches the scan."""
+    return M.zone_metrics_of(MD.read(spark, path, M.zone_totals(), where, late, snapshots))
+
+
+def late_repairs(spark: SparkSession, path: str) -> DataFrame:
+    """Zone windows that late events changed after the watermark had passed them: the
+    published and the repaired metrics side by side (published nulls: the window had none)."""
+    t = M.zone_totals()
+    log = spark.read.parquet(path)
+    touched = log.where("late").select(*t.keys).distinct()
+    repaired = M.zone_metrics_of(MD.totals(log.join(touched, list(t.keys), "left_semi"), t))
+    published = M.zone_metrics_of(MD.totals(log.join(touched, list(t.keys), "left_semi"), t, late=False))
+    values = [c for c in repaired.columns if c not in t.keys]
+    return repaired.select(*t.keys, *(F.col(c).alias(f"repaired_{c}") for c in values)).join(
+        published.select(*t.keys, *(F.col(c).alias(f"published_{c}") for c in values)), list(t.keys), "left")
+
+
+def start_daily_earnings(events: DataFrame, sink_path: str, checkpoint: str, run_id: int | None = None,
                          trigger: dict | None = None, params=None, bounded: bool = False):
-    """Running fare and trips per (vehicle, day) in update mode.
+    """Running fare and distinct trips per (vehicle, day).
 
-    Unbounded by default (state is never evicted, late events always merge, as in the
-    original); ``bounded=True`` groups by a day-long event-time window behind a two-day
-    watermark so finished days leave the state store.
+    Default: membership deltas, without streaming state; late events always merge, as in
+    the original. Read them with :func:`earnings_at`. ``bounded=True``: update mode, grouped
+    by a day-long event-time window behind a two-day watermark, so that finished days leave
+    the state store; a changelog of whole rows (``changelog.resolve``).
     """
-    if bounded:
-        ev = events.withWatermark("event_ts", f"{2 * params.day_seconds} seconds")
-        ev = ev.withColumn("__day", F.window("event_ts", f"{params.day_seconds} seconds",
-                                             startTime=f"{int(params.start_epoch) % params.day_seconds} seconds"))
-        agg = ev.groupBy("vehicle_id", "sim_day", "__day").agg(
-            F.sum("fare").alias("total_fare"),
-            F.size(F.collect_set(M.valid_trip())).cast("long").alias("trip_count")).drop("__day")
-    else:
-        agg = M.daily_earnings_sets(events)
-    return _start(agg, CL.changelog_sink(sink_path, run_id), checkpoint, "update",
+    if not bounded:
+        return _start_totals(events, M.earnings_totals(), sink_path, checkpoint, run_id, trigger, "daily_earnings")
+    run = _run(events, checkpoint, sink_path, run_id)
+    ev = events.withWatermark("event_ts", f"{2 * params.day_seconds} seconds")
+    ev = ev.withColumn("__day", F.window("event_ts", f"{params.day_seconds} seconds",
+                                         startTime=f"{int(params.start_epoch) % params.day_seconds} seconds"))
+    agg = ev.groupBy("vehicle_id", "sim_day", "__day").agg(
+        F.sum("fare").alias("total_fare"),
+        F.size(F.collect_set(M.valid_trip())).cast("long").alias("trip_count")).drop("__day")
+    return _start(agg, CL.changelog_sink(sink_path, run), checkpoint, "update",
                   trigger or {"processingTime": "15 seconds"}, "daily_earnings")
 
 
-def start_vehicle_status(events: DataFrame, sink_path: str, checkpoint: str, run_id: int,
+def earnings_at(spark: SparkSession, path: str, where=None, snapshots: str | None = None) -> DataFrame:
+    """Running earnings from the deltas at ``path``."""
+    return MD.read(spark, path, M.earnings_totals(), where, snapshots=snapshots).select(
+        "vehicle_id", "sim_day", "total_fare", "trip_count")
+
+
+def start_vehicle_status(events: DataFrame, sink_path: str, checkpoint: str, run_id: int | None = None,
                          trigger: dict | None = None, ordered_within: str | None = None):
     """Latest status per vehicle in keyed state; ``ordered_within`` (a watermark delay)
     trades latency for exact event-time order (see ``latest_status_stream``)."""
-    return _start(latest_status_stream(events, ordered_within), CL.changelog_sink(sink_path, run_id), checkpoint,
+    run = _run(events, checkpoint, sink_path, run_id)
+    return _start(latest_status_stream(events, ordered_within), CL.changelog_sink(sink_path, run), checkpoint,
                   "update", trigger or {"processingTime": "5 seconds"}, "vehicle_status")
 
 
@@ -152,20 +204,21 @@ def dedup_stream(events: DataFrame, params, spread: int | None = None) -> DataFr
     return d.dropDuplicatesWithinWatermark(keys)
 
 
-def start_vehicle_status_merge(events: DataFrame, sink_path: str, checkpoint: str, run_id: int,
+def start_vehicle_status_merge(events: DataFrame, sink_path: str, checkpoint: str, run_id: int | None = None,
                                trigger: dict | None = None, snapshots: str | None = None):
     """Latest status per vehicle kept by DataFrame aggregations merged into the status
     changelog in ``foreachBatch`` (no Python workers); see ``streaming.status_merge``."""
     from drover.streaming.status_merge import status_merge_sink
-    sink = status_merge_sink(events.sparkSession, sink_path, run_id, snapshots)
+    sink = status_merge_sink(events.sparkSession, sink_path, _run(events, checkpoint, sink_path, run_id), snapshots)
     return _start(events, sink, checkpoint, "append", trigger or {"processingTime": "5 seconds"}, "vehicle_status")
 
 
-def start_dedup(events: DataFrame, params, sink_path: str, checkpoint: str, run_id: int,
+def start_dedup(events: DataFrame, params, sink_path: str, checkpoint: str, run_id: int | None = None,
                 trigger: dict | None = None, spread: int | None = None):
     """Deduplicated events appended to a day-partitioned log (see :func:`dedup_stream`)."""
     d = dedup_stream(events, params, spread)
-    return _start(d, CL.changelog_sink(sink_path, run_id, partition_by=("sim_day",)), checkpoint,
+    run = _run(events, checkpoint, sink_path, run_id)
+    return _start(d, CL.changelog_sink(sink_path, run, partition_by=("sim_day",)), checkpoint,
                   "append", trigger or {"processingTime": "5 seconds"}, "dedup_events")
 
 
@@ -174,56 +227,52 @@ def start_expense_loader(spark: SparkSession, landing_path: str, table_path: str
                          on_duplicate: str = "raise"):
     """Load newly landed expense files into the day-partitioned expenses table.
 
-    Rows are upserted by (vehicle_id, sim_day), so the table does not depend on how a day is
-    spread over files or triggers, a correction replaces the vehicles it lists, and a
-    replayed batch writes the same rows again. A vehicle listed twice for one day in a batch
-    fails it (``on_duplicate="raise"``) or keeps one row
-    (``"keep_one"``).
+    Rows are upserted by (vehicle_id, sim_day), and of several files that list a vehicle's
+    day the newest wins (see ``operators.landing``), so the table depends neither on how a
+    day is spread over files nor on which trigger picks a file up; a replayed batch or a
+    file delivered again changes nothing. A vehicle listed twice for one day in one file
+    fails the batch (``on_duplicate="raise"``) or keeps one row (``"keep_one"``).
     """
-    from drover.operators.reconcile import merge_expenses
-    from drover.sources.expenses import duplicate_keys, stream_expense_feed
+    from drover.operators.landing import merge_landed
+    from drover.sources.expenses import stream_expense_feed
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df = batch_df.persist()
-        if on_duplicate == "raise":
-            if not duplicate_keys(batch_df).isEmpty():
-                batch_df.unpersist()
-                raise ValueError(f"duplicate (vehicle_id, sim_day) rows in expense batch {batch_id}")
-            merge_expenses(batch_df, table_path)
-        else:
-            merge_expenses(batch_df.dropDuplicates(["vehicle_id", "sim_day"]), table_path)
-        batch_df.unpersist()
+        merge_landed(batch_df, table_path, on_duplicate)
 
-    src = stream_expense_feed(spark, landing_path, max_files_per_trigger=max_files_per_trigger)
+    src = stream_expense_feed(spark, landing_path, max_files_per_trigger=max_files_per_trigger, with_file=True)
     return _start(src, sink, checkpoint, "append", trigger or {"processingTime": "60 seconds"}, "expense_loader")
 
 
 def start_speed_layer(spark: SparkSession, wire: DataFrame, params, root: str, run_id: int | None = None,
-                      triggers: dict | None = None, with_status: bool = True, status_mode: str = "keyed") -> dict:
+                      triggers: dict | None = None, with_status: bool = True, status_mode: str = "keyed",
+                      checkpoints: dict | None = None) -> dict:
     """Start the speed layer from one broker stream: raw log (+ heartbeats), zone metrics,
     daily earnings and, optionally, latest status -- independent queries, each with its
     own checkpoint and changelog under ``root``. Returns the started queries by name.
 
     ``triggers`` maps a query name to its trigger (defaults: 5 s events and status, 15 s
     zones and earnings). ``status_mode``: "keyed" (immediate keyed state), "ordered"
-    (event-time order behind the watermark) or "merge" (no Python workers).
+    (event-time order behind the watermark) or "merge" (no Python workers). Each query
+    writes under the commit epoch of its own checkpoint (``streaming.epochs``) unless
+    ``run_id`` is given; ``checkpoints`` maps a query name to another checkpoint folder.
     """
     use_rocksdb(spark)
-    run_id = run_id or CL.stored_run_id(spark, root)
+    kept = {n: f"{root}/checkpoints/{n}" for n in ("raw_log", "zone_metrics", "daily_earnings", "vehicle_status")}
+    kept |= checkpoints or {}
     t = {"raw_log": {"processingTime": "5 seconds"}, "zone_metrics": {"processingTime": "15 seconds"},
          "daily_earnings": {"processingTime": "15 seconds"}, "vehicle_status": {"processingTime": "5 seconds"}}
     t.update(triggers or {})
     events = event_stream(wire, params)
     qs = {
-        "raw_log": start_raw_log(events, f"{root}/raw_log", f"{root}/checkpoints/raw_log", run_id,
+        "raw_log": start_raw_log(events, f"{root}/raw_log", kept["raw_log"], run_id,
                                  t["raw_log"], heartbeat_path=f"{root}/heartbeats"),
-        "zone_metrics": start_zone_metrics(events, params, f"{root}/zone_metrics", f"{root}/checkpoints/zone_metrics",
+        "zone_metrics": start_zone_metrics(events, params, f"{root}/zone_metrics", kept["zone_metrics"],
                                            run_id, t["zone_metrics"]),
         "daily_earnings": start_daily_earnings(events, f"{root}/daily_earnings",
-                                               f"{root}/checkpoints/daily_earnings", run_id, t["daily_earnings"]),
+                                               kept["daily_earnings"], run_id, t["daily_earnings"]),
     }
     if with_status:
-        sp, ck = f"{root}/vehicle_status", f"{root}/checkpoints/vehicle_status"
+        sp, ck = f"{root}/vehicle_status", kept["vehicle_status"]
         if status_mode == "merge":
             qs["vehicle_status"] = start_vehicle_status_merge(events, sp, ck, run_id, t["vehicle_status"],
                                                               snapshots=f"{root}/snapshots/vehicle_status")
