@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from drover.session import path_exists, scratch_path
+from drover.session import path_exists
 from drover.sources.expenses import duplicate_keys
 
 from drover import config as C
@@ -40,23 +40,17 @@ def unmatched_earnings(earnings: DataFrame, expenses: DataFrame) -> DataFrame:
 
 
 def merge_expenses(df: DataFrame, path: str) -> None:
-    """Upsert expenses by (vehicle_id, sim_day): rows of ``df`` win, vehicles of its days
-    that it does not list stay. The result does not depend on how the rows of a day are
-    spread over files or batches. A key listed twice in ``df`` raises.
+    """Upsert expenses by (vehicle_id, sim_day): rows of ``df`` win over all that is stored,
+    vehicles of its days that it does not list stay. A key listed twice in ``df`` raises.
 
-    The days' merged rows are written to the scratch folder first (a table cannot be read
-    and overwritten in one job), then replace those days.
+    For landed files, whose order of arrival must not matter, see ``operators.landing``;
+    rows merged here count as delivered now.
     """
-    spark = df.sparkSession
+    from drover.operators.landing import KEY, VALUES, merge_versions
     if not duplicate_keys(df).isEmpty():
         raise ValueError("duplicate (vehicle_id, sim_day) rows in an expense load")
-    if path_exists(spark, path):
-        old = spark.read.parquet(path).join(df.select("sim_day").distinct(), "sim_day", "left_semi")
-        old = old.join(df.select("vehicle_id", "sim_day"), ["vehicle_id", "sim_day"], "left_anti")
-        merged = scratch_path(spark, "expense-merge")
-        df.unionByName(old.select(df.columns)).write.parquet(merged)
-        df = spark.read.schema(df.schema).parquet(merged)
-    upsert_days(df, path)
+    merge_versions(df.select(*KEY, *VALUES, F.current_timestamp().alias("file_version"),
+                             F.lit(None).cast("string").alias("file_path")), path)
 
 
 def upsert_days(df: DataFrame, path: str, sort_within: str | None = "vehicle_id") -> None:
@@ -77,10 +71,12 @@ def reconcile(spark: SparkSession, expenses_path: str, earnings: DataFrame, repo
               days=None, heartbeat_path: str | None = None) -> None:
     """Reconcile the given days (all when None) and replace their report partitions.
 
-    Days without expense rows produce no rows and so keep their previous report
-    (the original job returns without writing in that case). With ``heartbeat_path`` a
+    Days without expense rows produce no rows and so keep their previous report, and a
+    store without expenses has nothing to do (the original job returns without writing). With ``heartbeat_path`` a
     heartbeat row of component ``reconciliation`` is appended after the write.
     """
+    if not path_exists(spark, expenses_path):
+        return
     expenses = scan_days(spark, expenses_path, days)
     e = earnings if days is None else earnings.where(
         F.col("sim_day").isin([int(d) for d in ([days] if isinstance(days, int) else days)]))
@@ -116,6 +112,8 @@ def reconcile_pending(spark: SparkSession, expenses_path: str, earnings: DataFra
     """Reconcile, in one job, every closed day that has expenses but no report yet (days
     the daily schedule missed). The pending days stay a DataFrame: expenses are restricted
     to them by a semi-join and dynamic overwrite replaces exactly those partitions."""
+    if not path_exists(spark, expenses_path):
+        return
     expenses = spark.read.parquet(expenses_path)
     report = (spark.read.parquet(report_path) if path_exists(spark, report_path)
               else spark.createDataFrame([], "sim_day int"))

@@ -16,25 +16,28 @@ def parse_flag(c) -> F.Column:
     return F.coalesce(F.lower(F.trim(c)) == F.lit("true"), F.lit(False))
 
 
-def _typed(raw: DataFrame) -> DataFrame:
+def _typed(raw: DataFrame, with_file: bool = False) -> DataFrame:
     day = F.regexp_extract(F.col("_metadata.file_path"), _DAY_IN_PATH, 1).cast("int")
+    file = [F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_modification_time").alias("file_modified")] if with_file else []
     return raw.select(
         "vehicle_id", day.alias("sim_day"), "fuel_cost", "maintenance_cost", "distance_covered",
-        parse_flag("service_flag").alias("service_flag"),
+        parse_flag("service_flag").alias("service_flag"), *file,
     )
 
 
-def read_expense_feed(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+def read_expense_feed(spark: SparkSession, path: str, mode: str = "FAILFAST", with_file: bool = False) -> DataFrame:
     """Typed expense rows with ``sim_day`` taken from each file's path.
 
     ``mode=FAILFAST`` (default) fails the load on any unparsable number, as the original
-    loader does; ``PERMISSIVE`` keeps such rows with nulls for quarantine.
+    loader does; ``PERMISSIVE`` keeps such rows with nulls for quarantine. ``with_file`` adds
+    each row's file (``file_path``, ``file_modified``).
     """
     raw = (spark.read.schema(EXPENSE_CSV_SCHEMA)
            .option("header", "true").option("mode", mode)
            .option("recursiveFileLookup", "true")
            .csv(path))
-    return _typed(raw)
+    return _typed(raw, with_file)
 
 
 def expense_rejects(spark: SparkSession, path: str) -> DataFrame:
@@ -56,14 +59,14 @@ def expense_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_expense_feed(spark: SparkSession, path: str, mode: str = "FAILFAST",
-                        max_files_per_trigger: int | None = None) -> DataFrame:
+                        max_files_per_trigger: int | None = None, with_file: bool = False) -> DataFrame:
     """Streaming form of :func:`read_expense_feed`: each newly landed file is read once
     (replaces polling for "is day N's file there?")."""
     r = (spark.readStream.schema(EXPENSE_CSV_SCHEMA).option("header", "true").option("mode", mode)
          .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return _typed(r.csv(path))
+    return _typed(r.csv(path), with_file)
 
 
 def landed_days(spark: SparkSession, path: str) -> DataFrame:
