@@ -4,8 +4,8 @@
 ``streaming.jobs.start_speed_layer`` and the batch jobs write under ``root``:
 
     raw_log/           cleaned events, partitioned by sim_day / run / batch_id
-    zone_metrics/      changelog of window x zone metrics
-    daily_earnings/    changelog of running (vehicle, day) totals
+    zone_metrics/      membership deltas of window x zone metrics
+    daily_earnings/    membership deltas of running (vehicle, day) totals
     vehicle_status/    changelog of latest status per vehicle
     heartbeats/        heartbeat changelog per component
     expenses/          expenses table, partitioned by sim_day
@@ -19,15 +19,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from drover.schemas import EARNINGS_SCHEMA, EXPENSES_SCHEMA, RAW_LOG_SCHEMA
+from drover.schemas import EARNINGS_SCHEMA, EXPENSES_SCHEMA, RAW_LOG_SCHEMA, STATUS_SCHEMA, ZONE_METRICS_SCHEMA
 from drover.session import path_exists
 from drover.config import Params
 from drover.operators import alerts as A
+from drover.operators import metrics as M
 from drover.operators import reconcile as R
 from drover.operators import serving as SV
 from drover.operators import status as S
+from drover.operators.landing import merge_landed
 from drover.sources.expenses import read_expense_feed
 from drover.streaming import changelog as CL
+from drover.streaming import jobs as J
+from drover.streaming import member_deltas as MD
 
 
 class FleetStore:
@@ -41,32 +45,37 @@ class FleetStore:
         return self.params if as_of is None else self.params.replace(as_of=as_of)
 
     # ---------------------------------------------------------------- stored state
-    CHANGELOGS = {"daily_earnings": ["vehicle_id", "sim_day"], "zone_metrics": ["zone", "window_start"],
-                  "vehicle_status": ["vehicle_id"]}
+    def _has(self, name: str) -> bool:
+        return path_exists(self.spark, self.path(name))
 
-    def _resolve(self, name: str, where=None) -> DataFrame:
-        """Newest row per key of a changelog: the newest snapshot (if compacted) plus the
-        log batches after it."""
-        return CL.resolve_compacted(self.spark, self.path(name), self.CHANGELOGS[name],
-                                    self.path(f"snapshots/{name}"), where)
+    def _none(self, schema) -> DataFrame:
+        return self.spark.createDataFrame([], schema)
+
+    def _snapshots(self, name: str) -> str:
+        return self.path(f"snapshots/{name}")
 
     def compact(self) -> None:
-        """Fold every changelog into a new snapshot (older log batches can then be archived)."""
-        for name, keys in self.CHANGELOGS.items():
-            CL.compact(self.spark, self.path(name), keys, self.path(f"snapshots/{name}"))
+        """Fold deltas and changelog into new snapshots (older batches can then be archived)."""
+        for name, totals in (("zone_metrics", M.zone_totals()), ("daily_earnings", M.earnings_totals())):
+            if self._has(name):
+                MD.compact(self.spark, self.path(name), totals, self._snapshots(name))
+        if self._has("vehicle_status"):
+            CL.compact(self.spark, self.path("vehicle_status"), ["vehicle_id"], self._snapshots("vehicle_status"))
 
     def events(self) -> DataFrame:
-        if not path_exists(self.spark, self.path("raw_log")):
-            return self.spark.createDataFrame([], RAW_LOG_SCHEMA)
-        return CL.read_log(self.spark, self.path("raw_log")).drop("run", "batch_id")
+        if not self._has("raw_log"):
+            return self._none(RAW_LOG_SCHEMA).drop("run", "batch_id")
+        return CL.read_raw_log(self.spark, self.path("raw_log"))
 
     def earnings(self) -> DataFrame:
-        if not path_exists(self.spark, self.path("daily_earnings")):
-            return self.spark.createDataFrame([], EARNINGS_SCHEMA)
-        return self._resolve("daily_earnings")
+        if not self._has("daily_earnings"):
+            return self._none(EARNINGS_SCHEMA)
+        return J.earnings_at(self.spark, self.path("daily_earnings"), snapshots=self._snapshots("daily_earnings"))
 
-    def zone_metrics(self) -> DataFrame:
-        return self._resolve("zone_metrics")
+    def zone_metrics(self, where=None) -> DataFrame:
+        if not self._has("zone_metrics"):
+            return self._none(ZONE_METRICS_SCHEMA)
+        return J.zone_metrics_at(self.spark, self.path("zone_metrics"), where, snapshots=self._snapshots("zone_metrics"))
 
     def latest_status(self, as_of: float | None = None) -> DataFrame:
         """Exact latest status as of a time, recomputed from the raw log (history queries)."""
@@ -75,7 +84,10 @@ class FleetStore:
     def live_status(self) -> DataFrame:
         """Latest status per vehicle as maintained by the status stream (one row per vehicle;
         reads the small changelog, not the raw log)."""
-        s = self._resolve("vehicle_status")
+        if self._has("vehicle_status"):
+            s = CL.resolve_compacted(self.spark, self.path("vehicle_status"), ["vehicle_id"], self._snapshots("vehicle_status"))
+        else:
+            s = self._none(STATUS_SCHEMA)
         return s.select("vehicle_id", "driver_id", "lat", "lon", "speed", "status", "zone", "last_fare", "sim_day",
                         F.timestamp_micros("status_since_us").alias("status_since"),
                         F.timestamp_micros("updated_at_us").alias("updated_at"))
@@ -84,27 +96,26 @@ class FleetStore:
         """Newest event time per stream micro-batch, from the heartbeats (a few rows per
         minute): what the staleness rule and the health check need, without a scan of the
         raw log."""
-        if not path_exists(self.spark, self.path("heartbeats")):
-            return self.spark.createDataFrame([], "event_ts timestamp")
+        if not self._has("heartbeats"):
+            return self._none("event_ts timestamp")
         hb = CL.read_log(self.spark, self.path("heartbeats"))
         return hb.where(F.col("component") == "stream-processor").select(F.col("last_event_at").alias("event_ts"))
 
     def recent_zone_metrics(self, since: float) -> DataFrame:
-        """Zone windows ending after ``since``, resolved from the changelog; the time
-        predicate is applied before resolving and reaches the Parquet reader."""
-        return self._resolve("zone_metrics",
-                             where=F.col("window_end") > F.timestamp_micros(F.lit(int(since * 1_000_000))))
+        """Zone windows ending after ``since``; the time predicate is applied to the deltas and
+        reaches the Parquet reader."""
+        return self.zone_metrics(F.col("window_end") > F.timestamp_micros(F.lit(int(since * 1_000_000))))
 
     def report(self) -> DataFrame:
-        if not path_exists(self.spark, self.path("report")):
-            none = self.spark.createDataFrame
-            return R.profitability(none([], EXPENSES_SCHEMA), none([], EARNINGS_SCHEMA))
+        if not self._has("report"):
+            return R.profitability(self._none(EXPENSES_SCHEMA), self._none(EARNINGS_SCHEMA))
         return self.spark.read.parquet(self.path("report"))
 
     # ---------------------------------------------------------------- endpoints
     def health(self, as_of: float | None = None) -> dict[str, DataFrame]:
-        return {"pipeline": SV.pipeline_health(self.last_events(), self._at(as_of)),
-                "components": CL.component_health(self.spark, self.path("heartbeats"))}
+        components = CL.component_health(self.spark, self.path("heartbeats")) if self._has("heartbeats") else self._none(
+            "component string, status string, last_event_at timestamp, updated_at timestamp")
+        return {"pipeline": SV.pipeline_health(self.last_events(), self._at(as_of)), "components": components}
 
     def realtime(self, as_of: float | None = None) -> dict[str, DataFrame]:
         """Live state: status from the status stream, trips from the last
@@ -146,11 +157,12 @@ class FleetStore:
 
     # ---------------------------------------------------------------- batch jobs
     def load_expenses(self, landing_path: str, days=None) -> None:
-        """Load landed expense files (all, or the given days) into the expenses table."""
-        feed = read_expense_feed(self.spark, landing_path)
+        """Load landed expense files (all, or the given days) into the expenses table, the
+        newest file of a vehicle's day winning."""
+        feed = read_expense_feed(self.spark, landing_path, with_file=True)
         if days is not None:
             feed = feed.where(F.col("sim_day").isin([int(d) for d in ([days] if isinstance(days, int) else days)]))
-        R.merge_expenses(feed, self.path("expenses"))
+        merge_landed(feed, self.path("expenses"))
 
     def reconcile(self, days=None) -> None:
         R.reconcile(self.spark, self.path("expenses"), self.earnings(), self.path("report"), days,

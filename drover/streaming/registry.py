@@ -8,6 +8,8 @@ returned -- so the batch SQL oracle applies.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from drover.plans.inputs import Inputs
@@ -18,8 +20,9 @@ from drover.streaming import changelog as CL
 from drover.streaming import jobs as J
 from drover.streaming.staging import stage_in_order
 
-N_FILES = 6
-FILES_PER_TRIGGER = 2
+#: Files a replay is staged as at least; a larger table has one per input split.
+LEAST_FILES = 6
+TRIGGERS = 3
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -44,21 +47,30 @@ class _replay_partitions:
         return False
 
 
+def stage_messages(x: Inputs, rows, path: str, order="event_id") -> int:
+    """Stage telemetry rows as message files in the order of a column; returns how many
+    files a trigger takes so that a replay has several micro-batches."""
+    files = max(LEAST_FILES, rows.rdd.getNumPartitions())
+    rows = rows.withColumn("__order", F.col(order) if isinstance(order, str) else order)
+    stage_in_order(to_wire(rows, keep=("__order",)), path, "__order", files)
+    return -(-files // TRIGGERS)
+
+
 class Replay:
     """Staged input and fresh sink/checkpoint folders for one run."""
 
-    def __init__(self, x: Inputs, name: str, redeliver_every: int | None = None):
+    def __init__(self, x: Inputs, name: str, redeliver_every: int | None = None, order="event_id", rows=None):
         self.root = scratch_path(x.spark, name)
-        rows = x.raw
+        rows = x.raw if rows is None else rows
         if redeliver_every:
             # at-least-once delivery: some messages arrive twice
             rows = rows.unionByName(rows.where(F.col("event_id") % redeliver_every == 0))
-        stage_in_order(to_wire(rows, keep=("event_id",)), f"{self.root}/landing", "event_id", N_FILES)
+        per_trigger = stage_messages(x, rows, f"{self.root}/landing", order)
         J.use_rocksdb(x.spark)
-        self.events = J.file_event_stream(x.spark, f"{self.root}/landing", x.params, FILES_PER_TRIGGER)
+        self.events = J.file_event_stream(x.spark, f"{self.root}/landing", x.params, per_trigger)
         self.sink = f"{self.root}/sink"
         self.checkpoint = f"{self.root}/checkpoint"
-        self.run_id = CL.new_run_id()
+        self.run_id = None      # the commit epoch of the checkpoint
 
 
 EVENT_COLUMNS = ["event_id", "vehicle_id", "driver_id", "trip_id", "status", "lat", "lon", "speed",
@@ -87,16 +99,59 @@ def _raw_log_stream(x: Inputs):
 def _component_health(x: Inputs):
     """Latest heartbeat per component of the streams this process ran."""
     r, hb = _raw_log_run(x, heartbeat=True)
-    return CL.component_health(x.spark, hb)
+    return CL.component_health(x.spark, hb).drop("updated_at")     # the wall clock
 
 
 @query("zone_metrics_stream")
 def _zone_metrics_stream(x: Inputs):
-    """1-minute zone metrics in update mode (exact sets), changelog resolved per window."""
+    """1-minute zone metrics as membership deltas, summed per window."""
     r = Replay(x, "zones")
     with _replay_partitions(x.spark):
         J.run_to_end(J.start_zone_metrics(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
-    return CL.resolve(x.spark, r.sink, ["zone", "window_start"]).select(*ZONE_COLUMNS)
+    return J.zone_metrics_at(x.spark, r.sink).select(*ZONE_COLUMNS)
+
+
+@query("zone_metrics_late_repair")
+def _zone_metrics_late_repair(x: Inputs):
+    """1-minute zone metrics when every seventh message comes five minutes late and every
+    eleventh three days: windows published before are repaired, none is missing."""
+    delay = (F.when(F.col("event_id") % 11 == 0, F.lit(3 * 86400)).when(F.col("event_id") % 7 == 0, F.lit(300)).otherwise(F.lit(0)))
+    valid = F.when(F.col("event_ts") != "not-a-timestamp", F.col("event_ts"))
+    rows = x.raw.withColumn("__due", F.unix_micros(valid.cast("timestamp")) + delay.cast("long") * 1_000_000)
+    r = Replay(x, "zones-late", order="__due", rows=rows)
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_zone_metrics(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+    return J.zone_metrics_at(x.spark, r.sink).select(*ZONE_COLUMNS)
+
+
+@query("lost_checkpoint_recovery")
+def _lost_checkpoint_recovery(x: Inputs):
+    """Messages in three parts; after the second, the raw log's checkpoint is lost and the
+    broker has dropped the first part, while the earnings go on from their checkpoint. Per
+    day: events and fares of the raw log, and the earnings' fares."""
+    root = scratch_path(x.spark, "lost-checkpoint")
+    last = x.raw.agg(F.max("event_id")).first()[0]
+    J.use_rocksdb(x.spark)
+
+    def land(part: int) -> None:
+        lo, hi = (int(last * k / 3) for k in (part, part + 1))
+        own = x.raw.where((F.col("event_id") > lo) & (F.col("event_id") <= hi) if part else (F.col("event_id") <= hi))
+        stage_messages(x, own, f"{root}/landing/part{part}")
+
+    def events(parts: str):
+        return J.file_event_stream(x.spark, f"{root}/landing/part{parts}", x.params, 2 * LEAST_FILES)
+
+    with _replay_partitions(x.spark):
+        for parts, ck in (("[01]", "first"), ("[12]", "second")):
+            for k in (0, 1) if ck == "first" else (2,):
+                land(k)
+            J.run_to_end(J.start_raw_log(events(parts), f"{root}/raw_log", f"{root}/checkpoints/raw_log-{ck}", None, AVAILABLE_NOW))
+            J.run_to_end(J.start_daily_earnings(events("*"), f"{root}/daily_earnings", f"{root}/checkpoints/daily_earnings", None, AVAILABLE_NOW))
+    log = CL.read_raw_log(x.spark, f"{root}/raw_log").groupBy(F.col("sim_day").cast("int").alias("sim_day")).agg(
+        F.count(F.lit(1)).alias("events"), F.sum("fare").alias("log_fare"))
+    earned = J.earnings_at(x.spark, f"{root}/daily_earnings").groupBy(F.col("sim_day").cast("int").alias("sim_day")).agg(
+        F.sum("total_fare").alias("earned"), F.sum("trip_count").alias("trips"))
+    return log.join(earned, "sim_day", "full")
 
 
 @query("zone_metrics_two_level")
@@ -115,8 +170,7 @@ def _daily_earnings_stream(x: Inputs):
     r = Replay(x, "earnings")
     with _replay_partitions(x.spark):
         J.run_to_end(J.start_daily_earnings(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
-    return CL.resolve(x.spark, r.sink, ["vehicle_id", "sim_day"]).select(
-        "vehicle_id", "sim_day", "total_fare", "trip_count")
+    return J.earnings_at(x.spark, r.sink)
 
 
 @query("daily_earnings_bounded_stream")
@@ -170,6 +224,18 @@ def _vehicle_status_ordered_stream(x: Inputs):
                     F.timestamp_micros("updated_at_us").alias("updated_at"))
 
 
+@query("vehicle_status_nine_fields")
+def _vehicle_status_nine_fields(x: Inputs):
+    """Latest status in keyed state from records of the original nine fields (no event id)."""
+    r = Replay(x, "status-nine")
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_vehicle_status(r.events.withColumn("event_id", F.lit(None).cast("long")), r.sink, r.checkpoint,
+                                            r.run_id, AVAILABLE_NOW))
+    s = CL.resolve(x.spark, r.sink, ["vehicle_id"])
+    return s.select("vehicle_id", "status", "zone", "sim_day", F.timestamp_micros("status_since_us").alias("status_since"),
+                    F.timestamp_micros("updated_at_us").alias("updated_at"))
+
+
 @query("dedup_events_stream")
 def _dedup_events_stream(x: Inputs):
     """Re-delivered messages removed within the watermark (two-stage, copies spread over
@@ -197,6 +263,35 @@ def _expense_landing_stream(x: Inputs):
                     "distance_covered", "service_flag")
 
 
+@query("expense_file_precedence")
+def _expense_file_precedence(x: Inputs):
+    """Expense files and, in the same trigger, a corrected file of day 3; then the original
+    of day 3 is delivered once more. The correction's vehicles stay corrected."""
+    from drover.sources.expenses import write_landing
+    from drover.sources.fixtures import expense_correction_rows
+    root = scratch_path(x.spark, "expense-precedence")
+    table, checkpoint = f"{root}/table", f"{root}/checkpoint"
+
+    def load():
+        with _replay_partitions(x.spark):
+            J.run_to_end(J.start_expense_loader(x.spark, f"{root}/landing", table, checkpoint, AVAILABLE_NOW))
+    write_landing(x.expenses, f"{root}/landing/original", one_file_per_day=True)
+    settle()
+    write_landing(expense_correction_rows(x.spark, x.sf_dir, 3), f"{root}/landing/corrected", one_file_per_day=True)
+    load()
+    settle()
+    write_landing(x.expenses.where("sim_day = 3"), f"{root}/landing/again", one_file_per_day=True)
+    load()
+    t = x.spark.read.parquet(table)
+    return t.select("vehicle_id", F.col("sim_day").cast("int").alias("sim_day"), "fuel_cost", "maintenance_cost",
+                    "distance_covered", "service_flag")
+
+
+def settle() -> None:
+    """Let the file system's clock move on, so that the next file is newer."""
+    time.sleep(1.1)
+
+
 def _r(e, n):
     from drover.plans.oracle import _r as r6
     return r6(e, n)
@@ -225,5 +320,14 @@ def stream_oracles() -> dict[str, str]:
         "vehicle_status_ordered_stream": O._Q["vehicle_status_latest"].replace("FROM latest", "FROM latestw"),
         "dedup_events_stream": "SELECT event_id, vehicle_id, status, epoch_us(event_ts) AS event_ts, sim_day, zone FROM ev",
         "expense_landing_stream": O._Q["expense_feed"],
+        "expense_file_precedence": O._Q["expense_correction"],
+        "zone_metrics_late_repair": O._Q["zone_metrics_1min"],
+        "lost_checkpoint_recovery": (
+            "SELECT e.sim_day, e.events, e.log_fare, earned, trips FROM (SELECT sim_day, count(*) AS events, "
+            f"{_r('sum(fare)', 'log_fare')} FROM ev GROUP BY sim_day) e JOIN (SELECT sim_day, {_r('sum(fare)', 'earned')}, "
+            "CAST(count(DISTINCT CASE WHEN trip_id <> '-' THEN vehicle_id || '/' || trip_id END) AS BIGINT) AS trips "
+            "FROM ev GROUP BY sim_day) d ON e.sim_day = d.sim_day"),
+        "vehicle_status_nine_fields": ("SELECT vehicle_id, status, zone, sim_day, status_since, updated_at FROM ("
+                                       + O._Q["vehicle_status_latest"] + ")"),
     }
 

@@ -29,11 +29,10 @@ def stage_in_order(df: DataFrame, path: str, order_col: str, n_files: int,
         bounds = df.approxQuantile(order_col, [i / n_files for i in range(1, n_files)], 0.001)
         edges = [None] + sorted(set(bounds)) + [None]
         for lo, hi in zip(edges, edges[1:]):
-            part = df
-            if lo is not None:
-                part = part.where(F.col(order_col) > F.lit(lo))
+            # rows without a place in the order come first, as in the other route
+            part = df if lo is None else df.where(F.col(order_col) > F.lit(lo))
             if hi is not None:
-                part = part.where(F.col(order_col) <= F.lit(hi))
+                part = part.where((F.col(order_col) <= F.lit(hi)) | (F.col(order_col).isNull() if lo is None else F.lit(False)))
             part.coalesce(1).sortWithinPartitions(order_col).write.mode("append").parquet(path)
         return -1
     (df.repartitionByRange(int(n_files), F.col(order_col)).sortWithinPartitions(order_col)

@@ -16,6 +16,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+#: Tie-break of a record without an event id.
+NO_ID = -(2 ** 63)
+
 STATE_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("since_us", T.LongType()),
@@ -151,6 +154,8 @@ def latest_status_stream(events: DataFrame, ordered_within: str | None = None) -
     out of order by less than the delay; the state flushes on an event-time timeout.
     """
     _ship_by_value()
+    # records without an event id come before those with one at the same instant
+    events = events.withColumn("event_id", F.coalesce("event_id", F.lit(NO_ID)))
     if ordered_within is None:
         inp = events.select(*INPUT_COLUMNS, F.unix_micros("event_ts").alias("ts_us"))
         return inp.groupBy("vehicle_id").applyInPandasWithState(

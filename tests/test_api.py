@@ -62,3 +62,23 @@ def test_api_end_to_end(spark, tmp_path):
     comps = {r.component for r in store.health()["components"].collect()}
     assert comps == {"stream-processor", "reconciliation", "watchdog"}
     assert _rows(store.health()["pipeline"]) == _rows(SV.pipeline_health(x.events, x.params))
+
+
+def test_fresh_store(spark, tmp_path):
+    """Before the first data every call answers, and the first round raises both alerts."""
+    from drover.config import FIXTURE_PARAMS as P
+    store = FleetStore(spark, str(tmp_path / "fresh"), P)
+    assert store.vehicles().count() == store.report().count() == store.earnings().count() == store.events().count() == 0
+    assert store.zone_metrics().count() == 0
+    health = store.health()
+    assert health["components"].count() == 0 and health["pipeline"].collect()[0] is not None
+    now = store.realtime()
+    s = now["summary"].collect()[0]
+    assert s.active_vehicles == 0 and now["status"].count() == now["zones"].count() == 0
+    store.reconcile()
+    store.catch_up()
+    store.compact()
+    assert store.income_trend().count() == 0
+    raised = {(r.alert_type, r.severity) for r in store.evaluate_alerts().collect()}
+    assert raised == {("pipeline_staleness", "critical"), ("reconciliation_missing", "critical")}
+    assert store.health()["components"].first().updated_at is not None

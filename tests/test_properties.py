@@ -93,12 +93,14 @@ zone_event = st.tuples(st.sampled_from(["V1", "V2", "V3", "V4"]), st.integers(0,
                        st.sampled_from([6.84, 6.9, 6.95]), st.floats(0, 50))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(zone_event, min_size=1, max_size=50))
-def test_two_level_zone_metrics_equal_sets(spark, rows):
+def test_two_level_zone_metrics_equal_deltas(spark, rows):
     from drover.config import Params
     from drover.functions import zone_of
     from drover.operators import metrics as M
+    from drover.session import scratch_path
+    from drover.streaming import member_deltas as MD
 
     p = Params(start_epoch=0.0, day_seconds=300)
     df = spark.createDataFrame([(v, t, s, tr, lat, fare) for v, t, s, tr, lat, fare in rows],
@@ -108,7 +110,10 @@ def test_two_level_zone_metrics_equal_sets(spark, rows):
     cols = ["zone", "window_start", "active_vehicles", "idle_count", "enroute_count", "on_trip_count", "trip_count",
             "sim_day"]
     a = M.zone_metrics(df, p, "1 minute")
-    b = M.zone_metrics_sets(df, p, "1 minute")
+    path, keyed = scratch_path(spark, "zone-deltas"), M.zone_keyed(df, p, "1 minute")
+    for k in (0, 1):
+        MD.apply_batch(keyed.where(F.col("t") % 2 == k), M.zone_totals(), path, 1, k)
+    b = M.zone_metrics_of(MD.read(spark, path, M.zone_totals()))
     assert sorted(tuple(r) for r in a.select(*cols).collect()) == sorted(tuple(r) for r in b.select(*cols).collect())
     ra = {(r.zone, r.window_start): (round(r.total_earnings, 6), round(r.avg_speed, 6)) for r in a.collect()}
     rb = {(r.zone, r.window_start): (round(r.total_earnings, 6), round(r.avg_speed, 6)) for r in b.collect()}

@@ -67,13 +67,71 @@ def test_loader_stream_correction_and_duplicates(spark, tmp_path):
     ck = str(tmp_path / "ck")
     J.run_to_end(J.start_expense_loader(spark, str(land), table, ck, {"availableNow": True}, max_files_per_trigger=1))
     assert spark.read.parquet(table).count() == 3
-    # a corrected day-1 file lands later: V2 removed, V1 changed; day 2 untouched
+    # a corrected day-1 file lands later: V1 changed; V2, which it does not list, and day 2 stay
     (land / "fix").mkdir()
     _csv(land / "fix" / "expenses_day1.csv", [("V1", 9.0, 1.0, 1.0, "True")])
     J.run_to_end(J.start_expense_loader(spark, str(land), table, ck, {"availableNow": True}))
     got = sorted((r.vehicle_id, r.sim_day, r.fuel_cost) for r in spark.read.parquet(table).collect())
-    assert got == [("V1", 1, 9.0), ("V1", 2, 3.0)]
+    assert got == [("V1", 1, 9.0), ("V1", 2, 3.0), ("V2", 1, 2.0)]
     # a file listing a vehicle twice fails its batch
     _csv(land / "expenses_day3.csv", [("V1", 1.0, 1.0, 1.0, "True"), ("V1", 1.0, 1.0, 1.0, "True")])
     with pytest.raises(Exception):
         J.run_to_end(J.start_expense_loader(spark, str(land), table, ck, {"availableNow": True}))
+
+
+def _landed(spark, tmp_path, name, triggers):
+    """The expenses table after files land in the given triggers: (folder, mtime, rows)."""
+    import os
+    from drover.streaming import jobs as J
+    land, table = tmp_path / name, str(tmp_path / f"{name}-table")
+    for files in triggers:
+        for folder, mtime, rows in files:
+            (land / folder).mkdir(parents=True, exist_ok=True)
+            f = land / folder / "expenses_day1.csv"
+            _csv(f, rows)
+            os.utime(f, (mtime, mtime))
+        J.run_to_end(J.start_expense_loader(spark, str(land), table, str(tmp_path / f"{name}-ck"), {"availableNow": True}))
+    return sorted((r.vehicle_id, r.sim_day, r.fuel_cost) for r in spark.read.parquet(table).collect())
+
+
+def test_newest_file_wins_in_any_triggers(spark, tmp_path):
+    first = ("a", 1_000_000, [("V1", 1.0, 1.0, 1.0, "True"), ("V2", 2.0, 2.0, 2.0, "False")])
+    fix = ("b", 1_000_100, [("V1", 9.0, 1.0, 1.0, "True"), ("V3", 5.0, 1.0, 1.0, "True")])
+    again = ("c", 1_000_200, first[2])
+    want = [("V1", 1, 9.0), ("V2", 1, 2.0), ("V3", 1, 5.0)]
+    for name, triggers in (("one", [[first, fix]]), ("two", [[first], [fix]]), ("late", [[fix], [first]]),
+                           ("again", [[first], [fix], [again]]), ("all", [[again, fix, first]])):
+        assert _landed(spark, tmp_path, name, triggers) == want, name
+
+
+def test_merge_landed_cases(spark, tmp_path):
+    import pytest
+    from drover.operators.landing import merge_landed, read_manifest
+    from drover.operators.reconcile import merge_expenses
+    from drover.schemas import EXPENSES_SCHEMA
+    cols = "vehicle_id string, sim_day int, fuel_cost double, maintenance_cost double, distance_covered double, service_flag boolean"
+    table = str(tmp_path / "table")
+
+    def feed(*rows):
+        df = spark.createDataFrame([(*r[:2], r[2], 1.0, 1.0, True, r[3], r[4]) for r in rows], cols + ", file_path string, t long")
+        return df.withColumn("file_modified", F.timestamp_seconds("t")).drop("t")
+    merge_landed(feed(), table)                                  # nothing has landed
+    twice = feed(("V1", 1, 1.0, "f", 5), ("V1", 1, 2.0, "f", 5))
+    with pytest.raises(ValueError):
+        merge_landed(twice, table)
+    merge_landed(twice, table, "keep_one")
+    assert [r.fuel_cost for r in spark.read.parquet(table).collect()] == [2.0]
+    merge_landed(feed(("V1", 1, 7.0, "g", 5)), table)            # equally old: the later path
+    merge_landed(feed(("V1", 1, 3.0, "e", 5)), table)
+    assert [r.fuel_cost for r in spark.read.parquet(table).collect()] == [7.0]
+    merge_landed(feed(("V1", 1, 3.0, "e", 5)), table)            # a replay
+    assert read_manifest(spark, table).count() == 3
+    # rows without a file win over what has landed so far
+    merge_expenses(spark.createDataFrame([("V1", 1, 4.0, 1.0, 1.0, False)], EXPENSES_SCHEMA), table)
+    merge_landed(feed(("V1", 1, 8.0, "h", 6), ("V2", 2, 1.0, "h", 6)), table)
+    assert sorted((r.vehicle_id, r.fuel_cost) for r in spark.read.parquet(table).collect()) == [("V1", 4.0), ("V2", 1.0)]
+    # a table stored without versions
+    old = str(tmp_path / "old")
+    spark.createDataFrame([("V1", 1, 4.0, 1.0, 1.0, False)], EXPENSES_SCHEMA).write.partitionBy("sim_day").parquet(old)
+    merge_landed(feed(("V1", 1, 8.0, "h", 6)), old)
+    assert [r.fuel_cost for r in spark.read.parquet(old).collect()] == [8.0]

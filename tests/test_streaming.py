@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
@@ -10,7 +11,9 @@ from drover.config import Params
 from drover.operators import metrics as M
 from drover.operators.clean import enrich
 from drover.streaming import changelog as CL
+from drover.streaming import epochs as E
 from drover.streaming import jobs as J
+from drover.streaming import member_deltas as MD
 
 P = Params(start_epoch=0.0, day_seconds=86400, as_of=None, window="1 minute", watermark="2 minutes")
 T0 = 1_699_999_980  # a whole minute; all events below are relative to it
@@ -46,16 +49,23 @@ def test_late_event_dropped_from_windows_kept_in_earnings(spark, tmp_path):
     z, e = str(tmp_path / "z"), str(tmp_path / "e")
     J.run_to_end(J.start_zone_metrics(ev, P, z, str(tmp_path / "zc"), 1, {"availableNow": True}))
     J.run_to_end(J.start_daily_earnings(ev, e, str(tmp_path / "ec"), 1, {"availableNow": True}))
-    zones = CL.resolve(spark, z, ["zone", "window_start"])
+    zones = J.zone_metrics_at(spark, z, late=False)      # what a watermarked aggregation counts
     starts = {int(r.ws) - T0 for r in zones.select(F.unix_seconds("window_start").alias("ws")).collect()}
     assert 300 not in starts and {0, 600} <= starts
-    earn = CL.resolve(spark, e, ["vehicle_id", "sim_day"]).collect()
+    earn = J.earnings_at(spark, e).collect()
     assert sum(r.total_fare for r in earn) == 9.0 and sum(r.trip_count for r in earn) == 2
     # the batch form over the same events shows what the watermark dropped
     batch_events = J.event_stream(spark.read.parquet(land), P)
     lost = J.watermark_losses(zones, M.zone_metrics(batch_events, P), ["zone", "window_start"],
                               ["active_vehicles", "total_earnings"]).collect()
     assert len(lost) == 1 and lost[0].stream_active_vehicles is None and lost[0].batch_total_earnings == 5.0
+    # with the late rows nothing is missing, and the repair tells which window they changed
+    cols = ["zone", "window_start", "active_vehicles", "trip_count", "total_earnings", "avg_speed"]
+    repaired = J.zone_metrics_at(spark, z)
+    assert sorted(tuple(r) for r in repaired.select(*cols).collect()) == sorted(
+        tuple(r) for r in M.zone_metrics(batch_events, P).select(*cols).collect())
+    fix = J.late_repairs(spark, z).collect()
+    assert [(r.published_total_earnings, r.repaired_total_earnings) for r in fix] == [(None, 5.0)]
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
@@ -73,12 +83,57 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert got == {"A": 9.0, "B": 3.0}
 
 
-def test_two_level_plan_equals_set_plan_in_batch(spark, fixture_inputs):
-    ev = fixture_inputs.events
-    cols = ["zone", "window_start", "active_vehicles", "idle_count", "enroute_count", "on_trip_count", "trip_count"]
-    a = sorted(tuple(r) for r in M.zone_metrics(ev, fixture_inputs.params, "1 hour").select(*cols).collect())
-    b = sorted(tuple(r) for r in M.zone_metrics_sets(ev, fixture_inputs.params, "1 hour").select(*cols).collect())
-    assert a == b
+COUNTS = ["zone", "window_start", "active_vehicles", "idle_count", "enroute_count", "on_trip_count", "trip_count"]
+
+
+def _rows(df, *cols):
+    return sorted(tuple(r) for r in (df.select(*cols) if cols else df).collect())
+
+
+def test_deltas_in_any_batches_equal_the_batch_plan(spark, fixture_inputs, tmp_path):
+    ev, p = fixture_inputs.events, fixture_inputs.params
+    t, path, snaps = M.zone_totals(), str(tmp_path / "z"), str(tmp_path / "s")
+    keyed = M.zone_keyed(ev, p, "1 hour")
+    want = _rows(M.zone_metrics(ev, p, "1 hour"), *COUNTS)
+    for k in (2, 0, 1):
+        MD.apply_batch(keyed.where(F.col("event_id") % 3 == k), t, path, 1, [2, 0, 1].index(k))
+        if k == 0:
+            MD.compact(spark, path, t, snaps)
+    assert _rows(M.zone_metrics_of(MD.read(spark, path, t)), *COUNTS) == want
+    assert _rows(M.zone_metrics_of(MD.read(spark, path, t, snapshots=snaps)), *COUNTS) == want
+    # batches replayed, also after a snapshot of them, change nothing; a snapshot of a snapshot neither
+    MD.compact(spark, path, t, snaps)
+    MD.apply_batch(keyed.where(F.col("event_id") % 3 == 0), t, path, 1, 1)
+    MD.apply_batch(keyed.where(F.col("event_id") % 3 == 1), t, path, 1, 2)
+    assert _rows(M.zone_metrics_of(MD.read(spark, path, t)), *COUNTS) == want
+    assert _rows(M.zone_metrics_of(MD.read(spark, path, t, snapshots=snaps)), *COUNTS) == want
+    # a newer epoch's value of a window replaces the older one's
+    one = keyed.orderBy("window_start", "zone").limit(1)
+    MD.apply_batch(one, t, path, 2, 0)
+    got = M.zone_metrics_of(MD.read(spark, path, t))
+    first = one.first()
+    assert got.where((F.col("zone") == first.zone) & (F.col("window_start") == F.lit(first.window_start))).first().active_vehicles == 1
+    assert got.count() == len(want)
+    MD.apply_batch(keyed.limit(0), t, path, 2, 1)      # an empty batch
+    assert MD.read(spark, path, t).count() == len(want)
+
+
+def test_deltas_with_nine_tenths_in_one_zone(spark, tmp_path):
+    n = 20_000
+    ev = spark.range(n).select(
+        F.when(F.col("id") % 10 > 0, "zone_N").otherwise("zone_S").alias("zone"), F.timestamp_seconds(F.lit(T0) + F.col("id") % 100).alias("event_ts"),
+        F.concat(F.lit("V"), (F.col("id") % 7001).cast("string")).alias("vehicle_id"), F.lit("D").alias("driver_id"),
+        F.concat(F.lit("T"), (F.col("id") % 5003).cast("string")).alias("trip_id"), F.lit(1.0).alias("fare"), F.lit(10.0).alias("speed"),
+        F.element_at(F.array(F.lit("idle"), F.lit("enroute"), F.lit("on_trip")), (F.col("id") % 3 + 1).cast("int")).alias("status"),
+        F.lit(0).alias("sim_day"), F.col("id").alias("event_id"))
+    t, path = M.zone_totals(), str(tmp_path / "z")
+    keyed = M.zone_keyed(ev, P)
+    for k in range(2):
+        MD.apply_batch(keyed.where(F.col("event_id") % 2 == k), t, path, 1, k)
+    assert _rows(M.zone_metrics_of(MD.read(spark, path, t)), *COUNTS) == _rows(M.zone_metrics(ev, P), *COUNTS)
+    # the hot zone's members of a batch lie in several files
+    hot = spark.read.parquet(path + ".members").where("zone = 'zone_N' and batch_id = 0").groupBy(F.input_file_name()).count().collect()
+    assert len(hot) >= 4 and max(r["count"] for r in hot) < sum(r["count"] for r in hot) / 3
 
 
 def test_bounded_earnings_state_equals_unbounded(spark, tmp_path):
@@ -90,8 +145,8 @@ def test_bounded_earnings_state_equals_unbounded(spark, tmp_path):
     u, b = str(tmp_path / "u"), str(tmp_path / "b")
     J.run_to_end(J.start_daily_earnings(ev, u, str(tmp_path / "uc"), 1, {"availableNow": True}))
     J.run_to_end(J.start_daily_earnings(ev, b, str(tmp_path / "bc"), 1, {"availableNow": True}, params=p, bounded=True))
-    ru = sorted(tuple(r) for r in CL.resolve(spark, u, ["vehicle_id", "sim_day"]).collect())
-    rb = sorted(tuple(r) for r in CL.resolve(spark, b, ["vehicle_id", "sim_day"]).collect())
+    ru = sorted(tuple(r) for r in J.earnings_at(spark, u).collect())
+    rb = _rows(CL.resolve(spark, b, ["vehicle_id", "sim_day"]), "vehicle_id", "sim_day", "total_fare", "trip_count")
     assert ru == rb and len(ru) > 2
 
 
@@ -139,7 +194,7 @@ def test_downstream_query_reads_raw_log_stream(spark, tmp_path):
     down = J.raw_log_events(spark, raw, max_files_per_trigger=1)
     e = str(tmp_path / "e")
     J.run_to_end(J.start_daily_earnings(down, e, str(tmp_path / "ec"), 1, {"availableNow": True}))
-    got = sorted(tuple(r) for r in CL.resolve(spark, e, ["vehicle_id", "sim_day"]).collect())
+    got = sorted(tuple(r) for r in J.earnings_at(spark, e).collect())
     want = sorted(tuple(r) for r in M.daily_earnings(spark.read.parquet(raw)).collect())
     assert got == want and len(got) == 2
 
@@ -171,7 +226,7 @@ def test_speed_layer_all_queries_and_restart(spark, tmp_path):
         J.run_to_end(q)
     raw = spark.read.parquet(f"{root}/raw_log")
     assert raw.count() == 24
-    earn = CL.resolve(spark, f"{root}/daily_earnings", ["vehicle_id", "sim_day"])
+    earn = J.earnings_at(spark, f"{root}/daily_earnings")
     want = M.daily_earnings(raw)
     assert sorted(tuple(r) for r in earn.collect()) == sorted(tuple(r) for r in want.collect())
     from drover.operators.status import latest_status
@@ -186,8 +241,8 @@ def test_speed_layer_all_queries_and_restart(spark, tmp_path):
 def test_approx_distinct_zone_metrics(fixture_inputs):
     ev, p = fixture_inputs.events, fixture_inputs.params
     cols = ["zone", "window_start", "active_vehicles", "trip_count"]
-    exact = sorted(tuple(r) for r in M.zone_metrics_sets(ev, p, "1 hour").select(*cols).collect())
-    approx = sorted(tuple(r) for r in M.zone_metrics_sets(ev, p, "1 hour", approx_rsd=0.01).select(*cols).collect())
+    exact = sorted(tuple(r) for r in M.zone_metrics(ev, p, "1 hour").select(*cols).collect())
+    approx = sorted(tuple(r) for r in M.zone_metrics_sketches(ev, p, "1 hour", rsd=0.01).select(*cols).collect())
     assert exact == approx  # sketches are exact at these small cardinalities
 
 
@@ -266,3 +321,90 @@ def test_merge_status_equals_keyed_state_and_replays(spark, tmp_path):
     again = sorted((r.vehicle_id, r.status, (r.status_since_us // 1_000_000) - T0) for r in
                    CL.resolve(spark, out, ["vehicle_id"]).collect())
     assert again == [("A", "enroute", 400), ("B", "idle", 30)]
+
+
+def test_epochs(spark, tmp_path):
+    sink = str(tmp_path / "sink")
+    assert E.epoch_of(spark, str(tmp_path / "ck1"), sink) == 1
+    assert E.epoch_of(spark, str(tmp_path / "ck1"), sink) == 1          # a restart
+    df = spark.createDataFrame([("A", 1)], "vehicle_id string, x int")
+    write = CL.changelog_sink(sink, 1)
+    write(df, 0)
+    assert E.epoch_of(spark, str(tmp_path / "ck2"), sink) == 2          # a lost checkpoint
+    with pytest.raises(E.StaleEpoch):                                   # the old query is still alive
+        write(df, 1)
+    assert E.claimed(spark, sink) == [1, 2] and CL.read_log(spark, sink).count() == 1
+    # a sink and a checkpoint from before epochs were kept
+    old = str(tmp_path / "old")
+    CL.write_batch(df, old, 1_700_000_000_000, 0)
+    (tmp_path / "ck3" / "offsets").mkdir(parents=True)
+    assert E.epoch_of(spark, str(tmp_path / "ck3"), old) == 1_700_000_000_000
+    assert E.epoch_of(spark, str(tmp_path / "ck4"), old) == 1_700_000_000_001
+
+
+def test_speed_layer_survives_one_lost_checkpoint(spark, tmp_path):
+    """The raw log loses its checkpoint, the broker has dropped the first file; the log
+    keeps every row once, also two equal messages of one epoch."""
+    from drover.sources.telemetry import file_telemetry
+    files = [[_msg(i, "A" if i % 3 else "B", i * 20, status="idle" if i % 4 else "on_trip", trip=f"T{i % 5}")
+              for i in range(k, k + 8)] for k in (0, 8, 16)]
+    files[1].append(files[1][0])
+    land, late = str(tmp_path / "land"), str(tmp_path / "late")
+    _stage(land, files[:2])
+    root = str(tmp_path / "layer")
+    once = {n: {"availableNow": True} for n in ("raw_log", "zone_metrics", "daily_earnings", "vehicle_status")}
+
+    def run(source, **kw):
+        for q in J.start_speed_layer(spark, source, P, root, triggers=once, status_mode="merge", **kw).values():
+            J.run_to_end(q)
+    run(file_telemetry(spark, land, 1))
+    before = [E.claimed(spark, f"{root}/{n}") for n in once]
+    assert before == [[1]] * 4
+    _stage(land, files)
+    _stage(late, files[1:])
+    events = J.event_stream(file_telemetry(spark, late, 1), P)
+    J.run_to_end(J.start_raw_log(events, f"{root}/raw_log", str(tmp_path / "newck"), None, {"availableNow": True}, f"{root}/heartbeats"))
+    run(file_telemetry(spark, land, 1), checkpoints={"raw_log": str(tmp_path / "newck2")})
+    assert E.claimed(spark, f"{root}/raw_log") == [1, 2, 3] and E.claimed(spark, f"{root}/daily_earnings") == [1]
+    whole = J.event_stream(spark.read.parquet(land), P)
+    log = CL.read_raw_log(spark, f"{root}/raw_log")
+    cols = ["event_id", "vehicle_id", "event_ts", "fare", "zone"]
+    assert _rows(log, *cols) == _rows(whole, *cols) and log.count() == 25
+    assert _rows(J.earnings_at(spark, f"{root}/daily_earnings")) == _rows(M.daily_earnings(whole))
+    assert _rows(J.zone_metrics_at(spark, f"{root}/zone_metrics"), *COUNTS) == _rows(M.zone_metrics(whole, P), *COUNTS)
+
+
+def test_status_batch_replayed_after_compaction(spark, tmp_path):
+    from drover.streaming.status_merge import status_merge_sink
+    out, snaps = str(tmp_path / "status"), str(tmp_path / "snaps")
+    sink = status_merge_sink(spark, out, 1, snaps)
+    land = str(tmp_path / "land")
+    _stage(land, [[_msg(1, "A", 0, status="idle")], [_msg(2, "A", 50, status="idle")]])
+    ev = J.event_stream(spark.read.parquet(land), P)
+    sink(ev.where("event_id = 1"), 0)
+    sink(ev.where("event_id = 2"), 1)
+    CL.compact(spark, out, ["vehicle_id"], snaps)
+    sink(ev.where("event_id = 2"), 1)       # written, folded, not committed: comes again
+    got = CL.resolve(spark, out, ["vehicle_id"]).first()
+    assert got.status_since_us // 1_000_000 - T0 == 0 and got.updated_at_us // 1_000_000 - T0 == 50
+    assert CL.resolve_compacted(spark, out, ["vehicle_id"], snaps).first() == got
+
+
+@pytest.mark.parametrize("mode", ["keyed", "ordered", "merge"])
+def test_status_of_nine_field_records(spark, tmp_path, mode):
+    import json
+    rows = [_msg(0, "A", t, status=s) for t, s in ((0, "idle"), (60, "idle"), (100, "on_trip"), (100, "on_trip"), (900, "idle"))]
+    for r in rows:
+        v = json.loads(r["value"])
+        del v["event_id"]
+        r["value"] = json.dumps(v)
+    land, out = str(tmp_path / "land"), str(tmp_path / "out")
+    _stage(land, [rows[:2], rows[2:4], rows[4:]])
+    ev = J.file_event_stream(spark, land, P, max_files_per_trigger=1)
+    start = J.start_vehicle_status_merge if mode == "merge" else J.start_vehicle_status
+    kw = {"ordered_within": "2 minutes"} if mode == "ordered" else {}
+    J.run_to_end(start(ev, out, str(tmp_path / "ck"), None, {"availableNow": True}, **kw))
+    got = CL.resolve(spark, out, ["vehicle_id"]).first()
+    # in order, the last event is still behind the watermark
+    want = ("on_trip", 100) if mode == "ordered" else ("idle", 900)
+    assert (got.status, got.status_since_us // 1_000_000 - T0) == want
