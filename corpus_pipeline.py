@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drover.llm import best_fit, decontaminate, difference_cover, quality, simhash
-from drover.llm.common import table, written
+from drover.llm.common import narrow, table, unused, written
 from drover.llm.queries import tokenizer_path
 
 
@@ -21,36 +21,48 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id (rows that
-    share it: the one whose text has the smallest digest; equal rows: one of them). Rows
-    without an id stay unless a document with an id is in their group."""
-    groups = simhash.near_duplicates(docs).select("doc_id", "component_id").distinct()
-    stay = written(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct(), "representatives")
-    kept = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    first = F.min(F.struct(F.xxhash64("text").alias("__digest"), F.struct(*docs.columns).alias("__row"))).alias("__first")
-    # ids are unique in a well-formed table; then no group has a second row
-    with_id = kept.where("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).agg(first).select("__first.__row.*")
-    return with_id.unionByName(kept.where("doc_id is null").dropDuplicates(["text"]))
+    """One document of each group of near copies: the one with the smallest id (null last),
+    then the smallest digest of the text; of equal rows one (rows that differ in other
+    columns alone: the smallest).
+
+    The choice is made on ids and digests; the texts are filtered by a table of what goes,
+    broadcast if measured to be small, else by one join. Rows that occur several times are
+    the only ones to be aggregated."""
+    cols = docs.columns
+    key, digest, m_id, m_digest, gone, rows = unused(docs, "__id", "__digest", "__gone_id", "__gone_digest", "__gone", "__rows")
+    marks = written(simhash.one_each(docs), "marks").toDF(m_id, m_digest, gone, rows)
+    keyed = docs.withColumns({key: F.col("doc_id").cast("long"), digest: simhash.text_digest()})
+    joined = keyed.join(narrow(marks), F.col(key).eqNullSafe(F.col(m_id)) & (F.col(digest) == F.col(m_digest)), "left")
+    kept = joined.where(F.col(gone).isNull()).select(cols)
+    several = marks.where(~F.col(gone))
+    if several.isEmpty():
+        return kept
+    again = joined.where(~F.col(gone)).groupBy(key, digest).agg(F.min(F.struct(*cols)).alias(rows))
+    return kept.unionByName(again.select(f"{rows}.*"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 13-word windows that a document with a smaller id holds; a
-    document of which nothing is left goes."""
+    document of which nothing is left goes. Null texts go; a null id counts as the smallest;
+    rows that share an id do not make each other's windows repeated."""
     out = difference_cover.deduplicated(docs)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).where("text <> ''").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
-    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2 ** 63))),
-                              "__digest": F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")})
+    """Documents that hold no window of a benchmark item (null texts hold none; rows that share
+    an id are told apart by their texts; without items all stay)."""
+    key, digest = unused(docs, "__id", "__digest")
+    keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2 ** 63))),
+                              digest: F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")})
     hit = written(decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select(
-        F.col("key_id").alias("__id"), F.col("key_digest").alias("__digest")).distinct(), "contaminated")
-    return keyed.join(hit, ["__id", "__digest"], "left_anti").select(docs.columns)
+        F.col("key_id").alias(key), F.col("key_digest").alias(digest)).distinct(), "contaminated")
+    return keyed.join(narrow(hit), [key, digest], "left_anti").select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequences."""
+    """The pieces of all documents with their sequences (null texts: one piece of the id 0;
+    null and repeated ids: a piece each; no documents: no pieces)."""
     return best_fit.packed_sequences(docs, tokenizer_path())
 
 

@@ -70,6 +70,23 @@ def sized(df: DataFrame, payload: str) -> DataFrame:
     return F.broadcast(df) if size + 48 * n <= BROADCAST_BYTES else df
 
 
+def narrow(df: DataFrame, row_bytes: int = 64) -> DataFrame:
+    """``df`` (a written table of a few numbers a row) with a broadcast hint if its counted
+    rows are proven to be under BROADCAST_BYTES, else unchanged."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def doc_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key_id, key_digest, text): the id (null: NULL_ID) and a 32-bit digest of the text
     that tells rows apart which share an id."""

@@ -9,8 +9,8 @@ both documents. Steps:
 1. hash the 7-word anchors at cover positions only and find those that several documents
    hold (:func:`shared_anchors`);
 2. extend: a window can be repeated only if a shared anchor lies in it; those windows are
-   hashed whole, and each stays only in its smallest document
-   (:func:`repeated_spans`);
+   hashed whole (96 bits, of words hashed modulo a prime), and each stays only in its
+   smallest document (:func:`repeated_spans`);
 3. cut the spans from the texts (:func:`remove_repeats`).
 
 Entries of a map task are settled among themselves first, so a passage that a third of all
@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from drover.llm import exchange as X
-from drover.llm.common import buckets, doc_key, sized, text_slices
-from drover.llm.words import PLAIN, in_spans, merge_spans, runs, window_hash, words_of
+from drover.llm.common import buckets, doc_key, sized, text_slices, unused
+from drover.llm.words import PLAIN, in_spans, merge_spans, runs, window_check, window_hash, words_of
 
 WINDOW = 13
 PERIOD = 7
@@ -67,16 +67,24 @@ def shared_anchors(keyed: DataFrame) -> DataFrame:
     return X.exchanged(keyed.mapInArrow(_anchors(n), X.SCHEMA), X.meet_shared(n, False), candidate_windows, "cover-anchors")
 
 
+def same_windows(hashes: np.ndarray, checks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, first index of each group): windows are equal if hash and check, 96 bits,
+    are; the smallest document comes first."""
+    o = np.lexsort((ids, checks, hashes))
+    h, c = hashes[o], checks[o]
+    return o, np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))) if len(o) else np.zeros(0, np.int64)
+
+
 def first_only(n: int):
     """Within a task: a window is repeated if a smaller document of the task holds it;
     only the smallest document's entries go to the bucket."""
-    def settle(ids, digests, hashes, pos):
-        o, first = X.groups_of(hashes, ids)
+    def settle(ids, digests, hashes, pos, checks):
+        o, first = same_windows(hashes, checks, ids)
         size = np.diff(np.append(first, len(o)))
         later = ids[o] > np.repeat(ids[o[first]], size)
         yield X.send_back(ids[o[later]], digests[o[later]], pos[o[later]], None, n)
         keep = np.sort(o[~later])
-        yield X.pack(ids[keep], digests[keep], hashes[keep], pos[keep], None, X.hash_bucket(hashes[keep], n), False)
+        yield X.pack(ids[keep], digests[keep], hashes[keep], pos[keep], checks[keep], X.hash_bucket(hashes[keep], n), False)
     return settle
 
 
@@ -96,7 +104,8 @@ def _windows(n: int):
                     at.append(w.first[k] + p)
                     doc.append(np.full(len(p), k))
                 at, doc = np.concatenate(at), np.concatenate(doc)
-                yield from g.add(ids[row + doc], dig[row + doc], window_hash(w.hash, at, WINDOW), (at - w.first[doc]).astype(np.int32))
+                yield from g.add(ids[row + doc], dig[row + doc], window_hash(w.hash, at, WINDOW), (at - w.first[doc]).astype(np.int32),
+                                 window_check(w, at, WINDOW))
         yield from g.flush()
     return run
 
@@ -106,7 +115,7 @@ def _meet_windows(n: int):
         e = X.Entries(t, False)
         out = X.known_rows(t)
         if len(e):
-            o, first = X.groups_of(e.hashes, e.ids)
+            o, first = same_windows(e.hashes, e.extra, e.ids)
             size = np.diff(np.append(first, len(o)))
             later = o[e.ids[o] > np.repeat(e.ids[o[first]], size)]
             out.append(X.send_back(e.ids[later], e.digests[later], e.pos[later], None, n))
@@ -167,12 +176,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated windows cut from ``text_col`` (kept words joined by one space);
     documents without a repeated window keep their text unchanged. All columns stay."""
-    keyed = docs.select("*", F.coalesce(F.col(id_col).cast("long"), F.lit(-(2 ** 63))).alias("__key_id"),
-                        F.xxhash64(text_col).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("__key_digest"))
+    key, digest, found = unused(docs, "__key_id", "__key_digest", "__spans")
+    keyed = docs.select("*", F.coalesce(F.col(id_col).cast("long"), F.lit(-(2 ** 63))).alias(key),
+                        F.xxhash64(text_col).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias(digest))
     spans = sized(repeated_spans(doc_key(docs, id_col, text_col)), "spans").select(
-        F.col("key_id").alias("__key_id"), F.col("key_digest").alias("__key_digest"), F.col("spans").alias("__spans"))
-    joined = keyed.join(spans, ["__key_id", "__key_digest"], "left").drop("__key_id", "__key_digest")
-    at, place = docs.columns.index(text_col), joined.columns.index("__spans")
+        F.col("key_id").alias(key), F.col("key_digest").alias(digest), F.col("spans").alias(found))
+    joined = keyed.join(spans, [key, digest], "left").drop(key, digest)
+    at, place = docs.columns.index(text_col), joined.columns.index(found)
     kinds = docs.schema
 
     def cut(batches):

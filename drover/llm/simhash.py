@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from drover.llm import exchange as X
-from drover.llm.common import buckets, ship, text_slices, written
+from drover.llm.common import buckets, narrow, ship, text_slices, written
 from drover.llm.components import components
 
 SHINGLE = 4
@@ -67,15 +67,21 @@ def _fingerprints(k: int):
                 raw = data.tobytes()
                 for i in range(len(off) - 1):
                     out[row + i] = fingerprint(raw[off[i]:off[i + 1]], k)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(out.view(np.int64))],
+                                             names=["doc_id", "digest", "fp"])
     return run
 
 
+def text_digest(text_col: str = "text"):
+    """64 bits that tell texts apart which share an id; a null text is not an empty one."""
+    return F.xxhash64(F.col(text_col).isNull(), F.col(text_col))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for every row."""
+    """(doc_id, digest, fp) for every row; digest: :func:`text_digest`."""
     ship(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _fingerprints(k), "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_digest(text_col).alias("digest"),
+                       F.col(text_col).alias("text")).mapInArrow(_fingerprints(k), "doc_id long, digest long, fp long")
 
 
 def thermometer(fp: np.ndarray) -> np.ndarray:
@@ -211,8 +217,13 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``; component_id is the smallest
-    id that links reach.
+    """(doc_id, digest, fp, root, component_id, alone) for every row of ``docs``: component_id
+    is the smallest id that links reach, root the smallest fingerprint, digest tells texts
+    apart that share an id, and ``alone`` rows have no other row in their component.
+
+    Fingerprints without a link take no part in the joins by component, and those of a
+    single row without a link none in the join by fingerprint. Each of these joins ends a
+    stage, so that Spark can split a fingerprint or component that many rows share.
 
     Defined cases: null and empty texts have fingerprint 0 and link like any other; a null
     id stays null and is never a component's id unless all of it are null; repeated rows
@@ -220,12 +231,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     an empty result; only the two named columns are read.
     """
     own = written(fingerprints(docs, id_col, text_col, k), "fingerprints")
-    classes = written(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
-    roots = components(written(links(classes, max_bits), "fingerprint-links"))
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return own.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    classes = written(own.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")), "fingerprint-classes")
+    roots = written(components(written(links(classes, max_bits), "fingerprint-links")), "fingerprint-roots")
+    linked = written(classes.join(narrow(roots), F.col("fp") == F.col("node")).select("fp", "least", "root"), "linked-classes")
+    least = written(linked.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    named = written(linked.select("fp", "root").join(narrow(least), "root"), "named-classes")
+    copies = classes.where("rows > 1").join(named.select("fp"), "fp", "left_anti").select(
+        "fp", F.col("fp").alias("root"), F.col("least").alias("component_id"))
+    shared = written(named.select("fp", "root", "component_id").union(copies).withColumn("alone", F.lit(False)), "shared-classes")
+    found = F.col("alone").isNotNull()
+    return own.join(narrow(shared), "fp", "left").select(
+        "doc_id", "digest", "fp", F.when(found, F.col("root")).otherwise(F.col("fp")).alias("root"),
+        F.when(found, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), (~found).alias("alone"))
+
+
+def one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """Marks for keeping one row of each component: the one with the smallest id (null last),
+    then the smallest digest. (doc_id, digest, gone, rows) for the ids and texts of which no
+    row stays (``gone``), and for those that stay with ``rows`` > 1 equal rows. What has no
+    mark stays. No text is moved."""
+    groups = written(near_duplicates(docs, id_col, text_col, **how), "near-duplicates").where(~F.col("alone"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    rows = written(groups.groupBy("root", "doc_id", "digest").agg(F.count(F.lit(1)).alias("rows")), "component-rows")
+    first = written(rows.groupBy("root").agg(F.min(place).alias("first")), "component-first")
+    marks = rows.join(narrow(first), "root").select("doc_id", "digest", (place != F.col("first")).alias("gone"), "rows")
+    return marks.where(F.col("gone") | (F.col("rows") > 1))
 
 
 def fingerprint_text(fp):

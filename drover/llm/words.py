@@ -6,6 +6,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -18,8 +19,8 @@ def _random_table(seed: int) -> np.ndarray:
 
 
 def separators_table(separators: bytes) -> np.ndarray:
-    """Byte values for hashing; zero at the bytes that separate words."""
-    t = _random_table(7)
+    """Byte values for hashing (1 to 256); zero at the bytes that separate words."""
+    t = np.arange(1, 257, dtype=np.uint64)
     t[list(separators)] = 0
     return t
 
@@ -64,11 +65,78 @@ def range_hash(prefix: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray
     return mix((prefix[hi] - prefix[lo]) * down[lo])
 
 
+# ------------------------------------------------------------------ word hashes
+#: Words are hashed by a polynomial modulo this prime (2**61 - 1): unlike one modulo 2**64,
+#: no two words collide for every base.
+PRIME = np.uint64((1 << 61) - 1)
+_SHIFT = np.uint64(61)
+_ROOT = 0x1B4D5F2A90C3E785 % int(PRIME)
+_places: dict[str, np.ndarray] = {}
+#: Texts are worked on in pieces of about this many bytes, cut between words.
+PIECE = 4 << 20
+#: Longer words than this (bytes) are hashed whole: their sums could exceed 64 bits.
+LONG_WORD = 1 << 24
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> _SHIFT)
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, for numbers below it."""
+    half, low = np.uint64(32), np.uint64(0xFFFFFFFF)
+    ah, al, bh, bl = a >> half, a & low, b >> half, b & low
+    mid, lo = ah * bl + al * bh, al * bl
+    return _fold(((ah * bh) << np.uint64(3)) + (mid >> np.uint64(29)) + ((mid & np.uint64((1 << 29) - 1)) << half)
+                 + (lo & PRIME) + (lo >> _SHIFT))
+
+
+def places(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For i < n: the low 31 and the high bits of root**i, and root**-i, modulo PRIME."""
+    n = max(n, 1)
+    if len(_places.get("low", ())) < n:
+        up, down = (_powers_mod(b, n) for b in (_ROOT, pow(_ROOT, -1, int(PRIME))))
+        _places.update(low=up & np.uint64((1 << 31) - 1), high=up >> np.uint64(31), down=down)
+    return _places["low"][:n], _places["high"][:n], _places["down"][:n]
+
+
+def _powers_mod(base: int, n: int) -> np.ndarray:
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate((out, times(out, np.full(len(out), pow(base, len(out), int(PRIME)), np.uint64))))
+    return out[:n]
+
+
+def _word_hashes(v: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Hash of the values v[s[i]:e[i]] of each word, independent of where it lies."""
+    low, high, down = places(len(v))
+    sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(v * w))) for w in (low, high)]
+    # differences of wrapped sums are exact while a word is no longer than LONG_WORD
+    lo, hi = (x[e] - x[s] for x in sums)
+    hi = _fold(hi)
+    h = _fold(_fold(lo) + (((hi << np.uint64(31)) & PRIME) | (hi >> np.uint64(30))))
+    h = mix(times(h, down[s]))
+    for k in np.flatnonzero(e - s > LONG_WORD):
+        h[k] = xxhash.xxh3_64_intdigest(v[s[k]:e[k]].astype(np.uint16).tobytes())
+    return h
+
+
+def _word_checks(v: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """32 bits from the length and the outer letters of each word, apart from its hash."""
+    inner = np.minimum(s + 1, e - 1)
+    x = (e - s).astype(np.uint64)
+    for y in (v[s], v[inner], v[e - 1], v[np.maximum(e - 2, s)]):
+        x = x * np.uint64(0x100000001B3) + y
+    return (mix(x) >> np.uint64(32)).astype(np.uint32)
+
+
 @dataclass
 class Words:
     start: np.ndarray   # first byte of each word in the slice
     end: np.ndarray     # one past its last byte
     hash: np.ndarray    # uint64
+    check: np.ndarray   # uint32, further bits that equal words share
     first: np.ndarray   # per document: index of its first word; one more entry at the end
 
     @property
@@ -81,18 +149,32 @@ class Words:
 
 def words_of(data: np.ndarray, off: np.ndarray, values: np.ndarray) -> Words:
     """Words of the documents whose bytes are data[off[i]:off[i+1]]."""
-    v = values[data]
-    inside = v != 0
-    start = inside.copy()
-    start[1:] &= ~inside[:-1]
-    end = np.zeros(len(data) + 1, bool)
-    end[1:] = inside
-    end[1:-1] &= ~inside[1:]
-    edge = off[(off > 0) & (off < len(data))]
-    start[edge] = inside[edge]
-    end[edge] = inside[edge - 1]
-    s, e = np.flatnonzero(start), np.flatnonzero(end)
-    return Words(s, e, range_hash(prefix_hash(v), s, e), np.searchsorted(s, off))
+    parts, at, n = [], 0, len(data)
+    while at < n or not parts:
+        end = n
+        if n - at > PIECE:      # cut at a separator, in a piece of its own length at most
+            end = at + PIECE
+            while end < n:
+                gap = np.flatnonzero(values[data[end:end + PIECE]] == 0)
+                if len(gap):
+                    end += int(gap[0])
+                    break
+                end = min(n, end + PIECE)
+        v = values[data[at:end]]
+        inside = v != 0
+        start = inside.copy()
+        start[1:] &= ~inside[:-1]
+        stop = np.zeros(len(v) + 1, bool)
+        stop[1:] = inside
+        stop[1:-1] &= ~inside[1:]
+        edge = off[(off > at) & (off < end)] - at
+        start[edge] = inside[edge]
+        stop[edge] = inside[edge - 1]
+        s, e = np.flatnonzero(start), np.flatnonzero(stop)
+        parts.append((s + at, e + at, _word_hashes(v, s, e), _word_checks(v, s, e) if len(s) else np.zeros(0, np.uint32)))
+        at = end
+    s, e, h, c = (np.concatenate(x) if len(parts) > 1 else x[0] for x in zip(*parts, strict=True))
+    return Words(s, e, h, c, np.searchsorted(s, off))
 
 
 def window_hash(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
@@ -103,6 +185,14 @@ def window_hash(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def window_check(w: Words, at: np.ndarray, k: int) -> np.ndarray:
+    """32 further bits (int32) of the same words, by another polynomial and the words' checks."""
+    out = np.zeros(len(at), np.uint64)
+    for j in range(k):
+        out = out * np.uint64(0xA0761D6478BD642F) + (w.hash[at + j] ^ (w.check[at + j].astype(np.uint64) << np.uint64(17)))
+    return (mix(out) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def in_spans(spans: np.ndarray, n: int) -> np.ndarray:
     """Boolean array of length n: true inside any [start, end) row of ``spans``."""
     d = np.zeros(n + 1, np.int64)

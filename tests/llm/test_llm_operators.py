@@ -166,6 +166,46 @@ def test_previous_factors_equal_brute_force():
         assert got[i] == best // 4 * 4
 
 
+def thue_morse(n):
+    """Two words of n letters that every polynomial hash modulo 2**64 gives the same value."""
+    a = "".join("ab"[k.bit_count() % 2] for k in range(n))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_collide_modulo_a_power_of_two(spark):
+    a, b = thue_morse(2048)
+    data = np.frombuffer(f"{a} {b}".encode(), np.uint8)
+    w = words.words_of(data, np.array([0, len(data)]), words.PLAIN)
+    assert w.hash[0] != w.hash[1]
+    rest = prose(12, 40)
+    rows = [(1, f"{a} {rest}"), (2, f"{b} {rest}"), (3, f"{a} {rest}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.key_id: r.n_removed for r in difference_cover.remove_repeats(docs).collect()}
+    assert got == {1: 0, 2: 0, 3: 13}
+    items = spark.createDataFrame([("i", f"{a} one two")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"x {a} one two y"), (2, f"x {b} one two y")], "doc_id long, text string")
+    assert {r.key_id: r.n_hit for r in decontaminate.contamination(docs, items).collect()} == {1: 3, 2: 0}
+
+
+def test_words_in_pieces(monkeypatch):
+    r = np.random.default_rng(2)
+    texts = ["", "one", "a b  c", " x" * 40, "y" * 300, prose(200, 3), "\n", prose(50, 4) + " " + "z" * 90 + " end"]
+    raw = [t.encode() for t in texts]
+    data, off = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(t) for t in raw])
+    whole = words.words_of(data, off, words.PLAIN)
+    for piece in (7, 64, int(r.integers(100, 400))):
+        monkeypatch.setattr(words, "PIECE", piece)
+        part = words.words_of(data, off, words.PLAIN)
+        assert all((getattr(whole, n) == getattr(part, n)).all() for n in ("start", "end", "hash", "check", "first"))
+    assert [len(t.split()) for t in texts] == whole.counts.tolist()
+    a, b = r.integers(0, 2 ** 61 - 1, 100, dtype=np.uint64), r.integers(0, 2 ** 61 - 1, 100, dtype=np.uint64)
+    assert words.times(a, b).tolist() == [int(x) * int(y) % (2 ** 61 - 1) for x, y in zip(a, b)]
+    monkeypatch.setattr(words, "LONG_WORD", 50)
+    again = words.words_of(data, off, words.PLAIN)
+    same = whole.end - whole.start <= 50
+    assert (again.hash[same] == whole.hash[same]).all() and not (again.hash[~same] == whole.hash[~same]).any()
+
+
 def test_words_hash_alike_wherever_they_lie():
     a = words.words_of(np.frombuffer(b"ab cd  ab", np.uint8), np.array([0, 9]), words.PLAIN)
     b = words.words_of(np.frombuffer(b"xxab", np.uint8), np.array([0, 2, 4]), words.PLAIN)
