@@ -10,7 +10,8 @@ State: items not yet placed (a length each) and sequences with a gap. One round:
    (a level meets a size class at most once);
 2. conflicts do not arise between levels; equal sizes are told apart by rank;
 3. gaps shrink by what they took;
-4. of the items left over, the largest open new sequences: as many as their tokens need.
+4. of the items left over, the largest open new sequences: as many as the tokens that the
+   gaps cannot hold.
 
 Rounds repeat until nothing is left. Items above half the capacity all open a sequence in
 the first round, as no two of them fit together.
@@ -106,42 +107,38 @@ def _sweep(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return level, left, gaps_after
 
 
-def _to_open(left: np.ndarray, gaps: np.ndarray, capacity: int, total: int) -> np.ndarray:
+def _to_open(left: np.ndarray, gaps: np.ndarray, capacity: int, partial: bool) -> np.ndarray:
     """How many of the items left over of each class open a sequence: as many as the tokens
-    that the usable gaps cannot hold; in the last half per cent of all tokens some more,
-    which ends the rounds sooner."""
+    that the gaps cannot hold. Gaps below the smallest item hold nothing, but in a
+    ``partial`` packing they do: its items can be taken apart."""
     size = np.arange(len(left))
     need = int((left * size).sum())
     if not need:
         return np.zeros_like(left)
-    usable = (gaps * size)[np.flatnonzero(left)[0]:].sum()
-    want = max(0, -(-(need - int(usable)) // capacity), int(left[capacity // 2 + 1:].sum()))
-    if not usable:
-        want = max(want, -(-need // capacity))
-    elif need * 200 < total:
-        want = max(want, -(-need // (2 * capacity)))
+    usable = int((gaps * size)[0 if partial else np.flatnonzero(left)[0]:].sum())
+    want = max(0, -(-(need - usable) // capacity), int(left[capacity // 2 + 1:].sum()))
     above = np.cumsum(left[::-1])[::-1] - left       # items of larger classes
     return np.clip(want - above, 0, left)
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """(item, sequence_id, offset) for ``items`` (item long, unique; length long, 1 to
-    ``capacity``); a sequence has the id of the item that opened it."""
+def _rounds(items: DataFrame, gaps: DataFrame, capacity: int, partial: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pack ``items`` (size, id) into ``gaps`` (size, id) and new sequences: (item,
+    sequence_id, offset), the gaps afterwards and, if ``partial``, the items that no gap can
+    take and whose tokens the gaps could hold."""
     spark = items.sparkSession
-    state = items.select(F.col("length").cast("int").alias("size"), F.lit(0).alias("kind"), F.col("item").alias("id"))
-    placed: list[DataFrame] = []
-    total = 0
+    state = items.select("size", F.lit(0).alias("kind"), "id").union(gaps.select("size", F.lit(1).alias("kind"), "id"))
+    placed = items.select(F.col("id").alias("item"), F.col("id").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).limit(0)
+    aside = gaps.limit(0)
     while True:
         state = state.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
         parts = state.groupBy("size", "kind", "salt").count().toPandas()
-        if not (parts["kind"] == 0).any():
-            break
         grid = np.zeros((capacity + 1, 2, SALTS), np.int64)
         grid[parts["size"], parts["kind"], parts["salt"]] = parts["count"]
         counts = grid.sum(axis=2)
-        level, left, gaps = _sweep(counts)
-        total = total or int((counts[:, 0] * np.arange(capacity + 1)).sum())
-        opens = _to_open(left, gaps, capacity, total)
+        level, left, after = _sweep(counts)
+        opens = _to_open(left, after, capacity, partial)
+        if (left == counts[:, 0]).all() and not opens.any():
+            break       # nothing is left, or nothing that a gap can take
         before = np.cumsum(grid, axis=2) - grid
         s, k, j = np.nonzero(grid)
         base = spark.createDataFrame(pd.DataFrame({
@@ -158,25 +155,35 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             F.when(F.col("kind") == 1, F.lag("size").over(w)).alias("took")), "packing-round")
         item = F.col("kind") == 0
         opened = item & F.col("gap_id").isNull() & (F.col("rank") <= F.col("opens"))
-        placed.append(done.where(item & F.col("gap_id").isNotNull() | opened).select(
+        placed = placed.union(done.where(item & F.col("gap_id").isNotNull() | opened).select(
             F.col("id").alias("item"), F.coalesce("gap_id", "id").alias("sequence_id"),
             F.when(F.col("gap_id").isNotNull(), F.lit(capacity) - F.col("gap_size")).otherwise(F.lit(0)).cast("long").alias("offset")))
         rest = np.flatnonzero(left - opens)
-        smallest = int(rest[0]) if len(rest) else capacity + 1
+        smallest = 1 if partial else int(rest[0]) if len(rest) else capacity + 1
+        shrunk = done.where(~item | opened).select(
+            F.when(item, F.lit(capacity) - F.col("size")).otherwise(F.col("size") - F.coalesce("took", F.lit(0))).cast("int").alias("size"), "id")
+        aside = aside.union(shrunk.where((F.col("size") < smallest) & (F.col("size") > 0)))
         state = done.where(item & F.col("gap_id").isNull() & (F.col("rank") > F.col("opens"))).select("size", "kind", "id").union(
-            done.where(~item | opened).select(
-                F.when(item, F.lit(capacity) - F.col("size")).otherwise(F.col("size") - F.coalesce("took", F.lit(0))).cast("int").alias("size"),
-                F.lit(1).alias("kind"), "id").where(F.col("size") >= smallest))
-    out = placed[0] if placed else items.select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).limit(0)
-    for p in placed[1:]:
-        out = out.union(p)
-    return out
+            shrunk.where(F.col("size") >= smallest).select("size", F.lit(1).alias("kind"), "id"))
+    side = lambda k: state.where(F.col("kind") == k).select("size", "id")
+    return placed, aside.union(side(1)), side(0)
+
+
+def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(item, sequence_id, offset) for ``items`` (item long, unique; length long, 1 to
+    ``capacity``); a sequence has the id of the item that opened it."""
+    sized = items.select(F.col("length").cast("int").alias("size"), F.col("item").alias("id"))
+    return _rounds(sized, sized.limit(0), capacity)[0]
 
 
 def packed_sequences(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for every piece.
 
+    Pieces are packed in decreasing order of size in three steps: those above a 32nd of the
+    capacity; bundles of the shorter ones, so that a sequence of very short pieces does not
+    take a round for each; then, one by one, the pieces of the bundles that no gap took.
+
     Defined cases: a null or empty text is the end id alone (one token); a null id stays
     null; repeated rows are packed as often as they occur; equal lengths are ranked by an
     internal number; an empty table gives an empty result; only the two named columns are
@@ -185,15 +192,17 @@ def packed_sequences(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
     units = written(pieces(docs, tokenizer, capacity, end_id, id_col, text_col).withColumn(
         "unit", F.monotonically_increasing_id()), "pieces")
     short = capacity // 32
+    size = F.col("length").cast("int").alias("size")
+    middle = units.where((F.col("length") > short) & (F.col("length") < capacity)).select(size, F.col("unit").alias("id"))
+    of_middle, gaps, _ = _rounds(middle, middle.limit(0), capacity)
     small = written(units.where(F.col("length") <= short).select("unit", "length").mapInArrow(
         _bundles(capacity // 16), "unit long, length long, item long, at long"), "bundles")
-    middle = units.where((F.col("length") > short) & (F.col("length") < capacity))
-    items = middle.select(F.col("unit").alias("item"), "length").union(
-        small.groupBy("item").agg(F.sum("length").alias("length")))
-    places = written(pack(items, capacity), "places")
-    of_small = small.join(places, "item").select("unit", "sequence_id", (F.col("offset") + F.col("at")).alias("offset"))
-    of_middle = places.join(small.select(F.col("item").alias("bundle")).distinct(), F.col("item") == F.col("bundle"), "left_anti").select(
-        F.col("item").alias("unit"), "sequence_id", "offset")
+    bundles = small.groupBy(F.col("item").alias("id")).agg(F.sum("length").cast("int").alias("size")).select("size", "id")
+    of_bundles, gaps, apart = _rounds(bundles, written(gaps, "gaps"), capacity, partial=True)
+    loose = small.join(written(apart, "apart"), F.col("item") == F.col("id"), "left_semi").select(size, F.col("unit").alias("id"))
+    of_loose, _, _ = _rounds(written(loose, "loose"), written(gaps, "gaps"), capacity)
+    in_bundles = small.join(of_bundles, "item").select("unit", "sequence_id", (F.col("offset") + F.col("at")).alias("offset"))
+    places = of_middle.union(of_loose).select(F.col("item").alias("unit"), "sequence_id", "offset").union(in_bundles)
     full = units.where(F.col("length") == capacity).select("*", F.col("unit").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     cols = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    return units.where(F.col("length") < capacity).join(of_small.union(of_middle), "unit").select(cols).union(full.select(cols))
+    return units.where(F.col("length") < capacity).join(written(places, "places"), "unit").select(cols).union(full.select(cols))

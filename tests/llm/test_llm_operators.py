@@ -569,3 +569,18 @@ def test_ftrl_is_sparse_and_temperature_calibrates():
     assert (language.ftrl(x, y, 2)[:-1] == 0).mean() < 0.1 < 0.5 < (w[:-1] == 0).mean() and np.abs(w[0]).max() > 1
     logits = np.stack([np.zeros(400), np.full(400, 8.0)], axis=1)
     assert language.best_temperature(logits, (r.random(400) < 0.7).astype(int)) > 5
+
+
+def test_short_pieces_fill_gaps_below_a_bundle(spark, tokenizer):
+    """40 pieces of 1,984 tokens leave gaps of 64: each takes one of 40 pieces of 64, though
+    their bundles of 128 fit nowhere. Pieces of one token fill what is left."""
+    rows = [(k, "a " * 1983) for k in range(40)] + [(100 + k, "a " * 63) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = best_fit.packed_sequences(docs, tokenizer).collect()
+    assert sum(r.length for r in got) == 40 * 2048 and len({r.sequence_id for r in got}) == 40
+    rows = [(k, "a " * 2044) for k in range(9)] + [(100 + k, "") for k in range(27)]
+    got = best_fit.packed_sequences(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer).collect()
+    assert len({r.sequence_id for r in got}) == 9
+    short = spark.createDataFrame([(k, "a " * (k % 9)) for k in range(700)], "doc_id long, text string")
+    got = best_fit.packed_sequences(short, tokenizer).collect()
+    assert len({r.sequence_id for r in got}) == -(-sum(r.length for r in got) // 2048)
