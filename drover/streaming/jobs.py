@@ -9,8 +9,8 @@ checkpoint and a changelog sink written from ``foreachBatch`` on the executors
 * zone metrics    -- window x zone: membership deltas (exact, any lateness, no state), the
                      two-level plan in append mode, or HyperLogLog sketches in update mode
 * daily earnings  -- running (vehicle, day) totals: membership deltas, or day-bounded state
-* latest status   -- keyed state per vehicle (immediate or event-time ordered), or a
-                     Python-free per-batch merge into the status changelog
+* latest status   -- summaries of time slices (exact whatever the order of arrival), keyed
+                     state per vehicle (immediate or event-time ordered), or a per-batch merge
 * deduplicated    -- ``dropDuplicatesWithinWatermark``, optionally two-stage for hot copies
 * expense loader  -- landing files picked up incrementally into the expenses table
 
@@ -188,6 +188,16 @@ def start_vehicle_status(events: DataFrame, sink_path: str, checkpoint: str, run
                   "update", trigger or {"processingTime": "5 seconds"}, "vehicle_status")
 
 
+def start_vehicle_status_runs(events: DataFrame, params, sink_path: str, checkpoint: str, run_id: int | None = None,
+                              trigger: dict | None = None, slice_seconds: int | None = None):
+    """Latest status per vehicle, and idle time per day, from summaries of time slices: exact
+    whatever the order of arrival, without Python workers or streaming state; see
+    ``streaming.status_runs``."""
+    from drover.streaming.status_runs import SLICE_SECONDS, status_runs_sink
+    sink = status_runs_sink(params, sink_path, _run(events, checkpoint, sink_path, run_id), slice_seconds or SLICE_SECONDS)
+    return _start(events, sink, checkpoint, "append", trigger or {"processingTime": "5 seconds"}, "vehicle_status")
+
+
 def dedup_stream(events: DataFrame, params, spread: int | None = None) -> DataFrame:
     """Drop re-delivered events: same (vehicle_id, event_ts) within the watermark delay.
 
@@ -244,15 +254,16 @@ def start_expense_loader(spark: SparkSession, landing_path: str, table_path: str
 
 
 def start_speed_layer(spark: SparkSession, wire: DataFrame, params, root: str, run_id: int | None = None,
-                      triggers: dict | None = None, with_status: bool = True, status_mode: str = "keyed",
+                      triggers: dict | None = None, with_status: bool = True, status_mode: str = "runs",
                       checkpoints: dict | None = None) -> dict:
     """Start the speed layer from one broker stream: raw log (+ heartbeats), zone metrics,
     daily earnings and, optionally, latest status -- independent queries, each with its
     own checkpoint and changelog under ``root``. Returns the started queries by name.
 
     ``triggers`` maps a query name to its trigger (defaults: 5 s events and status, 15 s
-    zones and earnings). ``status_mode``: "keyed" (immediate keyed state), "ordered"
-    (event-time order behind the watermark) or "merge" (no Python workers). Each query
+    zones and earnings). ``status_mode``: "runs" (summaries of
+    time slices, exact for any order of arrival), "keyed" (immediate keyed state), "ordered"
+    (event-time order behind the watermark) or "merge" (per-batch merge). Each query
     writes under the commit epoch of its own checkpoint (``streaming.epochs``) unless
     ``run_id`` is given; ``checkpoints`` maps a query name to another checkpoint folder.
     """
@@ -273,7 +284,9 @@ def start_speed_layer(spark: SparkSession, wire: DataFrame, params, root: str, r
     }
     if with_status:
         sp, ck = f"{root}/vehicle_status", kept["vehicle_status"]
-        if status_mode == "merge":
+        if status_mode == "runs":
+            qs["vehicle_status"] = start_vehicle_status_runs(events, params, sp, ck, run_id, t["vehicle_status"])
+        elif status_mode == "merge":
             qs["vehicle_status"] = start_vehicle_status_merge(events, sp, ck, run_id, t["vehicle_status"],
                                                               snapshots=f"{root}/snapshots/vehicle_status")
         else:

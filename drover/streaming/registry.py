@@ -18,6 +18,7 @@ from drover.session import scratch_path
 from drover.sources.telemetry import to_wire
 from drover.streaming import changelog as CL
 from drover.streaming import jobs as J
+from drover.streaming import status_runs as SR
 from drover.streaming.staging import stage_in_order
 
 #: Files a replay is staged as at least; a larger table has one per input split.
@@ -210,6 +211,31 @@ def _vehicle_status_merge_stream(x: Inputs):
                     F.timestamp_micros("updated_at_us").alias("updated_at"))
 
 
+def _shuffled_runs(x: Inputs) -> Replay:
+    """The telemetry in an order that has nothing to do with event time, through the stream
+    of slice summaries."""
+    r = Replay(x, "status-runs", order=F.xxhash64("event_id"))
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_vehicle_status_runs(r.events, x.params, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+    return r
+
+
+@query("vehicle_status_runs_stream")
+def _vehicle_status_runs_stream(x: Inputs):
+    """Latest status and start of the current run from slice summaries, for messages that
+    arrive in shuffled order over several micro-batches."""
+    s = CL.resolve(x.spark, _shuffled_runs(x).sink, ["vehicle_id"])
+    return s.select("vehicle_id", "driver_id", "lat", "lon", "speed", "status", "zone", "last_fare", "sim_day",
+                    F.timestamp_micros("status_since_us").alias("status_since"),
+                    F.timestamp_micros("updated_at_us").alias("updated_at"))
+
+
+@query("vehicle_idle_seconds_stream")
+def _vehicle_idle_seconds_stream(x: Inputs):
+    """Idle seconds per vehicle and day from the same summaries, for shuffled arrival."""
+    return SR.idle_seconds_at(x.spark, _shuffled_runs(x).sink, x.params)
+
+
 @query("vehicle_status_ordered_stream")
 def _vehicle_status_ordered_stream(x: Inputs):
     """Latest status with events applied in event-time order once the watermark (newest
@@ -316,6 +342,8 @@ def stream_oracles() -> dict[str, str]:
         "daily_earnings_bounded_stream": O._Q["daily_earnings"],
         "vehicle_status_stream": O._Q["vehicle_status_latest"],
         "vehicle_status_merge_stream": O._Q["vehicle_status_latest"],
+        "vehicle_status_runs_stream": O._Q["vehicle_status_latest"],
+        "vehicle_idle_seconds_stream": O._Q["vehicle_idle_seconds"],
         # events strictly older (in ms) than the final watermark, newest event - 2 min
         "vehicle_status_ordered_stream": O._Q["vehicle_status_latest"].replace("FROM latest", "FROM latestw"),
         "dedup_events_stream": "SELECT event_id, vehicle_id, status, epoch_us(event_ts) AS event_ts, sim_day, zone FROM ev",
