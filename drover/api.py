@@ -10,7 +10,7 @@
     heartbeats/        heartbeat changelog per component
     expenses/          expenses table, partitioned by sim_day
     report/            profitability report, partitioned by sim_day
-    alerts/            versioned alert store
+    alerts/            alert transitions and the open set, by round
 
 Every method returns DataFrames (nothing is collected); times are explicit ``as_of``.
 """
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from drover.schemas import EARNINGS_SCHEMA, EXPENSES_SCHEMA, RAW_LOG_SCHEMA, STATUS_SCHEMA, ZONE_METRICS_SCHEMA
 from drover.session import path_exists
 from drover.config import Params
+from drover.operators import alert_log as AL
 from drover.operators import alerts as A
 from drover.operators import metrics as M
 from drover.operators import reconcile as R
@@ -152,8 +153,9 @@ class FleetStore:
         t = SV.income_filter(t, show_profitable, show_unprofitable)
         return SV.income_by_month(t) if by_month else t
 
-    def alerts(self, include_resolved: bool = False) -> DataFrame:
-        return SV.alerts_recent(A.read_alerts(self.spark, self.path("alerts")), include_resolved)
+    def alerts(self, include_resolved: bool = False, as_of: float | None = None) -> DataFrame:
+        """The newest alerts, open ones only unless asked; ``as_of``: as they were then."""
+        return SV.alerts_recent(AL.alerts_as_of(self.spark, self.path("alerts"), as_of), include_resolved)
 
     # ---------------------------------------------------------------- batch jobs
     def load_expenses(self, landing_path: str, days=None) -> None:
@@ -185,6 +187,6 @@ class FleetStore:
             firing = A.alert_conditions(self.last_events(), self.report(), p, latest=self.live_status())
         else:
             firing = A.alert_conditions(self.events(), self.report(), p)
-        out = A.evaluate_alerts(self.spark, self.path("alerts"), firing, p)
+        AL.evaluate_round(self.spark, self.path("alerts"), firing, p)
         CL.record_heartbeat(self.spark, self.path("heartbeats"), "watchdog")
-        return out
+        return AL.alerts_as_of(self.spark, self.path("alerts"))

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from drover.config import FIXTURE_PARAMS, Params
+from drover.operators import alert_log as AL
 from drover.operators import alerts as A
 from drover.operators import metrics as M
 from drover.operators import reconcile as R
@@ -73,15 +74,20 @@ class Inputs:
     def zones_1min(self) -> DataFrame:
         return M.zone_metrics(self.events, self.params, "1 minute")
 
-    def alert_state(self) -> DataFrame:
-        """Alerts after two evaluation rounds against a fresh alert store: the conditions
-        firing a day before ``as_of`` are raised, then the conditions at ``as_of`` applied."""
+    def alert_rounds(self, offsets=(-86400, 0)) -> str:
+        """A fresh alert log after a round at ``as_of`` plus each offset; returns its path."""
         from drover.session import scratch_path
         store = scratch_path(self.spark, "alerts")
-        p0 = self.params.replace(as_of=self.params.as_of - 86400)
-        A.evaluate_alerts(self.spark, store, A.alert_conditions(self.events, self.report, p0), p0)
-        now = A.alert_conditions(self.events, self.report, self.params, latest=self.latest)
-        return A.evaluate_alerts(self.spark, store, now, self.params)
+        for off in offsets:
+            p = self.params.replace(as_of=self.params.as_of + off)
+            latest = self.latest if off == 0 else S.latest_status(self.events, p)
+            AL.evaluate_round(self.spark, store, A.alert_conditions(self.events, self.report, p, latest=latest), p)
+        return store
+
+    def alert_state(self) -> DataFrame:
+        """Alerts after two rounds: the conditions firing a day before ``as_of`` are raised,
+        then the conditions at ``as_of`` applied."""
+        return AL.alerts_as_of(self.spark, self.alert_rounds())
 
 
 def export(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -373,6 +373,35 @@ SELECT {_r(f'({AS_OF_US} - (SELECT max(epoch_us(event_ts)) FROM ev WHERE epoch_u
            'telemetry_lag_seconds')},
        (SELECT count(*) FROM alerts WHERE NOT resolved) AS unresolved_alerts"""
 _Q["alert_lifecycle"] = "SELECT * FROM alerts"
+_ROUNDS = ("2", "1", "0")       # days before as_of; rounds of the alert log
+_SAME = "{b}.alert_type = {a}.alert_type AND {b}.entity_id IS NOT DISTINCT FROM {a}.entity_id"
+
+
+def _alert_rounds() -> str:
+    """The alert table after each of three rounds, by recursion written out: an open alert
+    that still fires stays as it is, one that fires no more is resolved, others are raised."""
+    ctes, before = [], None
+    for d in _ROUNDS:
+        us = AS_OF_US - int(d) * DAY_REAL_US
+        if d not in ("0", "1"):
+            ctes += [_spells("d" + d, us), _conditions("d" + d, us)]
+        cond = {"0": "cond", "1": "cond0"}.get(d, f"condd{d}")
+        new = f"SELECT alert_type, severity, entity_id, message, {us} AS created_at, false AS resolved FROM {cond} c"
+        if before is None:
+            ctes.append(f"round{d} AS ({new})")
+        else:
+            ctes.append(f"""round{d} AS (
+  SELECT alert_type, severity, entity_id, message, created_at,
+         resolved OR NOT EXISTS (SELECT 1 FROM {cond} c WHERE {_SAME.format(a='p', b='c')}) AS resolved
+  FROM {before} p
+  UNION ALL {new} WHERE NOT EXISTS (SELECT 1 FROM {before} p WHERE NOT p.resolved AND {_SAME.format(a='c', b='p')}))""")
+        before = f"round{d}"
+    return ", " + ",".join(ctes) + " " + " UNION ALL ".join(
+        f"SELECT *, CAST({d} AS INTEGER) AS days_before FROM round{d}" for d in _ROUNDS)
+
+
+DAY_REAL_US = 86400 * 1_000_000
+_Q["alert_lifecycle_as_of"] = _alert_rounds()
 _Q["staleness_gaps"] = f"""
 SELECT gap_start, gap_end, {_r('(gap_end - gap_start) / 1000000e0', 'gap_seconds')} FROM (
   SELECT epoch_us(event_ts) AS gap_start, lead(epoch_us(event_ts)) OVER (ORDER BY event_ts, event_id) AS gap_end FROM ev)

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drover.operators import activity as AC
+from drover.operators import alert_log as AL
 from drover.operators import alerts as A
 from drover.operators import metrics as M
 from drover.operators import reconcile as R
@@ -16,6 +17,9 @@ from drover.operators import status as S
 from drover.operators.clean import clean, quarantine_counts
 from drover.plans.inputs import Inputs, export
 
+#: Rounds of the alert log, as seconds from ``as_of``.
+ALERT_ROUNDS = (-2 * 86400, -86400, 0)
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, QueryFn] = {}
 
@@ -248,6 +252,16 @@ def _alert_lifecycle(x: Inputs):
     return x.alert_state()
 
 
+@query("alert_lifecycle_as_of")
+def _alert_lifecycle_as_of(x: Inputs):
+    """The alert log after three rounds, folded as of each of them."""
+    from functools import reduce
+    store = x.alert_rounds(ALERT_ROUNDS)
+    folds = [AL.alerts_as_of(x.spark, store, x.params.as_of + off).withColumn("days_before", F.lit(-off // 86400))
+             for off in ALERT_ROUNDS]
+    return reduce(lambda a, b: a.unionByName(b), folds)
+
+
 @query("staleness_gaps")
 def _staleness_gaps(x: Inputs):
     return A.staleness_gaps(x.events, x.params.staleness_threshold_s)
