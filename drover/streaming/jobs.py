@@ -232,6 +232,15 @@ def start_dedup(events: DataFrame, params, sink_path: str, checkpoint: str, run_
                   "append", trigger or {"processingTime": "5 seconds"}, "dedup_events")
 
 
+def start_history_dedup(events: DataFrame, sink_path: str, checkpoint: str, run_id: int | None = None,
+                        trigger: dict | None = None):
+    """Each record once in a day-partitioned log, however far apart its copies arrive; events
+    that differ in any column stay (see ``streaming.history_dedup``)."""
+    from drover.streaming.history_dedup import history_dedup_sink
+    sink = history_dedup_sink(sink_path, _run(events, checkpoint, sink_path, run_id))
+    return _start(events, sink, checkpoint, "append", trigger or {"processingTime": "5 seconds"}, "history_dedup")
+
+
 def start_expense_loader(spark: SparkSession, landing_path: str, table_path: str, checkpoint: str,
                          trigger: dict | None = None, max_files_per_trigger: int | None = None,
                          on_duplicate: str = "raise"):

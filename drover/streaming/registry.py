@@ -274,6 +274,25 @@ def _dedup_events_stream(x: Inputs):
                       "zone")
 
 
+#: Added to the id of an event that shares another one's vehicle and instant.
+TWIN = 1_000_000_000
+
+
+@query("dedup_history_stream")
+def _dedup_history_stream(x: Inputs):
+    """Every third message is delivered again a week later, and every fortieth has a second
+    event of the same vehicle and instant: copies are removed, second events stay."""
+    valid = F.when(F.col("event_ts") != "not-a-timestamp", F.col("event_ts"))
+    due = F.unix_micros(valid.cast("timestamp"))
+    raw = x.raw.unionByName(x.raw.where(F.col("event_id") % 40 == 0).withColumn("event_id", F.col("event_id") + F.lit(TWIN)))
+    again = raw.where(F.col("event_id") % 3 == 0).withColumn("__due", due + F.lit(7 * 86400 * 1_000_000))
+    r = Replay(x, "dedup-history", order="__due", rows=raw.withColumn("__due", due).unionByName(again))
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_history_dedup(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+    log = CL.read_log(x.spark, r.sink)
+    return log.select("event_id", "vehicle_id", "status", "event_ts", F.col("sim_day").cast("int").alias("sim_day"), "zone")
+
+
 @query("expense_landing_stream")
 def _expense_landing_stream(x: Inputs):
     """Expense files picked up incrementally as they land (a day per file) and loaded
@@ -347,6 +366,9 @@ def stream_oracles() -> dict[str, str]:
         # events strictly older (in ms) than the final watermark, newest event - 2 min
         "vehicle_status_ordered_stream": O._Q["vehicle_status_latest"].replace("FROM latest", "FROM latestw"),
         "dedup_events_stream": "SELECT event_id, vehicle_id, status, epoch_us(event_ts) AS event_ts, sim_day, zone FROM ev",
+        "dedup_history_stream": ("SELECT event_id, vehicle_id, status, epoch_us(event_ts) AS event_ts, sim_day, zone FROM ev "
+                                 f"UNION ALL SELECT event_id + {TWIN}, vehicle_id, status, epoch_us(event_ts), sim_day, zone "
+                                 "FROM ev WHERE event_id % 40 = 0"),
         "expense_landing_stream": O._Q["expense_feed"],
         "expense_file_precedence": O._Q["expense_correction"],
         "zone_metrics_late_repair": O._Q["zone_metrics_1min"],
