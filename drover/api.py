@@ -7,6 +7,7 @@
     zone_metrics/      membership deltas of window x zone metrics
     daily_earnings/    membership deltas of running (vehicle, day) totals
     vehicle_status/    changelog of latest status per vehicle
+    recent/            members per minute (recent.folds/: per minute, hour and day)
     heartbeats/        heartbeat changelog per component
     expenses/          expenses table, partitioned by sim_day
     report/            profitability report, partitioned by sim_day
@@ -33,6 +34,7 @@ from drover.sources.expenses import read_expense_feed
 from drover.streaming import changelog as CL
 from drover.streaming import jobs as J
 from drover.streaming import member_deltas as MD
+from drover.streaming import recent_rollups as RR
 
 
 class FleetStore:
@@ -62,6 +64,8 @@ class FleetStore:
                 MD.compact(self.spark, self.path(name), totals, self._snapshots(name))
         if self._has("vehicle_status"):
             CL.compact(self.spark, self.path("vehicle_status"), ["vehicle_id"], self._snapshots("vehicle_status"))
+        if self._has("recent"):
+            RR.fold(self.spark, self.path("recent"))
 
     def events(self) -> DataFrame:
         if not self._has("raw_log"):
@@ -119,11 +123,16 @@ class FleetStore:
         return {"pipeline": SV.pipeline_health(self.last_events(), self._at(as_of)), "components": components}
 
     def realtime(self, as_of: float | None = None) -> dict[str, DataFrame]:
-        """Live state: status from the status stream, trips from the last
-        ``trip_recency_s`` of the raw log (day partitions pruned), latest zone windows."""
+        """Live state: the summary from the member rollups (the raw log for the ends of a range
+        that are no whole minute; for all of it where no rollup has been started), status from
+        the status stream, latest zone windows."""
         p = self._at(as_of)
         latest = self.live_status()
-        return {"summary": SV.realtime_summary(latest, self.events(), p),
+        if self._has("recent"):
+            summary = RR.summary(self.spark, self.path("recent"), self.events(), p)
+        else:
+            summary = SV.realtime_summary(latest, self.events(), p)
+        return {"summary": summary,
                 "status": SV.realtime_status(latest, p),
                 "zones": SV.realtime_zones(self.recent_zone_metrics(p.as_of - p.zone_recency_s), p)}
 

@@ -241,6 +241,15 @@ def start_history_dedup(events: DataFrame, sink_path: str, checkpoint: str, run_
     return _start(events, sink, checkpoint, "append", trigger or {"processingTime": "5 seconds"}, "history_dedup")
 
 
+def start_recent_rollups(events: DataFrame, sink_path: str, checkpoint: str, run_id: int | None = None,
+                         trigger: dict | None = None):
+    """Members per minute, for exact and sketched distincts of any recent range (see
+    ``streaming.recent_rollups``)."""
+    from drover.streaming.recent_rollups import rollup_sink
+    sink = rollup_sink(sink_path, _run(events, checkpoint, sink_path, run_id))
+    return _start(events, sink, checkpoint, "append", trigger or {"processingTime": "5 seconds"}, "recent_rollups")
+
+
 def start_expense_loader(spark: SparkSession, landing_path: str, table_path: str, checkpoint: str,
                          trigger: dict | None = None, max_files_per_trigger: int | None = None,
                          on_duplicate: str = "raise"):
@@ -266,7 +275,7 @@ def start_speed_layer(spark: SparkSession, wire: DataFrame, params, root: str, r
                       triggers: dict | None = None, with_status: bool = True, status_mode: str = "runs",
                       checkpoints: dict | None = None) -> dict:
     """Start the speed layer from one broker stream: raw log (+ heartbeats), zone metrics,
-    daily earnings and, optionally, latest status -- independent queries, each with its
+    daily earnings, members of recent ranges and, optionally, latest status -- independent queries, each with its
     own checkpoint and changelog under ``root``. Returns the started queries by name.
 
     ``triggers`` maps a query name to its trigger (defaults: 5 s events and status, 15 s
@@ -277,10 +286,11 @@ def start_speed_layer(spark: SparkSession, wire: DataFrame, params, root: str, r
     ``run_id`` is given; ``checkpoints`` maps a query name to another checkpoint folder.
     """
     use_rocksdb(spark)
-    kept = {n: f"{root}/checkpoints/{n}" for n in ("raw_log", "zone_metrics", "daily_earnings", "vehicle_status")}
+    kept = {n: f"{root}/checkpoints/{n}" for n in ("raw_log", "zone_metrics", "daily_earnings", "recent", "vehicle_status")}
     kept |= checkpoints or {}
     t = {"raw_log": {"processingTime": "5 seconds"}, "zone_metrics": {"processingTime": "15 seconds"},
-         "daily_earnings": {"processingTime": "15 seconds"}, "vehicle_status": {"processingTime": "5 seconds"}}
+         "daily_earnings": {"processingTime": "15 seconds"}, "recent": {"processingTime": "15 seconds"},
+         "vehicle_status": {"processingTime": "5 seconds"}}
     t.update(triggers or {})
     events = event_stream(wire, params)
     qs = {
@@ -290,6 +300,7 @@ def start_speed_layer(spark: SparkSession, wire: DataFrame, params, root: str, r
                                            run_id, t["zone_metrics"]),
         "daily_earnings": start_daily_earnings(events, f"{root}/daily_earnings",
                                                kept["daily_earnings"], run_id, t["daily_earnings"]),
+        "recent": start_recent_rollups(events, f"{root}/recent", kept["recent"], run_id, t["recent"]),
     }
     if with_status:
         sp, ck = f"{root}/vehicle_status", kept["vehicle_status"]

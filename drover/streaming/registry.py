@@ -18,6 +18,7 @@ from drover.session import scratch_path
 from drover.sources.telemetry import to_wire
 from drover.streaming import changelog as CL
 from drover.streaming import jobs as J
+from drover.streaming import recent_rollups as RR
 from drover.streaming import status_runs as SR
 from drover.streaming.staging import stage_in_order
 
@@ -293,6 +294,46 @@ def _dedup_history_stream(x: Inputs):
     return log.select("event_id", "vehicle_id", "status", "event_ts", F.col("sim_day").cast("int").alias("sim_day"), "zone")
 
 
+#: Lengths of the ranges of ``sliding_distincts`` in seconds; none but the day is a whole unit.
+SLIDING = (90, 3_700, 21_605, 86_400, 7 * 86_400 + 1_234, 40 * 86_400 + 59)
+#: Ranges end this many seconds before ``as_of``, inside a minute.
+SLIDING_LAG = 7 * 3600 + 1_027
+
+
+def _rollups(x: Inputs):
+    """Raw log and member rollups of the telemetry in event order, with every ninth message
+    delivered twice, folded into a generation."""
+    r = Replay(x, "recent", redeliver_every=9)
+    rollup = f"{r.root}/recent"
+    with _replay_partitions(x.spark):
+        J.run_to_end(J.start_raw_log(r.events, r.sink, r.checkpoint, r.run_id, AVAILABLE_NOW))
+        J.run_to_end(J.start_recent_rollups(r.events, rollup, f"{r.root}/checkpoint-recent", None, AVAILABLE_NOW))
+    RR.fold(x.spark, rollup)
+    return rollup, CL.read_raw_log(x.spark, r.sink)
+
+
+@query("realtime_summary_rollups")
+def _realtime_summary_rollups(x: Inputs):
+    """The live summary from members per day, hour and minute instead of the events."""
+    rollup, log = _rollups(x)
+    return RR.summary(x.spark, rollup, log, x.params)
+
+
+@query("sliding_distincts")
+def _sliding_distincts(x: Inputs):
+    """Distinct vehicles and trips of ranges from 90 seconds to 40 days that end inside a
+    minute, exact from the member rollups, and whether the merged sketches agree within
+    three standard errors."""
+    rollup, log = _rollups(x)
+    p = x.params.replace(as_of=x.params.as_of - SLIDING_LAG)
+    ranges = RR.ranges_before(p, SLIDING)
+    exact = RR.members_in(x.spark, rollup, log, p, ranges).groupBy("range", "kind").agg(F.count(F.lit(1)).alias("n"))
+    both = exact.join(RR.estimates(x.spark, rollup, log, p, ranges), ["range", "kind"], "full")
+    seconds = F.element_at(F.array(*(F.lit(s) for s in SLIDING)), F.col("range") + 1)
+    return both.select(seconds.alias("seconds"), F.when(F.col("kind") == RR.VEHICLE, "vehicle").otherwise("trip").alias("kind"), "n",
+                       (F.abs(F.col("estimate") - F.col("n")) <= F.col("error")).alias("sketch_within"))
+
+
 @query("expense_landing_stream")
 def _expense_landing_stream(x: Inputs):
     """Expense files picked up incrementally as they land (a day per file) and loaded
@@ -369,6 +410,12 @@ def stream_oracles() -> dict[str, str]:
         "dedup_history_stream": ("SELECT event_id, vehicle_id, status, epoch_us(event_ts) AS event_ts, sim_day, zone FROM ev "
                                  f"UNION ALL SELECT event_id + {TWIN}, vehicle_id, status, epoch_us(event_ts), sim_day, zone "
                                  "FROM ev WHERE event_id % 40 = 0"),
+        "realtime_summary_rollups": O._Q["realtime_summary"],
+        "sliding_distincts": " UNION ALL ".join(
+            f"SELECT CAST({s} AS INTEGER) AS seconds, '{kind}' AS kind, n, true AS sketch_within FROM (SELECT count(DISTINCT {m}) AS n FROM ev "
+            f"WHERE epoch_us(event_ts) > {O.AS_OF_US - (SLIDING_LAG + s) * 1_000_000} "
+            f"AND epoch_us(event_ts) <= {O.AS_OF_US - SLIDING_LAG * 1_000_000}) WHERE n > 0"
+            for s in SLIDING for kind, m in (("vehicle", "vehicle_id"), ("trip", "CASE WHEN trip_id <> '-' THEN trip_id END"))),
         "expense_landing_stream": O._Q["expense_feed"],
         "expense_file_precedence": O._Q["expense_correction"],
         "zone_metrics_late_repair": O._Q["zone_metrics_1min"],

@@ -22,7 +22,7 @@ def test_api_end_to_end(spark, tmp_path):
     land = str(tmp_path / "land")
     stage_in_order(to_wire(x.raw, keep=("event_id",)), land, "event_id", 4)
     root = str(tmp_path / "fleet")
-    once = {n: {"availableNow": True} for n in ("raw_log", "zone_metrics", "daily_earnings", "vehicle_status")}
+    once = {n: {"availableNow": True} for n in ("raw_log", "zone_metrics", "daily_earnings", "recent", "vehicle_status")}
     for q in J.start_speed_layer(spark, file_telemetry(spark, land, 2), x.params, root, run_id=1,
                                  triggers=once).values():
         J.run_to_end(q)
@@ -41,6 +41,7 @@ def test_api_end_to_end(spark, tmp_path):
     assert _rows(store.profitability_summary()) == _rows(SV.profitability_summary(x.report))
     rt = store.realtime()
     assert rt["summary"].collect()[0].active_vehicles == 12
+    assert _rows(rt["summary"]) == _rows(SV.realtime_summary(x.recent, x.events, x.params))
     assert store.vehicles().count() == 15
     assert store.income_trend().count() == 30
     assert store.income_trend(vehicle_id="V000001").count() > 0

@@ -215,7 +215,7 @@ def test_speed_layer_all_queries_and_restart(spark, tmp_path):
     _stage(land, files[:2])
     from drover.sources.telemetry import file_telemetry
     root = str(tmp_path / "layer")
-    once = {n: {"availableNow": True} for n in ("raw_log", "zone_metrics", "daily_earnings", "vehicle_status")}
+    once = {n: {"availableNow": True} for n in ("raw_log", "zone_metrics", "daily_earnings", "recent", "vehicle_status")}
     for q in J.start_speed_layer(spark, file_telemetry(spark, land, 1), P, root, run_id=1, triggers=once,
                                  status_mode="merge").values():
         J.run_to_end(q)
@@ -352,14 +352,14 @@ def test_speed_layer_survives_one_lost_checkpoint(spark, tmp_path):
     land, late = str(tmp_path / "land"), str(tmp_path / "late")
     _stage(land, files[:2])
     root = str(tmp_path / "layer")
-    once = {n: {"availableNow": True} for n in ("raw_log", "zone_metrics", "daily_earnings", "vehicle_status")}
+    once = {n: {"availableNow": True} for n in ("raw_log", "zone_metrics", "daily_earnings", "recent", "vehicle_status")}
 
     def run(source, **kw):
         for q in J.start_speed_layer(spark, source, P, root, triggers=once, status_mode="merge", **kw).values():
             J.run_to_end(q)
     run(file_telemetry(spark, land, 1))
     before = [E.claimed(spark, f"{root}/{n}") for n in once]
-    assert before == [[1]] * 4
+    assert before == [[1]] * 5
     _stage(land, files)
     _stage(late, files[1:])
     events = J.event_stream(file_telemetry(spark, late, 1), P)
