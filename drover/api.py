@@ -11,6 +11,7 @@
     heartbeats/        heartbeat changelog per component
     expenses/          expenses table, partitioned by sim_day
     report/            profitability report, partitioned by sim_day
+    trend/             income per day as deltas of commits
     alerts/            alert transitions and the open set, by round
 
 Every method returns DataFrames (nothing is collected); times are explicit ``as_of``.
@@ -29,6 +30,7 @@ from drover.operators import metrics as M
 from drover.operators import reconcile as R
 from drover.operators import serving as SV
 from drover.operators import status as S
+from drover.operators import trend_deltas as TD
 from drover.operators.landing import merge_landed
 from drover.sources.expenses import read_expense_feed
 from drover.streaming import changelog as CL
@@ -162,6 +164,18 @@ class FleetStore:
         t = SV.income_filter(t, show_profitable, show_unprofitable)
         return SV.income_by_month(t) if by_month else t
 
+    def refresh_trend(self, days: list[int]) -> None:
+        """Bring the stored fleet trend up to date for days whose earnings or reports may have
+        changed (those that closed, were corrected, or got late events); others are not read."""
+        mine = [int(d) for d in days]
+        n = max(TD.commits(self.spark, self.path("trend")), default=0) + 1
+        TD.apply(self.spark, self.path("trend"), n, self.earnings().where(F.col("sim_day").isin(mine)),
+                 self.report().where(F.col("sim_day").isin(mine)), whole_days=mine)
+
+    def stored_trend(self) -> DataFrame:
+        """Fleet income of all days as of the last ``refresh_trend``, without a join."""
+        return TD.trend(self.spark, self.path("trend"))
+
     def alerts(self, include_resolved: bool = False, as_of: float | None = None) -> DataFrame:
         """The newest alerts, open ones only unless asked; ``as_of``: as they were then."""
         return SV.alerts_recent(AL.alerts_as_of(self.spark, self.path("alerts"), as_of), include_resolved)

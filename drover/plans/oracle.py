@@ -348,6 +348,7 @@ FROM (SELECT 1) one LEFT JOIN (
 _Q["income_trend_fleet"] = f"""
 SELECT sim_day, {_r('total_fare', 'total_fare')}, trip_count, {_r('net_profit', 'net_profit')}, profitable
 FROM ({TREND_FLEET})"""
+_Q["income_trend_incremental"] = _Q["income_trend_fleet"]
 _Q["income_trend_vehicle"] = f"""
 SELECT vehicle_id, sim_day, {_r('total_fare', 'total_fare')}, trip_count, {_r('net_profit', 'net_profit')}, profitable
 FROM (SELECT e.vehicle_id, e.sim_day, e.total_fare, e.trip_count, r.net_profit, r.profitable

@@ -14,6 +14,7 @@ from drover.operators import metrics as M
 from drover.operators import reconcile as R
 from drover.operators import serving as SV
 from drover.operators import status as S
+from drover.operators import trend_deltas as TD
 from drover.operators.clean import clean, quarantine_counts
 from drover.plans.inputs import Inputs, export
 
@@ -220,6 +221,27 @@ def _income_total(x: Inputs):
     return SV.income_total(SV.income_filter(SV.income_trend_fleet(x.earnings, x.report)))
 
 
+@query("income_trend_incremental")
+def _income_trend_incremental(x: Inputs):
+    """Fleet income kept up by delta joins: first the earnings of events up to 10.5 days before
+    ``as_of``, some rows that do not last, and a report with doubled fuel costs on every fifth
+    day; then all of the later days' earnings, and the report of the days that change."""
+    from drover.functions import lit_ts
+    from drover.session import scratch_path
+    store, cut = scratch_path(x.spark, "trend"), x.params.as_of - 10.5 * 86400
+    from_day = x.params.day_at(cut)
+    early = M.daily_earnings(x.events.where(F.col("event_ts") < lit_ts(cut)))
+    doubled = x.expenses.withColumn("fuel_cost", F.col("fuel_cost") * F.when(F.col("sim_day") % 5 == 0, 2.0).otherwise(1.0))
+    passing = early.where(F.col("sim_day") % 7 == 0).withColumn("vehicle_id", F.concat(F.lit("X"), "vehicle_id"))
+    TD.apply(x.spark, store, 1, early.unionByName(passing), R.profitability(doubled, early))
+    TD.apply(x.spark, store, 2, x.earnings.where(F.col("sim_day") >= from_day).withColumn("removed", F.lit(False)).unionByName(
+        passing.withColumn("removed", F.lit(True))))
+    fixed = x.report.where((F.col("sim_day") >= from_day) | (F.col("sim_day") % 5 == 0))
+    TD.apply(x.spark, store, 3, report=fixed)
+    TD.apply(x.spark, store, 3, report=fixed)       # applied before: changes nothing
+    return TD.trend(x.spark, store)
+
+
 @query("vehicles")
 def _vehicles(x: Inputs):
     return SV.vehicles(S.as_of_filter(x.events, x.params))

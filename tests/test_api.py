@@ -44,6 +44,9 @@ def test_api_end_to_end(spark, tmp_path):
     assert _rows(rt["summary"]) == _rows(SV.realtime_summary(x.recent, x.events, x.params))
     assert store.vehicles().count() == 15
     assert store.income_trend().count() == 30
+    store.refresh_trend(range(0, 20))
+    store.refresh_trend(range(15, 30))
+    assert _rows(store.stored_trend()) == _rows(store.income_trend().withColumn("sim_day", F.col("sim_day").cast("int")))
     assert store.income_trend(vehicle_id="V000001").count() > 0
     months = store.income_trend(by_month=True, show_unprofitable=False).collect()
     assert len(months) == 1 and months[0].profitable is not False
