@@ -556,21 +556,98 @@ def test_language(spark, empty):
     assert {r.lang_pred for r in language.identify(unlabelled, F.lit(False)).collect()} == {"und"}
 
 
-def test_ftrl_is_sparse_and_temperature_calibrates():
+def test_ftrl_is_sparse_and_temperature_calibrates(monkeypatch):
     r = np.random.default_rng(0)
-    x = r.random((200, 30)).astype(np.float32)
+    x = r.random((200, 30))
     y = (x[:, 0] > 0.5).astype(int)
-    old = language.L1
-    try:
-        language.L1 = 8.0
-        w = language.ftrl(x, y, 2)
-    finally:
-        language.L1 = old
-    assert (language.ftrl(x, y, 2)[:-1] == 0).mean() < 0.1 < 0.5 < (w[:-1] == 0).mean() and np.abs(w[0]).max() > 1
+    rows = [(np.arange(30), v) for v in x]
+    monkeypatch.setattr(language, "L1", 8.0)
+    w = language.ftrl(rows, y, 2, 30)
+    monkeypatch.undo()
+    assert (language.ftrl(rows, y, 2, 30)[:-1] == 0).mean() < 0.1 < 0.5 < (w[:-1] == 0).mean() and np.abs(w[0]).max() > 1
     logits = np.stack([np.zeros(400), np.full(400, 8.0)], axis=1)
     assert language.best_temperature(logits, (r.random(400) < 0.7).astype(int)) > 5
 
 
+def _plain_grams(text):
+    low = text.lower()
+    out = defaultdict(int)
+    for k in language.ORDERS:
+        for i in range(len(low) - k + 1):
+            out[low[i:i + k]] += 1
+    return out
+
+
+def test_grams_are_counted_exactly(monkeypatch):
+    """Keys tell all n-grams apart, short texts joined and long ones cut into pieces alike."""
+    monkeypatch.setattr(language, "_CHARS", 50)
+    texts = ["", "a", "ab", "\x00\x00a", "İstanbul ΑΣ", "日本語 text " * 20, prose(40, 5), "aaaa" * 30, "\U0010ffff\U0010ffff" * 30]
+    want = [_plain_grams(t) for t in texts]
+    names = sorted({g for w in want for g in w})
+    keys = np.array([language.gram_keys(np.array([ord(c) for c in g]), len(g))[0] for g in names])
+    assert len(set(keys.tolist())) == len(names) and (keys > 0).all()
+    for known in (names, names[::3]):
+        v = language.Vocabulary(np.array([k for k, g in zip(keys, names, strict=True) if g in set(known)]))
+        name = dict(zip(v.places(keys).tolist(), names, strict=True))
+        got = [{} for _ in texts]
+        for d, p, n in zip(*v.counts(texts), strict=True):
+            got[d][name[p]] = n
+        assert got == [{g: n for g, n in w.items() if g in set(known)} for w in want]
+
+
+def test_language_equals_a_plain_version(spark):
+    """Sample, vocabulary, document frequencies, FTRL steps, temperature and scores against
+    dictionaries and loops."""
+    import math
+    d = spark.read.parquet(f"{SF001}/documents.parquet").where("doc_id < 70 and text is not null and lang is not null").select("doc_id", "text", "lang")
+    sample = 32
+    pick = {r.doc_id: r.pick for r in d.select("doc_id", F.xxhash64("doc_id", F.lit("sample")).alias("pick")).collect()}
+    docs = sorted(d.collect(), key=lambda r: pick[r.doc_id])
+    chosen = docs[:sample + sample // 4]
+    counted = {r.doc_id: _plain_grams(r.text) for r in docs}
+    vocabulary = {g for r in chosen for g in counted[r.doc_id]}
+    idf = {g: math.log((1 + len(docs)) / (1 + sum(g in counted[r.doc_id] for r in docs))) + 1 for g in vocabulary}
+
+    def row(r):
+        x = {g: math.log1p(n) * idf[g] for g, n in counted[r.doc_id].items() if g in vocabulary}
+        size = math.sqrt(sum(v * v for v in x.values())) or 1.0
+        return {g: v / size for g, v in x.items()} | {"": 1.0}      # the bias
+    langs = sorted({r.lang for r in chosen})
+    fitted, held = [r for i, r in enumerate(chosen) if i % 5], [r for i, r in enumerate(chosen) if not i % 5]
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(k):
+        if abs(z[k]) <= language.L1:
+            return 0.0
+        return -(z[k] - math.copysign(language.L1, z[k])) / ((language.BETA + math.sqrt(n[k])) / language.ALPHA + language.L2)
+
+    def logits(x):
+        return [sum(v * weight((g, c)) for g, v in x.items()) for c in langs]
+
+    def softmax(s):
+        e = [math.exp(v - max(s)) for v in s]
+        return [v / sum(e) for v in e]
+    order = np.random.default_rng(5)
+    for _ in range(language.EPOCHS):
+        for i in order.permutation(len(fitted)):
+            x = row(fitted[i])
+            p = softmax(logits(x))
+            for c, pc in zip(langs, p, strict=True):
+                for g, v in x.items():
+                    k, grad = (g, c), v * (pc - (c == fitted[i].lang))
+                    w = weight(k)
+                    z[k] += grad - (math.sqrt(n[k] + grad * grad) - math.sqrt(n[k])) / language.ALPHA * w
+                    n[k] += grad * grad
+    t = language.best_temperature(np.array([logits(row(r)) for r in held]), np.array([langs.index(r.lang) for r in held]))
+    got = {r.doc_id: r for r in language.identify(d, F.lit(False), sample=sample).collect()}
+    assert len(got) == len(docs) > len(chosen)
+    for r in docs:
+        p = softmax([v / t for v in logits(row(r))])
+        best = max(range(len(langs)), key=lambda c: p[c])
+        if any(map(str.isalpha, r.text)):
+            assert abs(got[r.doc_id].score - p[best]) < 1e-6 and got[r.doc_id].lang_pred == langs[best]
+
+
 def test_short_pieces_fill_gaps_below_a_bundle(spark, tokenizer):
     """40 pieces of 1,984 tokens leave gaps of 64: each takes one of 40 pieces of 64, though
     their bundles of 128 fit nowhere. Pieces of one token fill what is left."""
