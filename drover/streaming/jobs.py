@@ -28,7 +28,7 @@ from drover.sources.telemetry import decode_wire, file_telemetry
 from drover.streaming import changelog as CL
 from drover.streaming import member_deltas as MD
 from drover.streaming.epochs import epoch_of, fence
-from drover.streaming.status_state import latest_status_stream
+from drover.streaming.status_state import held_events, latest_status_stream
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -182,10 +182,15 @@ def earnings_at(spark: SparkSession, path: str, where=None, snapshots: str | Non
 def start_vehicle_status(events: DataFrame, sink_path: str, checkpoint: str, run_id: int | None = None,
                          trigger: dict | None = None, ordered_within: str | None = None):
     """Latest status per vehicle in keyed state; ``ordered_within`` (a watermark delay)
-    trades latency for exact event-time order (see ``latest_status_stream``)."""
+    trades latency for exact event-time order: events are held until the watermark passes
+    them (``held_events``), and what it releases is merged in order (``streaming.status_merge``)."""
     run = _run(events, checkpoint, sink_path, run_id)
-    return _start(latest_status_stream(events, ordered_within), CL.changelog_sink(sink_path, run), checkpoint,
-                  "update", trigger or {"processingTime": "5 seconds"}, "vehicle_status")
+    trigger = trigger or {"processingTime": "5 seconds"}
+    if ordered_within is None:
+        return _start(latest_status_stream(events), CL.changelog_sink(sink_path, run), checkpoint, "update", trigger, "vehicle_status")
+    from drover.streaming.status_merge import status_merge_sink
+    return _start(held_events(events, ordered_within), status_merge_sink(events.sparkSession, sink_path, run), checkpoint,
+                  "append", trigger, "vehicle_status")
 
 
 def start_vehicle_status_runs(events: DataFrame, params, sink_path: str, checkpoint: str, run_id: int | None = None,

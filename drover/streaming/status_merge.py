@@ -80,6 +80,9 @@ def status_merge_sink(spark: SparkSession, state_path: str, run_id: int, snapsho
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         fence(batch_df.sparkSession, state_path, run_id)
         batch_df = batch_df.persist()  # read by three aggregations
+        if batch_df.isEmpty():         # all is held behind a watermark: no version to write
+            batch_df.unpersist()
+            return
         rows = merge_batch(spark, batch_df, _previous(spark, state_path, snapshots, run_id, batch_id))
         CL.write_batch(rows, state_path, run_id, batch_id)
         batch_df.unpersist()

@@ -5,6 +5,9 @@ Per micro-batch a vehicle's new events are ordered by (event_ts, event_id) and c
 with the state's last status; ``status_since`` moves to the first event of the newest run.
 Events older than the state's last event cannot change the present status (a late event
 never regresses it) and are ignored here; the batch form recomputes runs exactly.
+
+``held_events`` is the first half of the ordered mode: events in the state store until the
+watermark passes them.
 """
 
 from __future__ import annotations
@@ -76,65 +79,6 @@ def _update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator
     })
 
 
-PENDING_FIELDS = ["ts_us", "event_id", "status", "driver_id", "lat", "lon", "speed", "zone", "fare", "sim_day"]
-ORDERED_STATE_SCHEMA = T.StructType(STATE_SCHEMA.fields + [
-    T.StructField("pending", T.ArrayType(T.StructType([
-        T.StructField("ts_us", T.LongType()), T.StructField("event_id", T.LongType()),
-        T.StructField("status", T.StringType()), T.StructField("driver_id", T.StringType()),
-        T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType()),
-        T.StructField("speed", T.DoubleType()), T.StructField("zone", T.StringType()),
-        T.StructField("fare", T.DoubleType()), T.StructField("sim_day", T.IntegerType()),
-    ]))),
-])
-
-
-def _update_ordered(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Buffer a vehicle's events until the watermark passes them, then apply them in
-    (event_ts, event_id) order: exact runs for input that is out of order by less than
-    the watermark delay. Output lags event time by that delay."""
-    wm_ms = state.getCurrentWatermarkMs()
-    if state.exists:
-        st_status, st_since, st_last, st_id, pending = state.get
-        rows = [tuple(r) for r in (pending or [])]
-    else:
-        st_status, st_since, st_last, st_id, rows = None, None, None, None, []
-    parts = [pd.DataFrame(rows, columns=PENDING_FIELDS)] if rows else []
-    parts += [b[PENDING_FIELDS] for b in batches if len(b)]
-    if not parts:
-        return
-    pdf = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
-    ts, ids = pdf["ts_us"].to_numpy(), pdf["event_id"].to_numpy()
-    if st_last is not None:  # behind what was already applied: too late to place
-        keep = (ts > st_last) | ((ts == st_last) & (ids > st_id))
-        pdf, ts, ids = pdf[keep], ts[keep], ids[keep]
-    ready = (ts // 1000) < wm_ms
-    out = None
-    if ready.any():
-        r = pdf[ready]
-        order = np.lexsort((ids[ready], ts[ready]))
-        status = r["status"].to_numpy(dtype=object)[order]
-        rts = ts[ready][order]
-        prev = np.empty_like(status)
-        prev[0] = st_status
-        prev[1:] = status[:-1]
-        changed = np.flatnonzero(status != prev)
-        st_since = int(rts[changed[-1]]) if len(changed) else int(st_since)
-        last = r.iloc[int(order[-1])]
-        st_status, st_last, st_id = str(last["status"]), int(rts[-1]), int(ids[ready][order[-1]])
-        out = pd.DataFrame({
-            "vehicle_id": [key[0]], "driver_id": [last["driver_id"]], "lat": [last["lat"]], "lon": [last["lon"]],
-            "speed": [last["speed"]], "status": [st_status], "zone": [last["zone"]], "last_fare": [last["fare"]],
-            "sim_day": [int(last["sim_day"])], "status_since_us": [st_since], "updated_at_us": [st_last],
-        })
-    waiting = pdf[~ready]
-    state.update((st_status, st_since, st_last, st_id,
-                  [tuple(x) for x in waiting[PENDING_FIELDS].itertuples(index=False, name=None)]))
-    if len(waiting):
-        state.setTimeoutTimestamp(max(int(waiting["ts_us"].min()) // 1000, wm_ms + 1))
-    if out is not None:
-        yield out
-
-
 def _ship_by_value() -> None:
     # The state function runs in Python workers; pickle this module by value so that the
     # workers need numpy/pandas/pyspark only, not this package on their path.
@@ -144,24 +88,28 @@ def _ship_by_value() -> None:
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def latest_status_stream(events: DataFrame, ordered_within: str | None = None) -> DataFrame:
-    """Streaming latest status per vehicle (output mode update).
-
-    Default: every event is applied as it arrives (immediate; an event older than the
-    vehicle's latest applied one is ignored, so status never regresses).
-    ``ordered_within="2 minutes"``: events are held until the watermark (that delay behind
-    the newest event) passes them and applied in event-time order -- exact runs for input
-    out of order by less than the delay; the state flushes on an event-time timeout.
-    """
+def latest_status_stream(events: DataFrame) -> DataFrame:
+    """Streaming latest status per vehicle (output mode update). Every event is applied as it
+    arrives (immediate; an event older than the vehicle's latest applied one is ignored, so
+    status never regresses)."""
     _ship_by_value()
     # records without an event id come before those with one at the same instant
     events = events.withColumn("event_id", F.coalesce("event_id", F.lit(NO_ID)))
-    if ordered_within is None:
-        inp = events.select(*INPUT_COLUMNS, F.unix_micros("event_ts").alias("ts_us"))
-        return inp.groupBy("vehicle_id").applyInPandasWithState(
-            _update, OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
-    inp = events.withWatermark("event_ts", ordered_within).select(
-        "vehicle_id", F.unix_micros("event_ts").alias("ts_us"), *[c for c in PENDING_FIELDS if c != "ts_us"],
-        "event_ts")
+    inp = events.select(*INPUT_COLUMNS, F.unix_micros("event_ts").alias("ts_us"))
     return inp.groupBy("vehicle_id").applyInPandasWithState(
-        _update_ordered, OUTPUT_SCHEMA, ORDERED_STATE_SCHEMA, "update", GroupStateTimeout.EventTimeTimeout)
+        _update, OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+
+
+def held_events(events: DataFrame, delay: str) -> DataFrame:
+    """The events, each once the watermark (``delay`` behind the newest event) has passed its
+    instant (output mode append); what arrives behind the watermark is dropped.
+
+    State is a row per vehicle and instant that is still to be passed, in the state store
+    and without Python workers, so neither a busy vehicle nor a large trigger is gathered
+    in one task's memory. Merged in the order of release, the events give exact runs for
+    input that is out of order by less than the delay; output lags event time by it.
+    """
+    event = F.struct("event_ts", *[c for c in INPUT_COLUMNS if c != "vehicle_id"])
+    held = events.withWatermark("event_ts", delay).groupBy("vehicle_id", F.window("event_ts", "1 microsecond")).agg(
+        F.collect_list(event).alias("at_once"))
+    return held.select("vehicle_id", F.inline("at_once"))

@@ -408,3 +408,22 @@ def test_status_of_nine_field_records(spark, tmp_path, mode):
     # in order, the last event is still behind the watermark
     want = ("on_trip", 100) if mode == "ordered" else ("idle", 900)
     assert (got.status, got.status_since_us // 1_000_000 - T0) == want
+
+
+def test_ordered_status_holds_a_row_per_instant(spark, tmp_path):
+    # one vehicle sends all; what waits for the watermark is rows of the state store, not
+    # one value of the vehicle that a Python worker must hold whole
+    land, out = str(tmp_path / "land"), str(tmp_path / "out")
+    statuses = ["idle", "enroute", "on_trip"]
+    first = [_msg(i, "A", i / 4, status=statuses[i // 100 % 3]) for i in range(400)]
+    twins = [_msg(1000, "A", 99.75, status="on_trip"), _msg(999, "A", 99.75, status="idle")]      # one instant, ids decide
+    _stage(land, [first, twins, [_msg(2000, "A", 220, status="idle")], [_msg(2001, "A", 2000, status="idle")]])
+    ev = J.file_event_stream(spark, land, P, max_files_per_trigger=1)
+    q = J.start_vehicle_status(ev, out, str(tmp_path / "ck"), 1, {"availableNow": True}, ordered_within="2 minutes")
+    J.run_to_end(q)
+    ops = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    assert max(o["numRowsTotal"] for o in ops) >= 400
+    rows = CL.read_log(spark, out).orderBy("run", "batch_id").collect()
+    got = [(r.status, r.status_since_us / 1e6 - T0, r.updated_at_us / 1e6 - T0) for r in rows]
+    # watermark 100 after the third file: the instant 99.75 is passed, 100 is not
+    assert got == [("on_trip", 99.75, 99.75), ("idle", 220, 220)]
