@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from drover.llm.common import ship, text_slices, written
+from drover.llm.common import lean, ship, text_slices, written
 from drover.llm.tokens import tokens
 
 CAPACITY = 2048
@@ -64,7 +64,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     them, cut into pieces of ``capacity`` (the last may be shorter)."""
     ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _pieces(tokenizer, capacity, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
+        lean(_pieces(tokenizer, capacity, end_id)), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def _bundles(width: int):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -97,6 +100,55 @@ def doc_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         F.col(text_col).alias("text"))
 
 
+# ------------------------------------------------------------------ workers' memory
+#: Rows of an Arrow batch of whole texts; JVM and worker hold several of its copies.
+TEXT_ROWS = 2_000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextlib.contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """While a job over whole texts runs, its Arrow batches have at most TEXT_ROWS rows."""
+    old = spark.conf.get(_ROWS)
+    if not 0 < int(old) <= TEXT_ROWS:       # 0 or less: no limit
+        spark.conf.set(_ROWS, str(TEXT_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ROWS, old)
+
+
+def give_back() -> None:
+    """Return freed memory to the system; the allocators would keep it for the process."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc's
+    if trim is not None:
+        trim(0)
+
+
+def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``task`` of a mapInArrow whose worker holds, once it is through, what it still needs:
+    a worker waits for its next task beside the JVM, and its peak must not wait with it."""
+    @functools.wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+    return run
+
+
+def lean_group(task: Callable[[pa.Table], pa.Table]):
+    """The same for a group of applyInArrow."""
+    @functools.wraps(task)
+    def run(t: pa.Table) -> pa.Table:
+        try:
+            return task(t)
+        finally:
+            give_back()
+    return run
+
+
 # ------------------------------------------------------------------ text buffers
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null is an empty text."""

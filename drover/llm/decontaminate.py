@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from drover.llm.common import doc_key, ship, text_slices, written
+from drover.llm.common import doc_key, lean, ship, text_slices, written
 from drover.llm.words import ALNUM, merge_spans, words_of
 
 WINDOW = 10
@@ -190,7 +190,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
     """
     keyed = doc_key(docs, id_col, text_col)
     spark = docs.sparkSession
-    found = [keyed.mapInArrow(_hits(spark.sparkContext.broadcast(b)), SCHEMA) for b in
+    found = [keyed.mapInArrow(lean(_hits(spark.sparkContext.broadcast(b))), SCHEMA) for b in
              blocks(items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")), keyed, window)]
     if not found:
         found = [keyed.mapInArrow(_hits(spark.sparkContext.broadcast(Block([], [], np.zeros(0, np.int64)))), SCHEMA)]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from drover.llm import exchange as X
-from drover.llm.common import buckets, doc_key, sized, text_slices, unused
+from drover.llm.common import buckets, doc_key, lean, sized, text_slices, unused
 from drover.llm.words import PLAIN, in_spans, merge_spans, runs, window_check, window_hash, words_of
 
 WINDOW = 13
@@ -35,7 +35,7 @@ PERIOD = 7
 COVER = np.array([0, 1, 3])
 ANCHOR = WINDOW - (PERIOD - 1)
 #: Entries that a map task gathers before it sends them on.
-FLUSH = 2_000_000
+FLUSH = 500_000
 
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
 
@@ -64,7 +64,7 @@ def candidate_windows(pos: np.ndarray, _extra=None) -> np.ndarray:
 def shared_anchors(keyed: DataFrame) -> DataFrame:
     """(key_id, key_digest, spans): ranges of window starts that may be repeated."""
     n = buckets(keyed.sparkSession)
-    return X.exchanged(keyed.mapInArrow(_anchors(n), X.SCHEMA), X.meet_shared(n, False), candidate_windows, "cover-anchors")
+    return X.exchanged(keyed.mapInArrow(lean(_anchors(n)), X.SCHEMA), X.meet_shared(n, False), candidate_windows, "cover-anchors")
 
 
 def same_windows(hashes: np.ndarray, checks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +127,7 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     """(key_id, key_digest, spans): word spans to remove, merged, for documents that have any."""
     n = buckets(keyed.sparkSession)
     found = X.with_spans(keyed, shared_anchors(keyed))
-    return X.exchanged(found.mapInArrow(_windows(n), X.SCHEMA), _meet_windows(n),
+    return X.exchanged(found.mapInArrow(lean(_windows(n)), X.SCHEMA), _meet_windows(n),
                        lambda pos, _: merge_spans(np.stack([pos, pos + WINDOW], axis=1)), "cover-windows")
 
 
@@ -170,7 +170,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     keyed = doc_key(docs, id_col, text_col)
     return X.with_spans(keyed, repeated_spans(keyed)).mapInArrow(
-        _cut, "key_id long, key_digest int, text string, n_words long, n_removed long, kept_text string, kept_sha256 string").drop("text")
+        lean(_cut), "key_id long, key_digest int, text string, n_words long, n_removed long, kept_text string, kept_sha256 string").drop("text")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,4 +196,4 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             cols = [b.column(j) for j in range(b.num_columns) if j != place]
             cols[at] = pa.array(texts, cols[at].type)
             yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in kinds])
-    return joined.mapInArrow(cut, kinds)
+    return joined.mapInArrow(lean(cut), kinds)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from drover.llm.common import sized, written
+from drover.llm.common import lean_group, short_batches, sized, written
 
 #: Columns of a packed row. ``ids``/``digests``/``counts``: documents and how many entries
 #: of each follow, in order; ``hashes``/``pos``/``extra``/``bytes``: the entries.
@@ -193,8 +193,9 @@ def known_rows(t: pa.Table) -> list[pa.RecordBatch]:
 
 def exchanged(df: DataFrame, meet, finish, name: str) -> DataFrame:
     """Hash buckets meet, then document buckets: (key_id, key_digest, spans), written."""
-    met = df.groupBy("bucket").applyInArrow(meet, SCHEMA)
-    return written(met.groupBy("bucket").applyInArrow(lambda t: by_document(t, finish), SPANS), name)
+    met = df.groupBy("bucket").applyInArrow(lean_group(meet), SCHEMA)
+    with short_batches(df.sparkSession):
+        return written(met.groupBy("bucket").applyInArrow(lean_group(lambda t: by_document(t, finish)), SPANS), name)
 
 
 def with_spans(keyed: DataFrame, spans: DataFrame) -> DataFrame:

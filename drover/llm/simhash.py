@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from drover.llm import exchange as X
-from drover.llm.common import buckets, narrow, ship, text_slices, written
+from drover.llm.common import buckets, lean, lean_group, narrow, ship, short_batches, text_slices, written
 from drover.llm.components import components
 
 SHINGLE = 4
@@ -34,6 +34,8 @@ MAX_BITS = 4
 SEED = 42
 #: Groups of a cell up to this size are compared by shifting, larger ones by search.
 SMALL_CELL = 24
+#: Fingerprints whose cells (about 50 each) a task holds at once.
+SPREAD = 5_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.uint64(0x5555555555555555)
 _HALF = np.uint64(0xFFFFFFFF)
@@ -81,7 +83,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, digest, fp) for every row; digest: :func:`text_digest`."""
     ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_digest(text_col).alias("digest"),
-                       F.col(text_col).alias("text")).mapInArrow(_fingerprints(k), "doc_id long, digest long, fp long")
+                       F.col(text_col).alias("text")).mapInArrow(lean(_fingerprints(k)), "doc_id long, digest long, fp long")
 
 
 def thermometer(fp: np.ndarray) -> np.ndarray:
@@ -114,8 +116,8 @@ def _spread(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = b.column("fp").to_numpy().view(np.uint64)
-            for i in range(0, len(fp), 20_000):
-                part = fp[i:i + 20_000]
+            for i in range(0, len(fp), SPREAD):
+                part = fp[i:i + SPREAD]
                 index, cell = cells(thermometer(part))
                 where = ((cell * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(n)
                 order = np.argsort(where, kind="stable")
@@ -211,8 +213,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         raise ValueError(f"the grid's step covers up to {MAX_BITS} bits")
     ship(fps.sparkSession)
     n = buckets(fps.sparkSession)
-    spread = fps.select("fp").mapInArrow(_spread(n), "bucket int, cells binary, fps binary")
-    return spread.groupBy("bucket").applyInArrow(_join(max_bits), "a long, b long")
+    spread = fps.select("fp").mapInArrow(lean(_spread(n)), "bucket int, cells binary, fps binary")
+    return spread.groupBy("bucket").applyInArrow(lean_group(_join(max_bits)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
@@ -230,7 +232,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and ids are all returned, in one component if their texts link; an empty table gives
     an empty result; only the two named columns are read.
     """
-    own = written(fingerprints(docs, id_col, text_col, k), "fingerprints")
+    with short_batches(docs.sparkSession):
+        own = written(fingerprints(docs, id_col, text_col, k), "fingerprints")
     classes = written(own.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")), "fingerprint-classes")
     roots = written(components(written(links(classes, max_bits), "fingerprint-links")), "fingerprint-roots")
     linked = written(classes.join(narrow(roots), F.col("fp") == F.col("node")).select("fp", "least", "root"), "linked-classes")

@@ -16,7 +16,7 @@ import unicodedata
 import numpy as np
 
 #: Chunks kept per process (about 200 bytes each); beyond that the cache starts anew.
-CACHE = 800_000
+CACHE = 250_000
 #: Beyond Latin letters, normal forms and lower-casing need the tokenizer's own rules;
 #: the separators 0x1C-0x1F are white space to Python alone.
 _OTHER = re.compile("[^\x00-\x1b\x20-įı-ɏ]")

@@ -661,3 +661,34 @@ def test_short_pieces_fill_gaps_below_a_bundle(spark, tokenizer):
     short = spark.createDataFrame([(k, "a " * (k % 9)) for k in range(700)], "doc_id long, text string")
     got = best_fit.packed_sequences(short, tokenizer).collect()
     assert len({r.sequence_id for r in got}) == -(-sum(r.length for r in got) // 2048)
+
+
+def test_workers_give_back_and_batches_are_short(spark, tmp_path):
+    from drover.llm import common as C
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    for given, inside in (("10000", str(C.TEXT_ROWS)), ("0", str(C.TEXT_ROWS)), ("7", "7")):
+        spark.conf.set(key, given)
+        with pytest.raises(KeyError), C.short_batches(spark):
+            assert spark.conf.get(key) == inside
+            raise KeyError
+        assert spark.conf.get(key) == given
+    spark.conf.set(key, old)
+
+    def resident() -> int:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    def kept(task) -> int:
+        """Bytes that the process holds more after a task of many small allocations."""
+        import numpy as np
+        before = resident()
+
+        def run(batches):
+            parts = [np.ones(8_000) for _ in range(3_000)]      # 190 MB below the mmap threshold
+            pin.append(np.ones(8_000))                        # one that lives on, above them
+            yield len(parts)
+        list(task(run)(iter(())))
+        return resident() - before
+    pin: list = []
+    assert kept(C.lean) < 60 << 20
