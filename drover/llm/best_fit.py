@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from drover.llm.common import lean, ship, text_slices, written
-from drover.llm.tokens import tokens
+from drover.llm.tokens import CALL_BYTES, tokens
 
 CAPACITY = 2048
 #: A size class is ranked in this many parts.
@@ -45,7 +45,7 @@ def _pieces(path: str, capacity: int, end_id: int):
         for b in batches:
             ids = b.column("doc_id").to_pylist()
             rows: list[tuple] = []
-            for row, data, off in text_slices(b.column("text")):
+            for row, data, off in text_slices(b.column("text"), CALL_BYTES):
                 raw = data.tobytes()
                 for i, enc in enumerate(tok.encode([raw[a:z].decode() for a, z in zip(off, off[1:], strict=False)])):
                     enc += end

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from drover.llm.common import ship, text_slices
-from drover.llm.tokens import tokens
+from drover.llm.tokens import CALL_BYTES, tokens
 
 KEY = ["doc_id", "tokenizer"]
 GROUP = ["source", "lang", "tokenizer"]
@@ -34,7 +34,7 @@ def _counter(path: str):
         tok = tokens(path)
         for b in batches:
             n = np.zeros(b.num_rows, np.int64)
-            for row, data, off in text_slices(b.column("text")):
+            for row, data, off in text_slices(b.column("text"), CALL_BYTES):
                 raw = data.tobytes()
                 n[row:row + len(off) - 1] = [len(e) // 4 for e in tok.encode(
                     [raw[a:z].decode() for a, z in zip(off, off[1:], strict=False)])]

@@ -1,9 +1,10 @@
 """Token ids of whole texts, with a bounded per-process cache of words.
 
 The word tokenizer lower-cases, drops white space and never joins letters across it, so
-the ids of a text are the ids of its white-space separated chunks, one after another. The
-cache holds chunks; what it lacks goes to the tokenizer in one call. Texts outside the
-characters for which this is exact go to the tokenizer whole.
+the ids of a text are the ids of its white-space separated chunks, one after another. Arrow
+splits the texts of a call and numbers their distinct chunks; the cache holds the ids of
+chunks, and what it lacks goes to the tokenizer in one call. Texts outside the characters
+for which this is exact go to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -12,15 +13,22 @@ import json
 import os
 import re
 import unicodedata
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Chunks kept per process (about 200 bytes each); beyond that the cache starts anew.
+#: Chunks of a generation of the cache (about 200 bytes each). A process keeps two: what was
+#: not looked up while a generation filled goes with the next.
 CACHE = 250_000
+#: Text for one call of ``Tokens.encode``: the more of it, the fewer chunks are looked up twice.
+CALL_BYTES = 8 << 20
 #: Beyond Latin letters, normal forms and lower-casing need the tokenizer's own rules;
 #: the separators 0x1C-0x1F are white space to Python alone.
 _OTHER = re.compile("[^\x00-\x1b\x20-įı-ɏ]")
-_LATIN = [chr(c) for c in range(0x250)]
+#: The Latin letters, and what they are in lower case (Ɓ: ɓ).
+_LATIN = sorted({c for k in range(0x250) if not _OTHER.match(chr(k)) for c in (chr(k), chr(k).lower())})
 
 
 def _class(kind: str) -> str:
@@ -53,16 +61,26 @@ class Tokens:
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
             self.cache: dict[str, bytes] = {}    # chunks, and the pieces that chunks are cut into
+            self.older: dict[str, bytes] = {}    # the generation before
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _lacking(self, words: Iterable[str]) -> list[str]:
+        """Those of ``words`` that neither generation has; what the older one has is kept."""
+        lacking = []
+        for w in words:
+            ids = self.older.get(w)
+            if ids is None:
+                lacking.append(w)
+            else:
+                self.cache[w] = ids
+        return lacking
+
+    def _learn(self, chunks: list[str]) -> None:
         """Put chunks into the cache; a chunk of letters is a piece, others are cut."""
         cut = {c: _PIECES.findall(c) for c in chunks if not c.isalpha()}
-        new = chunks.difference(cut)
-        for ps in cut.values():
-            new.update(ps)
-        new = new.difference(self.cache)
-        if new:
-            pieces = list(new)
+        new = {p for ps in cut.values() for p in ps if p not in self.cache}
+        pieces = [c for c in chunks if c not in cut]
+        pieces += self._lacking(new.difference(pieces))
+        if pieces:
             lots = [" ".join(pieces[i:i + 100]) for i in range(0, len(pieces), 100)]
             ids = np.concatenate([e.ids for e in self.words.encode_batch_fast(lots, add_special_tokens=False)]).astype("<u4")
             last = np.flatnonzero(self.ends[ids])
@@ -74,6 +92,28 @@ class Tokens:
             if len(ps) != 1 or ps[0] != c:
                 self.cache[c] = b"".join([self.cache[p] for p in ps])
 
+    def _by_word(self, texts: list[str]) -> Iterator[bytes]:
+        words = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.string())))
+        numbered = words.values.dictionary_encode()
+        chunks = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.cache) > CACHE:
+            self.older, self.cache = self.cache, {}
+        found = list(map(self.cache.get, chunks))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        self._learn(self._lacking(chunks[i] for i in new))
+        for i in new:
+            found[i] = self.cache[chunks[i]]
+        size = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        number = numbered.indices.to_numpy()
+        sizes = size[number]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        # an id is as far from the first of its chunk as from the first of its word
+        shift = (np.cumsum(size) - size)[number] - ends[:-1]
+        at = np.arange(ends[-1], dtype=np.int32) + np.repeat(shift.astype(np.int32), sizes)
+        raw = np.frombuffer(b"".join(found), "<u4")[at].tobytes()
+        bounds = (4 * ends[words.offsets.to_numpy()]).tolist()
+        return (raw[a:b] for a, b in zip(bounds, bounds[1:], strict=False))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (null: none) as little-endian unsigned 32-bit numbers."""
         out: list[bytes] = [b""] * len(texts)
@@ -85,19 +125,8 @@ class Tokens:
             for i, e in zip(odd, self.whole.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False), strict=True):
                 out[i] = np.array(e.ids, "<u4").tobytes()
         if plain:
-            chunks = [texts[i].lower().split() for i in plain]
-            missing: set[str] = set()
-            for c in chunks:
-                missing.update(c)
-            missing = missing.difference(self.cache)
-            if len(self.cache) + len(missing) > CACHE:
-                self.cache.clear()
-                missing = {w for c in chunks for w in c}
-            if missing:
-                self._learn(missing)
-            get = self.cache.__getitem__
-            for i, c in zip(plain, chunks, strict=True):
-                out[i] = b"".join(map(get, c))
+            for i, ids in zip(plain, self._by_word([texts[i] for i in plain]), strict=True):
+                out[i] = ids
         return out
 
 

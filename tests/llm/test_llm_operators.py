@@ -7,13 +7,14 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from conftest import SF001
 from drover.llm import (best_fit, components, decontaminate, difference_cover, language, packed_output, previous_factor,
-                        quality, queries, simhash, token_counts, url_model, words)
+                        quality, queries, simhash, token_counts, tokens, url_model, words)
 from drover.llm.common import NULL_ID
 from drover.session import scratch_path
 
@@ -692,3 +693,54 @@ def test_workers_give_back_and_batches_are_short(spark, tmp_path):
         return resident() - before
     pin: list = []
     assert kept(C.lean) < 60 << 20
+
+
+def _new_tokens(tokenizer, monkeypatch, cache=None):
+    """A tokenizer of its own, and the pieces that it has to learn."""
+    if cache:
+        monkeypatch.setattr(tokens, "CACHE", cache)
+    tok, learned, own = tokens.Tokens(tokenizer), [], tokens.Tokens(tokenizer).words
+
+    class Counting:
+        def encode_batch_fast(self, lots, **k):
+            learned.extend(p for lot in lots for p in lot.split())
+            return own.encode_batch_fast(lots, **k)
+    tok.words = Counting()
+    return tok, learned
+
+
+def _whole(tok, texts):
+    return [np.array(e.ids, "<u4").tobytes() for e in tok.whole.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_a_full_cache_keeps_the_words_in_use(tokenizer, monkeypatch):
+    """Calls that share words but bring as many new ones: a full cache must not lose the
+    words that every call holds."""
+    tok, learned = _new_tokens(tokenizer, monkeypatch, 60)
+    common = [f"{w}." for w in VOCAB[:20]] + VOCAB[20:30]
+    for call in range(30):
+        texts = [" ".join([*common, *(f"{w}{'xyz'[call % 3]}{'abcdefghij'[call // 3]}" for w in VOCAB[30:70])]), " The\nÜ", "\t"]
+        assert tok.encode([*texts, None, ""]) == [*_whole(tok, texts), b"", b""]
+    count = defaultdict(int)
+    for p in learned:
+        count[p] += 1
+    assert {count[w] for w in VOCAB[:30]} == {1} and count["."] == 1
+    assert len(tok.cache) + len(tok.older) < 60 + 60 + 2 * 100
+
+
+def test_capitals_whose_small_letters_are_not_latin(tokenizer, monkeypatch):
+    """Ɓ, Ʃ and 21 others are lower-cased to letters beyond the Latin blocks; a chunk with a
+    full stop is cut at the stop alone."""
+    tok, _ = _new_tokens(tokenizer, monkeypatch)
+    texts = [f"a{chr(k)}b. x{chr(k)}'s .{chr(k)}9" for k in range(0x20, 0x250)]
+    assert tok.encode(texts) == _whole(tok, texts)
+
+
+@pytest.mark.parametrize("task", [lambda path: best_fit._pieces(path, 2048, 0)])
+def test_tasks_encode_many_megabytes_at_once(tokenizer, monkeypatch, task):
+    """Words that texts share are looked up once a call: 4 MB of texts are one call."""
+    calls, encode = [], tokens.Tokens.encode
+    monkeypatch.setattr(tokens.Tokens, "encode", lambda self, texts: calls.append(len(texts)) or encode(self, texts))
+    batch = pa.record_batch({"doc_id": pa.array(range(400), pa.int64()), "text": pa.array([prose(2000, k) for k in range(400)])})
+    rows = list(task(tokenizer)(iter([batch])))
+    assert batch.column("text").nbytes > 4_000_000 and sum(r.num_rows for r in rows) >= 400 and calls == [400]
