@@ -736,7 +736,8 @@ def test_capitals_whose_small_letters_are_not_latin(tokenizer, monkeypatch):
     assert tok.encode(texts) == _whole(tok, texts)
 
 
-@pytest.mark.parametrize("task", [lambda path: best_fit._pieces(path, 2048, 0)])
+@pytest.mark.parametrize("task", [
+    lambda path: best_fit._pieces(path, 2048, 0), lambda path: packed_output._pack(path, 2048, 0, 0, "<u2", 1 << 22)])
 def test_tasks_encode_many_megabytes_at_once(tokenizer, monkeypatch, task):
     """Words that texts share are looked up once a call: 4 MB of texts are one call."""
     calls, encode = [], tokens.Tokens.encode
