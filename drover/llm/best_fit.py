@@ -29,8 +29,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from drover.llm.common import lean, ship, text_slices, written
-from drover.llm.tokens import CALL_BYTES, tokens
+from drover.llm.common import lean, ship, short_batches, text_slices, written
+from drover.llm.tokens import CALL_BYTES, CALL_ROWS, tokens
 
 CAPACITY = 2048
 #: A size class is ranked in this many parts.
@@ -46,8 +46,7 @@ def _pieces(path: str, capacity: int, end_id: int):
             ids = b.column("doc_id").to_pylist()
             rows: list[tuple] = []
             for row, data, off in text_slices(b.column("text"), CALL_BYTES):
-                raw = data.tobytes()
-                for i, enc in enumerate(tok.encode([raw[a:z].decode() for a, z in zip(off, off[1:], strict=False)])):
+                for i, enc in enumerate(tok.encode([data[a:z].tobytes().decode() for a, z in zip(off, off[1:], strict=False)])):
                     enc += end
                     n = len(enc) // 4
                     rows.extend((ids[row + i], k, s, min(capacity, n - s), zlib.crc32(enc[4 * s:4 * (s + capacity)]))
@@ -189,8 +188,9 @@ def packed_sequences(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
     internal number; an empty table gives an empty result; only the two named columns are
     read.
     """
-    units = written(pieces(docs, tokenizer, capacity, end_id, id_col, text_col).withColumn(
-        "unit", F.monotonically_increasing_id()), "pieces")
+    with short_batches(docs.sparkSession, CALL_ROWS):
+        units = written(pieces(docs, tokenizer, capacity, end_id, id_col, text_col).withColumn(
+            "unit", F.monotonically_increasing_id()), "pieces")
     short = capacity // 32
     size = F.col("length").cast("int").alias("size")
     middle = units.where((F.col("length") > short) & (F.col("length") < capacity)).select(size, F.col("unit").alias("id"))

@@ -107,11 +107,11 @@ _ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @contextlib.contextmanager
-def short_batches(spark: SparkSession) -> Iterator[None]:
-    """While a job over whole texts runs, its Arrow batches have at most TEXT_ROWS rows."""
+def short_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> Iterator[None]:
+    """While a job over whole texts runs, its Arrow batches have at most ``rows`` rows."""
     old = spark.conf.get(_ROWS)
-    if not 0 < int(old) <= TEXT_ROWS:       # 0 or less: no limit
-        spark.conf.set(_ROWS, str(TEXT_ROWS))
+    if not 0 < int(old) <= rows:            # 0 or less: no limit
+        spark.conf.set(_ROWS, str(rows))
     try:
         yield
     finally:

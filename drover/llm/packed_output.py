@@ -18,8 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from drover.llm.common import ship, text_slices
-from drover.llm.tokens import CALL_BYTES, tokens
+from drover.llm.common import lean, ship, short_batches, text_slices
+from drover.llm.tokens import CALL_BYTES, CALL_ROWS, tokens
 
 CAPACITY = 2048
 #: Tokens that a task packs together.
@@ -109,8 +109,7 @@ def _pack(path: str, capacity: int, end_id: int, pad_id: int, dtype: str, buffer
         for b in batches:
             ids = b.column("doc_id").to_pylist()
             for row, data, off in text_slices(b.column("text"), CALL_BYTES):
-                raw = data.tobytes()
-                for i, enc in enumerate(tok.encode([raw[a:z].decode() for a, z in zip(off, off[1:], strict=False)])):
+                for i, enc in enumerate(tok.encode([data[a:z].tobytes().decode() for a, z in zip(off, off[1:], strict=False)])):
                     own = np.append(np.frombuffer(enc, "<u4"), np.uint32(end_id)).astype(dtype)
                     for k, s in enumerate(range(0, len(own), capacity)):
                         units.append((ids[row + i], k, s, own[s:s + capacity]))
@@ -137,11 +136,12 @@ def packed_rows(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_i
     if max(top, end_id, pad_id) > np.iinfo(np.dtype(dtype)).max:
         raise ValueError(f"{dtype} cannot hold the id {top}")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _pack(tokenizer, capacity, end_id, pad_id, dtype, buffer), SCHEMA)
+        lean(_pack(tokenizer, capacity, end_id, pad_id, dtype, buffer)), SCHEMA)
 
 
 def write_packed(rows: DataFrame, path: str) -> None:
-    rows.write.mode("errorifexists").parquet(path)
+    with short_batches(rows.sparkSession, CALL_ROWS):
+        rows.write.mode("errorifexists").parquet(path)
 
 
 def read_packed(spark: SparkSession, path: str) -> DataFrame:

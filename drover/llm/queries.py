@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drover.llm import (best_fit, chunk_fingerprint, decontaminate, difference_cover, divergence, fill_in_middle, language,
                         packed_output, previous_factor, quality, simhash, token_counts, url_model)
-from drover.llm.common import NULL_ID, table, written
+from drover.llm.common import NULL_ID, short_batches, table, written
+from drover.llm.tokens import CALL_ROWS
 from drover.session import scratch_path
 
 
@@ -31,7 +32,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     (a quarter of its bytes), every document's exact count as a revision, and the removal
     of documents without a token; the second batch is applied twice."""
     docs = table(spark, sf_dir, "documents")
-    exact = written(token_counts.counted(docs, tokenizer_path(), "word_bpe_49k"), "token-counts")
+    with short_batches(spark, CALL_ROWS):
+        exact = written(token_counts.counted(docs, tokenizer_path(), "word_bpe_49k"), "token-counts")
     store = token_counts.TokenTotals(spark, scratch_path(spark, "token-totals"))
     guess = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.lit("word_bpe_49k").alias("tokenizer"),
                         F.coalesce(F.octet_length("text") / 4, F.lit(0)).cast("long").alias("n_tokens"), F.lit("insert").alias("op"))

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from drover.llm.common import ship, text_slices
+from drover.llm.common import lean, ship, text_slices
 from drover.llm.tokens import CALL_BYTES, tokens
 
 KEY = ["doc_id", "tokenizer"]
@@ -35,9 +35,8 @@ def _counter(path: str):
         for b in batches:
             n = np.zeros(b.num_rows, np.int64)
             for row, data, off in text_slices(b.column("text"), CALL_BYTES):
-                raw = data.tobytes()
                 n[row:row + len(off) - 1] = [len(e) // 4 for e in tok.encode(
-                    [raw[a:z].decode() for a, z in zip(off, off[1:], strict=False)])]
+                    [data[a:z].tobytes().decode() for a, z in zip(off, off[1:], strict=False)])]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "source", "lang")), pa.array(n)],
                                              names=["doc_id", "source", "lang", "n_tokens"])
     return run
@@ -47,7 +46,7 @@ def counted(docs: DataFrame, tokenizer: str, version: str) -> DataFrame:
     """(doc_id, source, lang, n_tokens, tokenizer) of whole texts; a null text has none."""
     ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", "text").mapInArrow(
-        _counter(tokenizer), "doc_id long, source string, lang string, n_tokens long").withColumn("tokenizer", F.lit(version))
+        lean(_counter(tokenizer)), "doc_id long, source string, lang string, n_tokens long").withColumn("tokenizer", F.lit(version))
 
 
 class TokenTotals:

@@ -21,9 +21,14 @@ import pyarrow.compute as pc
 
 #: Chunks of a generation of the cache (about 200 bytes each). A process keeps two: what was
 #: not looked up while a generation filled goes with the next.
-CACHE = 250_000
+CACHE = 100_000
 #: Text for one call of ``Tokens.encode``: the more of it, the fewer chunks are looked up twice.
 CALL_BYTES = 8 << 20
+#: Rows of an Arrow batch that is about one call.
+CALL_ROWS = 4_000
+#: Chunks that are learnt, and words whose ids are laid out, at once: what a call holds
+#: beside its text and its ids.
+BLOCK = 20_000
 #: Beyond Latin letters, normal forms and lower-casing need the tokenizer's own rules;
 #: the separators 0x1C-0x1F are white space to Python alone.
 _OTHER = re.compile("[^\x00-\x1b\x20-įı-ɏ]")
@@ -94,25 +99,34 @@ class Tokens:
 
     def _by_word(self, texts: list[str]) -> Iterator[bytes]:
         words = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.string())))
-        numbered = words.values.dictionary_encode()
-        chunks = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        offsets, numbered = words.offsets.to_numpy(), words.values.dictionary_encode()
+        del words
+        chunks, number = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        del numbered
         if len(self.cache) > CACHE:
             self.older, self.cache = self.cache, {}
         found = list(map(self.cache.get, chunks))
         new = [i for i, ids in enumerate(found) if ids is None]
-        self._learn(self._lacking(chunks[i] for i in new))
+        lacking = self._lacking(chunks[i] for i in new)
+        for i in range(0, len(lacking), BLOCK):
+            self._learn(lacking[i:i + BLOCK])
         for i in new:
             found[i] = self.cache[chunks[i]]
-        size = np.fromiter(map(len, found), np.int32, len(found)) // 4
-        number = numbered.indices.to_numpy()
-        sizes = size[number]
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        # an id is as far from the first of its chunk as from the first of its word
-        shift = (np.cumsum(size) - size)[number] - ends[:-1]
-        at = np.arange(ends[-1], dtype=np.int32) + np.repeat(shift.astype(np.int32), sizes)
-        raw = np.frombuffer(b"".join(found), "<u4")[at].tobytes()
-        bounds = (4 * ends[words.offsets.to_numpy()]).tolist()
-        return (raw[a:b] for a, b in zip(bounds, bounds[1:], strict=False))
+        del chunks, new, lacking
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first, ids = np.cumsum(size) - size, np.frombuffer(b"".join(found), "<u4")
+        del found
+        i = 0
+        while i < len(texts):
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + BLOCK, side="right")) - 1)
+            part = number[offsets[i]:offsets[j]]
+            sizes = size[part]
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            # an id is as far from the first of its chunk as from the first of its word
+            raw = ids[np.arange(ends[-1]) + np.repeat(first[part] - ends[:-1], sizes)].tobytes()
+            bounds = (4 * ends[offsets[i:j + 1] - offsets[i]]).tolist()
+            yield from (raw[a:b] for a, b in zip(bounds, bounds[1:], strict=False))
+            i = j
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (null: none) as little-endian unsigned 32-bit numbers."""

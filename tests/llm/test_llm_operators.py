@@ -3,6 +3,7 @@ texts, ties, repeated rows and clashing extra columns; and on an empty table."""
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -745,3 +746,39 @@ def test_tasks_encode_many_megabytes_at_once(tokenizer, monkeypatch, task):
     batch = pa.record_batch({"doc_id": pa.array(range(400), pa.int64()), "text": pa.array([prose(2000, k) for k in range(400)])})
     rows = list(task(tokenizer)(iter([batch])))
     assert batch.column("text").nbytes > 4_000_000 and sum(r.num_rows for r in rows) >= 400 and calls == [400]
+
+
+def test_a_call_holds_little_beside_its_text_and_ids(tokenizer, monkeypatch):
+    """A megabyte of short words: their ids are laid out, and new words learnt, in blocks."""
+    tok, lots, longest = tokens.Tokens(tokenizer), [], 0
+    own = tok.words
+
+    class Counting:
+        def encode_batch_fast(self, given, **k):
+            lots.append(sum(len(g.split()) for g in given))
+            return own.encode_batch_fast(given, **k)
+    tok.words = Counting()
+    new = [" ".join(f"{a}{b}{c}" for c in VOCAB[:40]) for a in VOCAB[:40] for b in VOCAB[:40]]
+    want = _whole(tok, new)
+    assert tok.encode(new) == want and sum(lots) > 40_000 and max(lots) <= 20_000
+    texts = ["a b c d e f g h " * 500] * 250
+    tok.encode(texts[:1])
+    tracemalloc.start()
+    try:
+        got = tok.encode(texts)
+        longest = tracemalloc.get_traced_memory()[1] - sum(map(len, got))
+    finally:
+        tracemalloc.stop()
+    assert got == _whole(tok, texts[:1]) * 250 and longest < 16 << 20
+
+
+def test_batches_of_token_jobs_are_short(spark, tokenizer, tmp_path, monkeypatch):
+    """Executors hold several copies of a batch: no job over whole texts takes 10,000 rows at once."""
+    key, seen, own = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, best_fit.written
+    monkeypatch.setattr(best_fit, "written", lambda df, name: seen.setdefault(name, int(spark.conf.get(key))) and own(df, name))
+    docs = spark.range(9).selectExpr("id as doc_id", "'a b' as text")
+    old = spark.conf.get(key)
+    assert best_fit.packed_sequences(docs, tokenizer).count() == 9
+    assert seen["pieces"] == tokens.CALL_ROWS == 4_000 and spark.conf.get(key) == old
+    packed_output.write_packed(packed_output.packed_rows(docs, tokenizer), f"{tmp_path}/rows")
+    assert packed_output.read_packed(spark, f"{tmp_path}/rows").count() >= 1 and spark.conf.get(key) == old
