@@ -14,6 +14,9 @@ from drover.llm import best_fit, decontaminate, difference_cover, quality, simha
 from drover.llm.common import narrow, table, unused, written
 from drover.llm.queries import tokenizer_path
 
+#: Documents of a batch of the packing, whose workers run beside a JVM that the stages before filled.
+PACKING_ROWS = 1_000
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base nor the cascade rejects."""
@@ -63,7 +66,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequences (null texts: one piece of the id 0;
     null and repeated ids: a piece each; no documents: no pieces)."""
-    return best_fit.packed_sequences(docs, tokenizer_path())
+    return best_fit.packed_sequences(docs, tokenizer_path(), batch_rows=PACKING_ROWS)
 
 
 STAGES = [

@@ -176,8 +176,10 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def packed_sequences(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0,
-                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                     id_col: str = "doc_id", text_col: str = "text", batch_rows: int = CALL_ROWS) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for every piece.
+    Texts go to the workers in batches of ``batch_rows`` at most: fewer take less memory, more
+    less time.
 
     Pieces are packed in decreasing order of size in three steps: those above a 32nd of the
     capacity; bundles of the shorter ones, so that a sequence of very short pieces does not
@@ -188,7 +190,7 @@ def packed_sequences(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
     internal number; an empty table gives an empty result; only the two named columns are
     read.
     """
-    with short_batches(docs.sparkSession, CALL_ROWS):
+    with short_batches(docs.sparkSession, batch_rows):
         units = written(pieces(docs, tokenizer, capacity, end_id, id_col, text_col).withColumn(
             "unit", F.monotonically_increasing_id()), "pieces")
     short = capacity // 32

@@ -7,6 +7,7 @@ import tracemalloc
 import zlib
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -780,5 +781,7 @@ def test_batches_of_token_jobs_are_short(spark, tokenizer, tmp_path, monkeypatch
     old = spark.conf.get(key)
     assert best_fit.packed_sequences(docs, tokenizer).count() == 9
     assert seen["pieces"] == tokens.CALL_ROWS == 4_000 and spark.conf.get(key) == old
+    seen.clear()
+    assert corpus_pipeline.best_fit_packing(spark, docs, "").count() == 9 and seen["pieces"] == 1_000
     packed_output.write_packed(packed_output.packed_rows(docs, tokenizer), f"{tmp_path}/rows")
     assert packed_output.read_packed(spark, f"{tmp_path}/rows").count() >= 1 and spark.conf.get(key) == old
